@@ -61,7 +61,7 @@ def rejected_points(df: DataFrame, line_col: str = "value",
     for f in fields:
         all_null = all_null & F.col(f).isNull()
     reason = (F.when(F.col(line_col).isNull(), F.lit("null_line"))
-              .when(all_null, F.lit("unparsable"))
+              .when(all_null, F.lit("no_point"))
               .otherwise(F.lit("bad_field")))
     return df.filter(~_point_ok(fields)).withColumn("reason", reason)
 

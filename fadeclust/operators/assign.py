@@ -33,44 +33,50 @@ CLOSURE_MAX_BYTES = 1 << 20
 INVALID_MODES = ("keep", "skip", "error")
 
 
-def _unrolled_distances(f: Column, C: np.ndarray) -> list[Column]:
+def sql_double(v: float) -> str:
+    """A SQL double literal that parses back to exactly ``v``."""
+    v = float(v)
+    if np.isnan(v):
+        return "double('NaN')"
+    if np.isinf(v):
+        return "double('Infinity')" if v > 0 else "double('-Infinity')"
+    return f"({v!r}D)"
+
+
+def _unrolled_sql(f: str, C: np.ndarray) -> str:
     k, dim = C.shape
-    elems = [f[i] for i in range(dim)]
-    out = []
+    rows = []
     for j in range(k):
-        acc = None
+        terms = []
         for i in range(dim):
-            diff = elems[i] - F.lit(float(C[j, i]))
-            term = diff * diff
-            acc = term if acc is None else acc + term
-        out.append(acc)
-    return out
+            c = sql_double(C[j, i])
+            terms.append(f"(({f}[{i}] - {c}) * ({f}[{i}] - {c}))")
+        rows.append(" + ".join(terms))
+    return "array(" + ", ".join(rows) + ")"
 
 
-def _hof_distances(f: Column, C: np.ndarray) -> Column:
-    lit_centers = F.array(*[F.array(*[F.lit(float(v)) for v in row]) for row in C])
-    return F.transform(
-        lit_centers,
-        lambda c: F.aggregate(F.zip_with(f, c, lambda x, y: (x - y) * (x - y)),
-                              F.lit(0.0).cast("double"), lambda a, v: a + v))
+def _hof_sql(f: str, C: np.ndarray) -> str:
+    lit = "array(" + ", ".join(
+        "array(" + ", ".join(sql_double(v) for v in row) + ")" for row in C) + ")"
+    return (f"transform({lit}, c -> aggregate(zip_with({f}, c, (x, y) -> (x - y) * (x - y)), "
+            f"0D, (a, v) -> a + v))")
+
+
+def _guarded_sql(f: str, dim: int, arr: str) -> str:
+    return (f"CASE WHEN {f} IS NULL THEN NULL WHEN size({f}) = {dim} THEN {arr} "
+            f"ELSE raise_error(concat('features must have {dim} entries, got ', "
+            f"cast(size({f}) AS STRING))) END")
 
 
 def _argmin(dists: Column) -> tuple[Column, Column]:
-    """Label (first minimum; NaN is larger than any number) and distance."""
+    """Label (first minimum; NaN is larger than any number) and distance.
+    ``dists`` should be a column reference so the array is computed once."""
     best = F.array_min(dists)
     label = (F.array_position(dists, best) - 1).cast("int")
     dist = F.when(F.isnan(best), F.lit(float("inf"))).otherwise(best)
     return label, dist
 
 
-def _size_guard(f: Column, dim: int, expr: Column) -> Column:
-    return (F.when(f.isNull(), F.lit(None))
-            .when(F.size(f) == dim, expr)
-            .otherwise(F.raise_error(F.concat(
-                F.lit(f"features must have {dim} entries, got "),
-                F.size(f).cast("string")))))
-
-
 def _arrow_assign(C: np.ndarray, spark=None) -> "callable":
     """An Arrow UDF returning ``struct<prediction:int, distance:double>``."""
     import pyarrow as pa
@@ -130,20 +136,29 @@ def choose_method(k: int, dim: int, method: str = "auto") -> str:
     return method
 
 
-def nearest_columns(f: Column, C: np.ndarray, method: str = "auto",
+def _quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def distance_sql(features: str, C: np.ndarray, method: str = "unrolled") -> str:
+    """SQL text of the k squared distances of column ``features`` (an
+    ``ARRAY<DOUBLE>`` column name) to the centers, as one array."""
+    f = _quote(features)
+    arr = _unrolled_sql(f, C) if method == "unrolled" else _hof_sql(f, C)
+    return _guarded_sql(f, C.shape[1], arr)
+
+
+def nearest_columns(features: str, C: np.ndarray, method: str = "auto",
                     spark=None) -> tuple[Column, Column]:
-    """``(label, squared distance)`` Column expressions for features ``f``."""
+    """``(label, squared distance)`` Column expressions for an ``ARRAY<DOUBLE>``
+    column ``features``.  Convenience for ad-hoc projections;
+    :func:`assign_nearest` evaluates the distance array once."""
     k, dim = C.shape
     method = choose_method(k, dim, method)
     if method == "arrow":
-        res = _arrow_assign(C, spark)(f)
+        res = _arrow_assign(C, spark)(F.col(features))
         return res["prediction"], res["distance"]
-    if method == "unrolled":
-        dists = F.array(*_unrolled_distances(f, C))
-    else:
-        dists = _hof_distances(f, C)
-    label, dist = _argmin(_size_guard(f, dim, dists))
-    return label, dist
+    return _argmin(F.expr(distance_sql(features, C, method)))
 
 
 def assign_nearest(df: DataFrame, centers, features_col: str = "features",
@@ -160,35 +175,47 @@ def assign_nearest(df: DataFrame, centers, features_col: str = "features",
     """
     if handle_invalid not in INVALID_MODES:
         raise ValueError(f"handle_invalid must be one of {INVALID_MODES}")
-    if prediction_col in df.columns:
+    schema = df.schema
+    names = schema.names
+    if prediction_col in names:
         raise ValueError(f"Prediction column {prediction_col} already exists")
     C = centers_array(centers)
-    f = F.col(features_col)
-    ftype = df.schema[features_col].dataType
-    if ftype.typeName() != "array":
+    k, dim = C.shape
+    ftype = schema[features_col].dataType
+    fname = features_col
+    if ftype.typeName() != "array" or ftype.elementType.typeName() != "double":
         from ..functions.vectors import to_array
-        f = to_array(f)
-    elif ftype.elementType.typeName() != "double":
-        f = f.cast("array<double>")
+        fname = "__features"
+        conv = (to_array(features_col) if ftype.typeName() != "array"
+                else F.col(features_col).cast("array<double>"))
+        df = df.withColumn(fname, conv)
+    fq = _quote(fname)
+    finite = (f"coalesce({fq} IS NOT NULL AND size({fq}) > 0 AND NOT exists({fq}, x -> "
+              f"x IS NULL OR isnan(x) OR x = double('Infinity') OR x = double('-Infinity')), false)")
     if handle_invalid == "skip":
-        df = df.filter(is_finite_vector(f))
+        df = df.filter(F.expr(finite))
     elif handle_invalid == "error":
-        df = df.withColumn(
-            "__ok", F.when(is_finite_vector(f), F.lit(True)).otherwise(
-                F.raise_error(F.lit("features contain NULL, NaN or Inf")))
-        ).filter("__ok").drop("__ok")
-    label, dist = nearest_columns(f, C, method, df.sparkSession)
+        df = df.filter(F.expr(
+            f"CASE WHEN {finite} THEN true ELSE "
+            f"raise_error('features contain NULL, NaN or Inf') END"))
+    method = choose_method(k, dim, method)
     tmp = "__nearest"
-    out = df.withColumn(tmp, F.struct(label.alias("p"), dist.alias("d")))
-    pred = F.col(f"{tmp}.p")
-    dcol = F.col(f"{tmp}.d")
+    if method == "arrow":
+        res = _arrow_assign(C, df.sparkSession)(F.col(fname))
+        staged = df.select(*names, res.alias(tmp))
+        pred = f"{tmp}.prediction"
+        dist = f"{tmp}.distance"
+    else:
+        staged = df.select(*names, F.expr(distance_sql(fname, C, method)).alias(tmp))
+        pred = f"cast(array_position({tmp}, array_min({tmp})) - 1 AS INT)"
+        dist = f"CASE WHEN isnan(array_min({tmp})) THEN double('Infinity') ELSE array_min({tmp}) END"
     if handle_invalid == "keep":
-        pred = F.coalesce(pred, F.lit(0))
-        dcol = F.coalesce(dcol, F.lit(float("inf")))
-    out = out.withColumn(prediction_col, pred.cast("int"))
+        pred = f"coalesce({pred}, 0)"
+        dist = f"coalesce({dist}, double('Infinity'))"
+    outs = [f"cast({pred} AS INT) AS {_quote(prediction_col)}"]
     if distance_col:
-        out = out.withColumn(distance_col, dcol)
-    return out.drop(tmp)
+        outs.append(f"{dist} AS {_quote(distance_col)}")
+    return staged.selectExpr(*[_quote(n) for n in names], *outs)
 
 
 def predict_point(centers, point) -> int:

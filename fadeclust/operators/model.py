@@ -119,13 +119,14 @@ def centers_array(centers) -> np.ndarray:
     return c
 
 
-def initial_state_from_first(df: DataFrame, k: int, order_col: str,
+def initial_state_from_first(df: DataFrame, k: int, order_col,
                              features_col: str = "features",
                              weight: float = 0.0) -> ModelState:
     """Initial model = features of the ``k`` rows with the smallest
     ``order_col`` (a top-k: TakeOrderedAndProject, k rows to the driver)."""
-    rows = (df.select(order_col, features_col)
-            .orderBy(F.col(order_col).asc()).limit(k).collect())
+    order = [order_col] if isinstance(order_col, str) else list(order_col)
+    rows = (df.select(*order, features_col)
+            .orderBy(*[F.col(c).asc() for c in order]).limit(k).collect())
     if len(rows) < k:
         raise ValueError(f"need {k} rows for the initial centers, got {len(rows)}")
     return ModelState(np.array([r[features_col] for r in rows], dtype=np.float64),

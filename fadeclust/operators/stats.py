@@ -42,12 +42,10 @@ def cluster_stats(df: DataFrame, label_col: str = "prediction",
     if form == "wide":
         if dim is None:
             raise ValueError("the wide form needs dim")
+        sums = ", ".join(f"sum(__f[{i}])" for i in range(dim))
         return (df.select(label, f.alias("__f"))
                 .groupBy("label")
-                .agg(F.count(F.lit(1)).alias("n"),
-                     *[F.sum(F.col("__f")[i]).alias(f"__s{i}") for i in range(dim)])
-                .select("label", "n",
-                        F.array(*[F.col(f"__s{i}") for i in range(dim)]).alias("s")))
+                .agg(F.expr("count(1)").alias("n"), F.expr(f"array({sums})").alias("s")))
     if form == "long":
         per_dim = (df.select(label, F.posexplode(f).alias("pos", "v"))
                    .groupBy("label", "pos")
@@ -75,8 +73,10 @@ def stats_long(stats: DataFrame) -> DataFrame:
 
 
 def collect_stats(stats: DataFrame, k: int):
-    """Bring the (at most k) stats rows to the driver; more is an error."""
-    rows = stats.limit(k + 1).collect()
+    """Bring the stats rows to the driver.  Labels come from an argmin over k
+    centers, so there are at most k rows by construction (no limit needed,
+    which would add incremental take jobs)."""
+    rows = stats.collect()
     if len(rows) > k:
         raise ValueError(f"more than k={k} labels in a batch")
     return [(int(r["label"]), int(r["n"]), list(r["s"])) for r in rows]

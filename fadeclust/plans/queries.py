@@ -104,3 +104,368 @@ def _emb_fold(spark, sf_dir, params, w0=W0):
 {sql.history_long_select()}""")
 def train_replay(spark, sf_dir):
     return _emb_fold(spark, sf_dir, UpdateParams(decay=DECAY))
+
+
+# ---- P1-P6: parse, validate, assemble ---------------------------------------
+
+from ..functions.points import (features_to_xy, label_color, label_points,  # noqa: E402
+                                parse_labelled, parse_points, points_to_json,
+                                rejected_points)
+from ..functions.vectors import (to_array, to_vector, vec_axpy, vec_dot,  # noqa: E402
+                                 vec_norm, vec_scale, vec_sqdist, vec_zeros)
+from ..operators.assign import assign_nearest, attach_center, cluster_cost  # noqa: E402
+from ..operators.stats import cluster_stats, stats_long  # noqa: E402
+from ..operators.views import latest_center, latest_n  # noqa: E402
+from ..sources.tables import (event_lines, event_points, lineitem_points,  # noqa: E402
+                              table)
+from .fold import score_with_history  # noqa: E402
+
+PROPS_SCHEMA = "k BIGINT"
+
+
+@register("parse_props", """
+SELECT event_id, CAST(props->>'$.k' AS BIGINT) AS k FROM events""")
+def parse_props(spark, sf_dir):
+    ev = table(spark, sf_dir, "events").select("event_id", "props")
+    return parse_points(ev, "props", PROPS_SCHEMA).select("event_id", "k")
+
+
+@register("valid_points", f"""
+SELECT id AS event_id, {sql.r6('x')} AS x, {sql.r6('y')} AS y FROM ({sql.EVENT_POINTS})""")
+def valid_points_q(spark, sf_dir):
+    return event_points(spark, sf_dir).select("event_id", r6("x").alias("x"),
+                                              r6("y").alias("y"))
+
+
+@register("rejected_points", """
+SELECT event_id, CASE event_type WHEN 'error' THEN 'no_point' ELSE 'bad_field' END AS reason
+FROM events WHERE event_type IN ('signup', 'error')""")
+def rejected_points_q(spark, sf_dir):
+    parsed = parse_points(event_lines(spark, sf_dir), "value")
+    return rejected_points(parsed, "value").select("event_id", "reason")
+
+
+@register("assemble_features", """
+SELECT l_orderkey, l_linenumber, CAST(l_quantity AS DOUBLE) AS f0, l_extendedprice AS f1,
+       l_discount AS f2, l_tax AS f3 FROM lineitem""")
+def assemble_features_q(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    from ..functions.points import assemble_features
+    v = assemble_features(li, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"],
+                          out="vec", as_vector=True)
+    arr = to_array("vec")
+    return v.select("l_orderkey", "l_linenumber",
+                    *[arr[i].alias(f"f{i}") for i in range(4)])
+
+
+@register("features_to_xy", f"""
+SELECT id AS event_id, {sql.r6('x')} AS x, {sql.r6('y')} AS y FROM ({sql.EVENT_POINTS})""")
+def features_to_xy_q(spark, sf_dir):
+    pts = event_points(spark, sf_dir).select(
+        "event_id", to_vector("features").alias("vec"))
+    out = features_to_xy(pts, "vec", "px", "py")
+    return out.select("event_id", r6("px").alias("x"), r6("py").alias("y"))
+
+
+# ---- J1 / A5: nearest center -------------------------------------------------
+
+def _first_centers_sql(pts: str, k: int, order: str = "id") -> str:
+    return f"(SELECT list(f ORDER BY {order}) FROM (SELECT * FROM ({pts}) ORDER BY {order} LIMIT {k}))"
+
+
+def _assign_sql(pts: str, cs: str, cols: str, order: str = "id") -> str:
+    """Rows of ``pts`` with ``lbl`` (1-based) and ``d`` against centers ``cs``."""
+    return f"""SELECT {cols}, CAST(list_position(d, list_min(d)) - 1 AS INTEGER) AS prediction,
+       list_min(d) AS distance
+FROM (SELECT *, {sql.dists_to('cs')} AS d
+      FROM ({pts}) p, (SELECT {cs} AS cs) c)"""
+
+
+@register("assign_nearest", f"""
+SELECT vec_id, prediction, {sql.r6('distance')} AS distance FROM (
+{_assign_sql(sql.EMB_POINTS, _first_centers_sql(sql.EMB_POINTS, K), 'id AS vec_id')})""")
+def assign_nearest_q(spark, sf_dir):
+    pts = embedding_points(spark, sf_dir)
+    init = initial_state_from_first(pts, K, "vec_id")
+    out = assign_nearest(pts, init, distance_col="distance")
+    return out.select("vec_id", "prediction", r6("distance").alias("distance"))
+
+
+LI_K = 4
+
+
+@register("assign_distance", f"""
+SELECT l_orderkey, l_linenumber, prediction, round(distance, 4) + 0.0 AS distance FROM (
+{_assign_sql(sql.LINEITEM_POINTS, _first_centers_sql(sql.LINEITEM_POINTS, LI_K, 'l_orderkey, l_linenumber'), 'l_orderkey, l_linenumber')})""")
+def assign_distance_q(spark, sf_dir):
+    pts = lineitem_points(spark, sf_dir)
+    init = initial_state_from_first(pts, LI_K, ["l_orderkey", "l_linenumber"])
+    out = assign_nearest(pts, init, distance_col="distance", method="unrolled")
+    return out.select("l_orderkey", "l_linenumber", "prediction",
+                      (F.round("distance", 4) + F.lit(0.0)).alias("distance"))
+
+
+def _label_means(pts: DataFrame) -> DataFrame:
+    """Centers table: per-label mean embedding (label, center)."""
+    st = cluster_stats(pts, "label", "features", 64)
+    return st.select("label", F.transform("s", lambda v: v / F.col("n")).alias("center"))
+
+
+LABEL_MEANS_SQL = f"""SELECT label, list_transform({sql.vec_sum_agg()}, lambda v: v / count(*)) AS center
+FROM ({sql.EMB_POINTS}) GROUP BY label"""
+
+
+@register("assign_center_table", f"""
+SELECT vec_id, label, prediction, {sql.r6('distance')} AS distance FROM (
+{_assign_sql(sql.EMB_POINTS, f'(SELECT list(center ORDER BY label) FROM ({LABEL_MEANS_SQL}))', 'id AS vec_id, label')})""")
+def assign_center_table_q(spark, sf_dir):
+    pts = embedding_points(spark, sf_dir)
+    out = assign_nearest(pts, _label_means(pts), distance_col="distance")
+    return out.select("vec_id", "label", "prediction", r6("distance").alias("distance"))
+
+
+EVT_FIRST = _first_centers_sql(sql.EVENT_POINTS, K)
+
+
+@register("attach_center", f"""
+SELECT event_id, prediction, {sql.r6('cs[prediction + 1][1]')} AS cx,
+       {sql.r6('cs[prediction + 1][2]')} AS cy FROM (
+{_assign_sql(sql.EVENT_POINTS, EVT_FIRST, 'id AS event_id, cs')})""")
+def attach_center_q(spark, sf_dir):
+    pts = event_points(spark, sf_dir)
+    init = initial_state_from_first(pts, K, "event_id")
+    out = attach_center(assign_nearest(pts, init), init, "prediction", "center")
+    return out.select("event_id", "prediction", r6(F.col("center")[0]).alias("cx"),
+                      r6(F.col("center")[1]).alias("cy"))
+
+
+@register("cluster_cost", f"""
+SELECT CAST(prediction AS INTEGER) AS label, count(*) AS n, {sql.r6('sum(distance)')} AS cost FROM (
+{_assign_sql(sql.EMB_POINTS, _first_centers_sql(sql.EMB_POINTS, K), 'id')}) GROUP BY prediction""")
+def cluster_cost_q(spark, sf_dir):
+    pts = embedding_points(spark, sf_dir)
+    init = initial_state_from_first(pts, K, "vec_id")
+    cost = cluster_cost(assign_nearest(pts, init, distance_col="distance"))
+    return cost.select("label", "n", r6("cost").alias("cost"))
+
+
+# ---- P7-P11: labelled records ---------------------------------------------------
+
+@register("labelled_roundtrip", f"""
+SELECT event_id, {sql.r6('p[1]')} AS px, {sql.r6('p[2]')} AS py,
+       {sql.r6('cs[prediction + 1][1]')} AS cx, {sql.r6('cs[prediction + 1][2]')} AS cy,
+       prediction AS label FROM (
+{_assign_sql(sql.EVENT_POINTS, EVT_FIRST, 'id AS event_id, f AS p, cs')})""")
+def labelled_roundtrip(spark, sf_dir):
+    pts = event_points(spark, sf_dir)
+    init = initial_state_from_first(pts, K, "event_id")
+    lab = attach_center(assign_nearest(pts, init), init, "prediction", "center")
+    lab = lab.withColumn("cx", F.col("center")[0]).withColumn("cy", F.col("center")[1])
+    lines = lab.select("event_id", points_to_json(label_points()).alias("value"))
+    back = parse_labelled(lines, "value")
+    return back.select("event_id", r6("point.x").alias("px"), r6("point.y").alias("py"),
+                       r6("center.x").alias("cx"), r6("center.y").alias("cy"), "label")
+
+
+@register("label_color", f"""
+SELECT event_id, prediction AS label, ['#0072B2', '#E69F00', '#F0E442'][prediction + 1] AS color FROM (
+{_assign_sql(sql.EVENT_POINTS, EVT_FIRST, 'id AS event_id')})""")
+def label_color_q(spark, sf_dir):
+    pts = event_points(spark, sf_dir)
+    init = initial_state_from_first(pts, K, "event_id")
+    lab = assign_nearest(pts, init)
+    return lab.select("event_id", F.col("prediction").alias("label"),
+                      label_color("prediction").alias("color"))
+
+
+# ---- A1: cluster statistics --------------------------------------------------------
+
+@register("cluster_stats_wide", f"""
+SELECT prediction AS label, count(*) AS n,
+       round(sum(f[1]), 2) + 0.0 AS s0, round(sum(f[2]), 2) + 0.0 AS s1,
+       round(sum(f[3]), 2) + 0.0 AS s2, round(sum(f[4]), 2) + 0.0 AS s3 FROM (
+{_assign_sql(sql.LINEITEM_POINTS, _first_centers_sql(sql.LINEITEM_POINTS, LI_K, 'l_orderkey, l_linenumber'), 'f')})
+GROUP BY prediction""")
+def cluster_stats_wide(spark, sf_dir):
+    pts = lineitem_points(spark, sf_dir)
+    init = initial_state_from_first(pts, LI_K, ["l_orderkey", "l_linenumber"])
+    st = cluster_stats(assign_nearest(pts, init), "prediction", "features", 4, "wide")
+    return st.select("label", "n", *[(F.round(F.col("s")[i], 2) + F.lit(0.0)).alias(f"s{i}")
+                                      for i in range(4)])
+
+
+@register("cluster_stats_long", f"""
+SELECT CAST(prediction AS INTEGER) AS label, CAST(j - 1 AS INTEGER) AS dim,
+       {sql.r6('sum(v)')} AS s, count(*) AS n FROM (
+  SELECT prediction, unnest(f) AS v, generate_subscripts(f, 1) AS j FROM (
+{_assign_sql(sql.EMB_POINTS, _first_centers_sql(sql.EMB_POINTS, K), 'f')}))
+GROUP BY prediction, j""")
+def cluster_stats_long(spark, sf_dir):
+    pts = embedding_points(spark, sf_dir)
+    init = initial_state_from_first(pts, K, "vec_id")
+    st = cluster_stats(assign_nearest(pts, init), "prediction", "features", 64, "long")
+    return stats_long(st).select("label", "dim", r6("s").alias("s"), "n")
+
+
+# ---- V1-V7: vector functions ---------------------------------------------------------
+
+def _with_label_mean(spark, sf_dir):
+    pts = embedding_points(spark, sf_dir)
+    return attach_center(pts, _label_means(pts), "label", "mean")
+
+
+EMB_WITH_MEAN = f"""SELECT p.id AS vec_id, p.f, m.center AS mean FROM ({sql.EMB_POINTS}) p
+JOIN ({LABEL_MEANS_SQL}) m ON m.label = p.label"""
+
+
+@register("vec_norm", f"""
+SELECT id AS vec_id, {sql.r6('sqrt(list_sum(list_transform(f, lambda x: x * x)))')} AS norm
+FROM ({sql.EMB_POINTS})""")
+def vec_norm_q(spark, sf_dir):
+    pts = embedding_points(spark, sf_dir)
+    return pts.select("vec_id", r6(vec_norm("features")).alias("norm"))
+
+
+@register("vec_dot", f"""
+SELECT vec_id, {sql.r6('list_sum(list_transform(list_zip(f, mean), lambda z: z[1] * z[2]))')} AS dot
+FROM ({EMB_WITH_MEAN})""")
+def vec_dot_q(spark, sf_dir):
+    df = _with_label_mean(spark, sf_dir)
+    return df.select("vec_id", r6(vec_dot("features", "mean")).alias("dot"))
+
+
+@register("vec_sqdist", f"""
+SELECT vec_id, {sql.r6(sql.sqdist('f', 'mean'))} AS sqdist FROM ({EMB_WITH_MEAN})""")
+def vec_sqdist_q(spark, sf_dir):
+    df = _with_label_mean(spark, sf_dir)
+    return df.select("vec_id", r6(vec_sqdist("features", "mean")).alias("sqdist"))
+
+
+@register("vec_axpy", f"""
+SELECT vec_id, CAST(j - 1 AS INTEGER) AS dim, {sql.r6('v')} AS value FROM (
+  SELECT vec_id, unnest(list_transform(list_zip(f, mean), lambda z: 0.5 * z[1] + z[2])) AS v,
+         generate_subscripts(f, 1) AS j FROM ({EMB_WITH_MEAN}))""")
+def vec_axpy_q(spark, sf_dir):
+    df = _with_label_mean(spark, sf_dir)
+    out = df.select("vec_id", F.posexplode(vec_axpy(0.5, "features", "mean")).alias("dim", "v"))
+    return out.select("vec_id", F.col("dim").cast("int").alias("dim"), r6("v").alias("value"))
+
+
+@register("vec_scale", f"""
+SELECT id AS vec_id, CAST(j - 1 AS INTEGER) AS dim, {sql.r6('v')} AS value FROM (
+  SELECT id, unnest(list_transform(f, lambda x: -2.5 * x)) AS v, generate_subscripts(f, 1) AS j
+  FROM ({sql.EMB_POINTS}))""")
+def vec_scale_q(spark, sf_dir):
+    pts = embedding_points(spark, sf_dir)
+    out = pts.select("vec_id", F.posexplode(vec_scale(-2.5, "features")).alias("dim", "v"))
+    return out.select("vec_id", F.col("dim").cast("int").alias("dim"), r6("v").alias("value"))
+
+
+@register("vec_zeros", f"""
+SELECT id AS vec_id, CAST(len(f) AS INTEGER) AS n, {sql.r6('list_sum(f)')} AS total
+FROM ({sql.EMB_POINTS})""")
+def vec_zeros_q(spark, sf_dir):
+    pts = embedding_points(spark, sf_dir)
+    z = vec_zeros(F.size("features"))
+    acc = vec_axpy(1.0, "features", z)           # x + 0 = x, accumulated from zero
+    return pts.select("vec_id", F.size(z).cast("int").alias("n"),
+                      r6(F.aggregate(acc, F.lit(0.0), lambda a, v: a + v)).alias("total"))
+
+
+# ---- W1: latest points ---------------------------------------------------------------
+
+@register("latest_n", f"""
+SELECT id AS event_id, {sql.r6('x')} AS x, {sql.r6('y')} AS y FROM ({sql.EVENT_POINTS})
+ORDER BY ts DESC, id DESC LIMIT 90""")
+def latest_n_q(spark, sf_dir):
+    pts = event_points(spark, sf_dir)
+    return latest_n(pts, ["ts", "event_id"], 90).select(
+        "event_id", r6("x").alias("x"), r6("y").alias("y"))
+
+
+# ---- T1 fold on the 2-D event stream, train-and-score (T4/T5) ---------------------------
+
+EVT_BATCHED_PTS = (f"pts AS (SELECT id, ts, x, y, CAST(dense_rank() OVER (ORDER BY day) - 1 "
+                   f"AS INTEGER) AS b, f FROM ({sql.EVENT_POINTS}))")
+
+
+def _events_fold(spark, sf_dir, params=None, w0=W0, k=K):
+    pts = event_points(spark, sf_dir)
+    init = initial_state_from_first(pts, k, "event_id", weight=w0)
+    keys, hist = fit_fold(pts, "day", init, params or UpdateParams(decay=DECAY))
+    return pts, init, keys, hist
+
+
+def _history_2d(spark, hist):
+    h = history_long(spark, hist)
+    return _rounded_history(h)
+
+
+@register("train_replay_events", f"""WITH RECURSIVE {EVT_BATCHED_PTS},
+{sql.fold_ctes(K, W0, DECAY)}
+{sql.history_long_select()}""")
+def train_replay_events(spark, sf_dir):
+    _, _, _, hist = _events_fold(spark, sf_dir)
+    return _history_2d(spark, hist)
+
+
+def _score_sql(which: str) -> str:
+    shift = "st.b = pts.b" if which == "after" else "st.b = pts.b - 1"
+    return f"""WITH RECURSIVE {EVT_BATCHED_PTS},
+{sql.fold_ctes(K, W0, DECAY)}
+SELECT event_id, prediction, {sql.r6('cs[prediction + 1][1]')} AS cx,
+       {sql.r6('cs[prediction + 1][2]')} AS cy FROM (
+  SELECT pts.id AS event_id, st.cs,
+         CAST(list_position(d, list_min(d)) - 1 AS INTEGER) AS prediction
+  FROM (SELECT pts.*, st.cs, {sql.dists_to('st.cs', 'pts.f')} AS d
+        FROM pts JOIN st ON {shift}) pts JOIN st ON {shift})"""
+
+
+def _score(spark, sf_dir, which):
+    pts, init, keys, hist = _events_fold(spark, sf_dir)
+    out = score_with_history(pts, "day", keys, init, hist, which)
+    return out.select("event_id", "prediction", r6(F.col("center")[0]).alias("cx"),
+                      r6(F.col("center")[1]).alias("cy"))
+
+
+@register("train_and_score_after", _score_sql("after"))
+def train_and_score_after(spark, sf_dir):
+    return _score(spark, sf_dir, "after")
+
+
+@register("train_and_score_before", _score_sql("before"))
+def train_and_score_before(spark, sf_dir):
+    return _score(spark, sf_dir, "before")
+
+
+@register("latest_center", f"""WITH RECURSIVE {EVT_BATCHED_PTS},
+{sql.fold_ctes(K, W0, DECAY)}
+SELECT prediction AS label, {sql.r6('arg_max(cs[prediction + 1][1], struct_pack(ts := ts, id := id))')} AS cx,
+       {sql.r6('arg_max(cs[prediction + 1][2], struct_pack(ts := ts, id := id))')} AS cy FROM (
+  SELECT pts.id, pts.ts, st.cs,
+         CAST(list_position({sql.dists_to('st.cs', 'pts.f')}, list_min({sql.dists_to('st.cs', 'pts.f')})) - 1 AS INTEGER) AS prediction
+  FROM pts JOIN st ON st.b = pts.b) GROUP BY prediction""")
+def latest_center_q(spark, sf_dir):
+    pts, init, keys, hist = _events_fold(spark, sf_dir)
+    scored = score_with_history(pts, "day", keys, init, hist, "after")
+    lc = latest_center(scored, "prediction", ["ts", "event_id"], "center")
+    return lc.select(F.col("prediction").alias("label"),
+                     r6(F.col("center")[0]).alias("cx"), r6(F.col("center")[1]).alias("cy"))
+
+
+# ---- T11: dying-cluster split and point-based decay --------------------------------------
+
+@register("split_dying", f"""WITH RECURSIVE {EVT_BATCHED_PTS},
+{sql.fold_ctes(5, 0.0, DECAY, split=True)}
+{sql.history_long_select()}""")
+def split_dying(spark, sf_dir):
+    _, _, _, hist = _events_fold(spark, sf_dir, UpdateParams(decay=DECAY, split_dying=True),
+                                 w0=0.0, k=5)
+    return _history_2d(spark, hist)
+
+
+@register("time_unit_points", f"""WITH RECURSIVE {EMB_BATCHED_PTS},
+{sql.fold_ctes(K, W0, 0.999, time_unit='points')}
+{sql.history_long_select()}""")
+def time_unit_points(spark, sf_dir):
+    return _emb_fold(spark, sf_dir, UpdateParams(decay=0.999, time_unit="points"))
