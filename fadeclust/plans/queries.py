@@ -469,3 +469,129 @@ def split_dying(spark, sf_dir):
 {sql.history_long_select()}""")
 def time_unit_points(spark, sf_dir):
     return _emb_fold(spark, sf_dir, UpdateParams(decay=0.999, time_unit="points"))
+
+
+# ---- Streaming: replayed event stream (S1-S3, T2-T10, K1-K9) -------------------------
+
+from ..session import fresh_dir  # noqa: E402
+from ..sources.streams import Replay, points_stream  # noqa: E402
+from ..streaming import datasource as _ds  # noqa: E402
+from ..streaming.sinks import (FileLineTransport, LineWriter,  # noqa: E402
+                               batch_distinct_count, fan_out, print_sample,
+                               write_lines_batch)
+from ..streaming.train import (labelled_json, train_and_score_stream,  # noqa: E402
+                               train_stream)
+
+
+def _event_replay(spark, sf_dir):
+    """The event lines (bad records included) replayed one day per batch."""
+    return Replay(event_lines(spark, sf_dir), "day")
+
+
+def _initial_events(spark, sf_dir, k=K, w0=W0):
+    return initial_state_from_first(event_points(spark, sf_dir), k, "event_id", weight=w0)
+
+
+@register("train_stream", ORACLE["train_replay_events"])
+def train_stream_q(spark, sf_dir):
+    rp = _event_replay(spark, sf_dir)
+    q, trainer = train_stream(points_stream(rp.stream()), _initial_events(spark, sf_dir),
+                              UpdateParams(decay=DECAY))
+    try:
+        rp.feed(q)
+    finally:
+        q.stop()
+    h = trainer.table.history().select(
+        "batch_id", "label", F.posexplode("center").alias("dim", "center"), "weight")
+    return _rounded_history(h.withColumn("dim", F.col("dim").cast("int")))
+
+
+@register("batch_distinct_count", """
+SELECT CAST(dense_rank() OVER (ORDER BY day) - 1 AS BIGINT) AS batch_id, distinct_count FROM (
+  SELECT day, count(*) AS distinct_count FROM (
+    SELECT DISTINCT CAST(ts AS DATE) AS day, user_id, event_type FROM events) GROUP BY day)""")
+def batch_distinct_count_q(spark, sf_dir):
+    ev = table(spark, sf_dir, "events").select(
+        F.to_date("ts").alias("day"), "user_id", "event_type")
+    rp = Replay(ev, "day")
+    out = fresh_dir(spark, "distinct")
+    q = (rp.stream().select("user_id", "event_type").writeStream
+         .foreachBatch(batch_distinct_count(out))
+         .option("checkpointLocation", fresh_dir(spark, "checkpoint"))
+         .queryName("fadeclust-distinct").start())
+    try:
+        rp.feed(q)
+    finally:
+        q.stop()
+    return spark.read.parquet(out).select(F.col("batch_id").cast("long").alias("batch_id"),
+                                          "distinct_count")
+
+
+SCORE_AFTER_SQL = _score_sql("after")
+
+
+@register("fan_out", f"""
+SELECT event_id, {sql.r6('f[1]')} AS px, {sql.r6('f[2]')} AS py, cx, cy, prediction AS label
+FROM ({SCORE_AFTER_SQL}) s JOIN ({sql.EVENT_POINTS}) p ON p.id = s.event_id""")
+def fan_out_q(spark, sf_dir):
+    rp = _event_replay(spark, sf_dir)
+    lines_dir = fresh_dir(spark, "labelled")
+    counts_dir = fresh_dir(spark, "labelled-distinct")
+
+    def as_lines(sink):
+        return lambda d, i: sink(labelled_json(d, extra=["event_id"]), i)
+
+    outputs = [fan_out(as_lines(write_lines_batch(lines_dir)),
+                       batch_distinct_count(counts_dir), persist=False)]
+    q, _ = train_and_score_stream(points_stream(rp.stream()), _initial_events(spark, sf_dir),
+                                  UpdateParams(decay=DECAY), outputs, score_with="after")
+    try:
+        rp.feed(q)
+    finally:
+        q.stop()
+    back = parse_labelled(
+        spark.read.text(lines_dir).select("value"), "value")
+    back = back.withColumn("event_id", F.get_json_object("value", "$.event_id").cast("long"))
+    return back.select("event_id", r6("point.x").alias("px"), r6("point.y").alias("py"),
+                       r6("center.x").alias("cx"), r6("center.y").alias("cy"), "label")
+
+
+def _points_json(df: DataFrame) -> DataFrame:
+    return df.select(F.to_json(F.struct("event_id", "x", "y")).alias("value"))
+
+
+def _read_points_json(spark, path: str) -> DataFrame:
+    back = spark.read.text(path).select(
+        F.from_json("value", "event_id BIGINT, x DOUBLE, y DOUBLE").alias("p"))
+    return back.select("p.event_id", r6("p.x").alias("x"), r6("p.y").alias("y"))
+
+
+@register("line_sink", ORACLE["valid_points"])
+def line_sink_q(spark, sf_dir):
+    rp = _event_replay(spark, sf_dir)
+    out = fresh_dir(spark, "lines")
+    q = (_points_json(points_stream(rp.stream())).writeStream
+         .foreach(LineWriter(FileLineTransport(out)))
+         .option("checkpointLocation", fresh_dir(spark, "checkpoint"))
+         .queryName("fadeclust-lines").start())
+    try:
+        rp.feed(q)
+    finally:
+        q.stop()
+    return _read_points_json(spark, out)
+
+
+@register("datasource_sink", ORACLE["valid_points"])
+def datasource_sink_q(spark, sf_dir):
+    _ds.register(spark)
+    rp = _event_replay(spark, sf_dir)
+    out = fresh_dir(spark, "jsonl")
+    q = (_points_json(points_stream(rp.stream())).writeStream
+         .format("jsonl_points").option("path", out)
+         .option("checkpointLocation", fresh_dir(spark, "checkpoint"))
+         .queryName("fadeclust-jsonl").start())
+    try:
+        rp.feed(q)
+    finally:
+        q.stop()
+    return _read_points_json(spark, f"{out}/batch_id=*")
