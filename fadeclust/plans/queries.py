@@ -595,3 +595,22 @@ def datasource_sink_q(spark, sf_dir):
     finally:
         q.stop()
     return _read_points_json(spark, f"{out}/batch_id=*")
+
+
+# ---- M1-M16: estimator / model ---------------------------------------------------------
+
+from ..estimator import StreamingKMeans  # noqa: E402
+
+
+@register("model_transform", f"""WITH RECURSIVE {EMB_BATCHED_PTS},
+{sql.fold_ctes(K, W0, DECAY)}
+SELECT pts.id AS vec_id,
+       CAST(list_position({sql.dists_to('st.cs', 'pts.f')}, list_min({sql.dists_to('st.cs', 'pts.f')})) - 1 AS INTEGER) AS prediction
+FROM pts, st WHERE st.b = (SELECT max(b) FROM pts)""")
+def model_transform(spark, sf_dir):
+    """Estimator path: initial centers, fit over batches, transform."""
+    pts = _emb_batches(spark, sf_dir)
+    init = initial_state_from_first(pts, K, "vec_id", weight=W0)
+    km = StreamingKMeans(k=K, decayFactor=DECAY).setInitialCenters(init.centers, init.weights)
+    model = km.fit_batches(pts, "batch")
+    return model.transform(pts.drop("label")).select("vec_id", "prediction")
