@@ -16,7 +16,7 @@ import urllib.parse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.points import parse_points, valid_points
+from ..functions.points import parse_valid_points
 from ..session import fresh_dir, hadoop_fs
 
 
@@ -38,7 +38,7 @@ def read_lines_stream(spark: SparkSession, fmt: str = "socket",
 
 def points_stream(lines: DataFrame, line_col: str = "value") -> DataFrame:
     """Parsed, valid points with ``features = [x, y]`` (stream or batch)."""
-    return valid_points(parse_points(lines, line_col)).withColumn(
+    return parse_valid_points(lines, line_col).withColumn(
         "features", F.array("x", "y"))
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.points import parse_points, valid_points
+from ..functions.points import parse_valid_points
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,5 +53,6 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid 2-D points of the event stream with ``features = [x, y]``."""
-    pts = valid_points(parse_points(event_lines(spark, sf_dir), "value"))
+    lines = event_lines(spark, sf_dir)
+    pts = parse_valid_points(lines, "value")
     return pts.withColumn("features", F.array("x", "y"))
