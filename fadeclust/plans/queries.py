@@ -477,8 +477,8 @@ from ..session import fresh_dir  # noqa: E402
 from ..sources.streams import Replay, points_stream  # noqa: E402
 from ..streaming import datasource as _ds  # noqa: E402
 from ..streaming.sinks import (FileLineTransport, LineWriter,  # noqa: E402
-                               batch_distinct_count, fan_out, print_sample,
-                               write_lines_batch)
+                               batch_distinct_count, fan_out,
+                               read_distinct_counts, write_lines_batch)
 from ..streaming.train import (labelled_json, train_and_score_stream,  # noqa: E402
                                train_stream)
 
@@ -523,8 +523,7 @@ def batch_distinct_count_q(spark, sf_dir):
         rp.feed(q)
     finally:
         q.stop()
-    return spark.read.parquet(out).select(F.col("batch_id").cast("long").alias("batch_id"),
-                                          "distinct_count")
+    return read_distinct_counts(spark, out)
 
 
 SCORE_AFTER_SQL = _score_sql("after")

@@ -77,3 +77,24 @@ def hadoop_fs(spark: SparkSession, path: str):
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return fs, p
+
+
+def write_small_text(spark: SparkSession, directory: str, name: str, text: str) -> None:
+    """Publish a small driver-side file as ``directory/name`` (plus
+    ``_SUCCESS``) with one rename, replacing an earlier version.  For
+    model-sized or one-row outputs, where a Spark write job would cost more
+    than the data."""
+    tmp = f"{directory.rstrip('/')}.tmp-{uuid.uuid4().hex}"
+    for fname, body in ((name, text), ("_SUCCESS", "")):
+        fs, p = hadoop_fs(spark, f"{tmp}/{fname}")
+        out = fs.create(p, True)
+        try:
+            out.write(bytearray(body.encode("utf-8")))
+        finally:
+            out.close()
+    fs, final = hadoop_fs(spark, directory)
+    if fs.exists(final):
+        fs.delete(final, True)
+    _, tmp_p = hadoop_fs(spark, tmp)
+    if not fs.rename(tmp_p, final):
+        raise OSError(f"could not publish {directory}")

@@ -15,14 +15,13 @@ the table back with ``spark.read.json``.
 from __future__ import annotations
 
 import json
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ..operators.model import STATE_SCHEMA, ModelState
-from ..session import hadoop_fs
+from ..session import hadoop_fs, write_small_text
 
 _PART = "part-00000.json"
 
@@ -32,28 +31,12 @@ class StateTable:
         self.spark = spark
         self.path = path.rstrip("/")
 
-    def _write_text(self, path: str, text: str) -> None:
-        fs, p = hadoop_fs(self.spark, path)
-        out = fs.create(p, True)
-        try:
-            out.write(bytearray(text.encode("utf-8")))
-        finally:
-            out.close()
-
     def write(self, state: ModelState) -> None:
         n = int(state.batch_id)
         lines = "".join(
             json.dumps({"label": lab, "center": c, "weight": w}) + "\n"
             for lab, c, w in state.to_rows())
-        tmp = f"{self.path}/_tmp-{n}-{uuid.uuid4().hex}"
-        self._write_text(f"{tmp}/{_PART}", lines)
-        self._write_text(f"{tmp}/_SUCCESS", "")
-        fs, final = hadoop_fs(self.spark, f"{self.path}/batch_id={n}")
-        if fs.exists(final):
-            fs.delete(final, True)
-        _, tmp_p = hadoop_fs(self.spark, tmp)
-        if not fs.rename(tmp_p, final):
-            raise OSError(f"could not publish state batch {n}")
+        write_small_text(self.spark, f"{self.path}/batch_id={n}", _PART, lines)
 
     def batch_ids(self) -> list[int]:
         """Committed batch ids (directory listing, no job)."""

@@ -123,7 +123,8 @@ def test_train_and_score_outputs(spark, lines, replayed):
     exp = score_with_history(pts, "day", keys, init, hist, "after")
     assert sorted(map(tuple, got.collect())) == sorted(
         map(tuple, exp.select("event_id", "prediction").collect()))
-    counts = spark.read.parquet(cnt_dir).orderBy("batch_id").collect()
+    from fadeclust.streaming.sinks import read_distinct_counts
+    counts = read_distinct_counts(spark, cnt_dir).orderBy("batch_id").collect()
     assert [r.batch_id for r in counts] == list(range(len(keys)))
     assert sum(r.distinct_count for r in counts) == pts.count()   # event ids are unique
 

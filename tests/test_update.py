@@ -104,3 +104,46 @@ def test_invalid_params():
         ModelState([[0.0]], [-1.0])
     with pytest.raises(ValueError):
         ModelState([[0.0], [1.0]], [1.0])
+
+
+def test_stats_forms_agree(spark):
+    from fadeclust.operators import assign_nearest, cluster_stats
+    pts = embedding_points(spark, SF_SMALL)
+    init = initial_state_from_first(pts, 4, "vec_id")
+    lab = assign_nearest(pts, init)
+    res = {}
+    for form in ("wide", "long", "summarizer"):
+        rows = cluster_stats(lab, "prediction", "features", 64, form).collect()
+        res[form] = {r.label: (r.n, np.array(r.s)) for r in rows}
+    for form in ("long", "summarizer"):
+        assert res[form].keys() == res["wide"].keys()
+        for k, (n, s) in res["wide"].items():
+            assert res[form][k][0] == n
+            assert np.allclose(res[form][k][1], s, rtol=1e-12, atol=1e-12)
+
+
+def test_drift_is_tracked(spark):
+    """Rotating three-cluster table (radius 2.5, noise sd 1/3, 0.02 rad per
+    tick, 3 points per cluster and tick) built with spark.range and a fixed
+    seed: with forgetting the centers follow the drift."""
+    from pyspark.sql import functions as F
+    from fadeclust.plans import fit_fold
+    ticks, per = 50, 3
+    base = spark.range(ticks * 3 * per).select(
+        (F.col("id") / (3 * per)).cast("long").alias("tick"),
+        (F.col("id") % 3).cast("int").alias("true_label"))
+    q = (F.col("tick") * 0.02 + (F.col("true_label") - 1) * (3 * np.pi / 4))
+    pts = base.select("tick", "true_label",
+                      F.array(2.5 * F.sin(q) + F.randn(1) / 3,
+                              2.5 * F.cos(q) + F.randn(2) / 3).alias("features"))
+    t0 = np.array([(k - 1) * 3 * np.pi / 4 for k in range(3)])
+    init = ModelState(np.c_[2.5 * np.sin(t0), 2.5 * np.cos(t0)], np.full(3, 0.01))
+    _, hist = fit_fold(pts, "tick", init, UpdateParams(decay=0.3))
+    tl = (ticks - 1) * 0.02 + t0
+    truth = np.c_[2.5 * np.sin(tl), 2.5 * np.cos(tl)]
+    err = np.linalg.norm(hist[-1].centers - truth, axis=1)
+    assert err.max() < 0.8, err
+    # without forgetting the model lags behind the drift
+    _, hist1 = fit_fold(pts, "tick", init, UpdateParams(decay=1.0))
+    err1 = np.linalg.norm(hist1[-1].centers - truth, axis=1)
+    assert err1.mean() > err.mean()
