@@ -26,9 +26,13 @@ DISTINCT_SCHEMA = StructType([StructField("batch_id", LongType(), False),
 SAMPLE_ROWS = 10
 
 
-def console(df: DataFrame, truncate: bool = False, **start_kw):
+def console(df: DataFrame, truncate: bool = False, trigger: dict | None = None,
+            **start_kw):
     """K1: untruncated console sink."""
-    return df.writeStream.format("console").option("truncate", truncate).start(**start_kw)
+    w = df.writeStream.format("console").option("truncate", truncate)
+    if trigger:
+        w = w.trigger(**trigger)
+    return w.start(**start_kw)
 
 
 def run_batches(df: DataFrame, func, checkpoint: str, query_name: str | None = None,
