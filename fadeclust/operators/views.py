@@ -33,10 +33,15 @@ def latest_center(df: DataFrame, label_col: str = "label",
 
 
 def center_display(center: str | Column = "center",
-                   limit: int = DISPLAY_COORDS) -> Column:
+                   limit: int = DISPLAY_COORDS, decimals: int | None = None) -> Column:
     """``[c0,c1,...]`` text, cut after ``limit`` coordinates with
-    ``...`` in place of the closing bracket."""
+    ``...`` in place of the closing bracket.  Coordinates print as the
+    shortest exact double text, or with ``decimals`` fixed places."""
     c = F.col(center) if isinstance(center, str) else center
-    shown = F.array_join(F.transform(F.slice(c, 1, limit), lambda v: v.cast("string")), ",")
+    if decimals is None:
+        fmt = lambda v: v.cast("string")
+    else:
+        fmt = lambda v: F.format_string(f"%.{int(decimals)}f", v)
+    shown = F.array_join(F.transform(F.slice(c, 1, limit), fmt), ",")
     return F.when(F.size(c) > limit, F.concat(F.lit("["), shown, F.lit("...")))\
         .otherwise(F.concat(F.lit("["), shown, F.lit("]")))

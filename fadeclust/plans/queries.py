@@ -613,3 +613,30 @@ def model_transform(spark, sf_dir):
     km = StreamingKMeans(k=K, decayFactor=DECAY).setInitialCenters(init.centers, init.weights)
     model = km.fit_batches(pts, "batch")
     return model.transform(pts.drop("label")).select("vec_id", "prediction")
+
+
+# ---- W3: center display ------------------------------------------------------------------
+
+from ..operators.views import center_display  # noqa: E402
+
+
+def _display_sql(c: str, limit: int) -> str:
+    return (f"'[' || array_to_string(list_transform({c}[1:{limit}], lambda v: printf('%.6f', v)), ',')"
+            f" || CASE WHEN len({c}) > {limit} THEN '...' ELSE ']' END")
+
+
+@register("center_display", f"""WITH RECURSIVE {EMB_BATCHED_PTS},
+{sql.fold_ctes(K, W0, DECAY)}
+SELECT CAST(i - 1 AS INTEGER) AS label, {_display_sql('c', 100)} AS display,
+       {_display_sql('c', 10)} AS display_10
+FROM (SELECT unnest(cs) AS c, generate_subscripts(cs, 1) AS i FROM st
+      WHERE b = (SELECT max(b) FROM pts))""")
+def center_display_q(spark, sf_dir):
+    """Display text of the final embeddings model: the full center (64 < 100
+    coordinates) and the form cut after 10 coordinates."""
+    pts = _emb_batches(spark, sf_dir)
+    init = initial_state_from_first(pts, K, "vec_id", weight=W0)
+    _, hist = fit_fold(pts, "batch", init, UpdateParams(decay=DECAY))
+    return hist[-1].to_df(spark).select(
+        "label", center_display("center", 100, 6).alias("display"),
+        center_display("center", 10, 6).alias("display_10"))
