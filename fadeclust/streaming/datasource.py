@@ -6,13 +6,12 @@ Each task writes its rows (one string column, normally ``to_json`` output made
 on the JVM side) as Arrow batches to a temporary file; the driver's ``commit``
 moves the files of batch N into ``p/batch_id=N``, replacing an earlier
 attempt, and ``abort`` deletes them.  The path must be on a filesystem all
-executors and the driver mount.
+executors and the driver reach (local, HDFS or an object store through
+``pyarrow.fs``).
 """
 
 from __future__ import annotations
 
-import os
-import shutil
 import uuid
 from dataclasses import dataclass
 
@@ -27,17 +26,20 @@ class _Written(WriterCommitMessage):
 
 class JsonLinesStreamWriter(DataSourceStreamArrowWriter):
     def __init__(self, path: str, column: str | None):
-        self.path = path
+        self.path = path.rstrip("/")
         self.column = column
 
     def write(self, iterator):
         from pyspark import TaskContext
+
+        from .sinks import arrow_fs
         ctx = TaskContext.get()
         part = ctx.partitionId() if ctx else 0
-        tmp_dir = os.path.join(self.path, "_tmp")
-        os.makedirs(tmp_dir, exist_ok=True)
-        name = os.path.join(tmp_dir, f"part-{part:05d}-{uuid.uuid4().hex}.jsonl")
-        with open(name, "wb") as fh:
+        fs, base = arrow_fs(self.path)
+        tmp_dir = f"{base}/_tmp"
+        fs.create_dir(tmp_dir, recursive=True)
+        name = f"{tmp_dir}/part-{part:05d}-{uuid.uuid4().hex}.jsonl"
+        with fs.open_output_stream(name) as fh:
             for batch in iterator:
                 col = batch.column(self.column) if self.column else batch.column(0)
                 vals = col.to_pylist()
@@ -47,21 +49,25 @@ class JsonLinesStreamWriter(DataSourceStreamArrowWriter):
         return _Written([name])
 
     def commit(self, messages, batchId) -> None:
-        out = os.path.join(self.path, f"batch_id={int(batchId)}")
-        if os.path.exists(out):
-            shutil.rmtree(out)
-        staging = out + f".inprogress-{uuid.uuid4().hex}"
-        os.makedirs(staging)
+        from .sinks import arrow_fs
+        fs, base = arrow_fs(self.path)
+        out = f"{base}/batch_id={int(batchId)}"
+        staging = f"{out}.inprogress-{uuid.uuid4().hex}"
+        fs.create_dir(staging, recursive=True)
         for m in messages:
             for f in (m.files if m is not None else []):
-                os.replace(f, os.path.join(staging, os.path.basename(f)))
-        os.replace(staging, out)
+                fs.move(f, f"{staging}/{f.rsplit('/', 1)[-1]}")
+        if fs.get_file_info(out).type != 0:        # exists: a replayed batch
+            fs.delete_dir(out)
+        fs.move(staging, out)
 
     def abort(self, messages, batchId) -> None:
+        from .sinks import arrow_fs
+        fs, _ = arrow_fs(self.path)
         for m in messages:
             for f in (m.files if m is not None else []):
-                if os.path.exists(f):
-                    os.remove(f)
+                if fs.get_file_info(f).type != 0:
+                    fs.delete_file(f)
 
 
 class JsonLinesSink(DataSource):
@@ -78,8 +84,6 @@ class JsonLinesSink(DataSource):
         path = self.options.get("path")
         if not path:
             raise ValueError("jsonl_points needs option path")
-        if path.startswith("file:"):
-            path = path[len("file:"):]
         return JsonLinesStreamWriter(path, self.options.get("column"))
 
 

@@ -10,7 +10,6 @@ slow path, kept for line-oriented receivers; bulk outputs should use
 from __future__ import annotations
 
 import json
-import os
 import socket
 import uuid
 
@@ -94,19 +93,33 @@ def fan_out(*funcs, persist: bool = True):
 
 # ---- K2: row writer ------------------------------------------------------------
 
+def arrow_fs(uri: str):
+    """``(pyarrow FileSystem, path)`` for a URI Spark would accept: local
+    paths, ``file:/..``, ``hdfs://..``, ``s3://..`` (usable inside tasks,
+    where the JVM's Hadoop client is not reachable)."""
+    import pyarrow.fs as pafs
+    if uri.startswith("file:") and not uri.startswith("file://"):
+        uri = "file://" + uri[len("file:"):]
+    if "://" not in uri:
+        return pafs.LocalFileSystem(), uri
+    return pafs.FileSystem.from_uri(uri)
+
+
 class FileLineTransport:
-    """Lines to ``<dir>/part-<partition>-<epoch>.txt`` on a filesystem every
-    executor mounts.  Written to a temporary name and renamed on success, so a
-    retried task replaces its own file."""
+    """Lines to ``<dir>/part-<partition>-<epoch>.txt`` on a shared filesystem
+    (local, HDFS or object store through ``pyarrow.fs``).  Written to a
+    temporary name and moved on success, so a retried task replaces its own
+    file and a failed one leaves nothing visible."""
 
     def __init__(self, directory: str):
-        self.directory = directory[len("file:"):] if directory.startswith("file:") else directory
+        self.directory = directory
 
     def open(self, partition_id: int, epoch_id: int):
-        os.makedirs(self.directory, exist_ok=True)
-        self._final = os.path.join(self.directory, f"part-{partition_id:05d}-{epoch_id:09d}.txt")
-        self._tmp = os.path.join(self.directory, f".tmp-{uuid.uuid4().hex}")
-        self._fh = open(self._tmp, "wb")
+        self._fs, base = arrow_fs(self.directory)
+        self._fs.create_dir(base, recursive=True)
+        self._final = f"{base}/part-{partition_id:05d}-{epoch_id:09d}.txt"
+        self._tmp = f"{base}/.tmp-{uuid.uuid4().hex}"
+        self._fh = self._fs.open_output_stream(self._tmp)
 
     def send(self, data: bytes) -> None:
         self._fh.write(data)
@@ -114,9 +127,9 @@ class FileLineTransport:
     def close(self, error) -> None:
         self._fh.close()
         if error is None:
-            os.replace(self._tmp, self._final)
+            self._fs.move(self._tmp, self._final)
         else:
-            os.remove(self._tmp)
+            self._fs.delete_file(self._tmp)
 
 
 class SocketLineTransport:
