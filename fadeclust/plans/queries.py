@@ -14,11 +14,29 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..estimator import StreamingKMeans
+from ..functions.points import (features_to_xy, label_color, label_points,
+                                parse_labelled, parse_points, points_to_json,
+                                rejected_points)
+from ..functions.vectors import (to_array, to_vector, vec_axpy, vec_dot,
+                                 vec_norm, vec_scale, vec_sqdist, vec_zeros)
+from ..operators.assign import assign_nearest, attach_center, cluster_cost
 from ..operators.model import initial_state_from_first
+from ..operators.stats import cluster_stats, stats_long
 from ..operators.update import UpdateParams, train_step
-from ..sources.tables import embedding_points
+from ..operators.views import center_display, latest_center, latest_n
+from ..session import fresh_dir
+from ..sources.streams import Replay, points_stream
+from ..sources.tables import (embedding_points, event_lines, event_points,
+                              lineitem_points, table)
+from ..streaming import datasource as _ds
+from ..streaming.sinks import (FileLineTransport, LineWriter,
+                               batch_distinct_count, fan_out,
+                               read_distinct_counts, write_lines_batch)
+from ..streaming.train import (labelled_json, train_and_score_stream,
+                               train_stream)
 from . import oracle as sql
-from .fold import fit_fold, history_long
+from .fold import fit_fold, history_long, score_with_history
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -108,17 +126,6 @@ def train_replay(spark, sf_dir):
 
 # ---- P1-P6: parse, validate, assemble ---------------------------------------
 
-from ..functions.points import (features_to_xy, label_color, label_points,  # noqa: E402
-                                parse_labelled, parse_points, points_to_json,
-                                rejected_points)
-from ..functions.vectors import (to_array, to_vector, vec_axpy, vec_dot,  # noqa: E402
-                                 vec_norm, vec_scale, vec_sqdist, vec_zeros)
-from ..operators.assign import assign_nearest, attach_center, cluster_cost  # noqa: E402
-from ..operators.stats import cluster_stats, stats_long  # noqa: E402
-from ..operators.views import latest_center, latest_n  # noqa: E402
-from ..sources.tables import (event_lines, event_points, lineitem_points,  # noqa: E402
-                              table)
-from .fold import score_with_history  # noqa: E402
 
 PROPS_SCHEMA = "k BIGINT"
 
@@ -473,15 +480,6 @@ def time_unit_points(spark, sf_dir):
 
 # ---- Streaming: replayed event stream (S1-S3, T2-T10, K1-K9) -------------------------
 
-from ..session import fresh_dir  # noqa: E402
-from ..sources.streams import Replay, points_stream  # noqa: E402
-from ..streaming import datasource as _ds  # noqa: E402
-from ..streaming.sinks import (FileLineTransport, LineWriter,  # noqa: E402
-                               batch_distinct_count, fan_out,
-                               read_distinct_counts, write_lines_batch)
-from ..streaming.train import (labelled_json, train_and_score_stream,  # noqa: E402
-                               train_stream)
-
 
 def _event_replay(spark, sf_dir):
     """The event lines (bad records included) replayed one day per batch."""
@@ -598,8 +596,6 @@ def datasource_sink_q(spark, sf_dir):
 
 # ---- M1-M16: estimator / model ---------------------------------------------------------
 
-from ..estimator import StreamingKMeans  # noqa: E402
-
 
 @register("model_transform", f"""WITH RECURSIVE {EMB_BATCHED_PTS},
 {sql.fold_ctes(K, W0, DECAY)}
@@ -617,8 +613,6 @@ def model_transform(spark, sf_dir):
 
 # ---- W3: center display ------------------------------------------------------------------
 
-from ..operators.views import center_display  # noqa: E402
-
 
 def _display_sql(c: str, limit: int) -> str:
     return (f"'[' || array_to_string(list_transform({c}[1:{limit}], lambda v: printf('%.6f', v)), ',')"
