@@ -51,10 +51,11 @@ def lit_weights(k: int, w0: float) -> str:
 
 
 def fold_ctes(k: int, w0: float, decay: float, time_unit: str = "batches",
-              split: bool = False) -> str:
+              split: bool = False, init_order: str = "id") -> str:
     """CTE text defining ``st(b, cs, ws)``: the model after batch ``b``
     (``b = -1`` initial).  Needs a CTE ``pts(id, b, f)`` with dense batch
-    indexes ``b = 0..B-1``; the initial centers are the ``k`` smallest ids."""
+    indexes ``b = 0..B-1``; the initial centers are the first ``k`` points in
+    ``init_order`` (default: the smallest ids)."""
     if time_unit == "points":
         disc = f"pow({float(decay)!r}, (SELECT count(*) FROM lab))"
     else:
@@ -73,7 +74,8 @@ def fold_ctes(k: int, w0: float, decay: float, time_unit: str = "batches",
     return f"""
 st(b, cs, ws) AS (
   SELECT -1,
-         (SELECT list(f ORDER BY id) FROM (SELECT id, f FROM pts ORDER BY id LIMIT {int(k)})),
+         (SELECT list(f ORDER BY __o) FROM (SELECT f, row_number() OVER (ORDER BY {init_order}) AS __o
+                                           FROM pts ORDER BY {init_order} LIMIT {int(k)})),
          {lit_weights(k, w0)}
   UNION ALL
   SELECT st.b + 1, u.cs, u.ws

@@ -462,12 +462,20 @@ def latest_center_q(spark, sf_dir):
 
 # ---- T11: dying-cluster split and point-based decay --------------------------------------
 
+SPLIT_K = 5
+
+
 @register("split_dying", f"""WITH RECURSIVE {EVT_BATCHED_PTS},
-{sql.fold_ctes(5, 0.0, DECAY, split=True)}
+{sql.fold_ctes(SPLIT_K, 0.0, DECAY, split=True, init_order='x DESC, id')}
 {sql.history_long_select()}""")
 def split_dying(spark, sf_dir):
-    _, _, _, hist = _events_fold(spark, sf_dir, UpdateParams(decay=DECAY, split_dying=True),
-                                 w0=0.0, k=5)
+    """T11 with the DStream job's settings (w0 = 0, split on): the centers
+    start at the k points with the largest x, so most attract no points at
+    first, die and are split off the heaviest cluster, one per batch."""
+    pts = event_points(spark, sf_dir)
+    init = initial_state_from_first(pts.withColumn("__o", -F.col("x")), SPLIT_K,
+                                    ["__o", "event_id"], weight=0.0)
+    _, hist = fit_fold(pts, "day", init, UpdateParams(decay=DECAY, split_dying=True))
     return _history_2d(spark, hist)
 
 
