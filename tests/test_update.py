@@ -147,3 +147,45 @@ def test_drift_is_tracked(spark):
     _, hist1 = fit_fold(pts, "tick", init, UpdateParams(decay=1.0))
     err1 = np.linalg.norm(hist1[-1].centers - truth, axis=1)
     assert err1.mean() > err.mean()
+
+
+def _numpy_fold(X, batches, init_c, init_w, decay):
+    C, W = init_c.copy(), init_w.copy()
+    for b in sorted(set(batches)):
+        pts = X[batches == b]
+        d = np.cumsum((pts[:, None, :] - C[None]) ** 2, axis=2)[:, :, -1]
+        lab = np.argmin(d, axis=1)
+        W = W * decay
+        for j in range(len(C)):
+            m = int((lab == j).sum())
+            if m:
+                s = pts[lab == j].sum(0)
+                nw = W[j] + m
+                lam = m / max(nw, 1e-16)
+                W[j] = nw
+                C[j] = (1 - lam) * C[j] + (lam / m) * s
+    return C, W
+
+
+@pytest.mark.parametrize("stage", [True, False])
+def test_hot_batch_and_hot_label_match_bruteforce(spark, stage):
+    """One batch holds a third of all rows and one center attracts most
+    points; the Spark fold equals a plain numpy fold of the same table."""
+    from pyspark.sql import functions as F
+    from fadeclust.plans import fit_fold
+    pts = embedding_points(spark, "/root/testdata/sf0.01")
+    n = pts.count()
+    pts = pts.withColumn("batch", F.when(F.col("vec_id") < n // 3, F.lit(0))
+                         .otherwise(1 + F.col("vec_id") % 4))
+    rows = pts.select("batch", "features").collect()
+    X = np.array([r.features for r in rows])
+    B = np.array([r.batch for r in rows])
+    mean = X.mean(0)
+    init_c = np.stack([mean, mean + 5.0, mean - 5.0])        # center 0 takes nearly all
+    init_w = np.array([0.01, 0.01, 0.01])
+    _, hist = fit_fold(pts, "batch", ModelState(init_c, init_w), UpdateParams(decay=0.3),
+                       stage=stage)
+    C, W = _numpy_fold(X, B, init_c, init_w, 0.3)
+    assert np.allclose(hist[-1].centers, C, rtol=1e-10, atol=1e-12)
+    assert np.allclose(hist[-1].weights, W, rtol=1e-12)
+    assert hist[-1].weights[0] > 10 * max(hist[-1].weights[1:])   # the hot label
