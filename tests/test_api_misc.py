@@ -65,3 +65,16 @@ def test_latest_views(spark):
     assert last == list(range(199, 109, -1))
     lc = {r.label: r.center for r in latest_center(df, "label", "seq", "center").collect()}
     assert lc == {0: [198.0, 0.0], 1: [199.0, 0.0], 2: [197.0, 0.0]}
+
+
+def test_model_transform_on_stream(spark):
+    """The model's transform is a plain projection, so it works on a
+    streaming frame as well."""
+    d = _lines_dir(spark, LINES)
+    model = StreamingKMeans(k=2).setInitialCenters([[0, 0], [4, 4]], [1.0, 1.0]).getModel()
+    scored = model.transform(points_stream(read_lines_stream(spark, "text", path=d)))
+    q = (scored.select("x", "y", "prediction").writeStream.format("memory")
+         .queryName("scored_points").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = sorted((r.x, r.y, r.prediction) for r in spark.table("scored_points").collect())
+    assert got == [(1.0, 1.0, 0), (2.0, 0.0, 0), (3.5, 4.5, 1), (4.5, 4.0, 1)]
