@@ -21,7 +21,6 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.vectors import is_finite_vector
 from .model import MAX_CENTERS, ModelState, centers_array
 
 # k * dim up to which the literal-unrolled expression is used by ``auto``

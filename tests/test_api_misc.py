@@ -1,7 +1,5 @@
-import os
 
 import numpy as np
-from pyspark.sql import functions as F
 
 from fadeclust.estimator import StreamingKMeans
 from fadeclust.operators import ModelState, UpdateParams, train_step
