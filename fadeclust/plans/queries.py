@@ -642,3 +642,27 @@ def center_display_q(spark, sf_dir):
     return hist[-1].to_df(spark).select(
         "label", center_display("center", 100, 6).alias("display"),
         center_display("center", 10, 6).alias("display_10"))
+
+
+# ---- T1 on empty batches ------------------------------------------------------------------
+
+@register("update_empty_batch", f"""WITH RECURSIVE pts AS (
+  SELECT id, b, f FROM (
+    SELECT p.*, CAST(dense_rank() OVER (ORDER BY e.event_type) - 1 AS INTEGER) AS b, e.event_type
+    FROM events e LEFT JOIN ({sql.EVENT_POINTS}) p ON p.id = e.event_id)
+  WHERE event_type NOT IN ('signup', 'error')),
+{sql.fold_ctes(K, W0, DECAY)}
+{sql.history_long_select()}""")
+def update_empty_batch(spark, sf_dir):
+    """Batches by event type over *all* lines, training on the valid points
+    only: the error and sign-up batches hold nothing but rejected records, so
+    their update is decay alone (weights shrink, centers stay)."""
+    parsed = parse_points(event_lines(spark, sf_dir).join(
+        table(spark, sf_dir, "events").select("event_id", "event_type"), "event_id"), "value")
+    pts = parsed.withColumn(
+        "features", F.when(F.col("x").isNotNull() & F.col("y").isNotNull(),
+                           F.array("x", "y")))
+    init = initial_state_from_first(pts.filter(F.col("features").isNotNull()), K,
+                                    "event_id", weight=W0)
+    _, hist = fit_fold(pts, "event_type", init, UpdateParams(decay=DECAY))
+    return _history_2d(spark, hist)
