@@ -104,7 +104,8 @@ def test_restart_and_failure_replay(spark, lines, replayed):
         assert np.array_equal(s.centers, h.centers) and np.array_equal(s.weights, h.weights)
 
 
-def test_train_and_score_outputs(spark, lines, replayed):
+@pytest.mark.parametrize("order", ["after", "before"])
+def test_train_and_score_outputs(spark, lines, replayed, order):
     keys, hist = replayed
     pts = points_stream(lines)
     init = initial_state_from_first(pts, 3, "event_id", weight=0.01)
@@ -114,13 +115,14 @@ def test_train_and_score_outputs(spark, lines, replayed):
     sink = fan_out(lambda d, i: write_lines_batch(out_dir)(
         d.select(F.to_json(F.struct("event_id", "prediction")).alias("value")), i),
         batch_distinct_count(cnt_dir))
-    q, _ = train_and_score_stream(points_stream(rp.stream()), init, P, [sink])
+    q, _ = train_and_score_stream(points_stream(rp.stream()), init, P, [sink],
+                                  score_with=order)
     rp.feed(q)
     q.stop()
     got = spark.read.text(out_dir).select(
         F.from_json("value", "event_id bigint, prediction int").alias("r")).select("r.*")
     from fadeclust.plans import score_with_history
-    exp = score_with_history(pts, "day", keys, init, hist, "after")
+    exp = score_with_history(pts, "day", keys, init, hist, order)
     assert sorted(map(tuple, got.collect())) == sorted(
         map(tuple, exp.select("event_id", "prediction").collect()))
     from fadeclust.streaming.sinks import read_distinct_counts
