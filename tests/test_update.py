@@ -189,3 +189,35 @@ def test_hot_batch_and_hot_label_match_bruteforce(spark, stage):
     assert np.allclose(hist[-1].centers, C, rtol=1e-10, atol=1e-12)
     assert np.allclose(hist[-1].weights, W, rtol=1e-12)
     assert hist[-1].weights[0] > 10 * max(hist[-1].weights[1:])   # the hot label
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=200, deadline=None)
+@given(k=st.integers(1, 4), dim=st.integers(1, 3), decay=st.floats(0.0, 1.0),
+       seed=st.integers(0, 10_000))
+def test_update_equals_closed_form(k, dim, decay, seed):
+    """The lambda form of the update equals the closed form of the numpy
+    demo, c' = (a*w*c + S) / (a*w + m), w' = a*w + m, for every cluster with
+    points; clusters without points only decay."""
+    rng = np.random.default_rng(seed)
+    C = rng.normal(size=(k, dim))
+    W = rng.uniform(0.0, 5.0, size=k)
+    stats = []
+    for j in range(k):
+        m = int(rng.integers(0, 4))
+        if m:
+            stats.append((j, m, rng.normal(size=dim) * m))
+    new = apply_update(ModelState(C, W), stats, UpdateParams(decay=decay))
+    for j in range(k):
+        hit = [s for s in stats if s[0] == j]
+        if hit:
+            _, m, S = hit[0]
+            exp_c = (decay * W[j] * C[j] + S) / (decay * W[j] + m)
+            assert np.allclose(new.centers[j], exp_c, rtol=1e-9, atol=1e-12)
+            assert new.weights[j] == pytest.approx(decay * W[j] + m)
+        else:
+            assert np.array_equal(new.centers[j], C[j])
+            assert new.weights[j] == pytest.approx(decay * W[j])
