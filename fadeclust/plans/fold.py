@@ -21,7 +21,7 @@ from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from ..operators.model import HISTORY_SCHEMA, ModelState
 from ..operators.update import UpdateParams, train_step
-from ..session import fresh_dir
+from ..session import fresh_dir, hadoop_fs
 
 # Most batches a fold accepts (the keys are collected to order them).
 MAX_BATCHES = 1_000_000
@@ -41,24 +41,29 @@ def batch_keys(df: DataFrame, batch_col: str) -> list:
 
 
 def stage_by_batch(df: DataFrame, batch_col: str, path: str | None = None) -> DataFrame:
-    """Write ``df`` once partitioned by ``batch_col`` and read it back."""
+    """Write ``df`` once partitioned by ``batch_col`` and read it back.  A
+    given ``path`` that already holds a committed copy (``_SUCCESS``) is
+    reused, so a restarted fold does not stage again."""
     spark = df.sparkSession
     path = path or fresh_dir(spark, "staged")
-    (df.hint("rebalance", batch_col)
-       .write.mode("overwrite").partitionBy(batch_col).parquet(path))
+    fs, done = hadoop_fs(spark, f"{path}/_SUCCESS")
+    if not fs.exists(done):
+        (df.hint("rebalance", batch_col)
+           .write.mode("overwrite").partitionBy(batch_col).parquet(path))
     return spark.read.parquet(path)
 
 
 def fold_batches(df: DataFrame, batch_col: str, state: ModelState,
                  params: UpdateParams, features_col: str = "features",
-                 stage: bool = True) -> list[ModelState]:
+                 stage: bool = True,
+                 checkpoint_dir: str | None = None) -> list[ModelState]:
     """Fold the update over the batches of ``df`` in key order.
 
     Returns the model after every batch (``batch_id`` = 0, 1, ...).  With
     ``stage=False`` the input must already be laid out by ``batch_col`` (for
     example a table partitioned by day), or every batch scans it all.
     """
-    return fit_fold(df, batch_col, state, params, features_col, stage)[1]
+    return fit_fold(df, batch_col, state, params, features_col, stage, checkpoint_dir)[1]
 
 
 def history_df(spark, history: list[ModelState]) -> DataFrame:
@@ -77,16 +82,36 @@ def history_long(spark, history: list[ModelState]) -> DataFrame:
 
 def fit_fold(df: DataFrame, batch_col: str, state: ModelState,
              params: UpdateParams, features_col: str = "features",
-             stage: bool = True) -> tuple[list, list[ModelState]]:
-    """Like :func:`fold_batches` but also returns the batch keys in order."""
+             stage: bool = True,
+             checkpoint_dir: str | None = None) -> tuple[list, list[ModelState]]:
+    """Like :func:`fold_batches` but also returns the batch keys in order.
+
+    With ``checkpoint_dir`` (a shared folder) the fold survives a driver
+    restart: the staged input is kept under ``<dir>/staged`` and the model
+    after every batch under ``<dir>/state`` (one atomic publish per batch); a
+    rerun with the same arguments reuses both and resumes after the last
+    committed batch.
+    """
     src = df.select(batch_col, features_col)
     if stage:
-        src = stage_by_batch(src, batch_col)
+        src = stage_by_batch(src, batch_col,
+                             f"{checkpoint_dir}/staged" if checkpoint_dir else None)
     keys = batch_keys(src, batch_col)
+    table = None
+    done: set[int] = set()
+    if checkpoint_dir:
+        from ..streaming.state import StateTable
+        table = StateTable(df.sparkSession, f"{checkpoint_dir}/state")
+        done = set(table.batch_ids())
     history = []
     for i, key in enumerate(keys):
-        state = train_step(src.filter(F.col(batch_col) == F.lit(key)), state,
-                           params, features_col, batch_id=i)
+        if i in done:
+            state = table.read(i)
+        else:
+            state = train_step(src.filter(F.col(batch_col) == F.lit(key)), state,
+                               params, features_col, batch_id=i)
+            if table is not None:
+                table.write(state)
         history.append(state)
     return keys, history
 

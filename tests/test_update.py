@@ -221,3 +221,32 @@ def test_update_equals_closed_form(k, dim, decay, seed):
         else:
             assert np.array_equal(new.centers[j], C[j])
             assert new.weights[j] == pytest.approx(decay * W[j])
+
+
+def test_fold_resumes_after_a_crash(spark, monkeypatch):
+    """A fold with a checkpoint folder that dies in batch 3 and is run again
+    trains only the missing batches and ends equal to an uninterrupted fold."""
+    from pyspark.sql import functions as F
+    import fadeclust.plans.fold as fold
+    from fadeclust.session import fresh_dir
+    pts = embedding_points(spark, SF_SMALL).withColumn("batch", F.col("vec_id") % 5)
+    init = initial_state_from_first(pts, 3, "vec_id", weight=0.01)
+    p = UpdateParams(decay=0.3)
+    _, clean = fold.fit_fold(pts, "batch", init, p)
+    ck = fresh_dir(spark, "fold-ck")
+    real = fold.train_step
+    calls = []
+
+    def dying(batch, state, params, features_col, batch_id):
+        calls.append(batch_id)
+        if batch_id == 3 and calls.count(3) == 1:
+            raise RuntimeError("driver lost")
+        return real(batch, state, params, features_col, batch_id=batch_id)
+
+    monkeypatch.setattr(fold, "train_step", dying)
+    with pytest.raises(RuntimeError):
+        fold.fit_fold(pts, "batch", init, p, checkpoint_dir=ck)
+    _, resumed = fold.fit_fold(pts, "batch", init, p, checkpoint_dir=ck)
+    assert calls == [0, 1, 2, 3, 3, 4]
+    for a, b in zip(clean, resumed):
+        assert np.array_equal(a.centers, b.centers) and np.array_equal(a.weights, b.weights)
