@@ -152,3 +152,18 @@ def test_line_writer_and_datasource_sink(spark, lines):
             if os.path.isfile(f) and not os.path.basename(f).startswith((".", "_")):
                 ids += [json.loads(l)["event_id"] for l in open(f) if l.strip()]
         assert sorted(ids) == expected, kind
+
+
+def test_replay_integer_keys_in_numeric_order(spark):
+    from fadeclust.sources.tables import embedding_points
+    emb = embedding_points(spark, "/root/testdata/sf0.001").withColumn(
+        "batch", (F.col("vec_id") / 40).cast("int"))
+    rp = Replay(emb.select("vec_id", "batch"), "batch")
+    assert rp.keys == list(range(len(rp.keys))) and len(rp.keys) > 10
+    seen = []
+    q = (rp.stream().writeStream
+         .foreachBatch(lambda d, i: seen.append(sorted({r.batch for r in d.select("batch").collect()})))
+         .option("checkpointLocation", fresh_dir(spark, "ck")).start())
+    rp.feed(q)
+    q.stop()
+    assert seen == [[k] for k in rp.keys]
