@@ -250,3 +250,15 @@ def test_fold_resumes_after_a_crash(spark, monkeypatch):
     assert calls == [0, 1, 2, 3, 3, 4]
     for a, b in zip(clean, resumed):
         assert np.array_equal(a.centers, b.centers) and np.array_equal(a.weights, b.weights)
+
+
+def test_survey_anchor_weights(spark):
+    """The anchor measured for the survey: embeddings (sf0.01, 500 x 64),
+    k=3, a=0.3, w0=0.01, first three ids as centers, batches vec_id % 3."""
+    from pyspark.sql import functions as F
+    from fadeclust.plans import fit_fold
+    pts = embedding_points(spark, "/root/testdata/sf0.01").withColumn(
+        "batch", F.col("vec_id") % 3)
+    init = initial_state_from_first(pts, 3, "vec_id", weight=0.01)
+    _, hist = fit_fold(pts, "batch", init, UpdateParams(decay=0.3))
+    assert np.round(hist[-1].weights, 5).tolist() == [70.50027, 76.38027, 84.25027]
