@@ -262,3 +262,18 @@ def test_survey_anchor_weights(spark):
     init = initial_state_from_first(pts, 3, "vec_id", weight=0.01)
     _, hist = fit_fold(pts, "batch", init, UpdateParams(decay=0.3))
     assert np.round(hist[-1].weights, 5).tolist() == [70.50027, 76.38027, 84.25027]
+
+
+def test_survey_split_anchor(spark):
+    """Measured split case: centers 0 and 100, weights 1, a=1e-4, the batch
+    {1, 2} twice; the second batch kills cluster 1 and splits cluster 0."""
+    p = UpdateParams(decay=1e-4, split_dying=True)
+    df = spark.createDataFrame([([1.0],), ([2.0],)], "features array<double>")
+    s = ModelState([[0.0], [100.0]], [1.0, 1.0])
+    for _ in range(2):
+        s = train_step(df, s, p)
+    assert np.allclose(s.weights, [1.00010001, 1.00010001], rtol=0, atol=1e-8)
+    assert np.allclose(s.centers.ravel(), [1.49999999, 1.49999999], rtol=0, atol=1e-8)
+    c, w = _mllib(spark.sparkContext, [[0.0], [100.0]], [1.0, 1.0],
+                  [[[1.0], [2.0]], [[1.0], [2.0]]], 1e-4)
+    assert np.allclose(s.centers, c, rtol=0, atol=1e-15) and np.allclose(s.weights, w)
