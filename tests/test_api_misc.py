@@ -76,3 +76,22 @@ def test_model_transform_on_stream(spark):
     q.awaitTermination()
     got = sorted((r.x, r.y, r.prediction) for r in spark.table("scored_points").collect())
     assert got == [(1.0, 1.0, 0), (2.0, 0.0, 0), (3.5, 4.5, 1), (4.5, 4.0, 1)]
+
+
+def test_jobs_run_end_to_end(spark):
+    """Both jobs on a text folder: every valid line comes out labelled, the
+    bad lines are dropped, and the model reaches the state table."""
+    import json
+
+    from fadeclust.jobs import interval_job, structured_job
+    d = _lines_dir(spark, LINES)
+    for job in (structured_job, interval_job):
+        out = fresh_dir(spark, "job-out")
+        q, trainer = job(spark, read_lines_stream(spark, "text", path=d), out, seed=3,
+                         trigger={"availableNow": True})
+        q.awaitTermination()
+        recs = [json.loads(r.value) for r in spark.read.text(out).collect()]
+        assert sorted((r["point"]["x"], r["point"]["y"]) for r in recs) == \
+            [(1.0, 1.0), (2.0, 0.0), (3.5, 4.5), (4.5, 4.0)]
+        assert all(r["label"] in (0, 1, 2) and set(r["center"]) == {"x", "y"} for r in recs)
+        assert trainer.table.batch_ids() == [0]
