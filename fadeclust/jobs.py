@@ -66,7 +66,7 @@ def interval_job(spark: SparkSession, lines, out_dir: str, seed: int = 0,
         query_name="fadeclust-interval-job")
 
 
-def main(argv=None) -> None:
+def main(argv=None):
     ap = argparse.ArgumentParser(description="streaming k-means on JSON point lines")
     ap.add_argument("--job", choices=["structured", "interval"], default="structured")
     ap.add_argument("--source", default="socket", help="socket, text, kafka, rate")
@@ -75,14 +75,22 @@ def main(argv=None) -> None:
                     help="source option, e.g. host=localhost or port=9999")
     ap.add_argument("--out", required=True, help="folder for labelled JSON lines")
     ap.add_argument("--seed", type=int, default=0)
+    ap.add_argument("--state", help="state table folder (default: a new folder "
+                    "under spark.checkpoint.dir)")
+    ap.add_argument("--checkpoint", help="query checkpoint folder")
+    ap.add_argument("--once", action="store_true",
+                    help="process what the source holds now, then stop (backfill)")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"fadeclust-{args.job}-job").getOrCreate()
     opts = dict(o.split("=", 1) for o in args.option)
     lines = read_lines_stream(spark, args.source, args.path, **opts)
     job = structured_job if args.job == "structured" else interval_job
-    query, _ = job(spark, lines, args.out, args.seed,
-                   state_path=fresh_dir(spark, f"{args.job}-state"))
+    query, trainer = job(spark, lines, args.out, args.seed,
+                         state_path=args.state or fresh_dir(spark, f"{args.job}-state"),
+                         checkpoint=args.checkpoint,
+                         trigger={"availableNow": True} if args.once else None)
     query.awaitTermination()
+    return trainer
 
 
 if __name__ == "__main__":

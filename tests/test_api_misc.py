@@ -95,3 +95,19 @@ def test_jobs_run_end_to_end(spark):
             [(1.0, 1.0), (2.0, 0.0), (3.5, 4.5), (4.5, 4.0)]
         assert all(r["label"] in (0, 1, 2) and set(r["center"]) == {"x", "y"} for r in recs)
         assert trainer.table.batch_ids() == [0]
+
+
+def test_jobs_cli_once(spark):
+    """The command line with --once: consume the folder, stop, and a second
+    run on the same checkpoint and state resumes without reprocessing."""
+    from fadeclust.jobs import main
+    d = _lines_dir(spark, LINES)
+    out, st, ck = (fresh_dir(spark, "cli-out"), fresh_dir(spark, "cli-state"),
+                   fresh_dir(spark, "cli-ck"))
+    args = ["--source", "text", "--path", d, "--out", out, "--state", st,
+            "--checkpoint", ck, "--once", "--seed", "5"]
+    trainer = main(args)
+    assert trainer.table.batch_ids() == [0]
+    assert spark.read.text(out).count() == 4
+    trainer = main(args)                      # nothing new: no new batch
+    assert trainer.table.batch_ids() == [0]
