@@ -167,3 +167,21 @@ def test_replay_integer_keys_in_numeric_order(spark):
     rp.feed(q)
     q.stop()
     assert seen == [[k] for k in rp.keys]
+
+
+def test_high_dim_stream_equals_fold(spark):
+    """64-D embeddings (Arrow assignment inside foreachBatch): the streaming
+    trainer and the batch fold give the same models."""
+    from fadeclust.sources.tables import embedding_points
+    emb = embedding_points(spark, "/root/testdata/sf0.001").withColumn(
+        "batch", (F.col("vec_id") / 100).cast("int"))
+    init = initial_state_from_first(emb, 4, "vec_id", weight=0.01)
+    _, hist = fit_fold(emb, "batch", init, P)
+    rp = Replay(emb, "batch")
+    q, trainer = train_stream(rp.stream(), init, P)
+    rp.feed(q)
+    q.stop()
+    assert trainer.table.batch_ids() == list(range(len(hist)))
+    for h in hist:
+        s = trainer.table.read(h.batch_id)
+        assert np.array_equal(s.centers, h.centers) and np.array_equal(s.weights, h.weights)
