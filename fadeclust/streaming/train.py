@@ -53,8 +53,16 @@ class StreamTrainer:
     def state_before(self, batch_id: int) -> ModelState:
         if self._last is not None and self._last.batch_id == batch_id - 1:
             return self._last
-        found = self.table.latest_before(batch_id)
-        return found if found is not None else self.initial
+        ids = self.table.batch_ids()
+        if ids and ids[-1] > batch_id:
+            # a re-run of batch N finds at most N in the table; more means the
+            # query's checkpoint was replaced under an existing state table
+            raise ValueError(
+                f"state table {self.table.path} holds batches up to {ids[-1]} but the "
+                f"query is at batch {batch_id}; use the checkpoint that wrote it or a "
+                "new state path")
+        older = [i for i in ids if i < batch_id]
+        return self.table.read(older[-1]) if older else self.initial
 
     def score(self, df: DataFrame, model: ModelState) -> DataFrame:
         lab = assign_nearest(df, model, self.features_col, self.prediction_col,

@@ -185,3 +185,17 @@ def test_high_dim_stream_equals_fold(spark):
     for h in hist:
         s = trainer.table.read(h.batch_id)
         assert np.array_equal(s.centers, h.centers) and np.array_equal(s.weights, h.weights)
+
+
+def test_state_table_ahead_of_checkpoint_is_refused(spark, lines, init):
+    rp = Replay(lines, "day")
+    sp = fresh_dir(spark, "state")
+    q, _ = train_stream(points_stream(rp.stream()), init, P, state_path=sp)
+    rp.feed(q, stop_after=2)
+    q.stop()
+    rp2 = Replay(lines, "day")                     # a new query, new checkpoint
+    q2, _ = train_stream(points_stream(rp2.stream()), init, P, state_path=sp)
+    rp2.push_next()
+    with pytest.raises(Exception, match="state table"):
+        q2.processAllAvailable()
+    q2.stop()
