@@ -17,7 +17,8 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
+from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, StructField,
+                               StructType)
 
 from ..operators.model import HISTORY_SCHEMA, ModelState
 from ..operators.update import UpdateParams, train_step
@@ -116,30 +117,101 @@ def fit_fold(df: DataFrame, batch_col: str, state: ModelState,
     return keys, history
 
 
+def _history_arrow_udf(H: np.ndarray, spark):
+    """Arrow UDF ``(features, batch index) -> struct<prediction, center>``
+    against the per-batch centers ``H`` (B x k x dim), shipped once as a
+    broadcast variable (its size is checked by the caller)."""
+    import pyarrow as pa
+    from pyspark.sql.functions import arrow_udf
+
+    bc = spark.sparkContext.broadcast(H)
+    dim = H.shape[2]
+
+    def nearest(feats, bidx):
+        import numpy as np_
+        import pyarrow as pa_
+        import pyarrow.compute as pc
+
+        hist = bc.value
+        n = len(feats)
+        valid = ~np_.asarray(feats.is_null().to_numpy(zero_copy_only=False))
+        lengths = pc.list_value_length(feats).to_numpy(zero_copy_only=False)
+        if np_.any(valid & (lengths != dim)):
+            raise ValueError(f"features must have {dim} entries")
+        X = np_.zeros((n, dim))
+        X[valid] = feats.filter(pa_.array(valid)).flatten().to_numpy(
+            zero_copy_only=False).reshape(-1, dim)
+        B = bidx.to_numpy(zero_copy_only=False)
+        pred = np_.zeros(n, dtype=np_.int32)
+        cent = np_.zeros((n, dim))
+        for b in np_.unique(B[valid]):
+            rows = np_.nonzero(valid & (B == b))[0]
+            C = hist[int(b)]
+            d = np_.stack([np_.cumsum((X[rows] - c) ** 2, axis=1)[:, -1] for c in C], axis=1)
+            d = np_.where(np_.isnan(d), np_.inf, d)
+            lab = np_.argmin(d, axis=1)
+            pred[rows] = lab
+            cent[rows] = C[lab]
+        centers = pa_.ListArray.from_arrays(
+            pa_.array(np_.arange(0, (n + 1) * dim, dim, dtype=np_.int32)),
+            pa_.array(cent.ravel()))
+        return pa_.StructArray.from_arrays(
+            [pa_.array(pred, pa_.int32()), centers], names=["prediction", "center"])
+
+    nearest.__annotations__ = {"feats": pa.Array, "bidx": pa.Array, "return": pa.Array}
+    return arrow_udf(nearest, "struct<prediction:int,center:array<double>>")
+
+
 def score_with_history(df: DataFrame, batch_col: str, keys: list,
                        initial: ModelState, history: list[ModelState],
                        score_with: str = "after", features_col: str = "features",
                        prediction_col: str = "prediction",
-                       center_col: str = "center") -> DataFrame:
+                       center_col: str = "center", method: str = "auto") -> DataFrame:
     """T4/T5: label every row with the model of its batch.
 
     ``after``: the model updated by the row's own batch (the DStream order);
     ``before``: the model in force when the batch arrived.  One pass over the
-    data joined on the batch key with the per-batch centers.
+    data joined on the batch key with the per-batch model.  ``hof`` computes
+    the distances with higher-order functions against the joined centers;
+    ``arrow`` joins only a batch index and evaluates an Arrow UDF against the
+    whole history shipped once (faster from k * dim above 24, as measured for
+    assignment); ``auto`` picks by k * dim.
     """
     if score_with not in ("after", "before"):
         raise ValueError("score_with must be 'after' or 'before'")
     models = history if score_with == "after" else [initial] + history[:-1]
     k, dim = initial.k, initial.dim
+    if method == "auto":
+        from ..operators.assign import AUTO_UNROLL_MAX
+        method = "hof" if k * dim <= AUTO_UNROLL_MAX else "arrow"
+    if method not in ("hof", "arrow"):
+        raise ValueError("method must be auto, hof or arrow")
+    small = len(keys) * k * dim <= MAX_BROADCAST_HISTORY_VALUES
     key_type = df.schema[batch_col].dataType
+    spark = df.sparkSession
+    if method == "arrow":
+        if not small:
+            raise ValueError("history too large to ship to tasks; use method='hof'")
+        H = np.stack([m.centers for m in models])
+        side = spark.createDataFrame(
+            [(key, i) for i, key in enumerate(keys)],
+            StructType([StructField(batch_col, key_type, False),
+                        StructField("__bi", IntegerType(), False)]))
+        res = _history_arrow_udf(H, spark)(F.col(features_col).cast("array<double>"),
+                                           F.col("__bi"))
+        joined = df.join(F.broadcast(side), on=batch_col, how="inner")
+        return (joined.withColumn("__r", res)
+                .withColumn(prediction_col, F.col("__r.prediction"))
+                .withColumn(center_col, F.col("__r.center"))
+                .drop("__r", "__bi"))
     schema = StructType([
         StructField(batch_col, key_type, False),
         StructField("__cs", ArrayType(ArrayType(DoubleType(), False), False), False),
     ])
     rows = [(key, [[float(v) for v in c] for c in m.centers])
             for key, m in zip(keys, models)]
-    side = df.sparkSession.createDataFrame(rows, schema)
-    if len(keys) * k * dim <= MAX_BROADCAST_HISTORY_VALUES:
+    side = spark.createDataFrame(rows, schema)
+    if small:
         side = F.broadcast(side)
     f = F.col(features_col).cast("array<double>")
     dists = F.transform(

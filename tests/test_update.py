@@ -277,3 +277,20 @@ def test_survey_split_anchor(spark):
     c, w = _mllib(spark.sparkContext, [[0.0], [100.0]], [1.0, 1.0],
                   [[[1.0], [2.0]], [[1.0], [2.0]]], 1e-4)
     assert np.allclose(s.centers, c, rtol=0, atol=1e-15) and np.allclose(s.weights, w)
+
+
+def test_history_scoring_forms_agree(spark):
+    """One-pass scoring against the per-batch history: the higher-order
+    function form and the Arrow form give the same labels and centers."""
+    from pyspark.sql import functions as F
+    from fadeclust.plans import fit_fold, score_with_history
+    pts = embedding_points(spark, SF_SMALL).withColumn("b", F.col("vec_id") % 4)
+    init = initial_state_from_first(pts, 3, "vec_id", weight=0.01)
+    keys, hist = fit_fold(pts, "b", init, UpdateParams(decay=0.3))
+    for order in ("after", "before"):
+        got = {}
+        for m in ("hof", "arrow"):
+            rows = score_with_history(pts, "b", keys, init, hist, order, method=m).select(
+                "vec_id", "prediction", "center").collect()
+            got[m] = {r.vec_id: (r.prediction, tuple(r.center)) for r in rows}
+        assert got["hof"] == got["arrow"] and len(got["hof"]) == pts.count()
