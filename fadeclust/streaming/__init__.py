@@ -2,15 +2,16 @@
 
 from .datasource import JsonLinesSink, register
 from .sinks import (FileLineTransport, LineWriter, SocketLineTransport,
-                    batch_distinct_count, console, fan_out, print_sample,
-                    run_batches, write_lines_batch)
+                    batch_distinct_count, console, display_window, fan_out,
+                    print_sample, read_display, run_batches, write_lines_batch)
 from .state import StateTable
 from .train import (StreamTrainer, labelled_json, train_and_score_stream,
                     train_stream)
 
 __all__ = [
     "JsonLinesSink", "register", "FileLineTransport", "LineWriter",
-    "SocketLineTransport", "batch_distinct_count", "console", "fan_out",
+    "SocketLineTransport", "batch_distinct_count", "console", "display_window",
+    "fan_out", "read_display",
     "print_sample", "run_batches", "write_lines_batch", "StateTable",
     "StreamTrainer", "labelled_json", "train_and_score_stream", "train_stream",
 ]

@@ -171,3 +171,68 @@ class LineWriter:
 
     def close(self, error) -> None:
         self.transport.close(error)
+
+
+# ---- W1/W2 on a stream: rolling display tables ---------------------------------
+
+def display_window(path: str, order_cols, n: int = 90, label_col: str = "prediction",
+                   center_col: str = "center"):
+    """W1/W2 as a ``foreachBatch`` sink: after batch N, ``path/points/batch_id=N``
+    holds the ``n`` newest rows seen so far and ``path/centers/batch_id=N`` the
+    latest center of every label.
+
+    Each batch contributes only its own top ``n`` (TakeOrdered: per-task top
+    rows, no full sort) and one ``max_by`` row per label; they are merged with
+    the previous window, which is bounded by ``n`` rows plus one row per label.
+    Window N is computed from window N-1 and batch N only and written with
+    overwrite, so a re-run batch rewrites the same files.
+    """
+    from pyspark.sql import functions as F
+
+    from ..operators.views import latest_center, latest_n
+
+    order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
+
+    def previous(spark, kind: str, batch_id: int):
+        from ..session import hadoop_fs
+        fs, p = hadoop_fs(spark, f"{path}/{kind}")
+        if not fs.exists(p):
+            return None
+        ids = sorted(int(st.getPath().getName().split("=", 1)[1])
+                     for st in fs.listStatus(p)
+                     if st.getPath().getName().startswith("batch_id="))
+        ids = [i for i in ids if i < batch_id]
+        return spark.read.parquet(f"{path}/{kind}/batch_id={ids[-1]}") if ids else None
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        batch_id = int(batch_id)
+        points = latest_n(df, order_cols, n)
+        centers = latest_center(df, label_col, order_cols, center_col).join(
+            df.groupBy(label_col).agg(F.max(F.struct(*order_cols)).alias("__seq")),
+            label_col)
+        prev_p = previous(spark, "points", batch_id)
+        prev_c = previous(spark, "centers", batch_id)
+        if prev_p is not None:
+            points = latest_n(prev_p.unionByName(points), order_cols, n)
+        if prev_c is not None:
+            both = prev_c.unionByName(centers)
+            centers = both.groupBy(label_col).agg(
+                F.max_by(center_col, "__seq").alias(center_col),
+                F.max("__seq").alias("__seq"))
+        points.coalesce(1).write.mode("overwrite").parquet(f"{path}/points/batch_id={batch_id}")
+        centers.coalesce(1).write.mode("overwrite").parquet(f"{path}/centers/batch_id={batch_id}")
+
+    return write
+
+
+def read_display(spark, path: str, batch_id: int | None = None):
+    """``(points, centers)`` of the display window after ``batch_id``
+    (default: the newest)."""
+    from ..session import hadoop_fs
+    fs, p = hadoop_fs(spark, f"{path}/points")
+    ids = sorted(int(st.getPath().getName().split("=", 1)[1]) for st in fs.listStatus(p)
+                 if st.getPath().getName().startswith("batch_id="))
+    b = ids[-1] if batch_id is None else int(batch_id)
+    return (spark.read.parquet(f"{path}/points/batch_id={b}"),
+            spark.read.parquet(f"{path}/centers/batch_id={b}").drop("__seq"))

@@ -199,3 +199,28 @@ def test_state_table_ahead_of_checkpoint_is_refused(spark, lines, init):
     with pytest.raises(Exception, match="state table"):
         q2.processAllAvailable()
     q2.stop()
+
+
+def test_display_window_matches_batch_views(spark, lines, replayed):
+    """W1/W2 on the stream: the rolling window after the last batch equals the
+    batch views over everything scored so far."""
+    from fadeclust.operators.views import latest_center, latest_n
+    from fadeclust.plans import score_with_history
+    from fadeclust.streaming.sinks import display_window, read_display
+    keys, hist = replayed
+    pts = points_stream(lines)
+    init = initial_state_from_first(pts, 3, "event_id", weight=0.01)
+    rp = Replay(lines, "day")
+    out = fresh_dir(spark, "display")
+    sink = display_window(out, ["ts", "event_id"], n=20)
+    q, _ = train_and_score_stream(points_stream(rp.stream()), init, P,
+                                  [lambda d, i: sink(d.select("event_id", "ts", "prediction", "center"), i)])
+    rp.feed(q)
+    q.stop()
+    got_p, got_c = read_display(spark, out)
+    scored = score_with_history(pts, "day", keys, init, hist, "after")
+    exp_p = latest_n(scored, ["ts", "event_id"], 20)
+    exp_c = latest_center(scored, "prediction", ["ts", "event_id"], "center")
+    assert sorted(r.event_id for r in got_p.collect()) == sorted(r.event_id for r in exp_p.collect())
+    assert {r.prediction: r.center for r in got_c.collect()} == \
+        {r.prediction: r.center for r in exp_c.collect()}
