@@ -32,8 +32,12 @@ def spread(df: DataFrame, keys) -> DataFrame:
     parallelism (a small single-file table) is hash-partitioned by its row key
     so CPU-heavy projections use every core.  Large inputs already have more
     splits than cores and are left as they are (no shuffle)."""
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if keys and df.rdd.getNumPartitions() < want:
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Connect session): leave as is
+        return df
+    if keys and splits < want:
         return df.repartition(want, *[F.col(k) for k in keys])
     return df
 
