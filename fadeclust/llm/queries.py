@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontam import contaminated
+from .jaccard_join import jaccard_components
+from .lm_score import lm_scores
 from .suffix_dedup import remove_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,8 +29,54 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _words_sql(source: str) -> str:
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return (f"list_filter(regexp_split_to_array(translate(coalesce({source}, ''), '{upper}', '{upper.lower()}'),"
+            " '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')")
+
+
+def _shingles_sql(key: str, relation: str, k: int) -> str:
+    """One row per distinct k-word shingle of each row of a table."""
+    return f"""SELECT {key}, unnest(CASE WHEN len(w) >= {k} THEN list_distinct(list_transform(range(1, len(w) - {k - 2}),
+        lambda i: array_to_string(w[i:i + {k - 1}], ' '))) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS sh
+      FROM (SELECT {key}, {_words_sql('text')} AS w FROM {relation})"""
+
+
+@query("op1_decontam", f"""
+WITH d AS ({_shingles_sql('doc_id', 'documents', 5)}), b AS ({_shingles_sql('item_id', 'benchmark', 5)}),
+n AS (SELECT item_id, count(*) AS n_item FROM b GROUP BY item_id),
+c AS (SELECT doc_id, item_id, count(*) AS n_shared FROM d JOIN b USING (sh) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, n_item, n_shared, n_shared / n_item AS containment
+FROM c JOIN n USING (item_id) WHERE 10 * n_shared >= 8 * n_item""")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document against every benchmark item."""
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=5, threshold=0.8)
+
+
+@query("op2_jaccard_join", f"""
+WITH RECURSIVE s AS ({_shingles_sql('doc_id', 'documents', 4)}),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+r AS (SELECT doc_id AS v, doc_id AS u FROM documents UNION SELECT r.v, e.b FROM r JOIN e ON e.a = r.u)
+SELECT v AS doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(u) AS component_id
+FROM r LEFT JOIN n ON n.doc_id = v GROUP BY v""")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near copies among all documents."""
+    return jaccard_components(table(spark, sf_dir, "documents"), k=4, percent=85)
+
+
 @query("op4_suffix_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated 100-byte strings removed from every whole document."""
     out = remove_repeats(table(spark, sf_dir, "documents"), "doc_id", "text", length=100)
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op9_lm_score")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole document under a model of nine tenths of them."""
+    docs = table(spark, sf_dir, "documents")
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 10 == 0, F.lit(True))
+    out = lm_scores(docs, ~held, order=2, prior=4.0)
+    return out.withColumn("held_out", held).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -34,12 +34,11 @@ from pyspark.sql import functions as F
 
 from .suffix_array import suffix_array
 from .text import RunHash, byte_values, chunks, joined, mix64, pieces, sliding
-from .work import join_side, numbered, written
+from .work import join_side, numbered, semi_join, written
 
 PIECE_BYTES = 1 << 20
 BUCKET_BYTES = 128 << 10
 HOT_CONTEXTS = 4096
-KNOWN_BYTES = 32 << 20   # repeated anchors shipped to the scan up to this size
 _SYMBOL = 8
 _LEN_BITS = 12           # a range is packed as start << _LEN_BITS | bytes
 
@@ -74,7 +73,7 @@ def anchors(buf: np.ndarray, starts: np.ndarray, length: int, gram: int):
     return p, lo, hi, h, run.runs(lo, hi + length, p - lo)
 
 
-def _scan(batches: Iterator[pa.RecordBatch], length: int, gram: int, known: np.ndarray | None, hashes_only: bool):
+def _scan(batches: Iterator[pa.RecordBatch], length: int, gram: int, columns: list[str] | None = None):
     for batch in batches:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         parts, row, base = pieces(byte_values(batch.column(1)), PIECE_BYTES, length - 1)
@@ -82,13 +81,8 @@ def _scan(batches: Iterator[pa.RecordBatch], length: int, gram: int, known: np.n
         for i, j in chunks(parts, PIECE_BYTES):
             buf, starts = joined(parts[i:j])
             p, lo, hi, h, c = anchors(buf, starts, length, gram)
-            if known is not None and len(h):
-                at = np.searchsorted(known, h)
-                at[at == len(known)] = 0
-                keep = known[at] == h if len(known) else np.zeros(len(h), dtype=bool)
-                p, lo, hi, h, c = p[keep], lo[keep], hi[keep], h[keep], c[keep]
-            if hashes_only:
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], ["h"])
+            if columns == ["h"]:
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], columns)
                 continue
             piece = np.searchsorted(starts, p, side="right") - 1
             shift = base[i:j][piece] - starts[piece]
@@ -102,19 +96,13 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     length: int = 100, gram: int = 40) -> DataFrame:
     """Per document with repeats: ``doc`` and ``ranges``, packed byte ranges
     (unsorted, possibly overlapping) that are repeated from earlier places."""
-    spark = docs.sparkSession
     rows = numbered(docs, id_col, text_col).where("c0 is not null and octet_length(c1) >= %d" % length) \
         .select(F.col("c0").cast("long").alias("c0"), "c1")
-    scan = lambda known, only: lambda it: _scan(it, length, gram, known, only)
-    repeated = written(rows.mapInArrow(scan(None, True), "h bigint").groupBy("h").count().where("count > 1").select("h"), "anchors")
-    n = repeated.count()
     schema = "h bigint, c bigint, doc bigint, lo bigint, n int, a int"
-    if 8 * n <= KNOWN_BYTES:
-        known = np.sort(np.asarray(repeated.toPandas()["h"], dtype=np.int64).view(np.uint64))
-        places = rows.mapInArrow(scan(known, False), schema)
-    else:
-        places = rows.mapInArrow(scan(None, False), schema).join(repeated, "h", "left_semi")
-    places = written(places, "places")
+    places = rows.mapInArrow(lambda it: _scan(it, length, gram), schema)
+    hashes = rows.mapInArrow(lambda it: _scan(it, length, gram, ["h"]), "h bigint")
+    repeated = written(hashes.groupBy("h").count().where("count > 1").select("h"), "anchors")
+    places = written(semi_join(places, repeated, "h"), "places")
     firsts = written(places.groupBy("h", "c").agg(F.min(F.struct("doc", "lo", "n", "a")).alias("first"), F.count(F.lit(1)).alias("k")), "firsts")
     again = places.join(firsts.where("k > 1").select("h", "c", "first"), ["h", "c"]) \
         .where("(doc, lo) != (first.doc, first.lo)").select("doc", _packed("lo", "n"))

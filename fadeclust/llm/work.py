@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fadeclust.session import fresh_dir
@@ -19,10 +19,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def join_side(rows: DataFrame, side: DataFrame, on: str, payload: str, how: str = "left") -> DataFrame:
     """Join a written side table with one binary or array payload per key.
 
@@ -36,6 +32,13 @@ def join_side(rows: DataFrame, side: DataFrame, on: str, payload: str, how: str
     return rows.join(F.broadcast(side) if n <= BROADCAST_BYTES else side.hint("merge"), on, how)
 
 
+def semi_join(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """Rows whose long key is among those of a written table, which is broadcast
+    only if its measured size is below ``BROADCAST_BYTES``."""
+    small = 16 * keys.count() <= BROADCAST_BYTES
+    return rows.join(F.broadcast(keys) if small else keys.hint("merge"), on, "left_semi")
+
+
 def numbered(rows: DataFrame, *columns: str) -> DataFrame:
     """The named columns under fixed aliases c0, c1, ... so that other columns
     of the input, whatever their names, cannot clash with an operator's own."""

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from fadeclust.llm import suffix_dedup
+from fadeclust.llm import suffix_dedup, work
 from fadeclust.llm.suffix_array import suffix_array
 
 
@@ -51,10 +51,10 @@ def test_suffix_array_matches_sorting():
         assert suffix_array(np.array(a, dtype=np.int64)).tolist() == sorted(range(len(a)), key=lambda i: a[i:])
 
 
-@pytest.mark.parametrize("hot,known", [(4096, 32 << 20), (2, 0)])
-def test_removal_matches_brute_force(spark, monkeypatch, hot, known):
+@pytest.mark.parametrize("hot,shipped", [(4096, 48 << 20), (2, -1)])
+def test_removal_matches_brute_force(spark, monkeypatch, hot, shipped):
     monkeypatch.setattr(suffix_dedup, "HOT_CONTEXTS", hot)
-    monkeypatch.setattr(suffix_dedup, "KNOWN_BYTES", known)
+    monkeypatch.setattr(work, "BROADCAST_BYTES", shipped)
     monkeypatch.setattr(suffix_dedup, "PIECE_BYTES", 300)
     texts = corpus()
     df = spark.createDataFrame([(i, t, "x") for i, t in texts.items()] + [(None, "n" * 300, "x")],
