@@ -8,9 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontam import contaminated
+from .html_extract import main_text
 from .jaccard_join import jaccard_components
+from .language_id import languages
 from .lm_score import lm_scores
+from .packing import pack
+from .pivot_dedup import near_vectors
 from .suffix_dedup import remove_repeats
+from .tokens import tokenizer_path
+from .warc import read_warc, write_pages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -66,6 +72,21 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), k=4, percent=85)
 
 
+@query("op3_pivot_dedup", """
+WITH RECURSIVE x AS (SELECT vec_id, label, list_transform(embedding, lambda v: v::DOUBLE) AS v FROM embeddings),
+ok AS (SELECT * FROM x WHERE label IS NOT NULL AND v IS NOT NULL AND len(list_filter(v, lambda y: y IS NULL OR NOT isfinite(y))) = 0
+       AND list_max(list_transform(v, lambda y: abs(y))) > 0),
+e AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id
+      WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+r AS (SELECT vec_id AS v, vec_id AS u FROM embeddings UNION SELECT r.v, e.b FROM r JOIN e ON e.a = r.u),
+n AS (SELECT a, count(*) AS n FROM e GROUP BY a)
+SELECT v AS vec_id, coalesce(any_value(n.n), 0) AS n_links, min(u) AS component_id, v = min(u) AS kept
+FROM r LEFT JOIN n ON n.a = r.v GROUP BY v""")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-copies among all embeddings of equal label."""
+    return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 @query("op4_suffix_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated 100-byte strings removed from every whole document."""
@@ -73,6 +94,29 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query("op5_language_id")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole document, learned from three quarters of the ids."""
+    docs = table(spark, sf_dir, "documents")
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    return languages(docs, ~held).withColumn("held_out", held).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op7_packing")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 2048 tokens."""
+    return pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), capacity=2048, end_id=1)
+
+
+@query("op8_warc")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives and read back."""
+    path = write_pages(table(spark, sf_dir, "pages"), min_bytes=0)
+    number = lambda c: F.nullif(F.substring_index(c, ":", -1), F.lit("")).cast("long")
+    return read_warc(spark, path, payload="false", verify="true").select(
+        number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to"))
+
+
 @query("op9_lm_score")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole document under a model of nine tenths of them."""
@@ -80,3 +124,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 10 == 0, F.lit(True))
     out = lm_scores(docs, ~held, order=2, prior=4.0)
     return out.withColumn("held_out", held).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query("op10_html_extract")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
