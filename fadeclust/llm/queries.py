@@ -11,6 +11,7 @@ from .decontam import contaminated
 from .html_extract import main_text
 from .jaccard_join import jaccard_components
 from .language_id import languages
+from .license_scan import CUES, TEMPLATES, VOCABULARY, scan_licenses
 from .lm_score import lm_scores
 from .packing import pack
 from .pivot_dedup import near_vectors
@@ -102,6 +103,49 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages(docs, ~held).withColumn("held_out", held).select("doc_id", "held_out", "lang_pred", "score")
 
 
+_PATH = "source || '/' || (doc_id // 5000) || '/' || (doc_id // 500) || '/' || CASE WHEN doc_id % 25 = 0 THEN 'LICENSE' ELSE 'f' || doc_id || '.txt' END"
+_TOKENS = "list_filter(regexp_split_to_array(lower({}), '[^a-z0-9]+'), lambda x: x <> '')"
+
+
+@query("op6_license_scan", f"""
+WITH files AS (SELECT doc_id AS id, {_PATH} AS path, text FROM documents),
+temps AS (SELECT * FROM (VALUES {", ".join(f"({i}, '{lic}', '{s}')" for i, (lic, s) in enumerate(TEMPLATES))}) v(template, license, s)),
+vocab AS (SELECT unnest({VOCABULARY}) AS t),
+tot AS (SELECT count(*) AS n FROM files),
+held AS (SELECT t, count(*) AS df FROM (SELECT unnest(list_distinct({_TOKENS.format('text')})) AS t FROM files) JOIN vocab USING (t) GROUP BY t),
+idf AS (SELECT t, ln((1.0 + n) / (1 + df)) + 1 AS idf FROM held, tot),
+tt AS (SELECT template, license, t, count(*) * coalesce(any_value(idf), any_value(ln(1.0 + n) + 1)) AS w
+       FROM (SELECT template, license, unnest({_TOKENS.format('s')}) AS t FROM temps) CROSS JOIN tot LEFT JOIN idf USING (t) GROUP BY template, license, t),
+tn AS (SELECT template, sqrt(sum(w * w)) AS norm FROM tt GROUP BY template),
+parts AS (SELECT id, 0 AS unit, text AS part FROM files WHERE regexp_matches(lower(text), '{CUES}')
+  UNION ALL SELECT id, i, line FROM (SELECT id, text, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i
+  FROM files WHERE regexp_matches(lower(text), '{CUES}')) WHERE regexp_matches(lower(line), '{CUES}')),
+uw AS (SELECT id, unit, t, count(*) * coalesce(any_value(idf), any_value(ln(1.0 + n) + 1)) AS w
+       FROM (SELECT id, unit, unnest({_TOKENS.format('part')}) AS t FROM parts) CROSS JOIN tot LEFT JOIN idf USING (t) GROUP BY id, unit, t),
+un AS (SELECT id, unit, sqrt(sum(w * w)) AS norm FROM uw GROUP BY id, unit),
+sc AS (SELECT id, unit = 0 AS whole, license, round(sum(uw.w * tt.w / tn.norm) / any_value(un.norm), 6) AS score
+       FROM uw JOIN tt USING (t) JOIN tn USING (template) JOIN un USING (id, unit) GROUP BY id, unit, template, license),
+own AS (SELECT id, license, score, CASE WHEN whole THEN 'file' ELSE 'header' END AS how FROM sc WHERE score >= 0.9
+        QUALIFY row_number() OVER (PARTITION BY id ORDER BY whole DESC, score DESC, license) = 1),
+named AS (SELECT id, path, regexp_replace(path, '/[^/]*$', '') AS dir, license, score, how FROM files LEFT JOIN own USING (id)),
+holders AS (SELECT dir, path, license FROM named WHERE license IS NOT NULL AND (how = 'file' OR path LIKE '%/LICENSE')
+            QUALIFY row_number() OVER (PARTITION BY dir ORDER BY score DESC, path, license) = 1),
+near AS (SELECT d.dir, h.license, h.path FROM (SELECT DISTINCT dir FROM named) d JOIN holders h ON d.dir = h.dir OR starts_with(d.dir, h.dir || '/')
+         QUALIFY row_number() OVER (PARTITION BY d.dir ORDER BY len(h.dir) DESC) = 1)
+SELECT id AS doc_id, n.path, coalesce(n.license, near.license) AS license,
+  CASE WHEN n.license IS NOT NULL THEN how WHEN near.license IS NOT NULL THEN 'inherited' ELSE 'none' END AS how,
+  coalesce(score, 0.0) AS score, CASE WHEN n.license IS NULL THEN near.path END AS origin
+FROM named n LEFT JOIN near USING (dir)""")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of all documents.  They have no paths, so the query lays them
+    out by source and id; every 25th id is its directory's LICENSE."""
+    docs = table(spark, sf_dir, "documents")
+    name = F.when(F.col("doc_id") % 25 == 0, F.lit("LICENSE")).otherwise(F.concat(F.lit("f"), "doc_id", F.lit(".txt")))
+    part = lambda n: F.floor(F.col("doc_id") / n).cast("string")
+    files = docs.withColumn("path", F.concat_ws("/", "source", part(5000), part(500), name))
+    return scan_licenses(files, "doc_id", "path", "text", threshold=0.9).withColumnRenamed("id", "doc_id")
+
+
 @query("op7_packing")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 tokens."""
