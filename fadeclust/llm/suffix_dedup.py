@@ -7,9 +7,10 @@ Matches never cross documents and are judged on the input.
 1. Every window of ``length`` bytes is assigned to the anchor in it, the
    ``gram``-byte string of least hash, so equal windows have equal anchors at
    equal offsets.  An anchor's context is the run of bytes of its windows.
-2. Anchors that occur once have no repeated window.  Of the others, equal
-   contexts are aggregated to their first occurrence; every later one repeats in
-   full.
+2. A scan aggregates equal contexts to their first occurrence, some hundred
+   thousand at a time; every later one repeats in full.  What is left is dealt
+   out by anchor and sorted, which aggregates it over the whole corpus and drops
+   the contexts whose anchor has no other.
 3. The first occurrences of different contexts of one anchor are compared by a
    suffix array (:mod:`suffix_array`) over buckets of contexts: positions are
    grouped by equal prefixes in suffix order, and all but the earliest window of
@@ -34,13 +35,15 @@ from pyspark.sql import functions as F
 
 from .suffix_array import suffix_array
 from .text import RunHash, byte_values, chunks, joined, mix64, pieces, sliding
-from .work import join_side, numbered, semi_join, written
+from .work import join_side, numbered, written
 
 PIECE_BYTES = 1 << 20
 BUCKET_BYTES = 128 << 10
-HOT_CONTEXTS = 4096
+HOT_CONTEXTS = 32768
+BLOCK_PLACES = 400_000     # places aggregated at once by a scan
 _SYMBOL = 8
 _LEN_BITS = 12           # a range is packed as start << _LEN_BITS | bytes
+_LEN_MASK = (1 << _LEN_BITS) - 1
 
 
 def anchors(buf: np.ndarray, starts: np.ndarray, length: int, gram: int):
@@ -73,7 +76,9 @@ def anchors(buf: np.ndarray, starts: np.ndarray, length: int, gram: int):
     return p, lo, hi, h, run.runs(lo, hi + length, p - lo)
 
 
-def _scan(batches: Iterator[pa.RecordBatch], length: int, gram: int, columns: list[str] | None = None):
+def _places(batches: Iterator[pa.RecordBatch], length: int, gram: int):
+    """Blocks of places (anchor, context, document, packed start, context bytes and anchor offset)."""
+    held, size = [], 0
     for batch in batches:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         parts, row, base = pieces(byte_values(batch.column(1)), PIECE_BYTES, length - 1)
@@ -81,50 +86,112 @@ def _scan(batches: Iterator[pa.RecordBatch], length: int, gram: int, columns: li
         for i, j in chunks(parts, PIECE_BYTES):
             buf, starts = joined(parts[i:j])
             p, lo, hi, h, c = anchors(buf, starts, length, gram)
-            if columns == ["h"]:
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], columns)
-                continue
             piece = np.searchsorted(starts, p, side="right") - 1
             shift = base[i:j][piece] - starts[piece]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (h.view(np.int64), c.view(np.int64), ids[row[i:j][piece]], lo + shift,
-                                       (hi - lo + length).astype(np.int32), (p - lo).astype(np.int32))],
-                ["h", "c", "doc", "lo", "n", "a"])
+            held.append((h.view(np.int64), c.view(np.int64), ids[row[i:j][piece]],
+                         ((lo + shift) << 2 * _LEN_BITS) | ((hi - lo + length) << _LEN_BITS) | (p - lo)))
+            size += len(h)
+            if size >= BLOCK_PLACES:
+                yield [np.concatenate(x) for x in zip(*held)]
+                held, size = [], 0
+    if held:
+        yield [np.concatenate(x) for x in zip(*held)]
+
+
+def _sorted_runs(h, c, doc, at):
+    """Order by all columns, and where a new anchor, context or place begins in it."""
+    order = np.lexsort((at, doc, c, h))
+    h, c, doc, at = h[order], c[order], doc[order], at[order]
+    new_h = np.ones(len(h), dtype=bool)
+    new_h[1:] = h[1:] != h[:-1]
+    new_c = new_h.copy()
+    new_c[1:] |= c[1:] != c[:-1]
+    return h, c, doc, at, new_h, new_c
+
+
+def _range(at: np.ndarray) -> np.ndarray:
+    """The packed byte range of a packed place."""
+    return (at >> 2 * _LEN_BITS << _LEN_BITS) | (at >> _LEN_BITS & _LEN_MASK)
+
+
+def _later(doc: np.ndarray, at: np.ndarray, new_c: np.ndarray) -> np.ndarray:
+    """Places that are not the first one of their context (nor the same place)."""
+    first = np.flatnonzero(new_c)[np.cumsum(new_c) - 1]
+    return (doc != doc[first]) | (at != at[first])
+
+
+def _local_firsts(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
+    for block in _places(batches, length, gram):
+        h, c, doc, at, _, new_c = _sorted_runs(*block)
+        for k in range(0, len(h), 100_000):
+            s = slice(k, k + 100_000)
+            yield pa.RecordBatch.from_arrays([pa.array(x[s][new_c[s]]) for x in (h, c, doc, at)], ["h", "c", "doc", "at"])
+
+
+def _local_repeats(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
+    for block in _places(batches, length, gram):
+        _, _, doc, at, _, new_c = _sorted_runs(*block)
+        again = _later(doc, at, new_c)
+        yield pa.RecordBatch.from_arrays([pa.array(doc[again]), pa.array(_range(at[again]))], ["doc", "range"])
+
+
+def _global_firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over places sorted by anchor, context and place: later places of a context
+    (h null), and first places of the contexts of anchors with several."""
+    schema = pa.schema([("h", pa.int64()), ("doc", pa.int64()), ("at", pa.int64())])
+    last = None        # the context that the batch before ended in: (h, c, first doc, first at, given out)
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        h, c, doc, at = (x.to_numpy() for x in batch.columns)
+        if last is not None:  # its first place leads, so the batch is judged as one run with it
+            h, c, doc, at = (np.concatenate([[v], x]) for v, x in zip(last[:4], (h, c, doc, at)))
+        new_h = np.ones(len(h), dtype=bool)
+        new_h[1:] = h[1:] != h[:-1]
+        new_c = new_h.copy()
+        new_c[1:] |= c[1:] != c[:-1]
+        again = _later(doc, at, new_c)
+        contexts = np.add.reduceat(new_c.astype(np.int64), np.flatnonzero(new_h))
+        several = (contexts > 1)[np.cumsum(new_h) - 1]
+        if last is not None and last[4]:      # an anchor known to have several goes on
+            several |= np.cumsum(new_h) == 1
+        firsts = new_c & several
+        if last is not None and last[4]:
+            firsts[0] = False                 # it was given out before
+        for keys, rows, values in ((None, again, _range(at)), (h, firsts, at)):
+            n = int(rows.sum())
+            if n:
+                yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()) if keys is None else pa.array(keys[rows]),
+                                                  pa.array(doc[rows]), pa.array(values[rows])], schema=schema)
+        k = int(np.flatnonzero(new_c)[-1])
+        last = (h[k], c[k], doc[k], at[k], bool(several[k]))
 
 
 def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    length: int = 100, gram: int = 40) -> DataFrame:
+                    length: int = 100, gram: int = 32) -> DataFrame:
     """Per document with repeats: ``doc`` and ``ranges``, packed byte ranges
     (unsorted, possibly overlapping) that are repeated from earlier places."""
     rows = numbered(docs, id_col, text_col).where("c0 is not null and octet_length(c1) >= %d" % length) \
         .select(F.col("c0").cast("long").alias("c0"), "c1")
-    schema = "h bigint, c bigint, doc bigint, lo bigint, n int, a int"
-    places = rows.mapInArrow(lambda it: _scan(it, length, gram), schema)
-    hashes = rows.mapInArrow(lambda it: _scan(it, length, gram, ["h"]), "h bigint")
-    repeated = written(hashes.groupBy("h").count().where("count > 1").select("h"), "anchors")
-    places = written(semi_join(places, repeated, "h"), "places")
-    firsts = written(places.groupBy("h", "c").agg(F.min(F.struct("doc", "lo", "n", "a")).alias("first"), F.count(F.lit(1)).alias("k")), "firsts")
-    again = places.join(firsts.where("k > 1").select("h", "c", "first"), ["h", "c"]) \
-        .where("(doc, lo) != (first.doc, first.lo)").select("doc", _packed("lo", "n"))
-    several = firsts.groupBy("h").agg(F.count(F.lit(1)).alias("contexts")).where("contexts > 1")
-    tried = written(firsts.join(several, "h").select("h", "contexts", "first.*")
-                    .groupBy("doc").agg(F.collect_list(F.struct("h", "contexts", "lo", "n", "a")).alias("parts")), "contexts")
+    places = rows.mapInArrow(lambda it: _local_firsts(it, length, gram), "h bigint, c bigint, doc bigint, at bigint")
+    merged = written(places.repartition("h").sortWithinPartitions("h", "c", "doc", "at")
+                     .mapInArrow(_global_firsts, "h bigint, doc bigint, at bigint"), "places")
+    again = rows.mapInArrow(lambda it: _local_repeats(it, length, gram), "doc bigint, range bigint") \
+        .union(merged.where("h is null").select("doc", F.col("at").alias("range")))
+    firsts = merged.where("h is not null")
+    hot = written(firsts.groupBy("h").count().where(F.col("count") > HOT_CONTEXTS).select("h", F.lit(True).alias("hot")), "hot")
+    marked = join_side(firsts, hot, "h", "hot")
+    tried = written(marked.groupBy("doc").agg(F.collect_list(F.struct("h", F.col("hot").isNotNull().alias("hot"), "at")).alias("parts")), "contexts")
     texts = join_side(rows.select(F.col("c0").alias("doc"), "c1"), tried, "doc", "parts", "inner")
-    cut = texts.mapInArrow(_cut, "h bigint, contexts bigint, doc bigint, lo bigint, a int, bytes binary")
-    cut = written(cut, "cut")
-    total = cut.where(F.col("contexts") <= HOT_CONTEXTS).agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
+    cut = written(texts.mapInArrow(_cut, "h bigint, hot boolean, doc bigint, lo bigint, a int, bytes binary"), "cut")
+    total = cut.where("not hot").agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
     buckets = max(1, total // BUCKET_BYTES)
-    ranges = "doc bigint, range bigint"
-    sorted_out = cut.where(F.col("contexts") <= HOT_CONTEXTS).withColumn("bucket", F.pmod(F.hash("h"), F.lit(buckets))) \
-        .groupBy("bucket").applyInArrow(lambda t: _by_suffixes(t, length), ranges)
-    found = again.union(sorted_out).union(_hot(cut.where(F.col("contexts") > HOT_CONTEXTS), length))
+    sorted_out = cut.where("not hot").withColumn("bucket", F.pmod(F.hash("h"), F.lit(buckets))) \
+        .groupBy("bucket").applyInArrow(lambda t: _by_suffixes(t, length), "doc bigint, range bigint")
+    found = again.union(sorted_out).union(_hot(cut.where("hot"), length))
     return found.groupBy("doc").agg(F.collect_set("range").alias("ranges"))
 
 
-def _packed(lo: str, n: str):
-    return F.shiftleft(F.col(lo), _LEN_BITS).bitwiseOR(F.col(n).cast("long")).alias("range")
-
-
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of the listed contexts of each text."""
     for batch in batches:
@@ -137,14 +204,16 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.diff(ptr)
         field = lambda name: parts.field(name).to_numpy(zero_copy_only=False)
         row = np.repeat(np.arange(len(values)), counts)
-        lo, n = field("lo"), field("n")
-        out = [values[r][x:x + k] for r, x, k in zip(row.tolist(), lo.tolist(), n.tolist())]
+        at = field("at")
+        lo, n, a = at >> 2 * _LEN_BITS, at >> _LEN_BITS & _LEN_MASK, at & _LEN_MASK
         docs = batch.column("doc").to_numpy(zero_copy_only=False)[row]
-        for at in range(0, len(out), 20000):
-            s = slice(at, at + 20000)
+        h, hot = field("h"), field("hot")
+        for k in range(0, len(at), 20000):
+            s = slice(k, k + 20000)
+            out = [values[r][x:x + m] for r, x, m in zip(row[s].tolist(), lo[s].tolist(), n[s].tolist())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (field("h")[s], field("contexts")[s], docs[s], lo[s], field("a")[s].astype(np.int32))]
-                + [pa.array(out[s], type=pa.binary())], ["h", "contexts", "doc", "lo", "a", "bytes"])
+                [pa.array(x) for x in (h[s], hot[s], docs[s], lo[s], a[s].astype(np.int32))] + [pa.array(out, type=pa.binary())],
+                ["h", "hot", "doc", "lo", "a", "bytes"])
 
 
 def repeated_windows(parts: list[bytes], a: np.ndarray, order: np.ndarray, length: int):
@@ -242,18 +311,22 @@ def _hot(cut: DataFrame, length: int) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   length: int = 100, gram: int = 40) -> DataFrame:
+                   length: int = 100, gram: int = 32, rows: bool = False) -> DataFrame:
     """One row per document: ``doc_id``, ``kept`` (binary, the remaining bytes),
     ``kept_text`` (the same without cut characters), ``n_bytes``, ``n_removed``
-    and ``n_spans`` (maximal removed runs)."""
+    and ``n_spans`` (maximal removed runs); with ``rows`` also ``row``, the whole input row."""
     ranges = written(repeated_ranges(docs, id_col, text_col, length, gram), "ranges")
-    rows = numbered(docs, id_col, text_col).select(F.col("c0").cast("long").alias("doc"), "c1")
-    return join_side(rows, ranges, "doc", "ranges").mapInArrow(
-        _keep, "doc_id bigint, kept binary, kept_text string, n_bytes bigint, n_removed bigint, n_spans bigint")
+    own = [F.col(f"`{id_col}`").cast("long").alias("doc"), F.col(f"`{text_col}`").alias("c1")]
+    if rows:
+        own.append(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row"))
+    joined = join_side(docs.select(*own), ranges, "doc", "ranges")
+    schema = "doc_id bigint, kept binary, kept_text string, n_bytes bigint, n_removed bigint, n_spans bigint"
+    if rows:
+        schema += f", row {docs.drop(text_col).schema.simpleString()}"
+    return joined.mapInArrow(_keep, schema)
 
 
 def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    mask = (1 << _LEN_BITS) - 1
     for batch in batches:
         values = byte_values(batch.column("c1"))
         lists = batch.column("ranges").to_pylist()
@@ -265,7 +338,7 @@ def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 spans.append(0)
                 continue
             packed = np.sort(np.asarray(ranges, dtype=np.int64))
-            lo, hi = packed >> _LEN_BITS, (packed >> _LEN_BITS) + (packed & mask)
+            lo, hi = packed >> _LEN_BITS, (packed >> _LEN_BITS) + (packed & _LEN_MASK)
             reach = np.maximum.accumulate(hi)
             new = np.ones(len(lo), dtype=bool)
             new[1:] = lo[1:] > reach[:-1]
@@ -275,7 +348,10 @@ def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             removed.append(sum(end) - sum(begin))
             spans.append(len(begin))
         texts = [k.decode("utf-8", "ignore") for k in kept]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc"), pa.array(kept, type=pa.binary()), pa.array(texts, type=pa.string())]
-            + [pa.array(x, type=pa.int64()) for x in ([len(v) for v in values], removed, spans)],
-            ["doc_id", "kept", "kept_text", "n_bytes", "n_removed", "n_spans"])
+        columns = [batch.column("doc"), pa.array(kept, type=pa.binary()), pa.array(texts, type=pa.string())] \
+            + [pa.array(x, type=pa.int64()) for x in ([len(v) for v in values], removed, spans)]
+        names = ["doc_id", "kept", "kept_text", "n_bytes", "n_removed", "n_spans"]
+        if "row" in batch.schema.names:
+            columns.append(batch.column("row"))
+            names.append("row")
+        yield pa.RecordBatch.from_arrays(columns, names)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fadeclust.session import fresh_dir
 
-BROADCAST_BYTES = 48 << 20  # a side above this is joined by a shuffle
+BROADCAST_BYTES = 8 << 20  # a side above this is joined by a shuffle
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -33,10 +33,15 @@ def join_side(rows: DataFrame, side: DataFrame, on: str, payload: str, how: str
 
 
 def semi_join(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
-    """Rows whose long key is among those of a written table, which is broadcast
-    only if its measured size is below ``BROADCAST_BYTES``."""
-    small = 16 * keys.count() <= BROADCAST_BYTES
-    return rows.join(F.broadcast(keys) if small else keys.hint("merge"), on, "left_semi")
+    """Rows whose key is among those of a table that grows with the input, by a
+    shuffle (one plan at every size; adaptive execution splits hot keys)."""
+    return rows.join(keys.hint("merge"), on, "left_semi")
+
+
+def without_ids(rows: DataFrame, ids: DataFrame, on: str) -> DataFrame:
+    """Rows whose id is not among those of a written one-column table."""
+    small = 16 * ids.count() <= BROADCAST_BYTES
+    return rows.join(F.broadcast(ids) if small else ids.hint("merge"), on, "left_anti")
 
 
 def numbered(rows: DataFrame, *columns: str) -> DataFrame:

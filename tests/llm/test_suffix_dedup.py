@@ -56,10 +56,13 @@ def test_removal_matches_brute_force(spark, monkeypatch, hot, shipped):
     monkeypatch.setattr(suffix_dedup, "HOT_CONTEXTS", hot)
     monkeypatch.setattr(work, "BROADCAST_BYTES", shipped)
     monkeypatch.setattr(suffix_dedup, "PIECE_BYTES", 300)
+    monkeypatch.setattr(suffix_dedup, "BLOCK_PLACES", 50)
     texts = corpus()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10_000 if shipped > 0 else 7)
     df = spark.createDataFrame([(i, t, "x") for i, t in texts.items()] + [(None, "n" * 300, "x")],
                                "doc_id long, text string, doc string").repartition(5)
     got = {r.doc_id: r for r in suffix_dedup.remove_repeats(df).collect()}
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     masks = brute({i: (t or "").encode() for i, t in texts.items()}, 100)
     assert len(got) == len(texts) + 1 and got[None].n_removed == 0
     for i, mask in masks.items():
