@@ -72,14 +72,30 @@ def _block_keys(values: list[bytes], order: int):
 
 
 def _pack(counts: np.ndarray) -> bytes:
-    """Counts in the fewest bytes each that hold them (1, 2, 4 or 8)."""
-    top = int(counts.max(initial=0))
-    kind = next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if top <= np.iinfo(t).max)
-    return counts.astype(kind).tobytes()
+    """Counts in a byte each; larger ones follow in eight bytes, in order."""
+    large = counts[counts >= 255].astype(np.uint64)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes() + large.tobytes()
 
 
 def _unpack(data: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(data, dtype=f"u{len(data) // n}").astype(np.int64) if n else np.empty(0, dtype=np.int64)
+    out = np.frombuffer(data, dtype=np.uint8, count=n).astype(np.int64)
+    out[out == 255] = np.frombuffer(data, dtype=np.uint64, offset=n).astype(np.int64)
+    return out
+
+
+def _pack_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys as the first one and the steps between them, in as many bytes each as the largest step needs."""
+    steps = np.diff(keys)
+    width = max(1, (int(steps.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([width]) + keys[:1].tobytes() + steps.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def _unpack_keys(data: bytes) -> np.ndarray:
+    width = data[0]
+    cells = np.frombuffer(data, dtype=np.uint8, offset=9).reshape(-1, width)
+    steps = np.zeros((len(cells), 8), dtype=np.uint8)
+    steps[:, :width] = cells
+    return np.cumsum(np.concatenate([np.frombuffer(data, dtype=np.uint64, count=1, offset=1), steps.view(np.uint64).ravel()]), dtype=np.uint64)
 
 
 def _edges(distinct: np.ndarray, shards: int) -> np.ndarray:
@@ -99,12 +115,12 @@ def _ask(table: pa.Table, order: int, shards: int) -> pa.Table:
     parts = [(s, slice(a, b)) for s, (a, b) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist())) if b > a]
     return pa.table({
         "shard": pa.array([s for s, _ in parts], type=pa.int32()), "block": pa.array([block] * len(parts), type=pa.int64()),
-        "keys": pa.array([distinct[p].tobytes() for _, p in parts], type=pa.binary()),
+        "keys": pa.array([_pack_keys(distinct[p]) for _, p in parts], type=pa.binary()),
         "counts": pa.array([_pack(counts[p]) for _, p in parts], type=pa.binary())})
 
 
 def _answer(table: pa.Table) -> pa.Table:
-    keys = [np.frombuffer(k, dtype=np.uint64) for k in table.column("keys").to_pylist()]
+    keys = [_unpack_keys(k) for k in table.column("keys").to_pylist()]
     counts = [_unpack(c, len(k)) for k, c in zip(keys, table.column("counts").to_pylist())]
     flat = np.concatenate(keys)
     order = np.argsort(flat, kind="stable")
