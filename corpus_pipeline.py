@@ -9,7 +9,11 @@ from fadeclust.llm import stages
 from fadeclust.llm.work import written
 
 STAGES = [
+    ("language_id", stages.language_id),
+    ("near_copies", stages.near_copies),
     ("suffix_dedup", stages.suffix_dedup),
+    ("decontamination", stages.decontamination),
+    ("packing", stages.packing),
 ]
 
 ORACLE_SQL = None
