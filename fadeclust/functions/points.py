@@ -77,6 +77,30 @@ def parse_valid_points(df: DataFrame, line_col: str = "value",
     return df.select(*[F.col(c) for c in df.columns], F.inline(keep))
 
 
+REASON_COL = "reject_reason"
+
+
+def check_points(df: DataFrame, line_col: str = "value",
+                 schema: StructType = POINT_SCHEMA) -> DataFrame:
+    """P1+P3 without dropping a line: the point's fields and ``reject_reason``,
+    NULL for a valid point, else ``null_line``, ``no_point``, ``bad_field`` or
+    ``not_finite`` (a NaN or infinite coordinate).  Each line is parsed once
+    (inside a generator, as in :func:`parse_valid_points`)."""
+    names = schema.names
+    one = F.inline(F.array(F.from_json(F.col(line_col), schema)))
+    out = df.select(*[F.col(c) for c in df.columns], one)
+    missing = [F.col(n).isNull() for n in names]
+    every, some = missing[0], missing[0]
+    for m in missing[1:]:
+        every, some = every & m, some | m
+    odd = F.lit(False)
+    for n in names:
+        odd = odd | F.isnan(n) | (F.abs(F.col(n)) == float("inf"))
+    reason = (F.when(F.col(line_col).isNull(), "null_line").when(every, "no_point")
+              .when(some, "bad_field").when(odd, "not_finite"))
+    return out.withColumn(REASON_COL, reason)
+
+
 def _struct_ok(s: Column, names) -> Column:
     ok = F.lit(True)
     for n in names:

@@ -10,7 +10,11 @@
                     a sample of each batch printed.
 
 Both keep the model in a state table, so a restart resumes where the last
-committed batch left off.
+committed batch left off.  Lines that are no valid point go, with the reason, to
+a reject output (``<out>-rejects`` unless ``rejects_dir`` says otherwise), and
+each update is logged with its weights and centers.  ``writer="rows"`` sends the
+labelled lines row by row through the line writer instead of Spark's text
+writer.
 
     python -m fadeclust.jobs --source text --path /data/points --out /data/labelled
 """
@@ -18,14 +22,18 @@ committed batch left off.
 from __future__ import annotations
 
 import argparse
+import logging
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
+from .functions.points import REASON_COL
 from .operators.model import random_state
 from .operators.update import UpdateParams
 from .session import fresh_dir
-from .sources.streams import points_stream, read_lines_stream
-from .streaming.sinks import fan_out, print_sample, write_lines_batch
+from .sources.streams import checked_points, read_lines_stream
+from .streaming.sinks import (FileLineTransport, fan_out, print_sample,
+                              write_lines_batch, write_rows)
 from .streaming.train import labelled_json, train_and_score_stream
 
 # Fixed model settings of the two jobs: k = 3 clusters of 2-D points, decay
@@ -34,36 +42,57 @@ K, DIM, DECAY = 3, 2, 0.3
 W0_STRUCTURED, W0_INTERVAL = 0.01, 0.0
 
 
-def _labelled_lines(out_dir: str):
+log = logging.getLogger("fadeclust.jobs")
+
+
+def _labelled_lines(out_dir: str, writer: str):
+    if writer == "rows":
+        return write_rows(FileLineTransport(out_dir), labelled_json)
+    if writer != "lines":
+        raise ValueError("writer must be 'lines' or 'rows'")
     write = write_lines_batch(out_dir)
     return lambda df, batch_id: write(labelled_json(df), batch_id)
 
 
+def _rejects(path: str):
+    write = write_lines_batch(path)
+    return lambda df, batch_id: write(df.select(F.to_json(
+        F.struct("value", F.col(REASON_COL).alias("reason"))).alias("value")), batch_id)
+
+
+def _start(spark, lines, out_dir, init, params, trigger, console, writer, rejects_dir, state_path, checkpoint, name):
+    outputs = [_labelled_lines(out_dir, writer)]
+    if console == "full":
+        outputs.append(lambda df, batch_id: df.show(df.count(), truncate=False))
+    elif console:
+        outputs.append(print_sample())
+    return train_and_score_stream(
+        checked_points(lines), init, params, [fan_out(*outputs, persist=len(outputs) > 1)], score_with="after",
+        state_path=state_path, checkpoint=checkpoint, trigger=trigger,
+        query_name=name, rejects=_rejects(rejects_dir or f"{out_dir.rstrip('/')}-rejects"), log=log.info)
+
+
 def structured_job(spark: SparkSession, lines, out_dir: str, seed: int = 0,
                    state_path: str | None = None, checkpoint: str | None = None,
-                   trigger: dict | None = None, console: bool = False):
+                   trigger: dict | None = None, console: bool | str = False,
+                   writer: str = "lines", rejects_dir: str | None = None):
     """Start the structured job on a streaming frame of JSON lines; returns
-    ``(query, trainer)``."""
+    ``(query, trainer)``.  ``console``: True shows a sample of each batch,
+    ``"full"`` every row untruncated."""
     init = random_state(spark, K, DIM, W0_STRUCTURED, seed)
-    outputs = [_labelled_lines(out_dir)] + ([print_sample()] if console else [])
-    return train_and_score_stream(
-        points_stream(lines), init, UpdateParams(decay=DECAY),
-        [fan_out(*outputs, persist=False)], score_with="after",
-        state_path=state_path, checkpoint=checkpoint, trigger=trigger,
-        query_name="fadeclust-structured-job")
+    return _start(spark, lines, out_dir, init, UpdateParams(decay=DECAY), trigger, console, writer,
+                  rejects_dir, state_path, checkpoint, "fadeclust-structured-job")
 
 
 def interval_job(spark: SparkSession, lines, out_dir: str, seed: int = 0,
                  state_path: str | None = None, checkpoint: str | None = None,
-                 trigger: dict | None = None):
+                 trigger: dict | None = None, console: bool | str = True,
+                 writer: str = "lines", rejects_dir: str | None = None):
     """Start the interval job (1 s batches unless ``trigger`` says otherwise)."""
     init = random_state(spark, K, DIM, W0_INTERVAL, seed)
-    return train_and_score_stream(
-        points_stream(lines), init, UpdateParams(decay=DECAY, split_dying=True),
-        [fan_out(_labelled_lines(out_dir), print_sample(), persist=False)],
-        score_with="after", state_path=state_path, checkpoint=checkpoint,
-        trigger=trigger or {"processingTime": "1 second"},
-        query_name="fadeclust-interval-job")
+    return _start(spark, lines, out_dir, init, UpdateParams(decay=DECAY, split_dying=True),
+                  trigger or {"processingTime": "1 second"}, console, writer,
+                  rejects_dir, state_path, checkpoint, "fadeclust-interval-job")
 
 
 def main(argv=None):
@@ -74,6 +103,9 @@ def main(argv=None):
     ap.add_argument("--option", action="append", default=[], metavar="KEY=VALUE",
                     help="source option, e.g. host=localhost or port=9999")
     ap.add_argument("--out", required=True, help="folder for labelled JSON lines")
+    ap.add_argument("--rejects", help="folder for lines that are no valid point")
+    ap.add_argument("--writer", choices=["lines", "rows"], default="lines")
+    ap.add_argument("--console", choices=["sample", "full"], help="also show each batch")
     ap.add_argument("--seed", type=int, default=0)
     ap.add_argument("--state", help="state table folder (default: a new folder "
                     "under spark.checkpoint.dir)")
@@ -87,7 +119,8 @@ def main(argv=None):
     job = structured_job if args.job == "structured" else interval_job
     query, trainer = job(spark, lines, args.out, args.seed,
                          state_path=args.state or fresh_dir(spark, f"{args.job}-state"),
-                         checkpoint=args.checkpoint,
+                         checkpoint=args.checkpoint, writer=args.writer, rejects_dir=args.rejects,
+                         console={"sample": True, "full": "full", None: False}[args.console],
                          trigger={"availableNow": True} if args.once else None)
     query.awaitTermination()
     return trainer

@@ -71,30 +71,54 @@ def fresh_dir(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark)}/fadeclust/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
-def hadoop_fs(spark: SparkSession, path: str):
-    """Hadoop FileSystem and Path for ``path`` (works for file:, hdfs:, s3a:)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs, p
-
-
-def write_small_text(spark: SparkSession, directory: str, name: str, text: str) -> None:
-    """Publish a small driver-side file as ``directory/name`` (plus
-    ``_SUCCESS``) with one rename, replacing an earlier version.  For
-    model-sized or one-row outputs, where a Spark write job would cost more
-    than the data."""
-    tmp = f"{directory.rstrip('/')}.tmp-{uuid.uuid4().hex}"
-    for fname, body in ((name, text), ("_SUCCESS", "")):
-        fs, p = hadoop_fs(spark, f"{tmp}/{fname}")
-        out = fs.create(p, True)
-        try:
-            out.write(bytearray(body.encode("utf-8")))
-        finally:
-            out.close()
-    fs, final = hadoop_fs(spark, directory)
-    if fs.exists(final):
-        fs.delete(final, True)
-    _, tmp_p = hadoop_fs(spark, tmp)
-    if not fs.rename(tmp_p, final):
-        raise OSError(f"could not publish {directory}")
+def arrow_fs(uri: str):
+    """``(pyarrow FileSystem, path)`` for a URI Spark would accept: local
+    paths, ``file:/..``, ``hdfs://..``, ``s3://..``.  Usable on the driver and
+    inside tasks."""
+    import pyarrow.fs as pafs
+    if uri.startswith("file:") and not uri.startswith("file://"):
+        uri = "file://" + uri[len("file:"):]
+    if "://" not in uri:
+        return pafs.LocalFileSystem(), uri
+    return pafs.FileSystem.from_uri(uri)
+
+
+def list_dir(uri: str, recursive: bool = False) -> list:
+    """File infos below a folder; empty if there is no such folder."""
+    import pyarrow.fs as pafs
+    fs, base = arrow_fs(uri)
+    return fs.get_file_info(pafs.FileSelector(base, allow_not_found=True, recursive=recursive))
+
+
+def remove_dir(uri: str) -> None:
+    """Delete a folder this library made (a staged copy no longer needed)."""
+    fs, base = arrow_fs(uri)
+    if fs.get_file_info(base).type != 0:
+        fs.delete_dir(base)
+
+
+def read_small_text(uri: str) -> str | None:
+    """The text of a small file, or None if it does not exist."""
+    fs, base = arrow_fs(uri)
+    if fs.get_file_info(base).type == 0:
+        return None
+    with fs.open_input_stream(base) as f:
+        return f.read().decode("utf-8")
+
+
+def write_small_text(root: str, name: str, text: str) -> None:
+    """Publish a small driver-side file ``root/name`` whole: it is written
+    under ``root/_tmp`` (a name that Spark's readers skip) and moved over an
+    earlier version in one step, which is never deleted first.  A file that
+    already holds this text is left alone, so a re-run batch changes nothing.
+    For model-sized or one-row outputs."""
+    if read_small_text(f"{root}/{name}") == text:
+        return
+    fs, base = arrow_fs(root)
+    tmp = f"{base}/_tmp/{uuid.uuid4().hex}"
+    fs.create_dir(f"{base}/_tmp", recursive=True)
+    with fs.open_output_stream(tmp) as out:
+        out.write(text.encode("utf-8"))
+    final = f"{base}/{name}"
+    fs.create_dir(final.rsplit("/", 1)[0], recursive=True)
+    fs.move(tmp, final)

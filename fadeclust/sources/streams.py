@@ -16,8 +16,8 @@ import urllib.parse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.points import parse_valid_points
-from ..session import fresh_dir, hadoop_fs
+from ..functions.points import REASON_COL, check_points, parse_valid_points
+from ..session import arrow_fs, fresh_dir, list_dir
 
 
 def read_lines_stream(spark: SparkSession, fmt: str = "socket",
@@ -42,6 +42,13 @@ def points_stream(lines: DataFrame, line_col: str = "value") -> DataFrame:
         "features", F.array("x", "y"))
 
 
+def checked_points(lines: DataFrame, line_col: str = "value") -> DataFrame:
+    """Every line, with ``x``, ``y``, ``features`` and ``reject_reason`` (NULL
+    for a valid point): the input of a training query with a reject output."""
+    return check_points(lines, line_col).withColumn(
+        "features", F.when(F.col(REASON_COL).isNull(), F.array("x", "y")))
+
+
 _STAGE_COL = "__batch"
 
 
@@ -67,17 +74,16 @@ class Replay:
            .hint("rebalance", _STAGE_COL)
            .write.mode("overwrite").partitionBy(_STAGE_COL).parquet(self.staged))
         self.schema = df.schema
-        fs, p = hadoop_fs(self.spark, self.source)
-        fs.mkdirs(p)
+        fs, p = arrow_fs(self.source)
+        fs.create_dir(p, recursive=True)
         self._dirs = self._ordered_dirs(key_type)
         self.fed = 0
 
     def _ordered_dirs(self, key_type: str):
-        fs, p = hadoop_fs(self.spark, self.staged)
         dirs = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith(_STAGE_COL + "="):
+        for info in list_dir(self.staged):
+            name = info.base_name
+            if name.startswith(_STAGE_COL + "="):
                 raw = urllib.parse.unquote(name.split("=", 1)[1])
                 if raw == "__HIVE_DEFAULT_PARTITION__":
                     raise ValueError(f"batch key {self.batch_col} must not be NULL")
@@ -100,10 +106,9 @@ class Replay:
         if self.fed >= len(self._dirs):
             return False
         _, name = self._dirs[self.fed]
-        fs, src = hadoop_fs(self.spark, f"{self.staged}/{name}")
-        _, dst = hadoop_fs(self.spark, f"{self.source}/batch-{self.fed:09d}")
-        if not fs.rename(src, dst):
-            raise OSError(f"could not move {src} to {dst}")
+        fs, src = arrow_fs(f"{self.staged}/{name}")
+        _, dst = arrow_fs(f"{self.source}/batch-{self.fed:09d}")
+        fs.move(src, dst)
         self.fed += 1
         return True
 

@@ -3,21 +3,26 @@
 ``spark.dataSource.register(JsonLinesSink)`` makes
 ``df.writeStream.format("jsonl_points").option("path", p).start()`` work.
 Each task writes its rows (one string column, normally ``to_json`` output made
-on the JVM side) as Arrow batches to a temporary file; the driver's ``commit``
-moves the files of batch N into ``p/batch_id=N``, replacing an earlier
-attempt, and ``abort`` deletes them.  The path must be on a filesystem all
+on the JVM side) to a file of its own under ``p/data``; the driver's
+``commit`` publishes ``p/_batches/N.json``, the list of batch N's files, in one
+step, replacing the list of an earlier attempt.  Files are never moved, and
+:func:`read_committed` reads listed files alone, so what a failed or repeated
+task leaves behind is never seen.  The path must be on a filesystem all
 executors and the driver reach (local, HDFS or an object store through
 ``pyarrow.fs``).
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import dataclass
 
 from pyspark.sql.datasource import (DataSource, DataSourceStreamArrowWriter,
                                     WriterCommitMessage)
 
+from ..session import arrow_fs, list_dir, read_small_text, write_small_text
+
 
 @dataclass
 class _Written(WriterCommitMessage):
@@ -30,44 +35,40 @@ class JsonLinesStreamWriter(DataSourceStreamArrowWriter):
         self.column = column
 
     def write(self, iterator):
-        from pyspark import TaskContext
+        import pyarrow as pa
+        import pyarrow.compute as pc
 
-        from .sinks import arrow_fs
-        ctx = TaskContext.get()
-        part = ctx.partitionId() if ctx else 0
         fs, base = arrow_fs(self.path)
-        tmp_dir = f"{base}/_tmp"
-        fs.create_dir(tmp_dir, recursive=True)
-        name = f"{tmp_dir}/part-{part:05d}-{uuid.uuid4().hex}.jsonl"
-        with fs.open_output_stream(name) as fh:
+        fs.create_dir(f"{base}/data", recursive=True)
+        name = f"part-{uuid.uuid4().hex}.jsonl"
+        rows = 0
+        with fs.open_output_stream(f"{base}/data/{name}") as fh:
             for batch in iterator:
                 col = batch.column(self.column) if self.column else batch.column(0)
-                vals = col.to_pylist()
-                if vals:
-                    fh.write(("\n".join("" if v is None else str(v) for v in vals)
-                              + "\n").encode("utf-8"))
-        return _Written([name])
+                if len(col):
+                    lines = pc.fill_null(col.cast(pa.string()), "")
+                    joined = pc.binary_join(pa.ListArray.from_arrays([0, len(lines)], lines), "\n")
+                    fh.write(joined[0].as_buffer())
+                    fh.write(b"\n")
+                    rows += len(col)
+        return _Written([name] if rows else [])
 
     def commit(self, messages, batchId) -> None:
-        from .sinks import arrow_fs
-        fs, base = arrow_fs(self.path)
-        out = f"{base}/batch_id={int(batchId)}"
-        staging = f"{out}.inprogress-{uuid.uuid4().hex}"
-        fs.create_dir(staging, recursive=True)
-        for m in messages:
-            for f in (m.files if m is not None else []):
-                fs.move(f, f"{staging}/{f.rsplit('/', 1)[-1]}")
-        if fs.get_file_info(out).type != 0:        # exists: a replayed batch
-            fs.delete_dir(out)
-        fs.move(staging, out)
+        files = sorted(f for m in messages if m is not None for f in m.files)
+        write_small_text(self.path, f"_batches/{int(batchId)}.json", json.dumps(files))
 
     def abort(self, messages, batchId) -> None:
-        from .sinks import arrow_fs
-        fs, _ = arrow_fs(self.path)
-        for m in messages:
-            for f in (m.files if m is not None else []):
-                if fs.get_file_info(f).type != 0:
-                    fs.delete_file(f)
+        """Files of a failed batch are in no list."""
+
+
+def read_committed(spark, path: str):
+    """The lines (``value``) of all committed batches."""
+    names = []
+    for info in list_dir(f"{path.rstrip('/')}/_batches"):
+        names += json.loads(read_small_text(f"{path.rstrip('/')}/_batches/{info.base_name}"))
+    if not names:
+        return spark.createDataFrame([], "value string")
+    return spark.read.text([f"{path.rstrip('/')}/data/{n}" for n in names])
 
 
 class JsonLinesSink(DataSource):

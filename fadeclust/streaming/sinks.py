@@ -10,13 +10,14 @@ slow path, kept for line-oriented receivers; bulk outputs should use
 from __future__ import annotations
 
 import json
+import re
 import socket
 import uuid
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql.types import LongType, StructField, StructType
 
-from ..session import write_small_text
+from ..session import arrow_fs, list_dir, write_small_text
 
 DISTINCT_SCHEMA = StructType([StructField("batch_id", LongType(), False),
                               StructField("distinct_count", LongType(), False)])
@@ -68,8 +69,8 @@ def batch_distinct_count(path: str):
     result is published from the driver without a second job."""
     def count(df: DataFrame, batch_id: int) -> None:
         n = df.distinct().count()
-        write_small_text(df.sparkSession, f"{path}/batch_id={int(batch_id)}",
-                         "part-00000.json", json.dumps({"distinct_count": int(n)}) + "\n")
+        write_small_text(path, f"batch_id={int(batch_id)}/part-00000.json",
+                         json.dumps({"distinct_count": int(n)}) + "\n")
     return count
 
 
@@ -93,32 +94,35 @@ def fan_out(*funcs, persist: bool = True):
 
 # ---- K2: row writer ------------------------------------------------------------
 
-def arrow_fs(uri: str):
-    """``(pyarrow FileSystem, path)`` for a URI Spark would accept: local
-    paths, ``file:/..``, ``hdfs://..``, ``s3://..`` (usable inside tasks,
-    where the JVM's Hadoop client is not reachable)."""
-    import pyarrow.fs as pafs
-    if uri.startswith("file:") and not uri.startswith("file://"):
-        uri = "file://" + uri[len("file:"):]
-    if "://" not in uri:
-        return pafs.LocalFileSystem(), uri
-    return pafs.FileSystem.from_uri(uri)
-
-
 class FileLineTransport:
-    """Lines to ``<dir>/part-<partition>-<epoch>.txt`` on a shared filesystem
-    (local, HDFS or object store through ``pyarrow.fs``).  Written to a
-    temporary name and moved on success, so a retried task replaces its own
-    file and a failed one leaves nothing visible."""
+    """Lines to ``<dir>/epoch=<epoch>/<run>-part-<partition>.txt`` on a shared
+    filesystem (local, HDFS or object store through ``pyarrow.fs``).
+
+    Written to a ``_``-prefixed name (which readers skip) and moved on success,
+    so a retried task replaces its own file and a failed one leaves nothing
+    visible.  The run is the streaming query's run id: when an epoch is run
+    again after a restart, its tasks remove what the run before left there, so
+    a re-run with fewer partitions leaves no stale rows."""
 
     def __init__(self, directory: str):
         self.directory = directory
 
     def open(self, partition_id: int, epoch_id: int):
+        from pyspark import TaskContext
+        ctx = TaskContext.get()
+        run = (ctx.getLocalProperty("spark.jobGroup.id") if ctx else None) or "run"
+        run = "".join(c for c in run if c.isalnum())
         self._fs, base = arrow_fs(self.directory)
-        self._fs.create_dir(base, recursive=True)
-        self._final = f"{base}/part-{partition_id:05d}-{epoch_id:09d}.txt"
-        self._tmp = f"{base}/.tmp-{uuid.uuid4().hex}"
+        folder = f"{base}/epoch={epoch_id:09d}"
+        self._fs.create_dir(folder, recursive=True)
+        for info in list_dir(f"{self.directory}/epoch={epoch_id:09d}"):
+            if not info.base_name.startswith(("_", run)):
+                try:
+                    self._fs.delete_file(info.path)
+                except FileNotFoundError:
+                    pass        # another task of this run was faster
+        self._final = f"{folder}/{run}-part-{partition_id:05d}.txt"
+        self._tmp = f"{folder}/_{uuid.uuid4().hex}"
         self._fh = self._fs.open_output_stream(self._tmp)
 
     def send(self, data: bytes) -> None:
@@ -165,7 +169,6 @@ class LineWriter:
         if len(row) == 1:
             text = "" if row[0] is None else str(row[0])
         else:
-            import json
             text = json.dumps(row.asDict(recursive=True), default=str)
         self.transport.send((text + "\n").encode("utf-8"))
 
@@ -173,6 +176,27 @@ class LineWriter:
         self.transport.close(error)
 
 
+def write_rows(transport, to_value=None):
+    """K2 as a batch function: each partition of the batch goes row by row
+    through :class:`LineWriter`."""
+    def write(df: DataFrame, batch_id: int) -> None:
+        def send(rows):
+            from pyspark import TaskContext
+            writer = LineWriter(transport)
+            writer.open(TaskContext.get().partitionId(), int(batch_id))
+            error = None
+            try:
+                for row in rows:
+                    writer.process(row)
+            except Exception as e:
+                error = e
+                raise
+            finally:
+                writer.close(error)
+        (to_value(df) if to_value else df).foreachPartition(send)
+    return write
+
+
 # ---- W1/W2 on a stream: rolling display tables ---------------------------------
 
 def display_window(path: str, order_cols, n: int = 90, label_col: str = "prediction",
@@ -189,28 +213,21 @@ def display_window(path: str, order_cols, n: int = 90, label_col: str = "predict
     """
     from pyspark.sql import functions as F
 
-    from ..operators.views import latest_center, latest_n
+    from ..operators.views import latest_n
 
     order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
 
     def previous(spark, kind: str, batch_id: int):
-        from ..session import hadoop_fs
-        fs, p = hadoop_fs(spark, f"{path}/{kind}")
-        if not fs.exists(p):
-            return None
-        ids = sorted(int(st.getPath().getName().split("=", 1)[1])
-                     for st in fs.listStatus(p)
-                     if st.getPath().getName().startswith("batch_id="))
-        ids = [i for i in ids if i < batch_id]
+        ids = [i for i in _window_ids(f"{path}/{kind}") if i < batch_id]
         return spark.read.parquet(f"{path}/{kind}/batch_id={ids[-1]}") if ids else None
 
     def write(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
         batch_id = int(batch_id)
         points = latest_n(df, order_cols, n)
-        centers = latest_center(df, label_col, order_cols, center_col).join(
-            df.groupBy(label_col).agg(F.max(F.struct(*order_cols)).alias("__seq")),
-            label_col)
+        seq = F.struct(*order_cols)
+        centers = df.groupBy(label_col).agg(
+            F.max_by(center_col, seq).alias(center_col), F.max(seq).alias("__seq"))
         prev_p = previous(spark, "points", batch_id)
         prev_c = previous(spark, "centers", batch_id)
         if prev_p is not None:
@@ -226,13 +243,15 @@ def display_window(path: str, order_cols, n: int = 90, label_col: str = "predict
     return write
 
 
+def _window_ids(path: str) -> list[int]:
+    """Batches whose window was written whole (Spark's ``_SUCCESS`` is there)."""
+    done = (re.search(r"/batch_id=(\d+)/_SUCCESS$", i.path) for i in list_dir(path, recursive=True))
+    return sorted(int(m[1]) for m in done if m)
+
+
 def read_display(spark, path: str, batch_id: int | None = None):
     """``(points, centers)`` of the display window after ``batch_id``
     (default: the newest)."""
-    from ..session import hadoop_fs
-    fs, p = hadoop_fs(spark, f"{path}/points")
-    ids = sorted(int(st.getPath().getName().split("=", 1)[1]) for st in fs.listStatus(p)
-                 if st.getPath().getName().startswith("batch_id="))
-    b = ids[-1] if batch_id is None else int(batch_id)
+    b = _window_ids(f"{path}/centers")[-1] if batch_id is None else int(batch_id)
     return (spark.read.parquet(f"{path}/points/batch_id={b}"),
             spark.read.parquet(f"{path}/centers/batch_id={b}").drop("__seq"))

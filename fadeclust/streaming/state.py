@@ -1,70 +1,65 @@
 """The model state table.
 
-One partition per micro-batch: ``<path>/batch_id=N/part-00000.json`` holds the
-k rows ``(label, center, weight)`` of the model after batch N (JSON lines,
+One file per micro-batch, ``<path>/batch_id=N/part-00000.json``, holds the k
+rows ``(label, center, weight)`` of the model after batch N (JSON lines,
 doubles written with their shortest exact representation).  State N is
-computed from state N-1 and batch N only, and a partition is published by one
-directory rename, so a batch that is replayed after a failure rewrites the
-same partition with the same rows and a reader never sees half a model.
+computed from state N-1 and batch N only.  A file is written under
+``<path>/_tmp`` and moved to its place in one step, so a reader sees a whole
+model or none, and a batch that is replayed after a failure leaves the same
+rows.  Only such files count as committed: whatever else a crash leaves in the
+folder is skipped.
 
-The rows are model-sized (k per batch), so they are written through the
-Hadoop FileSystem API from the driver rather than by a Spark job; Spark reads
-the table back with ``spark.read.json``.
+With ``retain=n`` only the newest n models are kept (a query that runs for
+years in short batches needs the last one alone); without it all are kept and
+:meth:`StateTable.history` reads every batch.
 """
 
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ..operators.model import STATE_SCHEMA, ModelState
-from ..session import hadoop_fs, write_small_text
+from ..session import list_dir, read_small_text, remove_dir, write_small_text
 
 _PART = "part-00000.json"
+_COMMITTED = re.compile(rf"/batch_id=(-?\d+)/{re.escape(_PART)}$")
 
 
 class StateTable:
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, retain: int | None = None):
+        if retain is not None and retain < 1:
+            raise ValueError("retain must be 1 or more")
         self.spark = spark
         self.path = path.rstrip("/")
+        self.retain = retain
 
     def write(self, state: ModelState) -> None:
         n = int(state.batch_id)
         lines = "".join(
             json.dumps({"label": lab, "center": c, "weight": w}) + "\n"
             for lab, c, w in state.to_rows())
-        write_small_text(self.spark, f"{self.path}/batch_id={n}", _PART, lines)
+        write_small_text(self.path, f"batch_id={n}/{_PART}", lines)
+        if self.retain is not None:
+            for old in self.batch_ids():
+                if old <= n - self.retain:
+                    remove_dir(f"{self.path}/batch_id={old}")
 
     def batch_ids(self) -> list[int]:
-        """Committed batch ids (directory listing, no job)."""
-        fs, p = hadoop_fs(self.spark, self.path)
-        if not fs.exists(p):
-            return []
-        ids = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith("batch_id="):
-                ids.append(int(name.split("=", 1)[1]))
-        return sorted(ids)
+        """Committed batch ids (folder listing, no job)."""
+        found = (_COMMITTED.search(i.path) for i in list_dir(self.path, recursive=True))
+        return sorted(int(m[1]) for m in found if m)
 
     def read(self, batch_id: int) -> ModelState:
         """The model after ``batch_id`` (k rows read on the driver, no job)."""
-        fs, p = hadoop_fs(self.spark, f"{self.path}/batch_id={int(batch_id)}/{_PART}")
-        jvm = self.spark.sparkContext._jvm
-        stream = fs.open(p)
-        try:
-            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-            rows = []
-            line = reader.readLine()
-            while line is not None:
-                if line.strip():
-                    rows.append(json.loads(line))
-                line = reader.readLine()
-        finally:
-            stream.close()
+        text = read_small_text(f"{self.path}/batch_id={int(batch_id)}/{_PART}")
+        if text is None:
+            raise FileNotFoundError(f"no model of batch {batch_id} in {self.path}")
+        rows = [json.loads(line) for line in text.splitlines() if line.strip()]
         return ModelState.from_rows(rows, batch_id=batch_id)
 
     def latest_before(self, batch_id: int) -> ModelState | None:
@@ -74,7 +69,10 @@ class StateTable:
     def history(self) -> DataFrame:
         """``(batch_id, label, center, weight)`` of every committed batch."""
         schema = StructType(STATE_SCHEMA.fields + [StructField("batch_id", LongType())])
-        return (self.spark.read.schema(schema)
-                .json(self.path)
+        ids = self.batch_ids()
+        if not ids:
+            return self.spark.createDataFrame([], schema).select("batch_id", "label", "center", "weight")
+        return (self.spark.read.schema(schema).option("basePath", self.path)
+                .json([f"{self.path}/batch_id={i}/{_PART}" for i in ids])
                 .select(F.col("batch_id").cast("long").alias("batch_id"),
                         "label", "center", "weight"))

@@ -10,6 +10,11 @@ One streaming query with one ``foreachBatch`` function does, per micro-batch N:
 4. optionally score the batch with the model before or after the update and
    hand the labelled frame to output functions ``(df, batch_id)``.
 
+Lines that do not parse into a point (see ``sources.streams.checked_points``) are
+handed to the ``rejects`` function with their reason; rows with a NULL or NaN
+feature are labelled like any other (``score_invalid="keep"``) and left out of
+the update alone.
+
 Everything written is keyed by N and overwritten, so a batch that Spark
 re-runs after a failure (same N, same data) yields the same files.
 """
@@ -21,6 +26,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.points import REASON_COL
 from ..operators.assign import assign_nearest, attach_center
 from ..operators.model import ModelState
 from ..operators.update import UpdateParams, train_step
@@ -35,19 +41,24 @@ class StreamTrainer:
                  state_path: str, features_col: str = "features",
                  outputs=(), score_with: str = "after",
                  prediction_col: str = "prediction", center_col: str = "center",
-                 persist_batch: bool = False):
+                 persist_batch: bool = False, rejects=None,
+                 score_invalid: str = "keep", retain: int | None = None,
+                 log=None):
         if score_with not in ("after", "before"):
             raise ValueError("score_with must be 'after' or 'before'")
         self.spark = spark
         self.initial = ModelState(initial.centers, initial.weights, -1)
         self.params = params
-        self.table = StateTable(spark, state_path)
+        self.table = StateTable(spark, state_path, retain)
         self.features_col = features_col
         self.outputs = list(outputs)
         self.score_with = score_with
         self.prediction_col = prediction_col
         self.center_col = center_col
         self.persist_batch = persist_batch
+        self.rejects = rejects
+        self.score_invalid = score_invalid
+        self.log = log
         self._last: ModelState | None = None
 
     def state_before(self, batch_id: int) -> ModelState:
@@ -61,32 +72,54 @@ class StreamTrainer:
                 f"state table {self.table.path} holds batches up to {ids[-1]} but the "
                 f"query is at batch {batch_id}; use the checkpoint that wrote it or a "
                 "new state path")
-        older = [i for i in ids if i < batch_id]
-        return self.table.read(older[-1]) if older else self.initial
+        if batch_id == 0:
+            return self.initial
+        if batch_id - 1 not in ids:
+            raise ValueError(
+                f"state table {self.table.path} has no model of batch {batch_id - 1}; "
+                "training on from an older one would lose that batch's update")
+        return self.table.read(batch_id - 1)
 
     def score(self, df: DataFrame, model: ModelState) -> DataFrame:
         lab = assign_nearest(df, model, self.features_col, self.prediction_col,
-                             method=self.params.method, handle_invalid="skip")
+                             method=self.params.method, handle_invalid=self.score_invalid)
         return attach_center(lab, model, self.prediction_col, self.center_col)
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:
         batch_id = int(batch_id)
         prev = self.state_before(batch_id)
-        if self.persist_batch and self.outputs:
+        persist = self.persist_batch and bool(self.outputs or self.rejects)
+        if persist:
             df = df.persist()
         try:
-            new = train_step(df, prev, self.params, self.features_col, batch_id)
+            good = df
+            if REASON_COL in df.columns:
+                # lines that failed the parse go to the reject output, not to the model
+                good = df.filter(F.col(REASON_COL).isNull()).drop(REASON_COL)
+                if self.rejects is not None:
+                    self.rejects(df.filter(F.col(REASON_COL).isNotNull()), batch_id)
+            new = train_step(good, prev, self.params, self.features_col, batch_id)
             self.table.write(new)
             self._last = new
+            if self.log is not None:
+                self.log(update_line(new))
             if self.outputs:
-                scored = self.score(df, new if self.score_with == "after" else prev)
+                scored = self.score(good, new if self.score_with == "after" else prev)
                 for out in self.outputs:
                     out(scored, batch_id)
         finally:
-            if self.persist_batch and self.outputs:
+            if persist:
                 df.unpersist()
 
 
+def update_line(state: ModelState, shown: int = 100) -> str:
+    """One log line per update: batch, weights and (cut) centers."""
+    centers = "; ".join(
+        f"{i}: w={w:.6g} [" + ",".join(f"{v:.6g}" for v in c[:shown]) + ("..." if len(c) > shown else "") + "]"
+        for i, c, w in state.to_rows())
+    return f"batch {state.batch_id}: {centers}"
+
+
 def _start(df: DataFrame, fn, checkpoint: str | None, trigger: dict | None,
            query_name: str | None):
     spark = df.sparkSession
@@ -102,12 +135,14 @@ def _start(df: DataFrame, fn, checkpoint: str | None, trigger: dict | None,
 def train_stream(df: DataFrame, initial: ModelState, params: UpdateParams,
                  state_path: str | None = None, checkpoint: str | None = None,
                  features_col: str = "features", trigger: dict | None = None,
-                 query_name: str | None = None):
+                 query_name: str | None = None, rejects=None,
+                 retain: int | None = None, log=None):
     """Start a query that trains on ``df`` and keeps the model in a state
     table.  Returns ``(query, trainer)``; ``trainer.table`` reads the state."""
     spark = df.sparkSession
     trainer = StreamTrainer(spark, initial, params,
-                            state_path or fresh_dir(spark, "state"), features_col)
+                            state_path or fresh_dir(spark, "state"), features_col,
+                            rejects=rejects, retain=retain, log=log)
     name = query_name or f"fadeclust-train-{uuid.uuid4().hex[:8]}"
     return _start(df, trainer, checkpoint, trigger, name), trainer
 
@@ -120,14 +155,17 @@ def train_and_score_stream(df: DataFrame, initial: ModelState,
                            features_col: str = "features",
                            trigger: dict | None = None,
                            query_name: str | None = None,
-                           persist_batch: bool = True):
+                           persist_batch: bool = True, rejects=None,
+                           score_invalid: str = "keep",
+                           retain: int | None = None, log=None):
     """Train and label each batch in one query; every output
     function receives the labelled batch (``prediction``, ``center``)."""
     spark = df.sparkSession
     trainer = StreamTrainer(spark, initial, params,
                             state_path or fresh_dir(spark, "state"), features_col,
                             outputs=outputs, score_with=score_with,
-                            persist_batch=persist_batch)
+                            persist_batch=persist_batch, rejects=rejects,
+                            score_invalid=score_invalid, retain=retain, log=log)
     name = query_name or f"fadeclust-score-{uuid.uuid4().hex[:8]}"
     return _start(df, trainer, checkpoint, trigger, name), trainer
 

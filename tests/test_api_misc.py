@@ -79,18 +79,32 @@ def test_model_transform_on_stream(spark):
 
 
 def test_jobs_run_end_to_end(spark):
-    """Both jobs on a text folder: every valid line comes out labelled, the
-    bad lines are dropped, and the model reaches the state table."""
+    """Both jobs on a text folder: every line comes out, labelled or rejected
+    with a reason, each update is logged, and the model reaches the state
+    table; the row writer gives the same lines."""
     import json
+    import logging
+
+    seen = []
+    handler = logging.Handler()
+    handler.emit = lambda r: seen.append(r.getMessage())
+    logging.getLogger("fadeclust.jobs").addHandler(handler)
+    logging.getLogger("fadeclust.jobs").setLevel(logging.INFO)
 
     from fadeclust.jobs import interval_job, structured_job
     d = _lines_dir(spark, LINES)
-    for job in (structured_job, interval_job):
+    lines = LINES + ['{"x":"NaN","y":2}', '{"x":1}']
+    d = _lines_dir(spark, lines)
+    for job, writer, show in ((structured_job, "lines", "full"), (interval_job, "rows", True)):
         out = fresh_dir(spark, "job-out")
+        seen.clear()
         q, trainer = job(spark, read_lines_stream(spark, "text", path=d), out, seed=3,
-                         trigger={"availableNow": True})
+                         trigger={"availableNow": True}, writer=writer, console=show)
         q.awaitTermination()
         recs = [json.loads(r.value) for r in spark.read.text(out).collect()]
+        bad = {r["value"]: r["reason"] for r in (json.loads(r.value) for r in spark.read.text(f"{out}-rejects").collect())}
+        assert bad == {"junk": "no_point", '{"x":"3","y":1}': "bad_field", '{"x":"NaN","y":2}': "not_finite", '{"x":1}': "bad_field"}
+        assert len(seen) == 1 and seen[0].startswith("batch 0: 0: w=")
         assert sorted((r["point"]["x"], r["point"]["y"]) for r in recs) == \
             [(1.0, 1.0), (2.0, 0.0), (3.5, 4.5), (4.5, 4.0)]
         assert all(r["label"] in (0, 1, 2) and set(r["center"]) == {"x", "y"} for r in recs)
