@@ -21,15 +21,16 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .model import MAX_CENTERS, ModelState, centers_array
+from .model import ModelState, centers_array
 
 # k * dim up to which the literal-unrolled expression is used by ``auto``
 # (measured on 600k rows: unrolled wins up to 24, then the generated code
 # grows past what the JIT compiles and the Arrow form is 5-20x faster).
 AUTO_UNROLL_MAX = 24
-# Centers larger than this (bytes) go to tasks as a broadcast variable
-# instead of inside the UDF closure.
-CLOSURE_MAX_BYTES = 1 << 20
+# Centers (values) attached as one literal; larger models are joined.
+LITERAL_MAX_VALUES = 256
+# A centers table up to this many bytes is broadcast, a larger one shuffled.
+ATTACH_BROADCAST_BYTES = 64 << 20
 
 INVALID_MODES = ("keep", "skip", "error")
 
@@ -78,51 +79,82 @@ def _argmin(dists: Column) -> tuple[Column, Column]:
     return label, dist
 
 
-def _arrow_assign(C: np.ndarray, spark=None) -> "callable":
-    """An Arrow UDF returning ``struct<prediction:int, distance:double>``."""
+def feature_matrix(feats, dim: int):
+    """``(n x dim matrix, valid)`` of an Arrow list column; NULL rows are zeros
+    and not valid, NULL entries are NaN, another length raises."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    n = len(feats)
+    valid = ~np.asarray(feats.is_null().to_numpy(zero_copy_only=False))
+    lengths = pc.list_value_length(feats).to_numpy(zero_copy_only=False)
+    bad = valid & (lengths != dim)
+    if np.any(bad):
+        raise ValueError(f"features must have {dim} entries, got {int(lengths[bad][0])}")
+    X = np.zeros((n, dim))
+    if n:
+        flat = feats.filter(pa.array(valid)).flatten().to_numpy(zero_copy_only=False)
+        X[valid] = flat.astype(np.float64, copy=False).reshape(-1, dim)
+    return X, valid
+
+
+# Centers from which a norm bound is tried before a distance is computed.
+PRUNE_MIN_CENTERS = 16
+
+
+def nearest_rows(X: np.ndarray, centers: np.ndarray):
+    """Label and squared distance of each row: a running minimum over the
+    centers, so memory does not depend on k.
+
+    With many centers, rows whose norm bound ``(|x| - |c|)^2`` (V3, less a
+    margin for rounding) already exceeds their minimum are skipped; the result
+    is the same.  NaN distances count as infinite; ties keep the lowest index.
+    """
+    n = len(X)
+    best = np.full(n, np.inf)
+    label = np.zeros(n, dtype=np.int32)
+    prune = len(centers) >= PRUNE_MIN_CENTERS
+    if prune:
+        xn, cn = np.sqrt((X * X).sum(axis=1)), np.sqrt((centers * centers).sum(axis=1))
+    for j, c in enumerate(centers):
+        rows = None
+        if prune and j:
+            bound = (xn - cn[j]) ** 2 - 1e-12 * (xn * xn + cn[j] * cn[j])
+            rows = np.flatnonzero(~(bound > best))
+            if len(rows) == n:
+                rows = None
+        diff = (X if rows is None else X[rows]) - c
+        diff *= diff
+        # cumulative sum = left-to-right order, as the JVM forms add
+        d = np.cumsum(diff, axis=1, out=diff)[:, -1]
+        if rows is None:
+            closer = d < best
+            best[closer] = d[closer]
+            label[closer] = j
+        else:
+            less = d < best[rows]
+            best[rows[less]] = d[less]
+            label[rows[less]] = j
+    return label, best
+
+
+def _arrow_assign(C: np.ndarray) -> "callable":
+    """An Arrow UDF returning ``struct<prediction:int, distance:double>``.  The
+    centers travel with the function (Spark ships a large one as a broadcast
+    of its own and frees it with the function)."""
     import pyarrow as pa
     from pyspark.sql.functions import arrow_udf
 
-    k, dim = C.shape
-    if C.nbytes > CLOSURE_MAX_BYTES and spark is not None:
-        bc = spark.sparkContext.broadcast(C)
-        get_centers = lambda: bc.value
-    else:
-        held = C.copy()
-        get_centers = lambda: held
+    dim = C.shape[1]
+    held = C.copy()
 
     def nearest(feats):
-        import numpy as np_
         import pyarrow as pa_
-        import pyarrow.compute as pc
-
-        centers = get_centers()
-        n = len(feats)
-        valid = ~np_.asarray(feats.is_null().to_numpy(zero_copy_only=False))
-        lengths = pc.list_value_length(feats).to_numpy(zero_copy_only=False)
-        if np_.any(valid & (lengths != dim)):
-            bad = int(lengths[valid & (lengths != dim)][0])
-            raise ValueError(f"features must have {dim} entries, got {bad}")
-        flat = feats.filter(pa_.array(valid)).flatten()
-        X = flat.to_numpy(zero_copy_only=False).astype(np_.float64, copy=False)
-        X = X.reshape(-1, dim)
-        d = np_.empty((X.shape[0], k))
-        for j in range(k):
-            diff = X - centers[j]
-            # cumulative sum = left-to-right order, as the JVM forms add
-            d[:, j] = np_.cumsum(diff * diff, axis=1)[:, -1] if dim > 1 \
-                else (diff * diff)[:, 0]
-        d_clean = np_.where(np_.isnan(d), np_.inf, d)
-        lab = np_.argmin(d_clean, axis=1).astype(np_.int32)
-        dist = d_clean[np_.arange(X.shape[0]), lab]
-        pred_all = np_.zeros(n, dtype=np_.int32)
-        dist_all = np_.zeros(n, dtype=np_.float64)
-        pred_all[valid] = lab
-        dist_all[valid] = dist
-        mask = ~valid
+        X, valid = feature_matrix(feats, dim)
+        lab, dist = nearest_rows(X, held)
         return pa_.StructArray.from_arrays(
-            [pa_.array(pred_all, pa_.int32(), mask=mask),
-             pa_.array(dist_all, pa_.float64(), mask=mask)],
+            [pa_.array(lab, pa_.int32(), mask=~valid),
+             pa_.array(dist, pa_.float64(), mask=~valid)],
             names=["prediction", "distance"])
 
     nearest.__annotations__ = {"feats": pa.Array, "return": pa.Array}
@@ -157,7 +189,7 @@ def nearest_columns(features: str, C: np.ndarray, method: str = "auto",
     k, dim = C.shape
     method = choose_method(k, dim, method)
     if method == "arrow":
-        res = _arrow_assign(C, spark)(F.col(features))
+        res = _arrow_assign(C)(F.col(features))
         return res["prediction"], res["distance"]
     return _argmin(F.expr(distance_sql(features, C, method)))
 
@@ -202,7 +234,7 @@ def assign_nearest(df: DataFrame, centers, features_col: str = "features",
     method = choose_method(k, dim, method)
     tmp = "__nearest"
     if method == "arrow":
-        res = _arrow_assign(C, df.sparkSession)(F.col(fname))
+        res = _arrow_assign(C)(F.col(fname))
         staged = df.select(*names, res.alias(tmp))
         pred = f"{tmp}.prediction"
         dist = f"{tmp}.distance"
@@ -234,21 +266,27 @@ def attach_center(df: DataFrame, centers, label_col: str = "prediction",
                   out: str = "center") -> DataFrame:
     """The center of each row's label as an ``ARRAY<DOUBLE>`` column.
 
-    A model or matrix is attached as one literal array (no join).  A centers
-    *table* is joined on the label with a broadcast hash join, after checking
-    that it holds at most ``MAX_CENTERS`` rows.
+    A small model is attached as one literal array; a larger one, or a centers
+    *table*, is joined on the label: with a broadcast hash join up to
+    ``ATTACH_BROADCAST_BYTES`` (a model is always below it), else with a shuffle
+    join.  A table that repeats a label is refused, as it would repeat rows.
     """
     if isinstance(centers, DataFrame):
-        n = centers.select("label").limit(MAX_CENTERS + 1).count()
-        if n > MAX_CENTERS:
-            raise ValueError(f"centers table holds more than {MAX_CENTERS} rows")
-        side = centers.select(F.col("label").alias(label_col),
-                              F.col("center").alias(out))
-        return df.join(F.broadcast(side), on=label_col, how="left")
+        side = centers.select(F.col("label").alias(label_col), F.col("center").alias(out))
+        n, labels, values = side.agg(F.count(label_col), F.count_distinct(label_col), F.sum(F.size(out))).first()
+        if n != labels:
+            raise ValueError(f"the centers table repeats labels: {n} rows, {labels} labels")
+        small = 8 * (values or 0) + 64 * n <= ATTACH_BROADCAST_BYTES
+        return df.join(F.broadcast(side) if small else side, on=label_col, how="left")
     C = centers.centers if isinstance(centers, ModelState) else centers_array(centers)
-    lit_centers = F.array(*[F.array(*[F.lit(float(v)) for v in row]) for row in C])
-    return df.withColumn(out, F.try_element_at(lit_centers,
-                                                F.col(label_col).cast("int") + 1))
+    if C.size <= LITERAL_MAX_VALUES:
+        lit_centers = F.array(*[F.array(*[F.lit(float(v)) for v in row]) for row in C])
+        return df.withColumn(out, F.try_element_at(lit_centers,
+                                                    F.col(label_col).cast("int") + 1))
+    names = df.columns
+    side = df.sparkSession.createDataFrame(
+        [(i, [float(v) for v in row]) for i, row in enumerate(C)], f"`{label_col}` int, `{out}` array<double>")
+    return df.join(F.broadcast(side), on=label_col, how="left").select(*[_quote(c) for c in names], _quote(out))
 
 
 def cluster_cost(df: DataFrame, label_col: str = "prediction",

@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, LongType,
                                StructField, StructType)
 
-# Largest model (k * dim doubles) that may be shipped to tasks: 4M doubles,
-# 32 MB.  Larger models are refused rather than silently broadcast.
-MAX_MODEL_VALUES = 4_000_000
-# Largest k read back from a centers table.
-MAX_CENTERS = 100_000
+# Largest model (8 * k * dim bytes) that may be shipped to tasks.  A larger one
+# is refused rather than silently broadcast: every task holds the whole model.
+MAX_MODEL_BYTES = 32 << 20
+# Largest k read back from a centers table (one double each at least).
+MAX_CENTERS = MAX_MODEL_BYTES // 8
 
 STATE_SCHEMA = StructType([
     StructField("label", IntegerType(), False),
@@ -34,9 +34,9 @@ HISTORY_SCHEMA = StructType([StructField("batch_id", LongType(), False)]
 def check_model_size(k: int, dim: int) -> None:
     if k <= 0 or dim <= 0:
         raise ValueError(f"model needs k > 0 and dim > 0, got k={k} dim={dim}")
-    if k * dim > MAX_MODEL_VALUES:
+    if 8 * k * dim > MAX_MODEL_BYTES:
         raise ValueError(
-            f"model of k={k} x dim={dim} exceeds {MAX_MODEL_VALUES} values; "
+            f"model of k={k} x dim={dim} exceeds {MAX_MODEL_BYTES} bytes; "
             "it is shipped to every task and must stay bounded")
 
 
@@ -57,7 +57,7 @@ class ModelState:
             raise ValueError("centers must be a k x dim matrix")
         if c.shape[0] != w.shape[0]:
             raise ValueError(
-                "Number of initial centers must be equal to number of weights")
+                f"{c.shape[0]} centers need as many weights, got {w.shape[0]}")
         if np.any(w < 0) or np.any(np.isnan(w)):
             raise ValueError(f"weights must be >= 0, got {w.tolist()}")
         check_model_size(c.shape[0], c.shape[1])
@@ -96,9 +96,11 @@ class ModelState:
                 max_k: int = MAX_CENTERS) -> "ModelState":
         """Read a ``(label, center, weight)`` frame, refusing more than
         ``max_k`` rows (the size check happens before anything is collected)."""
-        rows = df.select("label", "center", "weight").limit(max_k + 1).collect()
-        if len(rows) > max_k:
-            raise ValueError(f"centers table holds more than {max_k} rows")
+        n, values = df.agg(F.count(F.lit(1)), F.sum(F.size("center"))).first()
+        if n > max_k or 8 * (values or 0) > MAX_MODEL_BYTES:
+            raise ValueError(f"centers table holds {n} rows and {8 * (values or 0)} bytes; "
+                             f"at most {max_k} rows and {MAX_MODEL_BYTES} bytes can be a model")
+        rows = df.select("label", "center", "weight").collect()
         return ModelState.from_rows(rows, batch_id)
 
 
@@ -138,9 +140,9 @@ def random_state(spark: SparkSession, k: int, dim: int, weight: float,
     """M6/V9: k centers with N(0, 1) entries drawn by Spark (``randn`` with a
     seed, so a given seed and layout always gives the same centers)."""
     if dim <= 0:
-        raise ValueError(f"Number of dimensions must be positive but got {dim}")
+        raise ValueError(f"dim must be > 0, got {dim}")
     if weight < 0:
-        raise ValueError(f"Weight for each center must be nonnegative but got {weight}")
+        raise ValueError(f"weight must be >= 0, got {weight}")
     check_model_size(k, dim)
     rows = (spark.range(0, k * dim, 1, 1)
             .select("id", F.randn(seed).alias("v")).orderBy("id").collect())

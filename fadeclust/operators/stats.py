@@ -1,26 +1,29 @@
 """Per-cluster count and vector sum.
 
-One ``groupBy(label)`` with map-side partial aggregation: each task sends at
-most k partial rows to the shuffle, so a label holding a third of all points
-costs no more than any other.  Three physical forms:
+Each task adds its points into at most k rows and sends only those to the
+shuffle, so a label holding a third of all points costs no more than any other.
+Three physical forms of the same sums:
 
-``wide``        ``sum(f[0]) .. sum(f[dim-1])`` as codegen'd HashAggregate
-                (low dimension);
-``long``        ``posexplode`` then ``groupBy(label, pos)`` (any dimension);
-``summarizer``  ``pyspark.ml.stat.Summarizer`` sum/count over an ML vector
-                (object aggregation, high dimension).
+``wide``   ``sum(f[0]) .. sum(f[dim-1])`` as codegen'd HashAggregate
+           (low dimension);
+``long``   ``posexplode`` then ``groupBy(label, pos)`` (any dimension);
+``arrow``  Arrow batches added up per task in row order, one row per label and
+           task, added again per label (high dimension, or not known).
 """
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
+import numpy as np
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # dimension up to which ``auto`` uses the wide form (measured on 600k rows,
-# k=3: wide 0.5-5.4 s for 2-128 dims, Summarizer 1.2-9.3 s, long 0.7-27 s);
-# above it, or when dim is unknown, ``auto`` uses the Summarizer
+# k=3: wide 0.5-5.4 s for 2-128 dims, long 0.7-27 s); above it, or when dim is
+# unknown, ``auto`` uses the Arrow form
 AUTO_WIDE_MAX_DIM = 128
+# tasks that add up the partial rows of the Arrow form
+MERGE_PARTITIONS = 8
 
 
 def _features(df: DataFrame, features_col: str):
@@ -39,7 +42,7 @@ def cluster_stats(df: DataFrame, label_col: str = "prediction",
     """``(label INT, n BIGINT, s ARRAY<DOUBLE>)``, one row per non-empty label."""
     f = _features(df, features_col)
     if form == "auto":
-        form = "wide" if dim is not None and dim <= AUTO_WIDE_MAX_DIM else "summarizer"
+        form = "wide" if dim is not None and dim <= AUTO_WIDE_MAX_DIM else "arrow"
     label = F.col(label_col).cast("int").alias("label")
     if form == "wide":
         if dim is None:
@@ -57,17 +60,40 @@ def cluster_stats(df: DataFrame, label_col: str = "prediction",
                 .agg(F.max("n").alias("n"),
                      F.array_sort(F.collect_list(F.struct("pos", "v"))).alias("__pv"))
                 .select("label", "n", F.transform("__pv", lambda e: e["v"]).alias("s")))
-    if form == "summarizer":
-        from pyspark.ml.stat import Summarizer
-        summ = Summarizer.metrics("sum", "count")
-        return (df.select(label, array_to_vector(f).alias("__v"))
-                .groupBy("label")
-                .agg(summ.summary(F.col("__v")).alias("__m"))
-                .select("label", F.col("__m.count").alias("n"),
-                        vector_to_array(F.col("__m.sum"), "float64").alias("s")))
+    if form == "arrow":
+        schema = "label int, n bigint, s array<double>"
+        part = df.select(label, F.lit(1).cast("bigint").alias("n"), f.alias("s")).mapInArrow(_add_rows, schema)
+        return part.repartition(MERGE_PARTITIONS, "label").mapInArrow(_add_rows, schema)
     raise ValueError(f"unknown stats form {form!r}")
 
 
+def _add_rows(batches):
+    """Sum of ``n`` and ``s`` per label over a partition, in row order."""
+    import pyarrow as pa
+    total: dict = {}
+    for batch in batches:
+        labels, counts, vectors = batch.columns
+        vectors = vectors.combine_chunks() if isinstance(vectors, pa.ChunkedArray) else vectors
+        lab = np.array([-1 if v is None else v for v in labels.to_pylist()], dtype=np.int64)
+        n = counts.to_numpy(zero_copy_only=False)
+        offsets = vectors.offsets.to_numpy()
+        flat = vectors.values.to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+        for value in np.unique(lab):
+            rows = np.flatnonzero(lab == value)
+            dim = int(offsets[rows[0] + 1] - offsets[rows[0]])
+            if np.any(offsets[rows + 1] - offsets[rows] != dim):
+                raise ValueError("features of one label differ in size")
+            seen, acc = total.get(int(value), (0, np.zeros(dim)))
+            if len(acc) != dim:
+                raise ValueError("features of one label differ in size")
+            x = flat[offsets[rows][:, None] + np.arange(dim)]
+            total[int(value)] = (seen + int(n[rows].sum()), np.add.accumulate(np.vstack([acc, x]), axis=0)[-1])
+    if total:
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([None if v < 0 else v for v in total], pa.int32()), pa.array([t[0] for t in total.values()], pa.int64()),
+             pa.array([t[1] for t in total.values()], pa.list_(pa.float64()))], ["label", "n", "s"])
+
+
 def stats_long(stats: DataFrame) -> DataFrame:
     """``(label, dim, s, n)``: one row per label and coordinate."""
     return stats.select("label", "n", F.posexplode("s").alias("dim", "s")) \

@@ -5,15 +5,22 @@ after another; each is one Spark job (assign + partial aggregation + a shuffle
 of at most k rows per task) and only k rows come back.  The input is staged
 once, partitioned by the batch key (a ``rebalance`` hint lets AQE split a hot
 batch into several files), so batch b reads only its own partition instead of
-the whole table; the staging write also cuts the lineage.
-
-Scoring a whole table against the history is one pass: the per-batch centers
-(B x k x dim values, size-checked before broadcast) are joined on the batch
-key, no per-batch job.
+the whole table; the staging write also cuts the lineage.  The key itself stays
+an ordinary column, so any type and value (``'01'``, ``''``) comes back as it
+was; the folders are named after its text.
+
+Scoring a table against the history is map-only: a batch number is joined on
+the key (broadcast, one row per batch) and the tasks hold the models of a block
+of batches; a history above ``BLOCK_HISTORY_VALUES`` is scored in blocks of
+consecutive keys, each of which reads only its own range of keys.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
+from dataclasses import asdict
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,12 +29,14 @@ from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, StructField,
 
 from ..operators.model import HISTORY_SCHEMA, ModelState
 from ..operators.update import UpdateParams, train_step
-from ..session import fresh_dir, hadoop_fs
+from ..session import arrow_fs, fresh_dir, read_small_text, remove_dir, write_small_text
 
 # Most batches a fold accepts (the keys are collected to order them).
 MAX_BATCHES = 1_000_000
-# Largest history (values) broadcast to score a table in one pass.
-MAX_BROADCAST_HISTORY_VALUES = 8_000_000
+# History values (batches x k x dim) that a task holds while scoring: 64 MB.
+BLOCK_HISTORY_VALUES = 8_000_000
+# Folder column of a staged table: the key's text after a letter.
+STAGE_COL = "__batch"
 
 
 def batch_keys(df: DataFrame, batch_col: str) -> list:
@@ -41,17 +50,30 @@ def batch_keys(df: DataFrame, batch_col: str) -> list:
     return sorted(keys)
 
 
+def _stage_name(key) -> "F.Column":
+    return F.concat(F.lit("k"), (F.col(key) if isinstance(key, str) else key).cast("string"))
+
+
 def stage_by_batch(df: DataFrame, batch_col: str, path: str | None = None) -> DataFrame:
-    """Write ``df`` once partitioned by ``batch_col`` and read it back.  A
-    given ``path`` that already holds a committed copy (``_SUCCESS``) is
-    reused, so a restarted fold does not stage again."""
+    """Write ``df`` once partitioned by ``batch_col`` and read it back with its
+    own schema (plus ``__batch``, the folder).  A given ``path`` that already
+    holds a committed copy (``_SUCCESS``) is reused, so a restarted fold does
+    not stage again."""
     spark = df.sparkSession
     path = path or fresh_dir(spark, "staged")
-    fs, done = hadoop_fs(spark, f"{path}/_SUCCESS")
-    if not fs.exists(done):
-        (df.hint("rebalance", batch_col)
-           .write.mode("overwrite").partitionBy(batch_col).parquet(path))
-    return spark.read.parquet(path)
+    out = df.withColumn(STAGE_COL, _stage_name(batch_col))
+    fs, base = arrow_fs(path)
+    if fs.get_file_info(f"{base}/_SUCCESS").type == 0:
+        (out.hint("rebalance", STAGE_COL)
+            .write.mode("overwrite").partitionBy(STAGE_COL).parquet(path))
+    return spark.read.schema(out.schema).parquet(path).select(*df.columns, STAGE_COL)
+
+
+def _batch_of(df: DataFrame, batch_col: str, key) -> DataFrame:
+    """The rows of one batch; a staged table is pruned to its folder."""
+    lit = F.lit(key).cast(df.schema[batch_col].dataType)
+    rows = df.filter(F.col(batch_col) == lit)
+    return rows.filter(F.col(STAGE_COL) == _stage_name(lit)) if STAGE_COL in df.columns else rows
 
 
 def fold_batches(df: DataFrame, batch_col: str, state: ModelState,
@@ -81,80 +103,94 @@ def history_long(spark, history: list[ModelState]) -> DataFrame:
              "center", "weight")
 
 
+def _fingerprint(df: DataFrame, batch_col: str, features_col: str, state: ModelState,
+                 params: UpdateParams) -> str:
+    """What a resumed fold must have in common with the one it resumes: schema,
+    parameters, initial model, and number and hash sum of the input rows."""
+    n, h = df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(batch_col, features_col).cast("decimal(38,0)"))).first()
+    model = hashlib.sha256(state.centers.tobytes() + state.weights.tobytes()).hexdigest()
+    return json.dumps({
+        "schema": [[f.name, f.dataType.simpleString()] for f in df.schema.fields],
+        "batch_col": batch_col, "params": asdict(params), "initial": [state.k, state.dim, model],
+        "rows": int(n), "hash": str(h)}, sort_keys=True)
+
+
 def fit_fold(df: DataFrame, batch_col: str, state: ModelState,
              params: UpdateParams, features_col: str = "features",
              stage: bool = True,
-             checkpoint_dir: str | None = None) -> tuple[list, list[ModelState]]:
+             checkpoint_dir: str | None = None,
+             keep_history: bool = True) -> tuple[list, list[ModelState]]:
     """Like :func:`fold_batches` but also returns the batch keys in order.
 
     With ``checkpoint_dir`` (a shared folder) the fold survives a driver
     restart: the staged input is kept under ``<dir>/staged`` and the model
     after every batch under ``<dir>/state`` (one atomic publish per batch); a
-    rerun with the same arguments reuses both and resumes after the last
-    committed batch.
+    rerun reuses both and resumes after the last committed batch.  It is
+    refused if schema, parameters, initial model or input rows (a late batch,
+    say) differ from those of the first run.  Otherwise the staged copy is
+    removed at the end.
+
+    The history is one model per batch on the driver; ``keep_history=False``
+    returns the last one alone (the others are in the state table, if any).
     """
-    src = df.select(batch_col, features_col)
-    if stage:
-        src = stage_by_batch(src, batch_col,
-                             f"{checkpoint_dir}/staged" if checkpoint_dir else None)
-    keys = batch_keys(src, batch_col)
-    table = None
-    done: set[int] = set()
+    src = df.select(batch_col, features_col, *([STAGE_COL] if STAGE_COL in df.columns else []))
+    table, done, staged = None, set(), None
     if checkpoint_dir:
         from ..streaming.state import StateTable
+        mark = _fingerprint(src, batch_col, features_col, state, params)
+        before = read_small_text(f"{checkpoint_dir}/fold.json")
+        if before is not None and before != mark:
+            old, new = json.loads(before), json.loads(mark)
+            raise ValueError(f"{checkpoint_dir} belongs to another fold: "
+                             + ", ".join(k for k in new if old.get(k) != new[k]) + " changed")
+        write_small_text(checkpoint_dir, "fold.json", mark)
         table = StateTable(df.sparkSession, f"{checkpoint_dir}/state")
         done = set(table.batch_ids())
+    if stage and STAGE_COL not in df.columns:
+        staged = f"{checkpoint_dir}/staged" if checkpoint_dir else fresh_dir(df.sparkSession, "staged")
+        src = stage_by_batch(src, batch_col, staged)
+    keys = batch_keys(src, batch_col)
     history = []
     for i, key in enumerate(keys):
         if i in done:
             state = table.read(i)
         else:
-            state = train_step(src.filter(F.col(batch_col) == F.lit(key)), state,
+            state = train_step(_batch_of(src, batch_col, key), state,
                                params, features_col, batch_id=i)
             if table is not None:
                 table.write(state)
+        if not keep_history:
+            history.clear()
         history.append(state)
+    if staged and not checkpoint_dir:
+        remove_dir(staged)
     return keys, history
 
 
-def _history_arrow_udf(H: np.ndarray, spark):
+def _history_arrow_udf(H: np.ndarray):
     """Arrow UDF ``(features, batch index) -> struct<prediction, center>``
-    against the per-batch centers ``H`` (B x k x dim), shipped once as a
-    broadcast variable (its size is checked by the caller)."""
+    against the per-batch centers ``H`` (B x k x dim), shipped with the
+    function (its size is bounded by the caller).  A running minimum over the
+    centers keeps one distance and one label per row."""
     import pyarrow as pa
     from pyspark.sql.functions import arrow_udf
 
-    bc = spark.sparkContext.broadcast(H)
     dim = H.shape[2]
 
     def nearest(feats, bidx):
-        import numpy as np_
         import pyarrow as pa_
-        import pyarrow.compute as pc
 
-        hist = bc.value
+        from ..operators.assign import feature_matrix, nearest_rows
         n = len(feats)
-        valid = ~np_.asarray(feats.is_null().to_numpy(zero_copy_only=False))
-        lengths = pc.list_value_length(feats).to_numpy(zero_copy_only=False)
-        if np_.any(valid & (lengths != dim)):
-            raise ValueError(f"features must have {dim} entries")
-        X = np_.zeros((n, dim))
-        X[valid] = feats.filter(pa_.array(valid)).flatten().to_numpy(
-            zero_copy_only=False).reshape(-1, dim)
+        X, valid = feature_matrix(feats, dim)
         B = bidx.to_numpy(zero_copy_only=False)
-        pred = np_.zeros(n, dtype=np_.int32)
-        cent = np_.zeros((n, dim))
-        for b in np_.unique(B[valid]):
-            rows = np_.nonzero(valid & (B == b))[0]
-            C = hist[int(b)]
-            d = np_.stack([np_.cumsum((X[rows] - c) ** 2, axis=1)[:, -1] for c in C], axis=1)
-            d = np_.where(np_.isnan(d), np_.inf, d)
-            lab = np_.argmin(d, axis=1)
-            pred[rows] = lab
-            cent[rows] = C[lab]
+        pred = np.zeros(n, dtype=np.int32)
+        for b in np.unique(B[valid]):
+            rows = np.flatnonzero(valid & (B == b))
+            pred[rows] = nearest_rows(X[rows], H[int(b)])[0]
         centers = pa_.ListArray.from_arrays(
-            pa_.array(np_.arange(0, (n + 1) * dim, dim, dtype=np_.int32)),
-            pa_.array(cent.ravel()))
+            pa_.array(np.arange(0, (n + 1) * dim, dim, dtype=np.int32)),
+            pa_.array(H[B, pred].ravel()))
         return pa_.StructArray.from_arrays(
             [pa_.array(pred, pa_.int32()), centers], names=["prediction", "center"])
 
@@ -167,63 +203,82 @@ def score_with_history(df: DataFrame, batch_col: str, keys: list,
                        score_with: str = "after", features_col: str = "features",
                        prediction_col: str = "prediction",
                        center_col: str = "center", method: str = "auto") -> DataFrame:
-    """T4/T5: label every row with the model of its batch.
+    """T4/T5: label every row with the model of its batch; no row is dropped.
 
     ``after``: the model updated by the row's own batch (the DStream order);
-    ``before``: the model in force when the batch arrived.  One pass over the
-    data joined on the batch key with the per-batch model.  ``hof`` computes
+    ``before``: the model in force when the batch arrived.  ``hof`` computes
     the distances with higher-order functions against the joined centers;
     ``arrow`` joins only a batch index and evaluates an Arrow UDF against the
-    whole history shipped once (faster from k * dim above 24, as measured for
-    assignment); ``auto`` picks by k * dim.
+    models; ``auto`` picks by k * dim.  Both follow one rule: NULL features, or
+    NaN or NULL among them, give label 0 and its center; another number of
+    features than the model's fails, as does a row whose batch has no model.
     """
     if score_with not in ("after", "before"):
         raise ValueError("score_with must be 'after' or 'before'")
     models = history if score_with == "after" else [initial] + history[:-1]
+    if len(models) != len(keys):
+        raise ValueError(f"{len(keys)} batches but {len(models)} models")
     k, dim = initial.k, initial.dim
     if method == "auto":
         from ..operators.assign import AUTO_UNROLL_MAX
         method = "hof" if k * dim <= AUTO_UNROLL_MAX else "arrow"
     if method not in ("hof", "arrow"):
         raise ValueError("method must be auto, hof or arrow")
-    small = len(keys) * k * dim <= MAX_BROADCAST_HISTORY_VALUES
+    columns = [c for c in df.columns if c != STAGE_COL]
+    per_block = max(1, BLOCK_HISTORY_VALUES // (k * dim))
+    out = None
+    for at in range(0, max(1, len(keys)), per_block):
+        block = keys[at:at + per_block]
+        part = df
+        key = F.col(batch_col)
+        if at:                                   # later blocks: a range of keys each
+            part = part.filter(key > F.lit(keys[at - 1]))
+        if at + per_block < len(keys):
+            below = key <= F.lit(block[-1])
+            part = part.filter(below | key.isNull() if not at else below)
+        scored = _score_block(part, batch_col, block, models[at:at + per_block], dim, features_col,
+                              prediction_col, center_col, method).select(*columns, prediction_col, center_col)
+        out = scored if out is None else out.unionByName(scored)
+    return out
+
+
+def _score_block(df: DataFrame, batch_col: str, keys: list, models: list[ModelState], dim: int,
+                 features_col: str, prediction_col: str, center_col: str, method: str) -> DataFrame:
     key_type = df.schema[batch_col].dataType
     spark = df.sparkSession
+    f = F.col(features_col).cast("array<double>")
+    lost = F.raise_error(F.concat(F.lit("no model for batch "), F.coalesce(F.col(batch_col).cast("string"), F.lit("NULL"))))
     if method == "arrow":
-        if not small:
-            raise ValueError("history too large to ship to tasks; use method='hof'")
-        H = np.stack([m.centers for m in models])
         side = spark.createDataFrame(
             [(key, i) for i, key in enumerate(keys)],
-            StructType([StructField(batch_col, key_type, False),
-                        StructField("__bi", IntegerType(), False)]))
-        res = _history_arrow_udf(H, spark)(F.col(features_col).cast("array<double>"),
-                                           F.col("__bi"))
-        joined = df.join(F.broadcast(side), on=batch_col, how="inner")
-        return (joined.withColumn("__r", res)
+            StructType([StructField(batch_col, key_type, True),
+                        StructField("__bi", IntegerType(), True)]))
+        H = np.stack([m.centers for m in models]) if models else np.zeros((1, 1, dim))
+        joined = df.join(F.broadcast(side), on=batch_col, how="left")
+        index = F.when(F.col("__bi").isNull(), lost.cast("int")).otherwise(F.col("__bi"))
+        return (joined.withColumn("__r", _history_arrow_udf(H)(f, index))
                 .withColumn(prediction_col, F.col("__r.prediction"))
-                .withColumn(center_col, F.col("__r.center"))
-                .drop("__r", "__bi"))
+                .withColumn(center_col, F.col("__r.center")))
     schema = StructType([
-        StructField(batch_col, key_type, False),
-        StructField("__cs", ArrayType(ArrayType(DoubleType(), False), False), False),
+        StructField(batch_col, key_type, True),
+        StructField("__cs", ArrayType(ArrayType(DoubleType(), False), False), True),
     ])
     rows = [(key, [[float(v) for v in c] for c in m.centers])
             for key, m in zip(keys, models)]
     side = spark.createDataFrame(rows, schema)
-    if small:
-        side = F.broadcast(side)
-    f = F.col(features_col).cast("array<double>")
+    joined = df.join(F.broadcast(side), on=batch_col, how="left").withColumn(
+        "__cs", F.when(F.col("__cs").isNull(), lost.cast(schema["__cs"].dataType)).otherwise(F.col("__cs")))
+    checked = F.when(f.isNull() | (F.size(f) == dim), f).otherwise(
+        F.raise_error(F.lit(f"features must have {dim} entries")).cast("array<double>"))
     dists = F.transform(
         F.col("__cs"),
-        lambda c: F.aggregate(F.zip_with(f, c, lambda x, y: (x - y) * (x - y)),
+        lambda c: F.aggregate(F.zip_with(F.col("__f"), c, lambda x, y: (x - y) * (x - y)),
                               F.lit(0.0).cast("double"), lambda a, v: a + v))
-    best = F.array_min(dists)
-    label = F.coalesce((F.array_position(dists, best) - 1).cast("int"), F.lit(0))
-    return (df.join(side, on=batch_col, how="inner")
-              .withColumn(prediction_col, label)
-              .withColumn(center_col, F.element_at("__cs", F.col(prediction_col) + 1))
-              .drop("__cs"))
+    joined = joined.withColumn("__f", checked).withColumn("__d", dists)
+    best = F.array_min("__d")
+    label = F.coalesce(F.when(~F.isnan(best), F.array_position("__d", best) - 1).cast("int"), F.lit(0))
+    return (joined.withColumn(prediction_col, label)
+            .withColumn(center_col, F.element_at("__cs", F.col(prediction_col) + 1)))
 
 
 def as_state(centers, weights, batch_id: int = -1) -> ModelState:

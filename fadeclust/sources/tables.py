@@ -27,17 +27,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# Splits up to which ``spread`` may shuffle: at the default split size of
+# 128 MB a table of 1 GB at most.
+SPREAD_MAX_SPLITS = 8
+
+
 def spread(df: DataFrame, keys) -> DataFrame:
-    """Parallelism floor: a scan with fewer splits than the cluster's default
-    parallelism (a small single-file table) is hash-partitioned by its row key
-    so CPU-heavy projections use every core.  Large inputs already have more
-    splits than cores and are left as they are (no shuffle)."""
-    try:
-        want = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Connect session): leave as is
-        return df
-    if keys and splits < want:
+    """Parallelism floor for small tables: a scan of at most
+    ``SPREAD_MAX_SPLITS`` splits, and fewer than the cluster's default
+    parallelism, is hash-partitioned by its row key so CPU-heavy projections
+    use every core.  Larger inputs are left as they are (no shuffle); their
+    splits follow ``spark.sql.files.maxPartitionBytes``."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    splits = df.rdd.getNumPartitions()
+    if keys and splits < want and splits <= SPREAD_MAX_SPLITS:
         return df.repartition(want, *[F.col(k) for k in keys])
     return df
 
@@ -75,7 +78,7 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(F.col("event_type") == "signup", quoted)
             .otherwise(good))
     return ev.select("event_id", "ts", F.to_date("ts").alias("day"),
-                     line.alias("value"))
+                     "event_type", line.alias("value"))
 
 
 def event_points(spark: SparkSession, sf_dir: str) -> DataFrame:

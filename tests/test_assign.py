@@ -96,3 +96,32 @@ def test_forms_agree_on_random_models(spark, k, dim, seed):
     for i in range(40):
         d = ((C - X[i]) ** 2).sum(axis=1)
         assert out["arrow"][i][0] == int(np.argmin(d))
+
+
+def test_pruned_search_equals_plain_search():
+    """The norm bound only skips centers that cannot be nearest; ties keep the
+    lowest index and NaN rows get label 0 and an infinite distance."""
+    from fadeclust.operators.assign import nearest_rows
+    rng = np.random.default_rng(3)
+    for scale in (1.0, 1e-150, 1e6):
+        C = rng.normal(size=(200, 5)) * rng.choice([0.1, 1, 30], size=(200, 1)) * scale
+        C[50] = C[10]
+        X = np.vstack([rng.normal(size=(400, 5)) * 5 * scale, C[:60], [[np.nan] * 5]])
+        lab, dist = nearest_rows(X, C)
+        d = np.stack([np.cumsum((X - c) ** 2, axis=1)[:, -1] for c in C], axis=1)
+        d = np.where(np.isnan(d), np.inf, d)
+        assert np.array_equal(lab, d.argmin(1)) and np.array_equal(dist, d.min(1))
+
+
+def test_center_tables(spark, monkeypatch):
+    from fadeclust.operators import assign
+    df = spark.createDataFrame([(i, i % 3) for i in range(9)], "id int, prediction int")
+    big = ModelState(np.arange(600, dtype=float).reshape(3, 200), [1.0] * 3)     # joined, not a literal
+    got = assign.attach_center(df, big)
+    assert got.columns == ["id", "prediction", "center"]
+    assert {r.id: r.center[0] for r in got.collect()} == {i: 200.0 * (i % 3) for i in range(9)}
+    table = big.to_df(spark)
+    monkeypatch.setattr(assign, "ATTACH_BROADCAST_BYTES", 0)                      # the shuffle join
+    assert {r.id: r.center[1] for r in assign.attach_center(df, table).collect()} == {i: 200.0 * (i % 3) + 1 for i in range(9)}
+    with pytest.raises(ValueError, match="repeats labels"):
+        assign.attach_center(df, table.union(table.limit(1)))

@@ -112,10 +112,10 @@ def test_stats_forms_agree(spark):
     init = initial_state_from_first(pts, 4, "vec_id")
     lab = assign_nearest(pts, init)
     res = {}
-    for form in ("wide", "long", "summarizer"):
+    for form in ("wide", "long", "arrow"):
         rows = cluster_stats(lab, "prediction", "features", 64, form).collect()
         res[form] = {r.label: (r.n, np.array(r.s)) for r in rows}
-    for form in ("long", "summarizer"):
+    for form in ("long", "arrow"):
         assert res[form].keys() == res["wide"].keys()
         for k, (n, s) in res["wide"].items():
             assert res[form][k][0] == n
@@ -294,3 +294,77 @@ def test_history_scoring_forms_agree(spark):
                 "vec_id", "prediction", "center").collect()
             got[m] = {r.vec_id: (r.prediction, tuple(r.center)) for r in rows}
         assert got["hof"] == got["arrow"] and len(got["hof"]) == pts.count()
+
+
+def test_string_keys_keep_their_type_and_value(spark):
+    """'1', '01' and '' are three batches; nothing is read back as a number."""
+    from fadeclust.plans import fit_fold, score_with_history
+    from fadeclust.plans.fold import stage_by_batch
+    rows = [("1", [1.0, 1.0]), ("01", [2.0, 2.0]), ("", [3.0, 3.0]), ("1", [0.0, 1.0])]
+    df = spark.createDataFrame(rows, "b string, features array<double>")
+    init = ModelState([[0.0, 0.0], [4.0, 4.0]], [1.0, 1.0])
+    staged = stage_by_batch(df, "b")
+    assert staged.schema["b"].dataType == df.schema["b"].dataType
+    keys, hist = fit_fold(df, "b", init, UpdateParams(decay=0.5))
+    assert keys == ["", "01", "1"]
+    for method in ("hof", "arrow"):
+        assert score_with_history(staged, "b", keys, init, hist, method=method).count() == 4
+    plain_keys, plain = fit_fold(df, "b", init, UpdateParams(decay=0.5), stage=False)
+    assert plain_keys == keys and np.array_equal(plain[-1].centers, hist[-1].centers)
+
+
+def test_scoring_rule_is_one_for_both_forms(spark, monkeypatch):
+    from fadeclust.plans import fold, score_with_history
+    nan = float("nan")
+    rows = [(0, 0, [0.1, 0.0]), (1, 0, None), (2, 1, [nan, 1.0]), (3, 1, [None, 1.0]), (4, 2, [9.0, 9.0]), (5, 3, [0.0, 0.0])]
+    df = spark.createDataFrame(rows, "id int, b int, features array<double>")
+    models = [ModelState([[0.0, float(i)], [9.0, 9.0 + i]], [1.0, 1.0], i) for i in range(4)]
+    init = ModelState([[5.0, 5.0], [6.0, 6.0]], [1.0, 1.0])
+    out = {}
+    for block in (8_000_000, 4):             # one block; one model per block
+        monkeypatch.setattr(fold, "BLOCK_HISTORY_VALUES", block)
+        for method in ("hof", "arrow"):
+            for which in ("after", "before"):
+                got = score_with_history(df, "b", [0, 1, 2, 3], init, models, which, method=method)
+                assert got.columns == ["id", "b", "features", "prediction", "center"]
+                out[block, method, which] = {r.id: (r.prediction, r.center) for r in got.collect()}
+    for which in ("after", "before"):
+        same = [v for k, v in out.items() if k[2] == which]
+        assert all(v == same[0] for v in same) and len(same[0]) == 6
+    assert same[0][1] == (0, [5.0, 5.0]) and out[4, "arrow", "after"][2] == (0, [0.0, 1.0])
+    bad = spark.createDataFrame([(0, 0, [1.0])], "id int, b int, features array<double>")
+    lost = spark.createDataFrame([(0, 9, [1.0, 1.0]), (1, None, [1.0, 1.0])], "id int, b int, features array<double>")
+    for method in ("hof", "arrow"):
+        with pytest.raises(Exception, match="must have 2 entries"):
+            score_with_history(bad, "b", [0, 1, 2, 3], init, models, method=method).collect()
+        for row in lost.collect():
+            one = lost.filter(f"id = {row.id}")
+            with pytest.raises(Exception, match="no model for batch"):
+                score_with_history(one, "b", [0, 1, 2, 3], init, models, method=method).collect()
+
+
+def test_resume_refuses_another_fold(spark):
+    from fadeclust.plans import fit_fold
+    from fadeclust.session import fresh_dir
+    rows = [(2, [1.0, 1.0]), (3, [3.0, 3.0])]
+    df = spark.createDataFrame(rows, "b int, features array<double>")
+    init = ModelState([[0.0, 0.0], [4.0, 4.0]], [1.0, 1.0])
+    d = fresh_dir(spark, "resume")
+    keys, hist = fit_fold(df, "b", init, UpdateParams(decay=0.5), checkpoint_dir=d)
+    again = fit_fold(df, "b", init, UpdateParams(decay=0.5), checkpoint_dir=d)
+    assert again[0] == keys and np.array_equal(again[1][-1].centers, hist[-1].centers)
+    late = spark.createDataFrame([(1, [9.0, 9.0])] + rows, "b int, features array<double>")
+    other = ModelState([[0.0, 1.0], [4.0, 4.0]], [1.0, 1.0])
+    for frame, model, params in ((late, init, UpdateParams(decay=0.5)), (df, init, UpdateParams(decay=0.9)),
+                                 (df, other, UpdateParams(decay=0.5))):
+        with pytest.raises(ValueError, match="another fold"):
+            fit_fold(frame, "b", model, params, checkpoint_dir=d)
+
+
+def test_only_the_last_model_is_kept_on_request(spark):
+    from fadeclust.plans import fit_fold
+    df = spark.createDataFrame([(i, [float(i), 0.0]) for i in range(4)], "b int, features array<double>")
+    init = ModelState([[0.0, 0.0], [4.0, 4.0]], [1.0, 1.0])
+    _, every = fit_fold(df, "b", init, UpdateParams(decay=0.5))
+    _, last = fit_fold(df, "b", init, UpdateParams(decay=0.5), keep_history=False)
+    assert len(every) == 4 and len(last) == 1 and np.array_equal(last[0].centers, every[-1].centers)
