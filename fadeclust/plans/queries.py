@@ -15,28 +15,31 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..estimator import StreamingKMeans
-from ..functions.points import (features_to_xy, label_color, label_points,
+from ..functions.points import (REASON_COL, features_to_xy, label_color, label_points,
                                 parse_labelled, parse_points, points_to_json,
                                 rejected_points)
 from ..functions.vectors import (to_array, to_vector, vec_axpy, vec_dot,
-                                 vec_norm, vec_scale, vec_sqdist, vec_zeros)
+                                 vec_norm, vec_scale, vec_sqdist,
+                                 vec_sqdist_lower_bound, vec_zeros)
 from ..operators.assign import assign_nearest, attach_center, cluster_cost
 from ..operators.model import initial_state_from_first
 from ..operators.stats import cluster_stats, stats_long
 from ..operators.update import UpdateParams, train_step
 from ..operators.views import center_display, latest_center, latest_n
 from ..session import fresh_dir
-from ..sources.streams import Replay, points_stream
+from ..sources.streams import (Replay, checked_points, points_stream,
+                               read_lines_stream)
 from ..sources.tables import (embedding_points, event_lines, event_points,
                               lineitem_points, table)
 from ..streaming import datasource as _ds
 from ..streaming.sinks import (FileLineTransport, LineWriter,
-                               batch_distinct_count, fan_out,
-                               read_distinct_counts, write_lines_batch)
+                               batch_distinct_count, console, fan_out,
+                               print_sample, read_distinct_counts, run_batches,
+                               write_lines_batch)
 from ..streaming.train import (labelled_json, train_and_score_stream,
                                train_stream)
 from . import oracle as sql
-from .fold import fit_fold, history_long, score_with_history
+from .fold import fit_fold, history_long, score_with_history, stage_by_batch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -397,7 +400,9 @@ EVT_BATCHED_PTS = (f"pts AS (SELECT id, ts, x, y, CAST(dense_rank() OVER (ORDER
 
 
 def _events_fold(spark, sf_dir, params=None, w0=W0, k=K):
-    pts = event_points(spark, sf_dir)
+    """Events parsed and staged once; initial centers, batches and scores all
+    read the staged points."""
+    pts = stage_by_batch(event_points(spark, sf_dir).select("event_id", "ts", "day", "x", "y", "features"), "day")
     init = initial_state_from_first(pts, k, "event_id", weight=w0)
     keys, hist = fit_fold(pts, "day", init, params or UpdateParams(decay=DECAY))
     return pts, init, keys, hist
@@ -472,7 +477,7 @@ def split_dying(spark, sf_dir):
     """T11 with the DStream job's settings (w0 = 0, split on): the centers
     start at the k points with the largest x, so most attract no points at
     first, die and are split off the heaviest cluster, one per batch."""
-    pts = event_points(spark, sf_dir)
+    pts = stage_by_batch(event_points(spark, sf_dir).select("event_id", "day", "x", "features"), "day")
     init = initial_state_from_first(pts.withColumn("__o", -F.col("x")), SPLIT_K,
                                     ["__o", "event_id"], weight=0.0)
     _, hist = fit_fold(pts, "day", init, UpdateParams(decay=DECAY, split_dying=True))
@@ -535,10 +540,8 @@ def batch_distinct_count_q(spark, sf_dir):
 SCORE_AFTER_SQL = _score_sql("after")
 
 
-@register("fan_out", f"""
-SELECT event_id, {sql.r6('f[1]')} AS px, {sql.r6('f[2]')} AS py, cx, cy, prediction AS label
-FROM ({SCORE_AFTER_SQL}) s JOIN ({sql.EVENT_POINTS}) p ON p.id = s.event_id""")
-def fan_out_q(spark, sf_dir):
+def _run_fan_out(spark, sf_dir):
+    """One query, two sinks; returns the folders of the lines and the counts."""
     rp = _event_replay(spark, sf_dir)
     lines_dir = fresh_dir(spark, "labelled")
     counts_dir = fresh_dir(spark, "labelled-distinct")
@@ -547,13 +550,22 @@ def fan_out_q(spark, sf_dir):
         return lambda d, i: sink(labelled_json(d, extra=["event_id"]), i)
 
     outputs = [fan_out(as_lines(write_lines_batch(lines_dir)),
-                       batch_distinct_count(counts_dir), persist=False)]
+                       batch_distinct_count(counts_dir))]
     q, _ = train_and_score_stream(points_stream(rp.stream()), _initial_events(spark, sf_dir),
-                                  UpdateParams(decay=DECAY), outputs, score_with="after")
+                                  UpdateParams(decay=DECAY), outputs, score_with="after",
+                                  persist_batch=False)
     try:
         rp.feed(q)
     finally:
         q.stop()
+    return lines_dir, counts_dir
+
+
+@register("fan_out", f"""
+SELECT event_id, {sql.r6('f[1]')} AS px, {sql.r6('f[2]')} AS py, cx, cy, prediction AS label
+FROM ({SCORE_AFTER_SQL}) s JOIN ({sql.EVENT_POINTS}) p ON p.id = s.event_id""")
+def fan_out_q(spark, sf_dir):
+    lines_dir, _ = _run_fan_out(spark, sf_dir)
     back = parse_labelled(
         spark.read.text(lines_dir).select("value"), "value")
     back = back.withColumn("event_id", F.get_json_object("value", "$.event_id").cast("long"))
@@ -561,16 +573,28 @@ def fan_out_q(spark, sf_dir):
                        r6("center.x").alias("cx"), r6("center.y").alias("cy"), "label")
 
 
+@register("fan_out_counts", f"""
+SELECT CAST(dense_rank() OVER (ORDER BY day) - 1 AS BIGINT) AS batch_id, n AS distinct_count
+FROM (SELECT day, count(*) AS n FROM ({sql.EVENT_POINTS}) GROUP BY day)""")
+def fan_out_counts_q(spark, sf_dir):
+    """The second sink of the same run (event ids make every row distinct)."""
+    _, counts_dir = _run_fan_out(spark, sf_dir)
+    return read_distinct_counts(spark, counts_dir)
+
+
 def _points_json(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct("event_id", "x", "y")).alias("value"))
 
 
-def _read_points_json(spark, path: str) -> DataFrame:
-    back = spark.read.text(path).select(
-        F.from_json("value", "event_id BIGINT, x DOUBLE, y DOUBLE").alias("p"))
+def _points_of_json(lines: DataFrame) -> DataFrame:
+    back = lines.select(F.from_json("value", "event_id BIGINT, x DOUBLE, y DOUBLE").alias("p"))
     return back.select("p.event_id", r6("p.x").alias("x"), r6("p.y").alias("y"))
 
 
+def _read_points_json(spark, path: str) -> DataFrame:
+    return _points_of_json(spark.read.text(path).select("value"))
+
+
 @register("line_sink", ORACLE["valid_points"])
 def line_sink_q(spark, sf_dir):
     rp = _event_replay(spark, sf_dir)
@@ -599,7 +623,7 @@ def datasource_sink_q(spark, sf_dir):
         rp.feed(q)
     finally:
         q.stop()
-    return _read_points_json(spark, f"{out}/batch_id=*")
+    return _points_of_json(_ds.read_committed(spark, out))
 
 
 # ---- M1-M16: estimator / model ---------------------------------------------------------
@@ -657,12 +681,269 @@ def update_empty_batch(spark, sf_dir):
     """Batches by event type over *all* lines, training on the valid points
     only: the error and sign-up batches hold nothing but rejected records, so
     their update is decay alone (weights shrink, centers stay)."""
-    parsed = parse_points(event_lines(spark, sf_dir).join(
-        table(spark, sf_dir, "events").select("event_id", "event_type"), "event_id"), "value")
-    pts = parsed.withColumn(
-        "features", F.when(F.col("x").isNotNull() & F.col("y").isNotNull(),
-                           F.array("x", "y")))
+    parsed = parse_points(event_lines(spark, sf_dir), "value")
+    pts = stage_by_batch(parsed.select("event_id", "event_type", F.when(
+        F.col("x").isNotNull() & F.col("y").isNotNull(), F.array("x", "y")).alias("features")), "event_type")
     init = initial_state_from_first(pts.filter(F.col("features").isNotNull()), K,
                                     "event_id", weight=W0)
     _, hist = fit_fold(pts, "event_type", init, UpdateParams(decay=DECAY))
     return _history_2d(spark, hist)
+
+
+# ---- keys and rows that are easily lost ----------------------------------------------------
+
+_STRING_KEY_SQL = ("CASE dayofmonth(day) % 3 WHEN 0 THEN '1' WHEN 1 THEN '01' ELSE '2' END")
+
+
+@register("fold_string_keys", f"""WITH RECURSIVE pts AS (
+  SELECT id, CAST(dense_rank() OVER (ORDER BY key) - 1 AS INTEGER) AS b, key, f
+  FROM (SELECT *, {_STRING_KEY_SQL} AS key FROM ({sql.EVENT_POINTS}))),
+{sql.fold_ctes(K, W0, DECAY)}
+SELECT event_id, key, prediction, {sql.r6('cs[prediction + 1][1]')} AS cx FROM (
+  SELECT pts.id AS event_id, pts.key, st.cs,
+         CAST(list_position(d, list_min(d)) - 1 AS INTEGER) AS prediction
+  FROM (SELECT pts.*, st.cs, {sql.dists_to('st.cs', 'pts.f')} AS d
+        FROM pts JOIN st ON st.b = pts.b) pts JOIN st ON st.b = pts.b)""")
+def fold_string_keys(spark, sf_dir):
+    """String batch keys that look like numbers ('1' and '01' are two batches)."""
+    day = F.dayofmonth("day") % 3
+    pts = event_points(spark, sf_dir).withColumn(
+        "key", F.when(day == 0, "1").when(day == 1, "01").otherwise("2"))
+    pts = stage_by_batch(pts.select("event_id", "key", "features"), "key")
+    init = initial_state_from_first(pts, K, "event_id", weight=W0)
+    keys, hist = fit_fold(pts, "key", init, UpdateParams(decay=DECAY))
+    out = score_with_history(pts, "key", keys, init, hist, "after")
+    return out.select("event_id", "key", "prediction", r6(F.col("center")[0]).alias("cx"))
+
+
+_INVALID_PTS = f"""raw AS (SELECT id, CAST(dense_rank() OVER (ORDER BY day) - 1 AS INTEGER) AS b,
+  CASE WHEN id % 11 = 0 THEN 'null' WHEN id % 13 = 0 THEN 'nan' ELSE 'ok' END AS kind, f FROM ({sql.EVENT_POINTS})),
+pts AS (SELECT id, b, f FROM raw WHERE kind = 'ok')"""
+
+
+def _score_invalid_sql() -> str:
+    def one(which, shift):
+        return f"""SELECT raw.id AS event_id, raw.kind, '{which}' AS which,
+    CASE WHEN kind = 'ok' THEN CAST(list_position({sql.dists_to('st.cs', 'raw.f')}, list_min({sql.dists_to('st.cs', 'raw.f')})) - 1 AS INTEGER)
+         ELSE 0 END AS prediction, st.cs
+    FROM raw JOIN st ON st.b = raw.b{shift}"""
+    return f"""WITH RECURSIVE {_INVALID_PTS},
+{sql.fold_ctes(K, W0, DECAY)}
+SELECT event_id, kind, which, m.method, prediction, {sql.r6('cs[prediction + 1][1]')} AS cx
+FROM ({one('after', '')} UNION ALL {one('before', ' - 1')}), (VALUES ('hof'), ('arrow')) m(method)"""
+
+
+@register("score_invalid_rows", _score_invalid_sql())
+def score_invalid_rows(spark, sf_dir):
+    """NULL and NaN features keep their rows in both scoring forms and orders:
+    label 0 and its center; training leaves them out."""
+    kind = F.when(F.col("event_id") % 11 == 0, "null").when(F.col("event_id") % 13 == 0, "nan").otherwise("ok")
+    pts = event_points(spark, sf_dir).withColumn("kind", kind)
+    features = F.when(F.col("kind") == "ok", F.col("features")).when(
+        F.col("kind") == "nan", F.array(F.lit(float("nan")), F.col("y")))
+    pts = stage_by_batch(pts.select("event_id", "day", "kind", features.alias("features")), "day")
+    init = initial_state_from_first(pts.filter("kind = 'ok'"), K, "event_id", weight=W0)
+    keys, hist = fit_fold(pts, "day", init, UpdateParams(decay=DECAY))
+    out = None
+    for which in ("after", "before"):
+        for method in ("hof", "arrow"):
+            one = score_with_history(pts, "day", keys, init, hist, which, method=method).select(
+                "event_id", "kind", F.lit(which).alias("which"), F.lit(method).alias("method"),
+                "prediction", r6(F.col("center")[0]).alias("cx"))
+            out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("model_transform_invalid", f"""
+SELECT id AS vec_id, CASE WHEN id % 7 = 0 OR id % 5 = 0 THEN 0 ELSE prediction END AS prediction FROM (
+{_assign_sql(sql.EMB_POINTS, _first_centers_sql(sql.EMB_POINTS, K), 'id')})""")
+def model_transform_invalid(spark, sf_dir):
+    """``transform`` labels every row, also those with NULL or NaN features."""
+    pts = embedding_points(spark, sf_dir)
+    init = initial_state_from_first(pts, K, "vec_id", weight=W0)
+    km = StreamingKMeans(k=K).setInitialCenters(init.centers, init.weights)
+    bad = F.when(F.col("vec_id") % 7 == 0, F.lit(None)).when(
+        F.col("vec_id") % 5 == 0, F.transform("features", lambda v: F.lit(float("nan")))).otherwise(F.col("features"))
+    return km.getModel().transform(pts.select("vec_id", bad.alias("features"))).select("vec_id", "prediction")
+
+
+# ---- bounded assignment, center tables, high dimension -----------------------------------------
+
+LARGE_K = 300
+
+
+@register("assign_large_k", f"""
+SELECT vec_id, prediction, {sql.r6('distance')} AS distance FROM (
+{_assign_sql(sql.EMB_POINTS, _first_centers_sql(sql.EMB_POINTS, LARGE_K), 'id AS vec_id')})""")
+def assign_large_k(spark, sf_dir):
+    """Hundreds of centers: running minimum with the norm bound."""
+    pts = embedding_points(spark, sf_dir)
+    init = initial_state_from_first(pts, LARGE_K, "vec_id")
+    out = assign_nearest(pts, init, distance_col="distance")
+    return out.select("vec_id", "prediction", r6("distance").alias("distance"))
+
+
+@register("attach_center_table", f"""
+SELECT p.id AS vec_id, p.label, CAST(j - 1 AS INTEGER) AS dim, {sql.r6('v')} AS center FROM (
+  SELECT p.id, p.label, unnest(m.center) AS v, generate_subscripts(m.center, 1) AS j
+  FROM ({sql.EMB_POINTS}) p JOIN ({LABEL_MEANS_SQL}) m ON m.label = p.label) p""")
+def attach_center_table(spark, sf_dir):
+    pts = embedding_points(spark, sf_dir)
+    out = attach_center(pts.select("vec_id", "label"), _label_means(pts), "label", "center")
+    return out.select("vec_id", "label", F.posexplode("center").alias("dim", "v")).select(
+        "vec_id", "label", F.col("dim").cast("int").alias("dim"), r6("v").alias("center"))
+
+
+@register("cluster_stats_high_dim", f"""
+SELECT CAST(label AS INTEGER) AS label, CAST(j - 1 AS INTEGER) AS dim, {sql.r6('sum(v)')} AS s, count(*) AS n FROM (
+  SELECT label, unnest(g) AS v, generate_subscripts(g, 1) AS j FROM (
+    SELECT label, list_concat(f, list_concat(list_transform(f, lambda x: 2 * x), list_transform(f, lambda x: x * x))) AS g
+    FROM ({sql.EMB_POINTS}))) GROUP BY label, j""")
+def cluster_stats_high_dim(spark, sf_dir):
+    """192 dimensions: Arrow partial sums."""
+    pts = embedding_points(spark, sf_dir).select("label", F.concat(
+        "features", F.transform("features", lambda x: 2 * x), F.transform("features", lambda x: x * x)).alias("features"))
+    st = cluster_stats(pts, "label", "features", 192)
+    return stats_long(st).select("label", "dim", r6("s").alias("s"), "n")
+
+
+@register("vec_norm_bound", f"""
+SELECT vec_id, {sql.r6('pow(sqrt(list_sum(list_transform(f, lambda x: x * x))) - sqrt(list_sum(list_transform(mean, lambda x: x * x))), 2)')} AS bound,
+       pow(sqrt(list_sum(list_transform(f, lambda x: x * x))) - sqrt(list_sum(list_transform(mean, lambda x: x * x))), 2) <= {sql.sqdist('f', 'mean')} + 1e-9 AS holds
+FROM ({EMB_WITH_MEAN})""")
+def vec_norm_bound_q(spark, sf_dir):
+    df = _with_label_mean(spark, sf_dir)
+    bound = vec_sqdist_lower_bound(vec_norm("features"), vec_norm("mean"))
+    return df.select("vec_id", r6(bound).alias("bound"), (bound <= vec_sqdist("features", "mean") + 1e-9).alias("holds"))
+
+
+@register("sparse_vectors", f"""
+SELECT id AS vec_id, CAST(j - 1 AS INTEGER) AS dim, v AS value FROM (
+  SELECT id, unnest(g) AS v, generate_subscripts(g, 1) AS j FROM (
+    SELECT id, list_transform(range(0, 8), lambda i: CASE WHEN label = i THEN 1.0 ELSE 0.0 END)::DOUBLE[] AS g
+    FROM ({sql.EMB_POINTS})))""")
+def sparse_vectors(spark, sf_dir):
+    """Label indicators as sparse ML vectors and back to arrays."""
+    from pyspark.ml.feature import VectorAssembler
+    cols = [f"l{i}" for i in range(8)]
+    wide = embedding_points(spark, sf_dir).select(
+        "vec_id", *[(F.col("label") == i).cast("double").alias(c) for i, c in enumerate(cols)])
+    vec = VectorAssembler(inputCols=cols, outputCol="v").transform(wide)
+    return vec.select("vec_id", F.posexplode(to_array("v")).alias("dim", "value")).select(
+        "vec_id", F.col("dim").cast("int").alias("dim"), "value")
+
+
+# ---- line sources, row and console sinks, rejects --------------------------------------------
+
+
+def _lines_folder(spark, sf_dir) -> str:
+    """The event lines as a folder of text files."""
+    path = fresh_dir(spark, "line-files")
+    event_lines(spark, sf_dir).select("value").write.text(path)
+    return path
+
+
+def _run_to_end(query) -> None:
+    try:
+        query.awaitTermination()
+    finally:
+        query.stop()
+
+
+ONE_BATCH_EVENTS = f"""WITH RECURSIVE pts AS (SELECT id, 0 AS b, f FROM ({sql.EVENT_POINTS})),
+{sql.fold_ctes(K, W0, DECAY)}"""
+
+
+@register("lines_stream", f"""{ONE_BATCH_EVENTS}
+{sql.history_long_select()}""")
+def lines_stream_q(spark, sf_dir):
+    """A folder of lines read once with an availableNow trigger
+    and awaited; the folder is one batch."""
+    lines = read_lines_stream(spark, "text", path=_lines_folder(spark, sf_dir))
+    q, trainer = train_stream(points_stream(lines), _initial_events(spark, sf_dir), UpdateParams(decay=DECAY),
+                              trigger={"availableNow": True})
+    _run_to_end(q)
+    h = trainer.table.history().select(
+        "batch_id", "label", F.posexplode("center").alias("dim", "center"), "weight")
+    return _rounded_history(h.withColumn("dim", F.col("dim").cast("int")))
+
+
+@register("stream_rejects", """
+SELECT event_id, CASE event_type WHEN 'error' THEN 'no_point' WHEN 'signup' THEN 'bad_field' END AS reason FROM events""")
+def stream_rejects(spark, sf_dir):
+    """Every input line comes out once: labelled, or rejected with a reason."""
+    source = fresh_dir(spark, "lines")
+    lines = event_lines(spark, sf_dir).select("event_id", "value")
+    lines.write.parquet(source)
+    good, bad = fresh_dir(spark, "labelled"), fresh_dir(spark, "rejects")
+
+    def save(path):
+        return lambda d, i: d.select("event_id", *[c for c in (REASON_COL,) if c in d.columns]) \
+            .write.mode("overwrite").parquet(f"{path}/batch_id={int(i)}")
+    stream = spark.readStream.schema(lines.schema).parquet(source)
+    q, _ = train_and_score_stream(checked_points(stream), _initial_events(spark, sf_dir), UpdateParams(decay=DECAY),
+                                  [save(good)], rejects=save(bad), trigger={"availableNow": True})
+    _run_to_end(q)
+    labelled = spark.read.parquet(good).select("event_id", F.lit(None).cast("string").alias("reason"))
+    return labelled.union(spark.read.parquet(bad).select("event_id", F.col(REASON_COL).alias("reason")))
+
+
+@register("batch_functions", ORACLE["valid_points"])
+def batch_functions(spark, sf_dir):
+    """K1 K4 K8: a batch function that writes the points and shows a sample,
+    beside an untruncated console query on the same lines."""
+    path = _event_parquet(spark, sf_dir)
+    out = fresh_dir(spark, "points")
+
+    def points():
+        return _points_json(points_stream(spark.readStream.schema(
+            "event_id long, value string").parquet(path)))
+    now = {"availableNow": True}
+    _run_to_end(run_batches(points(), fan_out(write_lines_batch(out), print_sample(1)), fresh_dir(spark, "checkpoint"), trigger=now))
+    _run_to_end(console(points(), trigger=now))
+    return _read_points_json(spark, out)
+
+
+def _event_parquet(spark, sf_dir) -> str:
+    path = fresh_dir(spark, "event-files")
+    event_lines(spark, sf_dir).select("event_id", "value").write.parquet(path)
+    return path
+
+
+# ---- estimator: setters, fit, training on a stream ---------------------------------------------
+
+
+def _model_rows(spark, model) -> DataFrame:
+    """The model's centers and, for each, the label that ``predict`` gives it."""
+    own = spark.createDataFrame([(i, int(model.predict(c))) for i, c in enumerate(model.clusterCenters())], "label int, own int")
+    h = model.centers_df(spark).join(own, "label").select(
+        "label", "own", "weight", F.posexplode("center").alias("dim", "center"))
+    return h.select("label", "own", F.col("dim").cast("int").alias("dim"), r6("center").alias("center"), r6("weight").alias("weight"))
+
+
+_MODEL_ROWS_SQL = (f"SELECT label, label AS own, dim, center, weight FROM ({_one_batch_sql(DECAY)})")
+
+
+def _estimator(spark, sf_dir) -> StreamingKMeans:
+    init = initial_state_from_first(embedding_points(spark, sf_dir), K, "vec_id", weight=W0)
+    return StreamingKMeans().setK(K).setDecayFactor(DECAY).setFeaturesCol("features").setInitialCenters(init.centers, init.weights)
+
+
+@register("estimator_fit", _MODEL_ROWS_SQL)
+def estimator_fit(spark, sf_dir):
+    """Setters, one fit over the table, a copied model."""
+    model = _estimator(spark, sf_dir).copy().fit(embedding_points(spark, sf_dir))
+    return _model_rows(spark, model.copy())
+
+
+@register("estimator_stream", _MODEL_ROWS_SQL)
+def estimator_stream(spark, sf_dir):
+    """Training on a stream of the table's rows, then the latest model."""
+    path = fresh_dir(spark, "embedding-files")
+    pts = embedding_points(spark, sf_dir).select("vec_id", "features")
+    pts.write.parquet(path)
+    km = _estimator(spark, sf_dir)
+    if (km.getK(), km.getDecayFactor(), km.getHandleInvalid()) != (K, DECAY, "keep"):
+        raise ValueError("the getters do not give what was set")
+    _run_to_end(km.trainOn(spark.readStream.schema(pts.schema).parquet(path), trigger={"availableNow": True}))
+    return _model_rows(spark, km.latestModel())

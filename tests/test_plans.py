@@ -55,10 +55,25 @@ def test_history_scoring_and_center_table_are_broadcast(spark):
 def test_fold_batch_reads_only_its_partition(spark):
     pts = embedding_points(spark, SF_SMALL).withColumn("b", F.col("vec_id") % 3)
     staged = stage_by_batch(pts.select("b", "features"), "b")
-    p = plan(staged.filter(F.col("b") == 1).select("features"))
-    assert re.search(r"PartitionFilters: \[.*\(b#\d+ = 1\)", p)
+    from fadeclust.plans.fold import _batch_of
+    p = plan(_batch_of(staged, "b", 1).select("features"))
+    assert re.search(r"PartitionFilters: \[.*\(__batch#\d+ = k1\)", p)
 
 
 def test_point_lines_parsed_once(spark):
     p = plan(parse_valid_points(event_lines(spark, SF_SMALL), "value").select("event_id", "x"))
     assert p.count("from_json(") == 1
+
+
+def test_high_dim_stats_do_not_sort(spark):
+    pts = embedding_points(spark, SF_SMALL)
+    from fadeclust.operators import cluster_stats
+    p = plan(cluster_stats(pts.select(F.col("label"), "features"), "label", "features", 192, "arrow"))
+    assert "Sort" not in p and p.count("MapInArrow") == 2
+
+
+def test_scores_and_centers_come_from_the_staged_points(spark, monkeypatch):
+    """One scan of the raw events: what is scored afterwards is the staged table."""
+    from fadeclust.plans import queries
+    p = plan(queries.QUERIES["train_and_score_after"](spark, SF_SMALL))
+    assert "from_json" not in p and "__batch#" in p and p.count("FileScan") == 1
