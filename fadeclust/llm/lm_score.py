@@ -57,7 +57,11 @@ def _keys(tokens: np.ndarray, ptr: np.ndarray, m: int) -> tuple[np.ndarray, np.n
 
 def _block_keys(values: list[bytes], order: int):
     """Distinct n-gram keys of some texts, sorted, and each position's index per length (-1: none)."""
-    tokens, ptr = _tokens(values)
+    parts = [_tokens(values[lo:hi]) for lo, hi in chunks(values, 1 << 20)]
+    shift = np.cumsum([0] + [len(t) for t, _ in parts])
+    tokens = np.concatenate([t for t, _ in parts])
+    ptr = np.concatenate([p[:-1] + s for (_, p), s in zip(parts, shift.tolist())] + [shift[-1:]])
+    del parts
     all_keys = [_keys(tokens, ptr, m) for m in range(1, order + 1)]
     flat = np.concatenate([k[ok] for k, ok in all_keys])
     distinct, inverse = np.unique(flat, return_inverse=True)
@@ -233,7 +237,7 @@ def _unigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def lm_scores(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text",
-              order: int = 2, prior: float = 4.0) -> DataFrame:
+              order: int = 2, prior: float = 256.0) -> DataFrame:
     """One row per document: ``doc_id, n_tokens, n_known`` (tokens seen in
     training), ``train_tokens`` (N), ``base_score`` (log10 of the unigram
     probability) and ``score`` (log10 of the model's)."""

@@ -161,12 +161,30 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
         number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to"))
 
 
-@query("op9_lm_score")
+# crc32 of the id's digits, bit by bit (the reflected polynomial), as DuckDB has no crc32
+_CRC = ("list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({x}, ''), lambda c: ascii(c)::BIGINT)), lambda a, c: "
+        "list_reduce(list_prepend(xor(a, c), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda r, z: "
+        "CASE WHEN r % 2 = 1 THEN xor(r // 2, 3988292384::BIGINT) ELSE r // 2 END))")
+
+
+@query("op9_lm_score", f"""
+WITH d AS (SELECT doc_id, xor({_CRC.format(x="doc_id::VARCHAR")}, 4294967295::BIGINT) % 10 = 0 AS held_out, {_words_sql('text')} AS w FROM documents),
+t AS (SELECT doc_id, held_out, unnest(list_append(w, '')) AS tok, unnest(range(1, len(w) + 2)) AS i FROM d),
+u AS (SELECT tok, count(*) AS c FROM t WHERE NOT held_out GROUP BY tok),
+s AS (SELECT coalesce(sum(c), 0)::BIGINT AS n, count(*) AS v FROM u),
+g AS (SELECT doc_id, held_out, i, tok, lag(tok) OVER (PARTITION BY doc_id ORDER BY i) AS h FROM t),
+b AS (SELECT h, tok, count(*) AS c FROM g WHERE NOT held_out AND h IS NOT NULL GROUP BY h, tok),
+p AS (SELECT g.doc_id, g.held_out, g.h, n, u.c IS NOT NULL AS known, (coalesce(u.c, 0) + 0.1) / (n + 0.1 * (v + 1)) AS p1,
+      coalesce(b.c, 0) AS c2, coalesce(uh.c, 0) AS ch
+      FROM g CROSS JOIN s LEFT JOIN u ON u.tok = g.tok LEFT JOIN u uh ON uh.tok = g.h LEFT JOIN b ON b.h = g.h AND b.tok = g.tok)
+SELECT doc_id, held_out, count(*) AS n_tokens, sum(known::INT)::BIGINT AS n_known, any_value(n) AS train_tokens,
+  sum(log10(p1)) AS base_score, sum(log10(CASE WHEN h IS NULL THEN p1 ELSE (c2 + 256.0 * p1) / (ch + 256.0) END)) AS score
+FROM p GROUP BY doc_id, held_out""")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole document under a model of nine tenths of them."""
     docs = table(spark, sf_dir, "documents")
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 10 == 0, F.lit(True))
-    out = lm_scores(docs, ~held, order=2, prior=4.0)
+    out = lm_scores(docs, ~held, order=2, prior=256.0)
     return out.withColumn("held_out", held).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
