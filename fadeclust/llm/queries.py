@@ -88,7 +88,18 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
-@query("op4_suffix_dedup")
+@query("op4_suffix_dedup", """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+b AS (SELECT doc_id, h, unnest(range(0, len(h) // 2)) AS i FROM d),
+w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 2) AS byte, CASE WHEN 2 * i + 200 <= len(h) THEN substr(h, 2 * i + 1, 200) END AS s FROM b),
+f AS (SELECT doc_id, i, byte, s IS NOT NULL AND row_number() OVER (PARTITION BY s ORDER BY doc_id, i) > 1 AS again FROM w),
+c AS (SELECT doc_id, i, byte, coalesce(max(CASE WHEN again THEN i END) OVER (PARTITION BY doc_id ORDER BY i) > i - 100, false) AS gone FROM f),
+e AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS opens FROM c),
+g AS (SELECT doc_id, sum(gone::INT)::BIGINT AS n_removed, sum(opens::INT)::BIGINT AS n_spans,
+      coalesce(string_agg(byte, '' ORDER BY i) FILTER (NOT gone), '') AS kept FROM e GROUP BY doc_id)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN g USING (doc_id)""")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated 100-byte strings removed from every whole document."""
     out = remove_repeats(table(spark, sf_dir, "documents"), "doc_id", "text", length=100)
@@ -152,7 +163,16 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), capacity=2048, end_id=1)
 
 
-@query("op8_warc")
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
+
+@query("op8_warc", f"""
+WITH p AS (SELECT page_id, sha1(coalesce(html, '')) AS hx, strlen(coalesce(html, ''))::BIGINT AS n FROM pages),
+l AS (SELECT hx, max(page_id) AS last FROM p GROUP BY hx)
+SELECT page_id, n AS payload_bytes, array_to_string(list_transform(range(0, 8), lambda g: array_to_string(list_transform([15, 10, 5, 0],
+    lambda s: substr('{_BASE32}', ((('0x' || substr(hx, 5 * g + 1, 5))::BIGINT >> s) & 31)::INT + 1, 1)), '')), '') AS payload_digest,
+  CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> last THEN last END AS refers_to
+FROM p JOIN l USING (hx)""")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to archives and read back."""
     path = write_pages(table(spark, sf_dir, "pages"), min_bytes=0)

@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 import os
 
+import pandas as pd
+
 TABLES = "documents embeddings pages benchmark labels conversations".split()
 
 
@@ -14,7 +16,7 @@ def rows_of(frame) -> list[tuple]:
 
 
 def _plain(v):
-    if v is None or (isinstance(v, float) and math.isnan(v)):
+    if v is None or v is pd.NA or (isinstance(v, float) and math.isnan(v)):
         return None
     if isinstance(v, float):
         return float(f"{v:.9g}")
