@@ -10,7 +10,8 @@ documents link when ``100 * |A & B| >= percent * |A | B|``.
    input), which give one global order, rare shingles first.
 3. A linked pair shares a shingle among the first ``n - ceil(percent n / 100) + 1``
    of each set (prefix filter); shingles of only one prefix are dropped.
-4. First each set is tried against the least id that shares a prefix shingle;
+4. First each set is tried against the least id among the leaders of its prefix
+   shingles (each shingle's least id) that pass the filters of step 5;
    components of these links are known before step 5, which so need not look at
    pairs within a group of near copies.
 5. All pairs that share a prefix shingle across components pass the length and
@@ -32,50 +33,59 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import work
 from .graph import components
 from .text import byte_values, chunks, mix64, shingle_sets
 from .work import join_side, numbered, semi_join, written
 
-RARITY_BITS = 20
-_BLOCK = 1 << 16
+RARITY_BITS = 23
+_BLOCK = 1 << 17
 
 
 def _rarity(rows: DataFrame, k: int) -> np.ndarray:
-    """Rank of each counter: larger for shingles that more documents have."""
+    """Rank (0 to 255) of each counter: larger for shingles that more documents have."""
     size = 1 << RARITY_BITS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size, dtype=np.int64)
+        total = np.zeros(size, dtype=np.uint32)
+        held, n = [], 0
         for batch in batches:
             values = byte_values(batch.column(1))
             for lo, hi in chunks(values):
-                total += np.bincount(np.concatenate(shingle_sets(values[lo:hi], k)).astype(np.int64) & (size - 1), minlength=size)
-        yield blocks(total)
-
-    def blocks(total: np.ndarray, which=range(size // _BLOCK)) -> pa.RecordBatch:
-        parts = [total[b * _BLOCK:(b + 1) * _BLOCK].astype(np.int64) for b in which]
-        small = [p.astype(np.uint32 if p.max() < 1 << 32 else np.int64) for p in parts]
-        return pa.RecordBatch.from_arrays([pa.array(which, type=pa.int32()), pa.array([p.tobytes() for p in small], type=pa.binary())], ["block", "counts"])
+                held += shingle_sets(values[lo:hi], k)
+                n += sum(map(len, held[lo - hi:]))
+                if n >= 1 << 22:
+                    total += np.bincount((np.concatenate(held) & np.uint64(size - 1)).view(np.int64), minlength=size).astype(np.uint32)
+                    held, n = [], 0
+        if held:
+            total += np.bincount((np.concatenate(held) & np.uint64(size - 1)).view(np.int64), minlength=size).astype(np.uint32)
+        for b in range(0, size, _BLOCK):
+            part = total[b:b + _BLOCK]
+            kind = np.uint8 if part.max() < 1 << 8 else np.uint16 if part.max() < 1 << 16 else np.uint32
+            yield pa.RecordBatch.from_arrays([pa.array([b // _BLOCK], type=pa.int32()), pa.array([part.astype(kind).tobytes()], type=pa.binary())],
+                                             ["block", "counts"])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for b, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                part = np.frombuffer(c, dtype=np.uint32 if len(c) == 4 * _BLOCK else np.int64)
-                total[b] = total.get(b, 0) + part.astype(np.int64)
+                part = np.frombuffer(c, dtype=f"u{len(c) // _BLOCK}")
+                total.setdefault(b, np.zeros(_BLOCK, dtype=np.int64))
+                total[b] += part
         for b, part in total.items():
-            yield pa.RecordBatch.from_arrays([pa.array([b], type=pa.int32()), pa.array([part.tobytes()], type=pa.binary())], ["block", "counts"])
+            rank = np.minimum(255, 12 * np.log2(part + 1.0)).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([pa.array([b], type=pa.int32()), pa.array([rank.tobytes()], type=pa.binary())], ["block", "counts"])
 
     schema = "block int, counts binary"
-    out = np.zeros(size, dtype=np.int64)
+    out = np.zeros(size, dtype=np.uint8)
     for b, c in rows.mapInArrow(count, schema).repartition(size // _BLOCK, "block").mapInArrow(merge, schema).collect():
-        out[b * _BLOCK:(b + 1) * _BLOCK] += np.frombuffer(c, dtype=np.int64)
-    return (np.log2(out + 1.0) * (1 << 14)).astype(np.uint64)
+        out[b * _BLOCK:(b + 1) * _BLOCK] = np.frombuffer(c, dtype=np.uint8)
+    return out
 
 
 def _order_keys(h: np.ndarray, rarity: np.ndarray) -> np.ndarray:
     """Sort key of each shingle: its rarity, then bits of its hash."""
-    return (rarity[h & np.uint64(len(rarity) - 1)] << np.uint64(44)) | (h >> np.uint64(20))
+    return (rarity[h & np.uint64(len(rarity) - 1)].astype(np.uint64) << np.uint64(44)) | (h >> np.uint64(20))
 
 
 def _ordered(h: np.ndarray, rarity: np.ndarray) -> np.ndarray:
@@ -115,40 +125,45 @@ def _suffix_distance(x: np.ndarray, y: np.ndarray, depth: int) -> int:
     return _suffix_distance(x[:i], y[:j], depth - 1) + _suffix_distance(x[i:], y[j:], depth - 1)
 
 
+def _may_link(percent: int):
+    """Length and positional filter on two postings (n, at) and (n2, at2) of one shingle."""
+    need = F.floor((F.lit(percent) * (F.col("n") + F.col("n2")) + F.lit(99 + percent)) / F.lit(100 + percent))
+    return (F.lit(100) * F.least("n", "n2") >= F.lit(percent) * F.greatest("n", "n2")) \
+        & (F.least(F.col("n") - F.col("at"), F.col("n2") - F.col("at2")) >= need)
+
+
 def _verified(pairs: DataFrame, rows: DataFrame, k: int, percent: int, rarity: np.ndarray) -> DataFrame:
-    """Of distinct pairs (a, b), those that link; sets are made of the texts of these ids alone."""
+    """Of distinct pairs (a, b), those that link.  Only the texts of these ids
+    move: those of b to their a, which join splits if one a has many."""
     pairs = written(pairs, "pairs")
-    ids = written(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-                  .withColumn("hit", F.lit(True)), "ids")
-
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = byte_values(batch.column("c1"))
-            for lo, hi in chunks(values):
-                sets = [_ordered(s, rarity).tobytes() for s in shingle_sets(values[lo:hi], k)]
-                yield pa.RecordBatch.from_arrays([batch.column("id").slice(lo, hi - lo), pa.array(sets, type=pa.binary())], ["id", "s"])
+    small = 48 * pairs.count() <= work.BROADCAST_BYTES
+    lookup = (lambda df: F.broadcast(df)) if small else (lambda df: df.hint("merge"))
+    texts = rows.select(F.col("c0").alias("id"), "c1")
+    right = texts.withColumnRenamed("id", "b").withColumnRenamed("c1", "tb").join(lookup(pairs), "b").select("a", "b", "tb")
+    left = texts.withColumnRenamed("id", "a").withColumnRenamed("c1", "ta").join(lookup(pairs.select("a").distinct()), "a", "left_semi")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for p, q in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist()):
-                x, y = np.frombuffer(p, dtype=np.uint64), np.frombuffer(q, dtype=np.uint64)
-                n = len(x) + len(y)
-                need = (percent * n + 99 + percent) // (100 + percent)
-                ok = min(len(x), len(y)) >= need
-                if ok:
-                    ok = _suffix_distance(_order_keys(x, rarity), _order_keys(y, rarity), 3) <= n - 2 * need
-                if ok:
-                    shared = len(np.intersect1d(x, y, assume_unique=True))
-                    ok = 100 * shared >= percent * (n - shared)
-                keep.append(ok)
+            keep: list[bool] = []
+            ta, tb = byte_values(batch.column("ta")), byte_values(batch.column("tb"))
+            for lo, hi in chunks([x + y for x, y in zip(ta, tb)]):
+                first = list(dict.fromkeys(ta[lo:hi]))
+                sets = dict(zip(first, shingle_sets(first, k)))
+                keep += [_linked(sets[t], y, percent, rarity) for t, y in zip(ta[lo:hi], shingle_sets(tb[lo:hi], k))]
             yield batch.filter(pa.array(keep, type=pa.bool_())).select(["a", "b"])
 
-    texts = join_side(rows.select(F.col("c0").alias("id"), "c1"), ids, "id", "hit", "inner").select("id", "c1")
-    sets = written(texts.mapInArrow(make, "id bigint, s binary").dropDuplicates(["id"]), "sets")
-    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a") \
-        .join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
-    return written(both.select("a", "b", "sa", "sb").mapInArrow(check, "a bigint, b bigint"), "edges")
+    return written(right.join(left.hint("merge"), "a").select("a", "b", "ta", "tb").mapInArrow(check, "a bigint, b bigint"), "edges")
+
+
+def _linked(x: np.ndarray, y: np.ndarray, percent: int, rarity: np.ndarray) -> bool:
+    n = len(x) + len(y)
+    need = (percent * n + 99 + percent) // (100 + percent)
+    if min(len(x), len(y)) < need:
+        return False
+    if _suffix_distance(np.sort(_order_keys(x, rarity)), np.sort(_order_keys(y, rarity)), 3) > n - 2 * need:
+        return False
+    shared = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * shared >= percent * (n - shared)
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -165,11 +180,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     repeated = written(single.select(F.explode("prefix").alias("t")).groupBy("t").count().where("count > 1").select("t"), "tokens")
     tokens = semi_join(single.select("id", "n", F.posexplode("prefix").alias("at", "t")), repeated, "t").select("t", "id", "n", "at")
-    tokens = written(tokens.dropDuplicates(["t", "id"]), "postings")
+    tokens = written(tokens, "postings")
 
-    first = tokens.groupBy("t").agg(F.min("id").alias("a"))
-    star = written(tokens.join(first, "t").where("a < id").groupBy("id").agg(F.min("a").alias("a"))
-                   .select("a", F.col("id").alias("b")), "star")
+    first = tokens.groupBy("t").agg(F.min(F.struct("id", "n", "at")).alias("f")) \
+        .select("t", F.col("f.id").alias("id2"), F.col("f.n").alias("n2"), F.col("f.at").alias("at2"))
+    star = written(tokens.join(first, "t").where((F.col("id2") < F.col("id")) & _may_link(percent)).groupBy("id")
+                   .agg(F.min("id2").alias("a")).select("a", F.col("id").alias("b")), "star")
     edges = _verified(star, rows, k, percent, rarity)
     known_groups = components(edges)
 
@@ -177,11 +193,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     mixed = placed.groupBy("t").agg(F.min("g").alias("g0"), F.max("g").alias("g1")).where("g0 != g1").select("t")
     x = written(placed.join(mixed, "t"), "mixed")
     y = x.select("t", *[F.col(c).alias(f"{c}2") for c in ("id", "n", "at", "g")])
-    need = F.floor((F.lit(percent) * (F.col("n") + F.col("n2")) + F.lit(99 + percent)) / F.lit(100 + percent))
-    cross = x.join(y, "t").where(
-        (F.col("id") < F.col("id2")) & (F.col("g") != F.col("g2"))
-        & (F.lit(100) * F.least("n", "n2") >= F.lit(percent) * F.greatest("n", "n2"))
-        & (F.least(F.col("n") - F.col("at"), F.col("n2") - F.col("at2")) >= need))
+    cross = x.join(y, "t").where((F.col("id") < F.col("id2")) & (F.col("g") != F.col("g2")) & _may_link(percent))
     cross = cross.select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
     groups = written(components(edges.union(_verified(cross, rows, k, percent, rarity))), "groups")
 
