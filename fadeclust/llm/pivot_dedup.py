@@ -11,7 +11,8 @@ null or zero, or holds a null or non-finite number, links with nothing.
 3. The inverted lists are kept per pair of pivots: entries of one list share at
    least two of their nearest pivots.  A pair that shares more is counted only
    in the list of its two least shared pivots.
-4. Each list is verified by products of blocks of its vectors.  A list of more
+4. Lists are verified by products of their vectors, buckets of small lists at
+   once and large ones in blocks.  A list of more
    than ``BLOCK`` entries is cut into blocks that are compared two at a time in
    tasks of their own.  A task gives out each entry's number of links and one
    edge per entry and local component, never all pairs.
@@ -38,7 +39,9 @@ from pyspark.sql import functions as F
 from .graph import components
 from .work import written
 
-BLOCK = 2048
+BLOCK = 2048         # entries of a list that are compared in one task with as many others
+SMALL = 64           # lists up to this size are verified many at once
+BUCKET_ROWS = 20_000
 
 
 def _vectors(batches: Iterator[pa.RecordBatch], kind: str) -> Iterator[pa.RecordBatch]:
@@ -107,45 +110,95 @@ def _lists(batches: Iterator[pa.RecordBatch], index: PivotIndex) -> Iterator[pa.
                  pa.array([near[i].tobytes() for i in rows], type=pa.binary())], ["key", "label", "gid", "k", "v", "near"])
 
 
+def _counted_elsewhere(near: np.ndarray, x: np.ndarray, y: np.ndarray, p, q) -> np.ndarray:
+    """Whether rows x and y share a pivot below q other than p, so that another list counts the pair."""
+    out = np.zeros(len(x), dtype=bool)
+    for c in range(near.shape[1]):
+        pivot = near[y, c]
+        out |= (pivot >= 0) & (pivot < q) & (pivot != p) & (near[x] == pivot[:, None]).any(axis=1)
+    return out
+
+
+def _links_of_blocks(unit: np.ndarray, near: np.ndarray, block: np.ndarray, first: int, second: int, p: int, q: int, threshold: float):
+    """Linked rows of one large list, or of the two blocks of it that meet here."""
+    left, right = np.flatnonzero(block == first), np.flatnonzero(block == second)
+    xs, ys = [], []
+    for at in range(0, len(left), 512):
+        a = left[at:at + 512]
+        x, y = np.nonzero(unit[a] @ unit[right].T >= threshold)
+        x, y = a[x], right[y]
+        own = x != y if first != second else x < y
+        x, y = x[own], y[own]
+        keep = ~_counted_elsewhere(near, x, y, p, q)
+        xs.append(x[keep])
+        ys.append(y[keep])
+    return np.concatenate(xs), np.concatenate(ys)
+
+
+def _links_of_lists(unit: np.ndarray, near: np.ndarray, start: np.ndarray, p: np.ndarray, q: np.ndarray, threshold: float):
+    """Linked rows of many small lists that lie one after the other; start: each row's first row of its list."""
+    xs, ys = [], []
+    x = np.arange(len(start))
+    d = 1
+    while True:
+        x = x[x + d < len(start)]
+        x = x[start[x + d] == start[x]]        # rows that still have a partner at this distance
+        if not len(x):
+            break
+        y = x + d
+        hit = np.einsum("ij,ij->i", unit[x], unit[y]) >= threshold
+        a, b = x[hit], y[hit]
+        keep = ~_counted_elsewhere(near, a, b, p[a], q[a])
+        xs.append(a[keep])
+        ys.append(b[keep])
+        d += 1
+    return (np.concatenate(xs), np.concatenate(ys)) if xs else (np.empty(0, dtype=np.int64),) * 2
+
+
 def _verify(table: pa.Table, kind: str, threshold: float) -> pa.Table:
-    """Links within one list, or between the two blocks of it that meet here."""
-    p, q = divmod(table.column("key")[0].as_py(), 1 << 32)
-    block = table.column("block").to_numpy()
-    first, second = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-    gid, k = table.column("gid").to_numpy(), table.column("k").to_numpy()
+    """Links within the lists of one bucket."""
+    label = table.column("label").combine_chunks().dictionary_encode().indices.to_numpy()
+    key, i, j, block, gid, k = (table.column(c).to_numpy() for c in ("key", "i", "j", "block", "gid", "k"))
     raw = table.column("v").to_pylist()
+    size = np.array([len(v) for v in raw])
     near = np.stack([np.frombuffer(b, dtype=np.int32) for b in table.column("near").to_pylist()])
-    earlier = np.where((near < q) & (near != p), near, -1)  # a pair that shares one of these is counted elsewhere
-    sizes = np.array([len(v) for v in raw])
+    order = np.lexsort((gid, j, i, key, label, size))
+    label, key, i, j, block, gid, k, size, near = (x[order] for x in (label, key, i, j, block, gid, k, size, near))
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (label[1:] != label[:-1]) | (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]) | (size[1:] != size[:-1])
+    cuts = np.append(np.flatnonzero(new), len(order))
+    start = np.repeat(cuts[:-1], np.diff(cuts))
+    count = np.repeat(np.diff(cuts), np.diff(cuts))
+    p, q = key >> 32, key & 0xFFFFFFFF
     links = np.zeros(len(gid), dtype=np.int64)
-    label = np.arange(len(gid))
-    for size in np.unique(sizes):
-        rows = np.flatnonzero(sizes == size)
-        unit = _unit([raw[r] for r in rows], kind)
-        left = np.flatnonzero(block[rows] == first)
-        right = np.flatnonzero(block[rows] == second)
-        for at in range(0, len(left), 512):
-            a = left[at:at + 512]
-            x, y = np.nonzero(unit[a] @ unit[right].T >= threshold)
-            x, y = rows[a[x]], rows[right[y]]
-            own = x != y if first != second else x < y
-            x, y = x[own], y[own]
-            shared = np.zeros(len(x), dtype=bool)
-            for c in range(near.shape[1]):
-                shared |= ((earlier[x] == earlier[y, c][:, None]) & (earlier[y, c][:, None] >= 0)).any(axis=1)
-            x, y = x[~shared], y[~shared]
-            np.add.at(links, x, k[y])
-            np.add.at(links, y, k[x])
-            while True:  # local components: least row reachable
-                least = np.minimum(label[x], label[y])
-                before = label.copy()
-                np.minimum.at(label, x, least)
-                np.minimum.at(label, y, least)
-                label = label[label]
-                if (label == before).all():
-                    break
+    to = np.arange(len(gid))
+    for bytes_ in np.unique(size):
+        own = np.flatnonzero((size == bytes_) & (count <= SMALL) & (i == j))
+        if len(own):
+            unit = _unit([raw[r] for r in order[own]], kind)
+            x, y = _links_of_lists(unit, near[own], start[own], p[own], q[own], threshold)
+            _add(links, to, k, own[x], own[y])
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        if b - a > SMALL or i[a] != j[a]:
+            unit = _unit([raw[r] for r in order[a:b]], kind)
+            x, y = _links_of_blocks(unit, near[a:b], block[a:b], int(i[a]), int(j[a]), int(p[a]), int(q[a]), threshold)
+            _add(links, to, k, a + x, a + y)
     some = links > 0
-    return pa.table({"gid": pa.array(gid[some]), "links": pa.array(links[some]), "to": pa.array(gid[label[some]])})
+    return pa.table({"gid": pa.array(gid[some]), "links": pa.array(links[some]), "to": pa.array(gid[to[some]])})
+
+
+def _add(links: np.ndarray, to: np.ndarray, k: np.ndarray, x: np.ndarray, y: np.ndarray) -> None:
+    """Count linked rows, and point each row at the least row it reaches."""
+    np.add.at(links, x, k[y])
+    np.add.at(links, y, k[x])
+    while True:
+        before = to.copy()
+        least = np.minimum(to[x], to[y])
+        np.minimum.at(to, x, least)
+        np.minimum.at(to, y, least)
+        to[:] = to[to]
+        if (to == before).all():
+            return
 
 
 def near_vectors(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label",
@@ -165,16 +218,15 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedd
 
     lists = entries.select("label", "gid", "k", "v").mapInArrow(
         lambda it: _lists(it, index), "key bigint, label string, gid bigint, k bigint, v binary, near binary")
-    keys = entries.select("label", "gid", "k", "v").mapInArrow(lambda it: _lists(it, index), "key bigint, label string, gid bigint, k bigint, v binary, near binary") \
-        .select("key", "label").groupBy("key", "label").count().where(F.col("count") > BLOCK) \
-        .select("key", "label", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
-    large = written(keys, "lists")
-    small = 64 * large.count() <= 8 << 20
-    cut = lists.join(F.broadcast(large) if small else large, ["key", "label"], "left") \
-        .withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("block", F.pmod(F.xxhash64("gid"), F.col("blocks")).cast("int")) \
+    counts = lists.groupBy("key", "label").count().where("count > 1") \
+        .select("key", "label", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))  # a list of one has no pair
+    buckets = max(1, n * nearest * (nearest - 1) // 2 // BUCKET_ROWS)
+    cut = lists.join(counts.hint("merge"), ["key", "label"]) \
+        .withColumn("block", F.pmod(F.xxhash64("gid"), F.col("blocks")).cast("int")) \
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
-        .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("blocks", "other")
-    found = written(cut.groupBy("key", "label", "i", "j").applyInArrow(lambda t: _verify(t, kind, threshold), "gid bigint, links bigint, to bigint"), "links")
+        .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")) \
+        .withColumn("bucket", F.pmod(F.xxhash64("key", "label", "i", "j"), F.lit(buckets))).drop("blocks", "other")
+    found = written(cut.groupBy("bucket").applyInArrow(lambda t: _verify(t, kind, threshold), "gid bigint, links bigint, to bigint"), "links")
     groups = components(found.select(F.col("gid").alias("a"), F.col("to").alias("b")))
     counted = found.groupBy("gid").agg(F.sum("links").alias("links"))
     merged = entries.select("gid", "label", "digest", "least", "k").join(counted, "gid", "left").join(groups.withColumnRenamed("id", "gid"), "gid", "left") \

@@ -49,9 +49,11 @@ def make(seed=0, n=260, dim=16):
     return rows
 
 
-@pytest.mark.parametrize("block,pivots", [(2048, None), (5, 64)])
-def test_links_match_brute_force(spark, monkeypatch, block, pivots):
+@pytest.mark.parametrize("block,small,pivots", [(2048, 64, None), (5, 64, 64), (2048, 2, 64)])
+def test_links_match_brute_force(spark, monkeypatch, block, small, pivots):
     monkeypatch.setattr(pivot_dedup, "BLOCK", block)
+    monkeypatch.setattr(pivot_dedup, "SMALL", small)
+    monkeypatch.setattr(pivot_dedup, "BUCKET_ROWS", 500)
     rows = make()
     df = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<double>, label int, digest string").repartition(3)
     got = {r.vec_id: r for r in near_vectors(df, pivots=pivots).collect()}
