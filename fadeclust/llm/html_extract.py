@@ -299,8 +299,10 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
               fit_pages: int = 120, layouts: int = 400, rounds: int = 12) -> DataFrame:
     """One row per page: ``page_id, url, text``."""
     rows = pages.select(F.col(f"`{id_col}`").cast("long").alias("c0"), F.col(f"`{url_col}`").alias("c1"), F.col(f"`{html_col}`").alias("c2"))
-    sample = rows.where((F.octet_length("c2") > 0) & (F.octet_length("c2") <= FIT_BYTES)) \
-        .select(F.xxhash64("c0", "c1").alias("h"), "c2").orderBy("h", "c2").limit(fit_pages).collect()
+    # the least hashes first, then the pages that have them: only numbers are sorted
+    small = rows.where((F.octet_length("c2") > 0) & (F.octet_length("c2") <= FIT_BYTES)).withColumn("h", F.xxhash64("c0", "c1"))
+    least = [r["h"] for r in small.select("h").orderBy("h").limit(fit_pages).collect()]
+    sample = sorted(small.where(F.col("h") <= least[-1]).select("h", "c2").limit(2 * fit_pages).collect())[:fit_pages] if least else []
     extractor = Extractor([r["c2"] for r in sample], layouts, rounds)
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
