@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import byte_values, chunks, sequence_hashes, shingle_sets, words
+from .text import byte_values, chunks, sequence_hashes, shingle_sets, small_batches, words
 from .work import numbered, written
 
 BLOCK_BYTES = 32 << 20
@@ -137,7 +137,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 
 def _searcher(index: ItemIndex):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, 1):
             ids = batch.column(0).to_pylist()
             values = byte_values(batch.column(1))
             rows = []

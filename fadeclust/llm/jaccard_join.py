@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from . import work
 from .graph import components
-from .text import byte_values, chunks, mix64, shingle_sets
+from .text import CHUNK_BYTES, byte_values, chunks, mix64, shingle_sets, size_ranges, small_batches
 from .work import join_side, numbered, semi_join, written
 
 RARITY_BITS = 23
@@ -48,17 +48,11 @@ def _rarity(rows: DataFrame, k: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, dtype=np.uint32)
-        held, n = [], 0
-        for batch in batches:
+        for batch in small_batches(batches, 1):
             values = byte_values(batch.column(1))
             for lo, hi in chunks(values):
-                held += shingle_sets(values[lo:hi], k)
-                n += sum(map(len, held[lo - hi:]))
-                if n >= 1 << 22:
-                    total += np.bincount((np.concatenate(held) & np.uint64(size - 1)).view(np.int64), minlength=size).astype(np.uint32)
-                    held, n = [], 0
-        if held:
-            total += np.bincount((np.concatenate(held) & np.uint64(size - 1)).view(np.int64), minlength=size).astype(np.uint32)
+                at, n = np.unique(np.concatenate(shingle_sets(values[lo:hi], k)) & np.uint64(size - 1), return_counts=True)
+                total[at.view(np.int64)] += n.astype(np.uint32)
         for b in range(0, size, _BLOCK):
             part = total[b:b + _BLOCK]
             kind = np.uint8 if part.max() < 1 << 8 else np.uint16 if part.max() < 1 << 16 else np.uint32
@@ -99,7 +93,7 @@ def prefix_size(n: int, percent: int) -> int:
 def _sets(rows: DataFrame, k: int, percent: int, rarity: np.ndarray) -> DataFrame:
     """id, n, two digests of the set, and its prefix in order."""
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, 1):
             values = byte_values(batch.column(1))
             for lo, hi in chunks(values):
                 sets = shingle_sets(values[lo:hi], k)
@@ -143,10 +137,10 @@ def _verified(pairs: DataFrame, rows: DataFrame, k: int, percent: int, rarity: n
     left = texts.withColumnRenamed("id", "a").withColumnRenamed("c1", "ta").join(lookup(pairs.select("a").distinct()), "a", "left_semi")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, "ta", "tb"):
             keep: list[bool] = []
             ta, tb = byte_values(batch.column("ta")), byte_values(batch.column("tb"))
-            for lo, hi in chunks([x + y for x, y in zip(ta, tb)]):
+            for lo, hi in size_ranges((len(x) + len(y) for x, y in zip(ta, tb)), CHUNK_BYTES):
                 first = list(dict.fromkeys(ta[lo:hi]))
                 sets = dict(zip(first, shingle_sets(first, k)))
                 keep += [_linked(sets[t], y, percent, rarity) for t, y in zip(ta[lo:hi], shingle_sets(tb[lo:hi], k))]

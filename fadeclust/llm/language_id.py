@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import byte_values, chunks, joined
+from .text import byte_values, chunks, joined, small_batches
 
 FIT_BYTES = 64 << 10
 ORDERS = (2, 3, 4)
@@ -168,7 +168,7 @@ def languages(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col:
     model = fit(docs, train, id_col, text_col, lang_col, **fitting)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, 1):
             values = byte_values(batch.column(1))
             langs, scores = ["und"] * len(values), [0.0] * len(values)
             if model is not None:

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import byte_values, chunks, mix64, sequence_hashes, words
+from .text import byte_values, chunks, mix64, sequence_hashes, small_batches, words
 
 BLOCK_BYTES = 4 << 20
 SHARD_BYTES = 16 << 20
@@ -225,7 +225,7 @@ def _score(answers: pa.Table, table: pa.Table, order: int, n: int, v: int, prior
 
 
 def _unigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small_batches(batches, 0, limit=16 << 20):
         values = byte_values(batch.column(0))
         found = []
         for lo, hi in chunks(values):

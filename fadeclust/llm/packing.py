@@ -25,10 +25,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .text import byte_values
+from .text import byte_values, small_batches
 from .work import numbered, written
 
-CACHE_WORDS = 600_000
+CACHE_WORDS = 300_000
 _encoders: dict[str, WordEncoder] = {}
 
 
@@ -92,7 +92,7 @@ def pieces_of(docs: DataFrame, path: str, id_col: str, text_col: str, capacity:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder.of(path)
-        for batch in batches:
+        for batch in small_batches(batches, 1):
             rows = []
             for doc, text in zip(batch.column(0).to_pylist(), byte_values(batch.column(1))):
                 data = encoder.encode(text) + end

@@ -34,13 +34,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .suffix_array import suffix_array
-from .text import RunHash, byte_values, chunks, joined, mix64, pieces, sliding
+from .text import RunHash, byte_values, chunks, joined, mix64, pieces, sliding, small_batches
 from .work import join_side, numbered, written
 
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
 BUCKET_BYTES = 128 << 10
 HOT_CONTEXTS = 32768
-BLOCK_PLACES = 400_000     # places aggregated at once by a scan
+BLOCK_PLACES = 250_000     # places aggregated at once by a scan
 _SYMBOL = 8
 _LEN_BITS = 12           # a range is packed as start << _LEN_BITS | bytes
 _LEN_MASK = (1 << _LEN_BITS) - 1
@@ -79,7 +79,7 @@ def anchors(buf: np.ndarray, starts: np.ndarray, length: int, gram: int):
 def _places(batches: Iterator[pa.RecordBatch], length: int, gram: int):
     """Blocks of places (anchor, context, document, packed start, context bytes and anchor offset)."""
     held, size = [], 0
-    for batch in batches:
+    for batch in small_batches(batches, 1):
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         parts, row, base = pieces(byte_values(batch.column(1)), PIECE_BYTES, length - 1)
         row, base = np.asarray(row, dtype=np.int64), np.asarray(base, dtype=np.int64)
@@ -194,7 +194,7 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of the listed contexts of each text."""
-    for batch in batches:
+    for batch in small_batches(batches, "c1"):
         values = byte_values(batch.column("c1"))
         lists = batch.column("parts")
         ptr = lists.offsets.to_numpy()
@@ -327,7 +327,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small_batches(batches, "c1"):
         values = byte_values(batch.column("c1"))
         lists = batch.column("ranges").to_pylist()
         kept, removed, spans = [], [], []

@@ -7,12 +7,13 @@ A null text counts as an empty one.  Hashes are 64 bits and the same in every ta
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-CHUNK_BYTES = 2 << 20  # bytes hashed at once; a longer text is a chunk of its own
+CHUNK_BYTES = 1 << 20  # bytes hashed at once; a longer text is a chunk of its own
 
 _P = 0x9E3779B97F4A7C15
 _M = (1 << 64) - 1
@@ -65,14 +66,31 @@ def byte_values(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
 
 def chunks(values: list[bytes], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of values with at most ``limit`` bytes, or one longer value."""
-    lo = size = 0
-    for i, v in enumerate(values):
-        if i > lo and size + len(v) > limit:
+    return size_ranges(map(len, values), limit)
+
+
+def size_ranges(sizes: Iterable[int], limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges of items whose sizes add up to at most ``limit``, or one larger item."""
+    lo = total = end = 0
+    for i, n in enumerate(sizes):
+        if i > lo and total + n > limit:
             yield lo, i
-            lo, size = i, 0
-        size += len(v) + 1
-    if lo < len(values):
-        yield lo, len(values)
+            lo, total = i, 0
+        total += n + 1
+        end = i + 1
+    if lo < end:
+        yield lo, end
+
+
+def small_batches(batches: Iterable[pa.RecordBatch], *columns: int | str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches whose texts (in these columns) have at most
+    ``limit`` bytes, or one row: only a slice at a time becomes Python objects."""
+    for batch in batches:
+        sizes = np.zeros(batch.num_rows, dtype=np.int64)
+        for c in columns:
+            sizes += pc.fill_null(pc.binary_length(batch.column(c)), 0).to_numpy(zero_copy_only=False)
+        for lo, hi in size_ranges(sizes.tolist(), limit):
+            yield batch.slice(lo, hi - lo)
 
 
 def joined(values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
