@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from . import work
 from .graph import components
 from .text import CHUNK_BYTES, byte_values, chunks, mix64, shingle_sets, size_ranges, small_batches
-from .work import join_side, numbered, semi_join, written
+from .work import bounded, join_side, numbered, semi_join, written
 
 RARITY_BITS = 23
 _BLOCK = 1 << 17
@@ -168,8 +168,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rarity = _rarity(rows, k)
     sets = written(_sets(rows, k, percent, rarity), "sets")
     some = sets.where("n > 0 and id is not null")
-    least = some.groupBy("n", "d1", "d2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
-    copies = written(some.join(least, ["n", "d1", "d2"]).where("id != rep").select("id", "rep").distinct(), "copies")
+    least = written(some.groupBy("n", "d1", "d2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies")).where("copies > 1"), "least")
+    copies = written(some.join(bounded(least), ["n", "d1", "d2"]).where("id != rep").select("id", "rep").distinct(), "copies")
     single = join_side(some, copies, "id", "rep").where("rep is null").select("id", "n", "prefix")
 
     repeated = written(single.select(F.explode("prefix").alias("t")).groupBy("t").count().where("count > 1").select("t"), "tokens")

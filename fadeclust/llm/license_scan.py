@@ -30,7 +30,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .work import BROADCAST_BYTES, written
+from .work import bounded, written
 
 # Licence, one sentence of its header or text.
 TEMPLATES = [
@@ -69,11 +69,6 @@ def _norm(weights: DataFrame, *keys: str) -> DataFrame:
     return weights.groupBy(*keys).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
 
 
-def _bounded(side: DataFrame) -> DataFrame:
-    """A written side of short rows, broadcast only if it is small."""
-    return F.broadcast(side) if 100 * side.count() <= BROADCAST_BYTES else side.hint("merge")
-
-
 def match_licenses(files: DataFrame, threshold: float) -> DataFrame:
     """``id, whole, license, score``: the best template of each whole text and
     of each file's best header, where they reach the threshold (columns ``id``
@@ -116,7 +111,7 @@ def scan_licenses(files: DataFrame, id_col: str = "id", path_col: str = "path",
                   .select("id", "m.license", "m.score", F.when(F.col("m.rank") == 0, "file").otherwise("header").alias("how")), "own")
     placed = rows.select("id", "path", F.when(F.instr("path", "/") > 0, F.regexp_replace("path", "/[^/]*$", "")).when(F.col("path").isNotNull(), "").alias("dir"),
                          F.element_at(F.split("path", "/"), -1).alias("name"))
-    named = placed.join(_bounded(own), "id", "left")
+    named = placed.join(bounded(own), "id", "left")
     holders = named.where(F.col("license").isNotNull() & F.col("dir").isNotNull() & ((F.col("how") == "file") | F.upper("name").rlike("^(LICEN[CS]E|COPYING)")))
     at_dir = written(holders.groupBy("dir").agg(F.min(F.struct((-F.col("score")).alias("s"), "path", "license")).alias("m"))
                      .select(F.col("dir").alias("above"), "m.license", "m.path"), "holders")
@@ -124,11 +119,11 @@ def scan_licenses(files: DataFrame, id_col: str = "id", path_col: str = "path",
     dirs = written(placed.where("dir is not null").select("dir").distinct(), "dirs")
     parts = F.split("dir", "/")
     above = F.concat(F.array(F.lit("")), F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, F.lit(1), i), "/")))
-    nearest = dirs.select("dir", F.posexplode(F.array_distinct(above)).alias("depth", "above")).join(_bounded(at_dir), "above") \
+    nearest = dirs.select("dir", F.posexplode(F.array_distinct(above)).alias("depth", "above")).join(bounded(at_dir), "above") \
         .groupBy("dir").agg(F.max(F.struct("depth", "license", "path")).alias("m")) \
         .select("dir", F.col("m.license").alias("given"), F.col("m.path").alias("giver"))
     nearest = written(nearest, "nearest")
-    joined = named.join(_bounded(nearest), "dir", "left")
+    joined = named.join(bounded(nearest), "dir", "left")
     inherits = F.col("license").isNull() & F.col("given").isNotNull()
     return joined.select(
         "id", "path", F.coalesce("license", "given").alias("license"),

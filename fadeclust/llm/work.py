@@ -32,6 +32,11 @@ def join_side(rows: DataFrame, side: DataFrame, on: str, payload: str, how: str
     return rows.join(F.broadcast(side) if n <= BROADCAST_BYTES else side.hint("merge"), on, how)
 
 
+def bounded(side: DataFrame, row_bytes: int = 100) -> DataFrame:
+    """A written table of short rows, to be broadcast only if it is small."""
+    return F.broadcast(side) if row_bytes * side.count() <= BROADCAST_BYTES else side.hint("merge")
+
+
 def semi_join(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     """Rows whose key is among those of a table that grows with the input, by a
     shuffle (one plan at every size; adaptive execution splits hot keys)."""
