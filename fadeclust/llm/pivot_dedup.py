@@ -5,9 +5,10 @@ and their cosine in double precision is at least ``threshold``; a vector that is
 null or zero, or holds a null or non-finite number, links with nothing.
 
 1. Vectors that are equal bit for bit under one label are one entry with a count.
-2. Pivots are a bounded sample of the vectors (``pivots`` of them, by hash; by
-   default one per 200 vectors, 64 to 2048).  An entry is described by its
-   ``nearest`` pivots in order.
+2. Pivots are ``pivots`` random directions, by default one per 200 vectors, 64 to
+   2048; they depend on the vectors' length only, never on the vectors.  An entry
+   is described by its nearest pivots: ``nearest`` of them, or as many more as
+   make a simulated pair at the threshold share two with a chance of ``RECALL``.
 3. The inverted lists are kept per pair of pivots: entries of one list share at
    least two of their nearest pivots.  A pair that shares more is counted only
    in the list of its two least shared pivots.
@@ -17,9 +18,13 @@ null or zero, or holds a null or non-finite number, links with nothing.
    tasks of their own.  A task gives out each entry's number of links and one
    edge per entry and local component, never all pairs.
 
-Two vectors at a cosine of 0.93 share two of their 8 nearest pivots of 256 in
-99.9 % of cases (measured on random directions in 64 dimensions), so some of the
-weakest links may be missed; no pair below the threshold is ever linked.
+The products of two unit vectors with a random direction are normal with the
+vectors' cosine as correlation, so a pair's chance to be compared depends on its
+cosine alone: not on the length, nor on how many vectors lie around it.  It is
+``RECALL`` at the threshold and more above, in a large group of near copies as
+elsewhere; some of the weakest links may be missed, and no pair below the
+threshold is ever linked.  The price is paid in time: vectors that all lie in one
+narrow cone share their lists, and pairs of a list are compared block by block.
 
 Rows that repeat an id are vectors of their own.  A null id takes part, names no
 component, and is never kept.
@@ -29,6 +34,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
@@ -39,9 +45,10 @@ from pyspark.sql import functions as F
 from .graph import components
 from .work import written
 
-BLOCK = 2048         # entries of a list that are compared in one task with as many others
+BLOCK = 4096         # entries of a list that are compared in one task with as many others
 SMALL = 64           # lists up to this size are verified many at once
 BUCKET_ROWS = 20_000
+RECALL = 0.999       # least chance of a pair at the threshold to share a list
 
 
 def _vectors(batches: Iterator[pa.RecordBatch], kind: str) -> Iterator[pa.RecordBatch]:
@@ -66,30 +73,45 @@ def _unit(vectors: list[bytes], kind: str) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+@lru_cache(maxsize=8)
+def _directions(pivots: int, dim: int) -> np.ndarray:
+    return np.random.default_rng([pivots, dim]).normal(size=(pivots, dim))
+
+
+def recall(cosine: float, pivots: int, nearest: int, pairs: int = 10_000) -> float:
+    """Share of simulated pairs at this cosine that share two of their nearest pivots."""
+    rng = np.random.default_rng(0)
+    hits = 0
+    for at in range(0, pairs, 1000):
+        n = min(1000, pairs - at)
+        x = rng.normal(size=(n, pivots))
+        y = cosine * x + np.sqrt(max(0.0, 1 - cosine * cosine)) * rng.normal(size=(n, pivots))
+        own = np.zeros((2, n, pivots), dtype=bool)
+        for o, v in zip(own, (x, y)):
+            np.put_along_axis(o, np.argpartition(-v, nearest - 1, axis=1)[:, :nearest], True, axis=1)
+        hits += int(((own[0] & own[1]).sum(axis=1) >= 2).sum())
+    return hits / pairs
+
+
 class PivotIndex:
-    """Ordered nearest pivots of vectors; of each length, pivots of that length serve."""
+    """Nearest pivots of vectors; each length of vectors has pivots of its own."""
 
-    def __init__(self, pivots: list[bytes], kind: str, nearest: int) -> None:
-        self.kind, self.nearest = kind, nearest
-        self.of: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        sizes = np.array([len(p) for p in pivots], dtype=np.int64)
-        for size in np.unique(sizes):
-            at = np.flatnonzero(sizes == size)
-            self.of[int(size)] = (at, _unit([pivots[i] for i in at], kind))
+    def __init__(self, pivots: int, kind: str, nearest: int, threshold: float) -> None:
+        self.kind, self.pivots = kind, max(2, pivots)
+        self.nearest = min(self.pivots, max(2, nearest))
+        while self.nearest < self.pivots and recall(min(1.0, threshold), self.pivots, self.nearest) < RECALL:
+            self.nearest = min(self.pivots, self.nearest + 2)
 
     def describe(self, vectors: list[bytes]) -> np.ndarray:
-        """Numbers of the nearest pivots, nearest first; -1 fills up.  Lengths
-        without pivots fall back to none but number 0, so all of them meet."""
-        out = np.full((len(vectors), max(2, self.nearest)), -1, dtype=np.int32)
-        out[:, 0], out[:, 1] = 0, 1
+        """Numbers of the nearest pivots, in ascending order."""
+        out = np.empty((len(vectors), self.nearest), dtype=np.int32)
         sizes = np.array([len(v) for v in vectors], dtype=np.int64)
-        for size, (numbers, pivots) in self.of.items():
+        for size in np.unique(sizes):
             rows = np.flatnonzero(sizes == size)
-            n = min(self.nearest, len(numbers))
-            if len(rows) and n >= 2:
-                near = _unit([vectors[i] for i in rows], self.kind) @ pivots.T
-                out[rows, :n] = numbers[np.argsort(-near, axis=1, kind="stable")[:, :n]]
-        return out
+            unit = _unit([vectors[i] for i in rows], self.kind)
+            away = -(unit @ _directions(self.pivots, unit.shape[1]).T)
+            out[rows] = np.argpartition(away, self.nearest - 1, axis=1)[:, :self.nearest]
+        return np.sort(out, axis=1)
 
 
 def _lists(batches: Iterator[pa.RecordBatch], index: PivotIndex) -> Iterator[pa.RecordBatch]:
@@ -100,7 +122,6 @@ def _lists(batches: Iterator[pa.RecordBatch], index: PivotIndex) -> Iterator[pa.
             near = index.describe(part.column("v").to_pylist())
             rows, keys = [], []
             for i, own in enumerate(near.tolist()):
-                own = sorted(p for p in own if p >= 0)
                 keys += [p << 32 | q for p, q in combinations(own, 2)]
                 rows += [i] * (len(own) * (len(own) - 1) // 2)
             rows = np.array(rows, dtype=np.int64)
@@ -115,24 +136,39 @@ def _counted_elsewhere(near: np.ndarray, x: np.ndarray, y: np.ndarray, p, q) ->
     out = np.zeros(len(x), dtype=bool)
     for c in range(near.shape[1]):
         pivot = near[y, c]
-        out |= (pivot >= 0) & (pivot < q) & (pivot != p) & (near[x] == pivot[:, None]).any(axis=1)
+        out |= (pivot < q) & (pivot != p) & (near[x] == pivot[:, None]).any(axis=1)
     return out
 
 
-def _links_of_blocks(unit: np.ndarray, near: np.ndarray, block: np.ndarray, first: int, second: int, p: int, q: int, threshold: float):
-    """Linked rows of one large list, or of the two blocks of it that meet here."""
+def _link_blocks(links: np.ndarray, to: np.ndarray, k: np.ndarray, unit: np.ndarray, near: np.ndarray, block: np.ndarray,
+                 first: int, second: int, p: int, q: int, threshold: float) -> None:
+    """Links within one large list, or between the two blocks of it that meet
+    here.  Where many pairs link, they are counted as a matrix, never listed."""
     left, right = np.flatnonzero(block == first), np.flatnonzero(block == second)
-    xs, ys = [], []
+    lower = (near < q) & (near != p)
+    pivots, column = np.unique(near[lower], return_inverse=True)
+    has = np.zeros((len(near), len(pivots)), dtype=np.float32)
+    has[np.nonzero(lower)[0], column] = 1
     for at in range(0, len(left), 512):
         a = left[at:at + 512]
-        x, y = np.nonzero(unit[a] @ unit[right].T >= threshold)
-        x, y = a[x], right[y]
-        own = x != y if first != second else x < y
-        x, y = x[own], y[own]
-        keep = ~_counted_elsewhere(near, x, y, p, q)
-        xs.append(x[keep])
-        ys.append(y[keep])
-    return np.concatenate(xs), np.concatenate(ys)
+        hit = unit[a] @ unit[right].T >= threshold
+        if first == second:
+            hit &= a[:, None] < right
+        if 16 * np.count_nonzero(hit) <= hit.size:
+            x, y = np.nonzero(hit)
+            x, y = a[x], right[y]
+            keep = ~_counted_elsewhere(near, x, y, p, q)
+            _add(links, to, k, x[keep], y[keep])
+            continue
+        hit &= has[a] @ has[right].T == 0
+        links[a] += (hit @ k[right].astype(np.float64)).astype(np.int64)
+        links[right] += (k[a].astype(np.float64) @ hit).astype(np.int64)
+        some = hit.any(axis=1)
+        _merge(to, a[some], right[hit[some].argmax(axis=1)])
+        some = hit.any(axis=0)
+        _merge(to, right[some], a[hit[:, some].argmax(axis=0)])
+        x, y = np.nonzero(hit & (to[a][:, None] != to[right]))
+        _merge(to, a[x], right[y])
 
 
 def _links_of_lists(unit: np.ndarray, near: np.ndarray, start: np.ndarray, p: np.ndarray, q: np.ndarray, threshold: float):
@@ -181,8 +217,9 @@ def _verify(table: pa.Table, kind: str, threshold: float) -> pa.Table:
     for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
         if b - a > SMALL or i[a] != j[a]:
             unit = _unit([raw[r] for r in order[a:b]], kind)
-            x, y = _links_of_blocks(unit, near[a:b], block[a:b], int(i[a]), int(j[a]), int(p[a]), int(q[a]), threshold)
-            _add(links, to, k, a + x, a + y)
+            reach = np.arange(b - a)
+            _link_blocks(links[a:b], reach, k[a:b], unit, near[a:b], block[a:b], int(i[a]), int(j[a]), int(p[a]), int(q[a]), threshold)
+            to[a:b] = a + reach
     some = links > 0
     return pa.table({"gid": pa.array(gid[some]), "links": pa.array(links[some]), "to": pa.array(gid[to[some]])})
 
@@ -191,14 +228,20 @@ def _add(links: np.ndarray, to: np.ndarray, k: np.ndarray, x: np.ndarray, y: np.
     """Count linked rows, and point each row at the least row it reaches."""
     np.add.at(links, x, k[y])
     np.add.at(links, y, k[x])
+    _merge(to, x, y)
+
+
+def _merge(to: np.ndarray, x: np.ndarray, y: np.ndarray) -> None:
+    """Join the components of linked rows: every row points at its component's least row."""
     while True:
-        before = to.copy()
-        least = np.minimum(to[x], to[y])
-        np.minimum.at(to, x, least)
-        np.minimum.at(to, y, least)
-        to[:] = to[to]
-        if (to == before).all():
+        a, b = to[x], to[y]
+        differ = a != b
+        if not differ.any():
             return
+        x, y, a, b = x[differ], y[differ], a[differ], b[differ]
+        np.minimum.at(to, np.maximum(a, b), np.minimum(a, b))
+        while not np.array_equal(up := to[to], to):
+            to[:] = up
 
 
 def near_vectors(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label",
@@ -213,14 +256,13 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedd
                       .withColumn("gid", F.monotonically_increasing_id()), "entries")
     n = entries.count()
     m = pivots or min(2048, max(64, n // 200))
-    sample = entries.select(F.xxhash64("digest", "label").alias("h"), "v").orderBy("h").limit(m).collect()
-    index = PivotIndex([r["v"] for r in sample], kind, nearest)
+    index = PivotIndex(m, kind, nearest, threshold)
 
     lists = entries.select("label", "gid", "k", "v").mapInArrow(
         lambda it: _lists(it, index), "key bigint, label string, gid bigint, k bigint, v binary, near binary")
     counts = lists.groupBy("key", "label").count().where("count > 1") \
         .select("key", "label", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))  # a list of one has no pair
-    buckets = max(1, n * nearest * (nearest - 1) // 2 // BUCKET_ROWS)
+    buckets = max(1, n * index.nearest * (index.nearest - 1) // 2 // BUCKET_ROWS)
     cut = lists.join(counts.hint("merge"), ["key", "label"]) \
         .withColumn("block", F.pmod(F.xxhash64("gid"), F.col("blocks")).cast("int")) \
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \

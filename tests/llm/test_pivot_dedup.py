@@ -77,3 +77,20 @@ def test_repeated_and_null_ids_and_empty(spark):
     got = sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in near_vectors(df).collect()), key=str)
     assert got == [(1, 2, 1, True), (1, 2, 1, True), (5, 0, 5, True), (None, 2, 1, False)]
     assert near_vectors(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("pivots", [256, 2048])
+def test_recall_in_a_large_noisy_group(spark, pivots):
+    rng = np.random.default_rng(3)
+    dim, n = 64, 1500
+    x = rng.normal(size=(n, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[::3] = x[0] + np.sqrt(0.05 / 0.95 / dim) * rng.normal(size=(n // 3, dim))   # pair cosines about 0.95
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = (unit @ unit.T >= 0.93).sum(axis=1) - 1
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int").repartition(3)
+    got = {r.vec_id: r for r in near_vectors(df, pivots=pivots).collect()}
+    assert want.sum() > 200_000 and all(got[i].n_links <= want[i] for i in range(n))
+    assert sum(r.n_links for r in got.values()) >= 0.98 * want.sum()
+    assert all(got[i].n_links >= 0.9 * want[i] for i in range(0, n, 3))
+    assert {got[i].component_id for i in range(0, n, 3)} == {0}
