@@ -75,3 +75,75 @@ def test_repeated_ids_and_empty(spark):
     df = spark.createDataFrame([(1, "a/b", "Released under the MIT License.")] * 2, "id long, path string, text string")
     assert [(r.license, r.how) for r in scan_licenses(df).collect()] == [("MIT", "file")] * 2
     assert scan_licenses(df.limit(0)).count() == 0
+
+
+MIT = """MIT License
+
+Copyright (c) 2020 Jane Doe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+"""
+APACHE = "                                 Apache License\n                           Version 2.0, January 2004\n" \
+    "                        http://www.apache.org/licenses/\n\n   TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION\n"
+BSD2 = """Copyright (c) 2019, Acme
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD3 = BSD2 + """
+3. Neither the name of Acme nor the names of its contributors may be used to
+   endorse or promote products derived from this software without specific
+   prior written permission.
+"""
+GPL = """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU {}General Public License as published by
+# the Free Software Foundation, either version {} of the License, or
+# (at your option) any later version.
+#
+# This program is distributed in the hope that it will be useful,
+# but WITHOUT ANY WARRANTY.  See the GNU {}General Public License for more details.
+"""
+MPL = """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at https://mozilla.org/MPL/2.0/. */
+"""
+
+
+def test_real_texts(spark):
+    code = "\n".join(f"def f{i}(x, y):\n    return x * {i} + y" for i in range(80))
+    want = [("m/LICENSE", MIT, "MIT", "file"), ("m/src/a.py", code, "MIT", "inherited"), ("m/b.c", MIT + code, "MIT", "header"),
+            ("a/LICENSE", APACHE, "Apache-2.0", None), ("a/x.py", code, "Apache-2.0", "inherited"),
+            ("b2/COPYING", BSD2, "BSD-2-Clause", "file"), ("b3/LICENSE.txt", BSD3, "BSD-3-Clause", "file"), ("b3/q", code, "BSD-3-Clause", "inherited"),
+            ("g/2.py", GPL.format("", 2, "") + code, "GPL-2.0", "header"), ("g/3.py", GPL.format("", 3, "") + code, "GPL-3.0", "header"),
+            ("g/a.py", GPL.format("Affero ", 3, "Affero ") + code, "AGPL-3.0", "header"), ("g/l.py", GPL.format("Lesser ", 3, "Lesser ") + code, "LGPL-3.0", "header"),
+            ("g/none.py", code, None, "none"), ("p/x.c", MPL + code, "MPL-2.0", "header"),
+            ("t/COPYING", "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n" + code, "GPL-3.0", None),
+            ("i/LICENSE", "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\n"
+             "copyright notice and this permission notice appear in all copies.", "ISC", "file"),
+            ("s/1.c", "// SPDX-License-Identifier: GPL-2.0-or-later\n" + code, "GPL-2.0", "header"),
+            ("s/2.c", "/* SPDX-License-Identifier: (mit OR Apache-2.0) */\n" + code, "(mit OR Apache-2.0)", "header"),
+            ("s/3.c", "/* spdx-license-identifier: mit */\n" + code, "MIT", "header"),
+            ("w/1.py", "# Licensed under the Apache\n# License, Version 2.0.\n" + code, "Apache-2.0", "header"),
+            ("n/1", "We discuss the MIT license, the copyright and the permission of others at length.\n" + code, None, "none")]
+    df = spark.createDataFrame([(i, p, x) for i, (p, x, _, _) in enumerate(want)], "id long, path string, text string").repartition(3)
+    out = scan_licenses(df)
+    got = {r.path: (r.license, r.how) for r in out.collect()}
+    for path, _, lic, how in want:
+        assert got[path][0] == lic and how in (None, got[path][1]), (path, got[path])
+    assert not re.search("Python|Arrow|Pandas", out._jdf.queryExecution().executedPlan().toString())
