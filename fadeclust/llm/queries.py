@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontam import contaminated
+from .filter_audit import any_of, audit, capitals, fewer_words, repeated_words
 from .html_extract import main_text
 from .jaccard_join import jaccard_components
 from .language_id import languages
@@ -212,3 +213,31 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query("op11_filter_audit", """
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+           list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+lab AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, (len(w) < 50)::INT + 2 * (100 * len(list_distinct(w)) < 65 * len(w))::INT
+        + 4 * (100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 5 * length(t))::INT
+        + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)::INT AS m
+      FROM d LEFT JOIN lab USING (doc_id)),
+c AS (SELECT part, m, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, m),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS k, unnest([1, 2, 4, 8, 16]) AS v),
+o AS (SELECT a.k || b.k || c.k || d.k || e.k AS filter_order, [a.v, b.v, c.v, d.v, e.v] AS vs FROM x a, x b, x c, x d, x e
+      WHERE a.v + b.v + c.v + d.v + e.v = 31 AND len(list_distinct([a.v, b.v, c.v, d.v, e.v])) = 5),
+s AS (SELECT filter_order, i AS step, vs[i] AS bit, coalesce(list_sum(vs[1:i - 1]), 0)::INT AS before
+      FROM (SELECT filter_order, vs, unnest(range(1, 6)) AS i FROM o)),
+r AS (SELECT part, filter_order, step, bit, sum(CASE WHEN m & (before | bit) = 0 THEN n ELSE 0 END) AS kept,
+        sum(CASE WHEN m & before = 0 AND m & bit > 0 THEN n ELSE 0 END) AS removed, sum(CASE WHEN m & before > 0 AND m & bit > 0 THEN n ELSE 0 END) AS redundant,
+        sum(CASE WHEN m = bit THEN n ELSE 0 END) AS unique_fails, sum(CASE WHEN m & before = 0 AND m & bit > 0 THEN good ELSE 0 END) AS good_lost,
+        sum(CASE WHEN m & before = 0 AND m & bit > 0 THEN toxic ELSE 0 END) AS toxic_lost FROM c, s GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, step::INT AS step, substr(filter_order, step::INT, 1) AS filter, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+  unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley FROM r""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters over all documents in all their orders, per source."""
+    filters = {"A": fewer_words(50), "B": repeated_words(65), "C": capitals(5), "D": any_of("#$%&*|")}
+    return audit(table(spark, sf_dir, "documents"), filters, "E", table(spark, sf_dir, "labels"),
+                 {"good_lost": "quality = 1", "toxic_lost": "toxic = 1"})
