@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .cube_mix import mix
 from .decontam import contaminated
 from .filter_audit import any_of, audit, capitals, fewer_words, repeated_words
 from .html_extract import main_text
@@ -241,3 +242,9 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     filters = {"A": fewer_words(50), "B": repeated_words(65), "C": capitals(5), "D": any_of("#$%&*|")}
     return audit(table(spark, sf_dir, "documents"), filters, "E", table(spark, sf_dir, "labels"),
                  {"good_lost": "quality = 1", "toxic_lost": "toxic = 1"})
+
+
+@query("op12_source_mix")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed by source to weights 5, 2, 1, repeating."""
+    return mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.0, most=3).select("doc_id", "size", "source_size", "target", "taken")
