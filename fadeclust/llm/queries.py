@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 from .cube_mix import mix
 from .decontam import contaminated
-from .filter_audit import any_of, audit, capitals, fewer_words, repeated_words
+from .filter_audit import any_of, audit, capitals, fewer_words, repeated_words, words_of
 from .html_extract import main_text
 from .jaccard_join import jaccard_components
 from .language_id import languages
 from .license_scan import CUES, TEMPLATES, VOCABULARY, scan_licenses
 from .lm_score import lm_scores
 from .packing import pack
+from .periodic_runs import periodic_runs
 from .pivot_dedup import near_vectors
 from .suffix_dedup import remove_repeats
 from .tokens import tokenizer_path
@@ -248,3 +249,40 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed by source to weights 5, 2, 1, repeating."""
     return mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.0, most=3).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op13_periodic_runs", f"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w,
+  xor({_CRC.format(x="doc_id::VARCHAR")}, 4294967295::BIGINT) AS h FROM documents),
+e AS (SELECT doc_id, w, h, (h // 10) % len(w) AS a, 1 + (len(w) - (h // 10) % len(w)) // (3 + (h // 10) % 8) AS p FROM d WHERE len(w) > 0),
+t AS (SELECT doc_id, CASE WHEN h % 10 = 0 THEN list_transform(range(0, len(w)), lambda i: CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % p + 1] END) ELSE w END AS w FROM e),
+g AS (SELECT doc_id, i, array_to_string(w[i + 1:i + 6], ' ') AS x FROM (SELECT doc_id, w, unnest(range(0, len(w) - 5)) AS i FROM t)),
+b AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS grp
+      FROM (SELECT a.doc_id, a.i, z.i - a.i AS q FROM g a JOIN g z ON a.doc_id = z.doc_id AND a.x = z.x AND z.i > a.i)),
+s AS (SELECT doc_id, q, min(i) AS s, max(i) + 6 + q - min(i) AS n FROM b GROUP BY doc_id, q, grp),
+r AS (SELECT doc_id, s, n, min(q) AS q FROM s WHERE n >= greatest(12, 2 * q) GROUP BY doc_id, s, n),
+o AS (SELECT doc_id, count(*) AS n_runs, min(struct_pack(n := -n, s := s, q := q)) AS f, string_agg(s || ',' || n || ',' || q || chr(10), '' ORDER BY s, q) AS txt FROM r GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + n)) AS i FROM r),
+k AS (SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS txt FROM (SELECT doc_id, unnest(w) AS x, unnest(range(0, len(w))) AS i FROM t) ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, f.s AS start, -f.n AS length, f.q AS period, (1000 * -f.n) // f.q AS exponent_milli,
+  sha256(coalesce(o.txt, '')) AS runs_sha256, sha256(coalesce(k.txt, '')) AS collapsed_sha256
+FROM d LEFT JOIN o USING (doc_id) LEFT JOIN k USING (doc_id)""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of words in all documents, of which a tenth is made periodic: by the
+    id's crc32, words from a on repeat the p words that begin there."""
+    words, n = words_of(F.col("text")), F.size(words_of(F.col("text")))
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10).cast("long")
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    again = F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int"))
+    periodic = F.array_join(F.concat(F.slice(words, F.lit(1), a), F.slice(F.flatten(again), F.lit(1), n - a)), " ")
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.when((h % 10 == 0) & (n > 0), periodic).otherwise(F.col("text")).alias("text"))
+    out = periodic_runs(docs, least=12)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("q"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")])), "\n")
+    return out.select(
+        F.col("id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), (-longest["s"]).alias("start"), longest["length"].alias("length"),
+        (-longest["q"]).alias("period"), F.floor(1000 * longest["length"] / -longest["q"]).alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise(""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
