@@ -1,4 +1,5 @@
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -36,6 +37,38 @@ def test_odd_pages_parse(page, extractor):
     assert isinstance(extractor.extract([page], {})[0], str)
 
 
+LONG = {"open tags": "<a" * 500_000, "open declarations": "<!" * 500_000, "depth": "<div>" * 100_000 + "text", "one tag": "<a " + "x" * 2_000_000,
+        "odd quotes": "<a " * 300_000 + '">', "quoted ends": '<a "x>" ' * 100_000 + "'>", "mixed quotes": "<a '\"" * 200_000 + ">",
+        "inline": "<div>" + "<i>" * 50_000 + "</b>" * 50_000, "paragraphs": "<i>" * 50_000 + "<p>" * 50_000, "blanks": "<a" + " " * 1_000_000 + ">"}
+
+
+@pytest.mark.parametrize("kind", sorted(LONG))
+def test_long_odd_pages_take_linear_time(kind):
+    start = time.perf_counter()
+    nodes, pieces = parse(LONG[kind])
+    assert time.perf_counter() - start < 10
+    if kind in ("open tags", "open declarations", "one tag"):
+        assert len(nodes) == 1 and "".join(s for _, s in pieces) == LONG[kind]
+
+
+def test_deep_and_unfinished_pages_are_extracted(extractor):
+    for kind in ("depth", "open tags", "one tag"):
+        start = time.perf_counter()
+        assert isinstance(extractor.extract([LONG[kind]], {})[0], str)
+        assert time.perf_counter() - start < 10, kind
+
+
+def test_quotes_and_ends():
+    def read(page):
+        nodes, pieces = parse(page)
+        return [(n.tag, n.attrs) for n in nodes[1:]], "".join(s or "|" for _, s in pieces)
+    assert read("<a t='x>y'>z</a>") == ([("a", " t='x>y'")], "z")
+    assert read("<a t='x>y") == ([("a", " t='x")], "y")              # the quote never ends
+    assert read("<b x=\"1>u</b><i>it's</i>") == ([("b", " x=\"1"), ("i", "")], "uit's")
+    assert read("a <!-- <b> --> c <?x y?> d <!doctype q> e") == ([], "a  c  d  e")
+    assert read("x > y < z <b") == ([], "x > y < z <b")
+
+
 def brute_role(forest, logp):
     """Best allowed roles by trying all assignments of a small tree."""
     from itertools import product
