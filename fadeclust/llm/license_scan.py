@@ -15,7 +15,8 @@ that no file has, so foreign words lower the cosine.
   without ``-only`` and ``-or-later``); the standard wordings (``FORMS``), held
   across line ends and comment marks, of which the text must hold the deciding
   phrase and ``threshold`` of the three-word shingles (the score); windows of two
-  to four consecutive lines, joined and compared like a header.  A wording counts
+  to four consecutive lines and whole blocks of lines (between lines without text,
+  also in comments), joined and compared like a header.  A wording counts
   as the whole text if it makes up half of the text's shingles, else as a header.
 * A *licence file* has a name that starts with LICENSE, LICENCE or COPYING, or a
   whole text that reaches the threshold; its licence holds for its directory and
@@ -65,6 +66,7 @@ TEMPLATES = [
 ]
 CUES = "licen[cs]e|copyright|spdx|permission|redistribution|public domain|cc0"
 _SPLIT = "[^a-z0-9]+"
+_BETWEEN = "\n[ \t#*/;-]*\n"  # lines without text, also in comments, end a block
 _GNU = [("AGPL-3.0", "affero general", "3"), ("GPL-2.0", "general", "2"), ("GPL-3.0", "general", "3"),
         ("LGPL-2.1", "lesser general", "2 1"), ("LGPL-3.0", "lesser general", "3")]
 _BSD = ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
@@ -117,15 +119,19 @@ def _norm(weights: DataFrame, *keys: str) -> DataFrame:
 
 
 def _runs(parts: Column, n: int) -> Column:
-    """All runs of n consecutive strings, each joined by blanks."""
-    joined = F.transform(F.sequence(F.lit(1), F.size(parts) - (n - 1)), lambda i: F.array_join(F.slice(parts, i, n), " "))
+    """All runs of n consecutive strings, each joined by blanks: shifted copies
+    zipped, so that ``parts`` is computed a fixed number of times."""
+    number = F.size(parts) - (n - 1)
+    joined = F.slice(parts, F.lit(1), number)
+    for k in range(2, n + 1):
+        joined = F.zip_with(joined, F.slice(parts, F.lit(k), number), lambda a, b: F.concat(a, F.lit(" "), b))
     return F.when(F.size(parts) >= n, joined).otherwise(F.array().cast("array<string>"))
 
 
 def match_licenses(files: DataFrame, threshold: float) -> DataFrame:
     """``id, whole, license, score``: the best template of each whole text and
     of each file's best header, where they reach the threshold, else what the
-    file's standard wordings or windows of lines give (columns ``id`` and ``text``)."""
+    file's standard wordings, windows of two to four lines or whole blocks of lines give (columns ``id`` and ``text``)."""
     vocabulary = F.array(*[F.lit(t) for t in VOCABULARY])
     total = files.count()
     held = files.select(F.explode(F.array_intersect(F.split(F.lower("text"), _SPLIT), vocabulary)).alias("t")).groupBy("t").count()
@@ -160,7 +166,8 @@ def match_licenses(files: DataFrame, threshold: float) -> DataFrame:
     left = written(cued.join(found.select("id").distinct().hint("merge"), "id", "left_anti"), "left")
     worded = written(_wordings(left, threshold), "wordings")
     lines = F.split("text", "\n")
-    windows = F.concat(*[_runs(lines, n) for n in (2, 3, 4)])
+    blocks = F.split("text", _BETWEEN)
+    windows = F.concat(*[_runs(lines, n) for n in (2, 3, 4)], F.when(F.size(blocks) > 1, blocks).otherwise(F.array().cast("array<string>")))
     rest = left.join(worded.select("id").hint("merge"), "id", "left_anti") \
         .select("id", F.posexplode(F.filter(windows, has_cue)).alias("unit", "part")).withColumn("unit", F.col("unit") + 1)
     return found.unionByName(worded).unionByName(score(rest))

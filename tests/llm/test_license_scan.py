@@ -1,5 +1,6 @@
 import math
 import re
+import time
 from collections import Counter
 
 from fadeclust.llm.license_scan import CUES, TEMPLATES, VOCABULARY, scan_licenses
@@ -147,3 +148,15 @@ def test_real_texts(spark):
     for path, _, lic, how in want:
         assert got[path][0] == lic and how in (None, got[path][1]), (path, got[path])
     assert not re.search("Python|Arrow|Pandas", out._jdf.queryExecution().executedPlan().toString())
+
+
+def test_long_cued_text_and_headers_over_many_lines(spark):
+    words = "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.".split()
+    wrapped = "#!/bin/sh\n#\n" + "\n".join(f"# {' '.join(words[i:i + 2])}" for i in range(0, len(words), 2)) + "\n#\n# other text of the file\nx = 1\n"
+    long = "license " + " ".join(f"w{k % 5000}" for k in range(200_000))
+    rows = [(1, "a/x.sh", wrapped), (2, "a/y.txt", long), (3, "a/z.txt", "license\n" * 20_000)]
+    df = spark.createDataFrame(rows, "id long, path string, text string").repartition(3)
+    scan_licenses(df.where("id = 1")).collect()
+    start = time.perf_counter()
+    got = {r.id: (r.license, r.how) for r in scan_licenses(df).collect()}
+    assert time.perf_counter() - start < 60 and got[1] == ("MPL-2.0", "header") and got[2] == got[3] == (None, "none")
