@@ -113,7 +113,7 @@ def audit(docs: DataFrame, filters: Mapping[str, Callable[[Column], Column]], sa
     prefixes = F.element_at(F.array(*[masks(1 << i) for i in range(n)], masks(0)), F.col("f") + 1)
     cases = each.unionByName(bare).repartition("rid").withColumn("before", F.explode(prefixes))
     bit = F.element_at(F.array(*[F.lit(1 << i) for i in range(n)]), F.col("f") + 1)
-    ran = ids.select(F.col("rid").alias("r"), bit.alias("bit"))
+    ran = ids.select(F.col("rid").alias("r"), bit.alias("bit")).hint("merge")     # grows with the input
     earlier = (F.col("rid") == F.col("r")) & (F.col("before").bitwiseAND(F.col("bit")) != 0)
     key = (F.col("f") * (full + 1) + F.col("before")).alias("key")
     left = cases.join(ran, earlier, "left_anti").groupBy("part", "f", "before").agg(
@@ -129,7 +129,7 @@ def audit(docs: DataFrame, filters: Mapping[str, Callable[[Column], Column]], sa
     per_part = counts.groupBy("part").agg(
         F.map_from_entries(F.collect_list(F.struct("key", F.struct(*[F.col(f"`{x}`") for x in measures])))).alias("by"),
         F.array(*[F.sum(F.when(F.col("f") == i, F.col("removed") * weight).otherwise(0)) for i in range(n)]).alias("all_orders"))
-    clean = rows.join(ids.select("rid"), "rid", "left_anti").groupBy("part").agg(F.count(F.lit(1)).alias("clean"))
+    clean = rows.join(ids.select("rid").hint("merge"), "rid", "left_anti").groupBy("part").agg(F.count(F.lit(1)).alias("clean"))
     parts = rows.groupBy("part").agg(F.count(F.lit(1)).alias("n")).join(clean, "part", "left").join(per_part, "part", "left")
 
     steps = []
