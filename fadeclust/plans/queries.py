@@ -27,11 +27,12 @@ from ..operators.stats import cluster_stats, stats_long
 from ..operators.update import UpdateParams, train_step
 from ..operators.views import center_display, latest_center, latest_n
 from ..session import fresh_dir
-from ..sources.streams import (Replay, checked_points, points_stream,
+from ..sources.streams import (KeyedBatches, checked_points, points_stream,
                                read_lines_stream)
 from ..sources.tables import (embedding_points, event_lines, event_points,
                               lineitem_points, table)
 from ..streaming import datasource as _ds
+from ..streaming.score import score_stream
 from ..streaming.sinks import (FileLineTransport, LineWriter,
                                batch_distinct_count, console, fan_out,
                                print_sample, read_distinct_counts, run_batches,
@@ -494,29 +495,49 @@ def time_unit_points(spark, sf_dir):
 # ---- Streaming: replayed event stream (S1-S3, T2-T10, K1-K9) -------------------------
 
 
-def _event_replay(spark, sf_dir):
-    """The event lines (bad records included) replayed one day per batch."""
-    return Replay(event_lines(spark, sf_dir), "day")
+NOW = {"availableNow": True}
+
+
+def _run_to_end(query) -> None:
+    try:
+        query.awaitTermination()
+    finally:
+        query.stop()
+
+
+def _keyed_events(spark, sf_dir, publish=None):
+    """The event lines (bad records included), one day per micro-batch."""
+    return KeyedBatches(event_lines(spark, sf_dir), "day", publish=publish)
+
+
+def _by_key(kb):
+    """The points of one key after the other as batches."""
+    return lambda func: kb.each(func, points_stream)
+
+
+# Keys that one trigger admits.
+KEYS_PER_TRIGGER = 10
 
 
 def _initial_events(spark, sf_dir, k=K, w0=W0):
     return initial_state_from_first(event_points(spark, sf_dir), k, "event_id", weight=w0)
 
 
-@register("train_stream", ORACLE["train_replay_events"])
-def train_stream_q(spark, sf_dir):
-    rp = _event_replay(spark, sf_dir)
-    q, trainer = train_stream(points_stream(rp.stream()), _initial_events(spark, sf_dir),
-                              UpdateParams(decay=DECAY))
-    try:
-        rp.feed(q)
-    finally:
-        q.stop()
+def _stream_history(trainer):
     h = trainer.table.history().select(
         "batch_id", "label", F.posexplode("center").alias("dim", "center"), "weight")
     return _rounded_history(h.withColumn("dim", F.col("dim").cast("int")))
 
 
+@register("train_stream", ORACLE["train_replay_events"])
+def train_stream_q(spark, sf_dir):
+    kb = _keyed_events(spark, sf_dir)
+    init = initial_state_from_first(points_stream(kb.all_rows()), K, "event_id", weight=W0)
+    q, trainer = train_stream(kb.stream(KEYS_PER_TRIGGER), init, UpdateParams(decay=DECAY), batches=_by_key(kb), trigger=NOW)
+    _run_to_end(q)
+    return _stream_history(trainer)
+
+
 @register("batch_distinct_count", """
 SELECT CAST(dense_rank() OVER (ORDER BY day) - 1 AS BIGINT) AS batch_id, distinct_count FROM (
   SELECT day, count(*) AS distinct_count FROM (
@@ -524,16 +545,11 @@ SELECT CAST(dense_rank() OVER (ORDER BY day) - 1 AS BIGINT) AS batch_id, distinc
 def batch_distinct_count_q(spark, sf_dir):
     ev = table(spark, sf_dir, "events").select(
         F.to_date("ts").alias("day"), "user_id", "event_type")
-    rp = Replay(ev, "day")
+    kb = KeyedBatches(ev, "day")
     out = fresh_dir(spark, "distinct")
-    q = (rp.stream().select("user_id", "event_type").writeStream
-         .foreachBatch(batch_distinct_count(out))
-         .option("checkpointLocation", fresh_dir(spark, "checkpoint"))
-         .queryName("fadeclust-distinct").start())
-    try:
-        rp.feed(q)
-    finally:
-        q.stop()
+    count = batch_distinct_count(out)
+    _run_to_end(run_batches(kb.stream(KEYS_PER_TRIGGER), kb.each(lambda d, i: count(d.select("user_id", "event_type"), i)),
+                            fresh_dir(spark, "checkpoint"), "fadeclust-distinct", NOW))
     return read_distinct_counts(spark, out)
 
 
@@ -542,7 +558,7 @@ SCORE_AFTER_SQL = _score_sql("after")
 
 def _run_fan_out(spark, sf_dir):
     """One query, two sinks; returns the folders of the lines and the counts."""
-    rp = _event_replay(spark, sf_dir)
+    kb = _keyed_events(spark, sf_dir)
     lines_dir = fresh_dir(spark, "labelled")
     counts_dir = fresh_dir(spark, "labelled-distinct")
 
@@ -551,13 +567,10 @@ def _run_fan_out(spark, sf_dir):
 
     outputs = [fan_out(as_lines(write_lines_batch(lines_dir)),
                        batch_distinct_count(counts_dir))]
-    q, _ = train_and_score_stream(points_stream(rp.stream()), _initial_events(spark, sf_dir),
-                                  UpdateParams(decay=DECAY), outputs, score_with="after",
-                                  persist_batch=False)
-    try:
-        rp.feed(q)
-    finally:
-        q.stop()
+    init = initial_state_from_first(points_stream(kb.all_rows()), K, "event_id", weight=W0)
+    q, _ = train_and_score_stream(kb.stream(KEYS_PER_TRIGGER), init, UpdateParams(decay=DECAY), outputs, score_with="after",
+                                  persist_batch=False, batches=_by_key(kb), trigger=NOW)
+    _run_to_end(q)
     return lines_dir, counts_dir
 
 
@@ -597,35 +610,61 @@ def _read_points_json(spark, path: str) -> DataFrame:
 
 @register("line_sink", ORACLE["valid_points"])
 def line_sink_q(spark, sf_dir):
-    rp = _event_replay(spark, sf_dir)
     out = fresh_dir(spark, "lines")
-    q = (_points_json(points_stream(rp.stream())).writeStream
+    q = (_points_json(points_stream(_keyed_events(spark, sf_dir, publish=0).row_stream())).writeStream
          .foreach(LineWriter(FileLineTransport(out)))
          .option("checkpointLocation", fresh_dir(spark, "checkpoint"))
-         .queryName("fadeclust-lines").start())
-    try:
-        rp.feed(q)
-    finally:
-        q.stop()
+         .trigger(**NOW).queryName("fadeclust-lines").start())
+    _run_to_end(q)
     return _read_points_json(spark, out)
 
 
 @register("datasource_sink", ORACLE["valid_points"])
 def datasource_sink_q(spark, sf_dir):
+    """The named sink over several micro-batches (ten files each)."""
     _ds.register(spark)
-    rp = _event_replay(spark, sf_dir)
     out = fresh_dir(spark, "jsonl")
-    q = (_points_json(points_stream(rp.stream())).writeStream
+    q = (_points_json(points_stream(_keyed_events(spark, sf_dir, publish=0).row_stream(10))).writeStream
          .format("jsonl_points").option("path", out)
          .option("checkpointLocation", fresh_dir(spark, "checkpoint"))
-         .queryName("fadeclust-jsonl").start())
-    try:
-        rp.feed(q)
-    finally:
-        q.stop()
+         .trigger(**NOW).queryName("fadeclust-jsonl").start())
+    _run_to_end(q)
     return _points_of_json(_ds.read_committed(spark, out))
 
 
+# ---- T4: scoring by a query of its own ---------------------------------------------------
+
+
+@register("score_stream", f"""WITH RECURSIVE {EVT_BATCHED_PTS},
+{sql.fold_ctes(K, W0, DECAY)},
+n AS (SELECT max(b) AS last FROM pts)
+SELECT event_id, CAST(version AS BIGINT) AS version, prediction, {sql.r6('cs[prediction + 1][1]')} AS cx,
+       {sql.r6('cs[prediction + 1][2]')} AS cy FROM (
+  SELECT pts.id AS event_id, st.b AS version, st.cs,
+         CAST(list_position({sql.dists_to('st.cs', 'pts.f')}, list_min({sql.dists_to('st.cs', 'pts.f')})) - 1 AS INTEGER) AS prediction
+  FROM pts, n, st WHERE st.b = CASE WHEN pts.id % 2 = 0 THEN (last + 1) // 2 - 1 ELSE last END)""")
+def score_stream_q(spark, sf_dir):
+    """Two queries: one trains day by day, one scores.  The even events are
+    scored when half of the days are trained, the odd ones, a second micro-batch
+    of the restarted scoring query, when all are."""
+    kb = _keyed_events(spark, sf_dir, publish=0)
+    init = initial_state_from_first(points_stream(kb.all_rows()), K, "event_id", weight=W0)
+    state, training, scoring, pins = (fresh_dir(spark, x) for x in ("state", "checkpoint", "checkpoint", "pins"))
+    incoming, scored = fresh_dir(spark, "incoming"), fresh_dir(spark, "scored")
+    lines = kb.all_rows().select("event_id", "value")
+
+    def save(d, i):
+        d.select("event_id", "version", "prediction", "center").write.mode("overwrite").parquet(f"{scored}/batch_id={i}")
+
+    for half, days in enumerate((len(kb.keys) // 2, None)):
+        kb.publish(days)
+        _run_to_end(train_stream(kb.stream(KEYS_PER_TRIGGER), init, UpdateParams(decay=DECAY), state, training, batches=_by_key(kb), trigger=NOW)[0])
+        lines.where(F.col("event_id") % 2 == half).write.mode("append").parquet(incoming)
+        arriving = points_stream(spark.readStream.schema(lines.schema).parquet(incoming))
+        _run_to_end(score_stream(arriving, state, [save], pins, scoring, trigger=NOW, version_col="version")[0])
+    return spark.read.parquet(scored).select("event_id", "version", "prediction", r6(F.col("center")[0]).alias("cx"), r6(F.col("center")[1]).alias("cy"))
+
+
 # ---- M1-M16: estimator / model ---------------------------------------------------------
 
 
@@ -843,13 +882,6 @@ def _lines_folder(spark, sf_dir) -> str:
     return path
 
 
-def _run_to_end(query) -> None:
-    try:
-        query.awaitTermination()
-    finally:
-        query.stop()
-
-
 ONE_BATCH_EVENTS = f"""WITH RECURSIVE pts AS (SELECT id, 0 AS b, f FROM ({sql.EVENT_POINTS})),
 {sql.fold_ctes(K, W0, DECAY)}"""
 
@@ -868,6 +900,36 @@ def lines_stream_q(spark, sf_dir):
     return _rounded_history(h.withColumn("dim", F.col("dim").cast("int")))
 
 
+@register("lines_source", ORACLE["valid_points"])
+def lines_source_q(spark, sf_dir):
+    """The ``lines`` source, run, stopped and run again on the same
+    checkpoint while its files grow in number; every valid line comes out once."""
+    folder, out, checkpoint = fresh_dir(spark, "growing"), fresh_dir(spark, "points"), fresh_dir(spark, "checkpoint")
+    lines = event_lines(spark, sf_dir).select("event_id", F.to_json(F.struct("event_id", "value")).alias("line"))
+    for part in (0, 1):
+        lines.where(F.col("event_id") % 2 == part).select("line").write.mode("append").text(folder)
+        stream = read_lines_stream(spark, "lines", path=folder, rangeBytes=1 << 20)
+        events = stream.select(F.from_json("value", "event_id BIGINT, value STRING").alias("e")).select("e.event_id", "e.value")
+        _run_to_end(run_batches(_points_json(points_stream(events)), write_lines_batch(out), checkpoint, trigger=NOW))
+    return _read_points_json(spark, out)
+
+
+@register("interval_lines", f"""WITH RECURSIVE pts AS (SELECT id, 0 AS b, f FROM ({sql.EVENT_POINTS})),
+{sql.fold_ctes(K, 0.0, DECAY, split=True)}
+{sql.history_long_select()}""")
+def interval_lines_q(spark, sf_dir):
+    """The interval job's settings (1 s trigger, weight 0, split) on the
+    ``lines`` source; what lies in the folder is one interval's batch."""
+    lines = read_lines_stream(spark, "lines", path=_lines_folder(spark, sf_dir))
+    q, trainer = train_stream(points_stream(lines), _initial_events(spark, sf_dir, w0=0.0), UpdateParams(decay=DECAY, split_dying=True),
+                              trigger={"processingTime": "1 second"})
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return _stream_history(trainer)
+
+
 @register("stream_rejects", """
 SELECT event_id, CASE event_type WHEN 'error' THEN 'no_point' WHEN 'signup' THEN 'bad_field' END AS reason FROM events""")
 def stream_rejects(spark, sf_dir):

@@ -10,6 +10,7 @@ the setting is unset.
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -83,11 +84,25 @@ def arrow_fs(uri: str):
     return pafs.FileSystem.from_uri(uri)
 
 
+# A listing that meets a folder which goes meanwhile starts again, this often.
+LIST_TRIES = 20
+
+
 def list_dir(uri: str, recursive: bool = False) -> list:
-    """File infos below a folder; empty if there is no such folder."""
+    """File infos below a folder; empty if there is no such folder.  Folders may
+    come and go while they are listed: the listing is then made again."""
     import pyarrow.fs as pafs
     fs, base = arrow_fs(uri)
-    return fs.get_file_info(pafs.FileSelector(base, allow_not_found=True, recursive=recursive))
+    for attempt in range(LIST_TRIES):
+        try:
+            return fs.get_file_info(pafs.FileSelector(base, allow_not_found=True, recursive=recursive))
+        except FileNotFoundError:
+            if fs.get_file_info(base).type == 0:
+                return []
+            if attempt == LIST_TRIES - 1:
+                raise
+            time.sleep(0.002 * attempt)
+    return []
 
 
 def remove_dir(uri: str) -> None:

@@ -80,6 +80,13 @@ class StreamTrainer:
                 "training on from an older one would lose that batch's update")
         return self.table.read(batch_id - 1)
 
+    def newest_batch(self) -> int | None:
+        """The newest batch whose model is committed."""
+        if self._last is not None:
+            return self._last.batch_id
+        ids = self.table.batch_ids()
+        return ids[-1] if ids else None
+
     def score(self, df: DataFrame, model: ModelState) -> DataFrame:
         lab = assign_nearest(df, model, self.features_col, self.prediction_col,
                              method=self.params.method, handle_invalid=self.score_invalid)
@@ -121,8 +128,10 @@ def update_line(state: ModelState, shown: int = 100) -> str:
 
 
 def _start(df: DataFrame, fn, checkpoint: str | None, trigger: dict | None,
-           query_name: str | None):
+           query_name: str | None, batches=None):
     spark = df.sparkSession
+    if batches is not None:
+        fn = batches(fn)
     w = (df.writeStream.foreachBatch(fn).outputMode("append")
          .option("checkpointLocation", checkpoint or fresh_dir(spark, "checkpoint")))
     if query_name:
@@ -136,15 +145,17 @@ def train_stream(df: DataFrame, initial: ModelState, params: UpdateParams,
                  state_path: str | None = None, checkpoint: str | None = None,
                  features_col: str = "features", trigger: dict | None = None,
                  query_name: str | None = None, rejects=None,
-                 retain: int | None = None, log=None):
+                 retain: int | None = None, log=None, batches=None):
     """Start a query that trains on ``df`` and keeps the model in a state
-    table.  Returns ``(query, trainer)``; ``trainer.table`` reads the state."""
+    table.  Returns ``(query, trainer)``; ``trainer.table`` reads the state.
+    ``batches`` makes the batch function of a stream whose micro-batches only name
+    the batches (``KeyedBatches.each``)."""
     spark = df.sparkSession
     trainer = StreamTrainer(spark, initial, params,
                             state_path or fresh_dir(spark, "state"), features_col,
                             rejects=rejects, retain=retain, log=log)
     name = query_name or f"fadeclust-train-{uuid.uuid4().hex[:8]}"
-    return _start(df, trainer, checkpoint, trigger, name), trainer
+    return _start(df, trainer, checkpoint, trigger, name, batches), trainer
 
 
 def train_and_score_stream(df: DataFrame, initial: ModelState,
@@ -157,9 +168,10 @@ def train_and_score_stream(df: DataFrame, initial: ModelState,
                            query_name: str | None = None,
                            persist_batch: bool = True, rejects=None,
                            score_invalid: str = "keep",
-                           retain: int | None = None, log=None):
+                           retain: int | None = None, log=None, batches=None):
     """Train and label each batch in one query; every output
-    function receives the labelled batch (``prediction``, ``center``)."""
+    function receives the labelled batch (``prediction``, ``center``).
+    ``batches`` as in :func:`train_stream`."""
     spark = df.sparkSession
     trainer = StreamTrainer(spark, initial, params,
                             state_path or fresh_dir(spark, "state"), features_col,
@@ -167,7 +179,7 @@ def train_and_score_stream(df: DataFrame, initial: ModelState,
                             persist_batch=persist_batch, rejects=rejects,
                             score_invalid=score_invalid, retain=retain, log=log)
     name = query_name or f"fadeclust-score-{uuid.uuid4().hex[:8]}"
-    return _start(df, trainer, checkpoint, trigger, name), trainer
+    return _start(df, trainer, checkpoint, trigger, name, batches), trainer
 
 
 def labelled_json(df: DataFrame, x: str = "x", y: str = "y",

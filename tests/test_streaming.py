@@ -8,7 +8,7 @@ from conftest import SF_SMALL
 from fadeclust.operators import UpdateParams, initial_state_from_first
 from fadeclust.plans import fit_fold
 from fadeclust.session import fresh_dir
-from fadeclust.sources.streams import Replay, points_stream
+from fadeclust.sources.streams import KeyedBatches, points_stream
 from fadeclust.sources.tables import event_lines, event_points
 from fadeclust.streaming import (FileLineTransport, LineWriter, StateTable,
                                  batch_distinct_count, fan_out, register,
@@ -17,6 +17,16 @@ from fadeclust.streaming import (FileLineTransport, LineWriter, StateTable,
 from fadeclust.streaming.train import StreamTrainer
 
 P = UpdateParams(decay=0.3)
+NOW = {"availableNow": True}
+
+
+def by_key(kb):
+    return lambda func: kb.each(func, points_stream)
+
+
+def finish(q):
+    q.awaitTermination()
+    q.stop()
 
 
 @pytest.fixture(scope="module")
@@ -37,26 +47,41 @@ def replayed(spark, lines):
     return keys, hist
 
 
-def test_replay_orders_batches(spark, lines):
-    rp = Replay(lines, "day")
-    assert [str(k) for k in rp.keys] == ["2024-01-01", "2024-01-02", "2024-01-03", "2024-01-04"]
-    seen = []
-    q = (rp.stream().writeStream
-         .foreachBatch(lambda d, i: seen.append((i, sorted({str(r.day) for r in d.select("day").collect()}))))
-         .option("checkpointLocation", fresh_dir(spark, "ck")).start())
-    rp.feed(q)
-    q.stop()
-    assert seen == [(i, [str(k)]) for i, k in enumerate(rp.keys)]
+@pytest.mark.parametrize("per_trigger", [1, 3])
+def test_keyed_batches_come_in_order(spark, lines, per_trigger):
+    kb = KeyedBatches(lines, "day")
+    assert [str(k) for k in kb.keys] == ["2024-01-01", "2024-01-02", "2024-01-03", "2024-01-04"]
+    seen, triggers = [], []
+
+    def note(d, i):
+        seen.append((i, sorted({str(r.day) for r in d.select("day").collect()})))
+
+    def run(listed, batch_id):
+        triggers.append(batch_id)
+        kb.each(note)(listed, batch_id)
+    finish(kb.stream(per_trigger).writeStream.foreachBatch(run).trigger(**NOW)
+           .option("checkpointLocation", fresh_dir(spark, "ck")).start())
+    assert seen == [(i, [str(k)]) for i, k in enumerate(kb.keys)]
+    assert triggers == list(range(-(-4 // per_trigger)))
+    assert kb.all_rows().count() == lines.count()
+
+
+def test_published_files_have_rising_times(spark):
+    from fadeclust.session import list_dir
+    kb = KeyedBatches(spark.range(120).withColumn("k", (F.col("id") % 40).cast("int")), "k")
+    times = [i.mtime_ns // 1_000_000 for i in sorted(list_dir(kb.listed), key=lambda i: i.base_name) if i.is_file]
+    assert len(times) == 40 and all(a < b for a, b in zip(times, times[1:]))
+    with pytest.raises(ValueError, match="must not be NULL"):
+        KeyedBatches(spark.createDataFrame([(1, None)], "a int, k string"), "k")
 
 
 def test_stream_equals_replay(spark, lines, replayed):
     _, hist = replayed
-    rp = Replay(lines, "day")
+    kb = KeyedBatches(lines, "day")
     pts = points_stream(lines)
     init = initial_state_from_first(pts, 3, "event_id", weight=0.01)
-    q, trainer = train_stream(points_stream(rp.stream()), init, P)
-    rp.feed(q)
-    q.stop()
+    q, trainer = train_stream(kb.stream(3), init, P, batches=by_key(kb), trigger=NOW)
+    finish(q)
     assert trainer.table.batch_ids() == list(range(len(hist)))
     for h in hist:
         s = trainer.table.read(h.batch_id)
@@ -69,33 +94,29 @@ def test_restart_and_failure_replay(spark, lines, replayed):
     _, hist = replayed
     pts = points_stream(lines)
     init = initial_state_from_first(pts, 3, "event_id", weight=0.01)
-    rp = Replay(lines, "day")
+    kb = KeyedBatches(lines, "day", publish=2)
     ck, sp = fresh_dir(spark, "ck"), fresh_dir(spark, "state")
-    q, _ = train_stream(points_stream(rp.stream()), init, P, state_path=sp, checkpoint=ck)
-    rp.feed(q, stop_after=2)
-    q.stop()
+    finish(train_stream(kb.stream(2), init, P, state_path=sp, checkpoint=ck, batches=by_key(kb), trigger=NOW)[0])
+    assert StateTable(spark, sp).batch_ids() == [0, 1]
     calls = []
 
     def boom(df, batch_id):
         calls.append(batch_id)
-        if batch_id == 2 and calls.count(2) == 1:
+        if batch_id == 3 and calls.count(3) == 1:
             raise RuntimeError("injected failure after the state write")
 
     def start():
         tr = StreamTrainer(spark, init, P, sp, outputs=[boom])
-        return (points_stream(rp.stream()).writeStream.foreachBatch(tr)
+        return (kb.stream(2).writeStream.foreachBatch(kb.each(tr, points_stream)).trigger(**NOW)
                 .option("checkpointLocation", ck).start())
 
-    q = start()
-    rp.push_next()
+    kb.publish()
+    q = start()                       # one micro-batch of keys 2 and 3 fails in 3
     with pytest.raises(Exception):
-        q.processAllAvailable()
+        q.awaitTermination()
     q.stop()
-    q = start()                       # batch 2 runs again, then batch 3
-    q.processAllAvailable()
-    rp.feed(q)
-    q.stop()
-    assert calls == [2, 2, 3]
+    finish(start())                   # the micro-batch again: key 2 is whole, key 3 runs again
+    assert calls == [2, 3, 3]
     table = StateTable(spark, sp)
     for h in hist:
         s = table.read(h.batch_id)
@@ -107,16 +128,13 @@ def test_train_and_score_outputs(spark, lines, replayed, order):
     keys, hist = replayed
     pts = points_stream(lines)
     init = initial_state_from_first(pts, 3, "event_id", weight=0.01)
-    rp = Replay(lines, "day")
+    kb = KeyedBatches(lines, "day")
     out_dir, cnt_dir, files = (fresh_dir(spark, "out"), fresh_dir(spark, "cnt"),
                                fresh_dir(spark, "files"))
     sink = fan_out(lambda d, i: write_lines_batch(out_dir)(
         d.select(F.to_json(F.struct("event_id", "prediction")).alias("value")), i),
         batch_distinct_count(cnt_dir))
-    q, _ = train_and_score_stream(points_stream(rp.stream()), init, P, [sink],
-                                  score_with=order)
-    rp.feed(q)
-    q.stop()
+    finish(train_and_score_stream(kb.stream(3), init, P, [sink], score_with=order, batches=by_key(kb), trigger=NOW)[0])
     got = spark.read.text(out_dir).select(
         F.from_json("value", "event_id bigint, prediction int").alias("r")).select("r.*")
     from fadeclust.plans import score_with_history
@@ -134,16 +152,15 @@ def test_line_writer_and_datasource_sink(spark, lines):
     pts = points_stream(lines)
     expected = sorted(r.event_id for r in pts.select("event_id").collect())
     for kind in ("foreach", "datasource"):
-        rp = Replay(lines, "day")
+        kb = KeyedBatches(lines, "day")
         out = fresh_dir(spark, kind)
-        js = points_stream(rp.stream()).select(F.to_json(F.struct("event_id")).alias("value"))
-        w = js.writeStream.option("checkpointLocation", fresh_dir(spark, "ck"))
+        js = points_stream(kb.row_stream(2)).select(F.to_json(F.struct("event_id")).alias("value"))
+        w = js.writeStream.trigger(**NOW).option("checkpointLocation", fresh_dir(spark, "ck"))
         if kind == "foreach":
             q = w.foreach(LineWriter(FileLineTransport(out))).start()
         else:
             q = w.format("jsonl_points").option("path", out).start()
-        rp.feed(q)
-        q.stop()
+        finish(q)
         if kind == "foreach":
             back = spark.read.text(out).select("value").collect()
         else:
@@ -238,15 +255,13 @@ def test_replay_integer_keys_in_numeric_order(spark):
     from fadeclust.sources.tables import embedding_points
     emb = embedding_points(spark, "/root/testdata/sf0.001").withColumn(
         "batch", (F.col("vec_id") / 40).cast("int"))
-    rp = Replay(emb.select("vec_id", "batch"), "batch")
-    assert rp.keys == list(range(len(rp.keys))) and len(rp.keys) > 10
+    kb = KeyedBatches(emb.select("vec_id", "batch"), "batch")
+    assert kb.keys == list(range(len(kb.keys))) and len(kb.keys) > 10
     seen = []
-    q = (rp.stream().writeStream
-         .foreachBatch(lambda d, i: seen.append(sorted({r.batch for r in d.select("batch").collect()})))
-         .option("checkpointLocation", fresh_dir(spark, "ck")).start())
-    rp.feed(q)
-    q.stop()
-    assert seen == [[k] for k in rp.keys]
+    finish(kb.stream(4).writeStream.trigger(**NOW)
+           .foreachBatch(kb.each(lambda d, i: seen.append(sorted({r.batch for r in d.select("batch").collect()}))))
+           .option("checkpointLocation", fresh_dir(spark, "ck")).start())
+    assert seen == [[k] for k in kb.keys]
 
 
 def test_high_dim_stream_equals_fold(spark):
@@ -257,10 +272,9 @@ def test_high_dim_stream_equals_fold(spark):
         "batch", (F.col("vec_id") / 100).cast("int"))
     init = initial_state_from_first(emb, 4, "vec_id", weight=0.01)
     _, hist = fit_fold(emb, "batch", init, P)
-    rp = Replay(emb, "batch")
-    q, trainer = train_stream(rp.stream(), init, P)
-    rp.feed(q)
-    q.stop()
+    kb = KeyedBatches(emb, "batch")
+    q, trainer = train_stream(kb.stream(), init, P, batches=kb.each, trigger=NOW)
+    finish(q)
     assert trainer.table.batch_ids() == list(range(len(hist)))
     for h in hist:
         s = trainer.table.read(h.batch_id)
@@ -268,17 +282,13 @@ def test_high_dim_stream_equals_fold(spark):
 
 
 def test_state_table_ahead_of_checkpoint_is_refused(spark, lines, init):
-    rp = Replay(lines, "day")
+    kb = KeyedBatches(lines, "day", publish=2)
     sp = fresh_dir(spark, "state")
-    q, _ = train_stream(points_stream(rp.stream()), init, P, state_path=sp)
-    rp.feed(q, stop_after=2)
-    q.stop()
-    rp2 = Replay(lines, "day")                     # a new query, new checkpoint
-    q2, _ = train_stream(points_stream(rp2.stream()), init, P, state_path=sp)
-    rp2.push_next()
+    finish(train_stream(kb.stream(), init, P, state_path=sp, batches=by_key(kb), trigger=NOW)[0])
+    q, _ = train_stream(kb.stream(), init, P, state_path=sp, batches=by_key(kb), trigger=NOW)   # a new checkpoint
     with pytest.raises(Exception, match="state table"):
-        q2.processAllAvailable()
-    q2.stop()
+        q.awaitTermination()
+    q.stop()
 
 
 def test_display_window_matches_batch_views(spark, lines, replayed):
@@ -290,13 +300,11 @@ def test_display_window_matches_batch_views(spark, lines, replayed):
     keys, hist = replayed
     pts = points_stream(lines)
     init = initial_state_from_first(pts, 3, "event_id", weight=0.01)
-    rp = Replay(lines, "day")
+    kb = KeyedBatches(lines, "day")
     out = fresh_dir(spark, "display")
     sink = display_window(out, ["ts", "event_id"], n=20)
-    q, _ = train_and_score_stream(points_stream(rp.stream()), init, P,
-                                  [lambda d, i: sink(d.select("event_id", "ts", "prediction", "center"), i)])
-    rp.feed(q)
-    q.stop()
+    finish(train_and_score_stream(kb.stream(3), init, P, [lambda d, i: sink(d.select("event_id", "ts", "prediction", "center"), i)],
+                                  batches=by_key(kb), trigger=NOW)[0])
     got_p, got_c = read_display(spark, out)
     scored = score_with_history(pts, "day", keys, init, hist, "after")
     exp_p = latest_n(scored, ["ts", "event_id"], 20)
