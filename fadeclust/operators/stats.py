@@ -8,7 +8,10 @@ Three physical forms of the same sums:
            (low dimension);
 ``long``   ``posexplode`` then ``groupBy(label, pos)`` (any dimension);
 ``arrow``  Arrow batches added up per task in row order, one row per label and
-           task, added again per label (high dimension, or not known).
+           task; these are added up in two levels (high dimension, or not
+           known): first per label and salt, then per label, so that no merge
+           task reads more than 1 / ``MERGE_FAN`` of a label's partial rows, or
+           ``MERGE_FAN`` rows of each of its labels.
 """
 
 from __future__ import annotations
@@ -22,8 +25,8 @@ from pyspark.sql import functions as F
 # k=3: wide 0.5-5.4 s for 2-128 dims, long 0.7-27 s); above it, or when dim is
 # unknown, ``auto`` uses the Arrow form
 AUTO_WIDE_MAX_DIM = 128
-# tasks that add up the partial rows of the Arrow form
-MERGE_PARTITIONS = 8
+# salts per label of the first merge level of the Arrow form
+MERGE_FAN = 64
 
 
 def _features(df: DataFrame, features_col: str):
@@ -63,7 +66,8 @@ def cluster_stats(df: DataFrame, label_col: str = "prediction",
     if form == "arrow":
         schema = "label int, n bigint, s array<double>"
         part = df.select(label, F.lit(1).cast("bigint").alias("n"), f.alias("s")).mapInArrow(_add_rows, schema)
-        return part.repartition(MERGE_PARTITIONS, "label").mapInArrow(_add_rows, schema)
+        salted = part.withColumn("__salt", F.spark_partition_id() % MERGE_FAN).repartition("label", "__salt").drop("__salt")
+        return salted.mapInArrow(_add_rows, schema).repartition("label").mapInArrow(_add_rows, schema)
     raise ValueError(f"unknown stats form {form!r}")
 
 

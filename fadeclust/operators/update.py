@@ -23,7 +23,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from .assign import assign_nearest
 from .model import ModelState
@@ -83,12 +84,18 @@ def apply_update(state: ModelState, stats, params: UpdateParams,
 
 
 def batch_stats(batch: DataFrame, state: ModelState, params: UpdateParams,
-                features_col: str = "features"):
+                features_col: str = "features", observation: Observation | None = None):
     """Assign one batch to the model's centers and collect the k stats rows
-    (one Spark job: projection, partial aggregation, one small shuffle)."""
+    (one Spark job: projection, partial aggregation, one small shuffle).  An
+    ``observation`` gets ``rows`` and ``cost`` (sum of squared distances to the
+    centers before the update) from the same job."""
     labelled = assign_nearest(batch, state, features_col, "__label",
+                              "__distance" if observation is not None else None,
                               method=params.method,
                               handle_invalid=params.handle_invalid)
+    if observation is not None:
+        labelled = labelled.observe(observation, F.count(F.lit(1)).alias("rows"),
+                                    F.coalesce(F.sum("__distance"), F.lit(0.0)).alias("cost"))
     stats = cluster_stats(labelled, "__label", features_col, state.dim,
                           params.stats_form)
     return collect_stats(stats, state.k)
@@ -96,7 +103,9 @@ def batch_stats(batch: DataFrame, state: ModelState, params: UpdateParams,
 
 def train_step(batch: DataFrame, state: ModelState, params: UpdateParams,
                features_col: str = "features",
-               batch_id: int | None = None) -> ModelState:
-    """One update of the model with one batch frame."""
-    return apply_update(state, batch_stats(batch, state, params, features_col),
+               batch_id: int | None = None,
+               observation: Observation | None = None) -> ModelState:
+    """One update of the model with one batch frame; ``observation`` as in
+    :func:`batch_stats`."""
+    return apply_update(state, batch_stats(batch, state, params, features_col, observation),
                         params, batch_id)

@@ -37,8 +37,8 @@ from ..streaming.sinks import (FileLineTransport, LineWriter,
                                batch_distinct_count, console, fan_out,
                                print_sample, read_distinct_counts, run_batches,
                                write_lines_batch)
-from ..streaming.train import (labelled_json, train_and_score_stream,
-                               train_stream)
+from ..streaming.train import (labelled_json, read_progress,
+                               train_and_score_stream, train_stream)
 from . import oracle as sql
 from .fold import fit_fold, history_long, score_with_history, stage_by_batch
 
@@ -538,6 +538,23 @@ def train_stream_q(spark, sf_dir):
     return _stream_history(trainer)
 
 
+@register("batch_progress", f"""WITH RECURSIVE {EVT_BATCHED_PTS},
+{sql.fold_ctes(K, W0, DECAY)},
+d AS (SELECT pts.b, list_min({sql.dists_to('st.cs', 'pts.f')}) AS d FROM pts JOIN st ON st.b = pts.b - 1)
+SELECT CAST(d.b AS BIGINT) AS batch_id, count(*) AS rows, round(sum(d), 3) + 0.0 AS cost,
+       any_value({sql.r6('list_sum(st.ws)')}) AS weight FROM d JOIN st ON st.b = d.b GROUP BY d.b""")
+def batch_progress_q(spark, sf_dir):
+    """Rows, cost and total weight of every batch, observed in the job
+    that trains it; the models' history is rolled meanwhile."""
+    kb = _keyed_events(spark, sf_dir)
+    init = initial_state_from_first(points_stream(kb.all_rows()), K, "event_id", weight=W0)
+    path = fresh_dir(spark, "progress")
+    _run_to_end(train_stream(kb.stream(KEYS_PER_TRIGGER), init, UpdateParams(decay=DECAY), batches=_by_key(kb), trigger=NOW,
+                             progress_path=path, roll=8)[0])
+    return read_progress(spark, path).select("batch_id", "rows", (F.round("cost", 3) + F.lit(0.0)).alias("cost"),
+                                             r6(F.aggregate("weights", F.lit(0.0), lambda a, w: a + w)).alias("weight"))
+
+
 @register("batch_distinct_count", """
 SELECT CAST(dense_rank() OVER (ORDER BY day) - 1 AS BIGINT) AS batch_id, distinct_count FROM (
   SELECT day, count(*) AS distinct_count FROM (

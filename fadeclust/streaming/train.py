@@ -21,16 +21,17 @@ re-runs after a failure (same N, same data) yields the same files.
 
 from __future__ import annotations
 
+import json
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.points import REASON_COL
 from ..operators.assign import assign_nearest, attach_center
 from ..operators.model import ModelState
 from ..operators.update import UpdateParams, train_step
-from ..session import fresh_dir
+from ..session import fresh_dir, write_small_text
 from .state import StateTable
 
 
@@ -43,13 +44,14 @@ class StreamTrainer:
                  prediction_col: str = "prediction", center_col: str = "center",
                  persist_batch: bool = False, rejects=None,
                  score_invalid: str = "keep", retain: int | None = None,
-                 log=None):
+                 log=None, progress_path: str | None = None, roll: int | None = None):
         if score_with not in ("after", "before"):
             raise ValueError("score_with must be 'after' or 'before'")
         self.spark = spark
         self.initial = ModelState(initial.centers, initial.weights, -1)
         self.params = params
-        self.table = StateTable(spark, state_path, retain)
+        self.table = StateTable(spark, state_path, retain, roll)
+        self.progress_path = progress_path
         self.features_col = features_col
         self.outputs = list(outputs)
         self.score_with = score_with
@@ -80,6 +82,11 @@ class StreamTrainer:
                 "training on from an older one would lose that batch's update")
         return self.table.read(batch_id - 1)
 
+    def _note(self, state: ModelState, figures: dict) -> None:
+        """The batch's figures, which came with its own job."""
+        row = {"rows": figures["rows"], "cost": figures["cost"], "weights": [w for _, _, w in state.to_rows()]}
+        write_small_text(self.progress_path, f"batch_id={state.batch_id}/part-00000.json", json.dumps(row) + "\n")
+
     def newest_batch(self) -> int | None:
         """The newest batch whose model is committed."""
         if self._last is not None:
@@ -105,8 +112,11 @@ class StreamTrainer:
                 good = df.filter(F.col(REASON_COL).isNull()).drop(REASON_COL)
                 if self.rejects is not None:
                     self.rejects(df.filter(F.col(REASON_COL).isNotNull()), batch_id)
-            new = train_step(good, prev, self.params, self.features_col, batch_id)
+            observed = Observation() if self.progress_path is not None else None
+            new = train_step(good, prev, self.params, self.features_col, batch_id, observed)
             self.table.write(new)
+            if observed is not None:
+                self._note(new, observed.get)
             self._last = new
             if self.log is not None:
                 self.log(update_line(new))
@@ -127,6 +137,13 @@ def update_line(state: ModelState, shown: int = 100) -> str:
     return f"batch {state.batch_id}: {centers}"
 
 
+def read_progress(spark, path: str) -> DataFrame:
+    """``(batch_id, rows, cost, weights)`` of every batch of a query that was
+    started with ``progress_path``."""
+    return spark.read.schema("batch_id BIGINT, rows BIGINT, cost DOUBLE, weights ARRAY<DOUBLE>").json(path) \
+        .select("batch_id", "rows", "cost", "weights")
+
+
 def _start(df: DataFrame, fn, checkpoint: str | None, trigger: dict | None,
            query_name: str | None, batches=None):
     spark = df.sparkSession
@@ -145,15 +162,20 @@ def train_stream(df: DataFrame, initial: ModelState, params: UpdateParams,
                  state_path: str | None = None, checkpoint: str | None = None,
                  features_col: str = "features", trigger: dict | None = None,
                  query_name: str | None = None, rejects=None,
-                 retain: int | None = None, log=None, batches=None):
+                 retain: int | None = None, log=None, batches=None,
+                 progress_path: str | None = None, roll: int | None = None):
     """Start a query that trains on ``df`` and keeps the model in a state
     table.  Returns ``(query, trainer)``; ``trainer.table`` reads the state.
     ``batches`` makes the batch function of a stream whose micro-batches only name
-    the batches (``KeyedBatches.each``)."""
+    the batches (``KeyedBatches.each``).  ``progress_path``: the rows, the cost (to
+    the centers before the update) and the weights of every batch are observed in
+    the batch's own job and kept there (:func:`read_progress`).  ``retain`` and
+    ``roll``: see :class:`~fadeclust.streaming.state.StateTable`."""
     spark = df.sparkSession
     trainer = StreamTrainer(spark, initial, params,
                             state_path or fresh_dir(spark, "state"), features_col,
-                            rejects=rejects, retain=retain, log=log)
+                            rejects=rejects, retain=retain, log=log,
+                            progress_path=progress_path, roll=roll)
     name = query_name or f"fadeclust-train-{uuid.uuid4().hex[:8]}"
     return _start(df, trainer, checkpoint, trigger, name, batches), trainer
 
@@ -168,7 +190,8 @@ def train_and_score_stream(df: DataFrame, initial: ModelState,
                            query_name: str | None = None,
                            persist_batch: bool = True, rejects=None,
                            score_invalid: str = "keep",
-                           retain: int | None = None, log=None, batches=None):
+                           retain: int | None = None, log=None, batches=None,
+                 progress_path: str | None = None, roll: int | None = None):
     """Train and label each batch in one query; every output
     function receives the labelled batch (``prediction``, ``center``).
     ``batches`` as in :func:`train_stream`."""

@@ -158,3 +158,95 @@ def test_files_that_shrink_are_refused(tmp_path):
     with pytest.raises(ValueError, match="was read up to"):
         LineFilesReader(str(tmp_path), 100).partitions(end, LineFilesReader(str(tmp_path), 100).latestOffset())
     assert LineFilesReader(str(tmp_path / "none"), 100).latestOffset() == {"files": {}}
+
+
+def test_rolled_history_under_a_reader(spark, monkeypatch):
+    """Old models move into few Parquet files; a reader beside sees every batch."""
+    import threading
+    from fadeclust.session import list_dir
+    from fadeclust.streaming import state as state_module
+    path = fresh_dir(spark, "state")
+    table, reader = StateTable(spark, path, roll=20), StateTable(spark, path)
+    problems, seen, stop = [], [], threading.Event()
+
+    def poll():
+        while not stop.is_set():
+            try:
+                ids = reader.batch_ids()
+                if ids:
+                    assert ids == list(range(len(ids))) and reader.read(ids[-1]).batch_id == ids[-1]
+                    got = [r.batch_id for r in reader.history().select("batch_id").distinct().collect()]
+                    assert set(ids) <= set(got)
+                    seen.append(len(got))
+            except Exception as e:  # noqa: BLE001 - reported below
+                problems.append(e)
+    thread = threading.Thread(target=poll)
+    thread.start()
+    for n in range(205):
+        table.write(model(n))
+    stop.set()
+    thread.join()
+    assert not problems and seen
+    assert reader.batch_ids() == list(range(205))
+    rows = {(r.batch_id, r.label): (list(r.center), r.weight) for r in reader.history().collect()}
+    assert rows == {(n, i): (c, w) for n in range(205) for i, c, w in model(n).to_rows()}
+    assert reader.read(3).centers.tolist() == model(3).centers.tolist()         # rolled: read from Parquet
+    monkeypatch.setattr(state_module, "ROLL_GRACE", 0)      # the reader is done: rolled files may go
+    for n in range(205, 241):
+        table.write(model(n))
+    assert {r.batch_id for r in reader.history().collect()} == set(reader.batch_ids()) == set(range(241))
+    files = [i.path for i in list_dir(path, recursive=True) if i.is_file]
+    assert sum("batch_id=" in f for f in files) <= 65 and sum(f.endswith("_SUCCESS") for f in files) >= 7
+    with pytest.raises(ValueError):
+        StateTable(spark, path, retain=3, roll=20)
+
+
+def test_history_bears_retired_models(spark):
+    path = fresh_dir(spark, "state")
+    table = StateTable(spark, path, retain=5)
+    for n in range(8):
+        table.write(model(n))
+    history = StateTable(spark, path).history()
+    for n in range(8, 12):
+        table.write(model(n))                   # removes models that the frame above has listed
+    assert {r.batch_id for r in history.collect()} <= {3, 4, 5, 6, 7}
+    assert {r.batch_id for r in StateTable(spark, path).history().collect()} == {7, 8, 9, 10, 11}
+
+
+def test_progress_rides_on_the_training_job(spark):
+    import numpy as np
+    from fadeclust.operators import UpdateParams
+    from fadeclust.sources.streams import KeyedBatches
+    from fadeclust.streaming import train_stream
+    from fadeclust.streaming.train import read_progress
+    df = points(spark, 0, 90).withColumn("k", (F.col("id") / 30).cast("int"))
+    kb, path, sp = KeyedBatches(df, "k"), fresh_dir(spark, "progress"), fresh_dir(spark, "state")
+    init = ModelState([[0.0, 0.0], [9.0, 5.0]], [1.0, 1.0], -1)
+    q, trainer = train_stream(kb.stream(2), init, UpdateParams(decay=0.3), sp, batches=kb.each, trigger=NOW, progress_path=path)
+    q.awaitTermination()
+    got = {r.batch_id: (r.rows, r.cost, list(r.weights)) for r in read_progress(spark, path).collect()}
+    before = init
+    for n in range(3):
+        x = np.array([[i % 11, i % 7] for i in range(30 * n, 30 * n + 30)], dtype=float)
+        cost = ((x[:, None] - before.centers[None]) ** 2).sum(2).min(1).sum()
+        before = trainer.table.read(n)
+        assert got[n][0] == 30 and got[n][1] == pytest.approx(cost) and got[n][2] == before.weights.tolist()
+
+
+def test_vector_sums_merge_in_two_levels(spark):
+    import numpy as np
+    from fadeclust.operators.stats import MERGE_FAN, cluster_stats
+    rng = np.random.default_rng(5)
+    rows = [(int(rng.integers(0, 3)) if i % 3 else 0, [float(v) for v in rng.integers(-9, 9, 200)]) for i in range(600)]
+    df = spark.createDataFrame(rows, "prediction int, features array<double>").repartition(150)
+    stats = cluster_stats(df, form="arrow")
+    plan = stats._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") >= 3 and "__salt" in plan
+    got = {r.label: (r.n, list(r.s)) for r in stats.collect()}
+    for lab in range(3):
+        x = np.array([f for v, f in rows if v == lab])
+        assert got[lab][0] == len(x) and got[lab][1] == x.sum(axis=0).tolist()
+    # no merge task of the first level reads more than its share of the partial rows of a label
+    partial = df.select(F.spark_partition_id().alias("p"), "prediction").distinct()
+    share = partial.groupBy("prediction", F.col("p") % MERGE_FAN).count().agg(F.max("count")).first()[0]
+    assert share <= -(-150 // MERGE_FAN)
