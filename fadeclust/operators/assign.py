@@ -10,7 +10,8 @@ data.  The centers travel to the tasks in one of three physical forms:
 ``hof``       centers as one literal ``ARRAY<ARRAY<DOUBLE>>`` and higher-order
               functions (``transform`` / ``zip_with`` / ``aggregate``);
 ``arrow``     an Arrow UDF: the feature column arrives as one flat buffer per
-              batch and numpy computes the k distances (large k * dim).
+              batch and numpy computes the k distances (large k * dim); with many
+              centers an exact index over them is searched instead.
 
 All forms add squared differences left to right, so they agree bit for bit.
 """
@@ -21,6 +22,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .center_index import TRIAL_POINTS, CenterIndex
 from .model import ModelState, centers_array
 
 # k * dim up to which the literal-unrolled expression is used by ``auto``
@@ -98,8 +100,10 @@ def feature_matrix(feats, dim: int):
     return X, valid
 
 
-# Centers from which a norm bound is tried before a distance is computed.
+# Centers from which a norm bound is tried before a distance is computed, and
+# from which the index over centers is tried.
 PRUNE_MIN_CENTERS = 16
+INDEX_MIN_CENTERS = 64
 
 
 def nearest_rows(X: np.ndarray, centers: np.ndarray):
@@ -147,11 +151,19 @@ def _arrow_assign(C: np.ndarray) -> "callable":
 
     dim = C.shape[1]
     held = C.copy()
+    made: list[CenterIndex] = []        # one index per task, made with its first batch
 
     def nearest(feats):
         import pyarrow as pa_
         X, valid = feature_matrix(feats, dim)
-        lab, dist = nearest_rows(X, held)
+        if len(held) >= INDEX_MIN_CENTERS and not made:
+            made.append(CenterIndex(held))
+        if made and made[0].useful:
+            parts = [made[0].nearest(X[a:a + TRIAL_POINTS]) if made[0].useful else nearest_rows(X[a:a + TRIAL_POINTS], held)
+                     for a in range(0, len(X), TRIAL_POINTS)] or [nearest_rows(X, held)]
+            lab, dist = (np.concatenate(p) for p in zip(*parts))
+        else:
+            lab, dist = nearest_rows(X, held)
         return pa_.StructArray.from_arrays(
             [pa_.array(lab, pa_.int32(), mask=~valid),
              pa_.array(dist, pa_.float64(), mask=~valid)],

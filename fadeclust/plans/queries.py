@@ -23,6 +23,7 @@ from ..functions.vectors import (to_array, to_vector, vec_axpy, vec_dot,
                                  vec_sqdist_lower_bound, vec_zeros)
 from ..operators.assign import assign_nearest, attach_center, cluster_cost
 from ..operators.model import initial_state_from_first
+from ..operators.sparse import assign_sparse
 from ..operators.stats import cluster_stats, stats_long
 from ..operators.update import UpdateParams, train_step
 from ..operators.views import center_display, latest_center, latest_n
@@ -839,6 +840,42 @@ def assign_large_k(spark, sf_dir):
     return out.select("vec_id", "prediction", r6("distance").alias("distance"))
 
 
+INDEX_K = 500
+
+
+@register("assign_index", f"""
+SELECT vec_id, prediction, {sql.r6('distance')} AS distance FROM (
+{_assign_sql(sql.EMB_POINTS, _first_centers_sql(sql.EMB_POINTS, INDEX_K), 'id AS vec_id')})""")
+def assign_index(spark, sf_dir):
+    """The exact index over 500 centers."""
+    pts = embedding_points(spark, sf_dir)
+    init = initial_state_from_first(pts, INDEX_K, "vec_id")
+    out = assign_nearest(pts, init, distance_col="distance", method="arrow")
+    return out.select("vec_id", "prediction", r6("distance").alias("distance"))
+
+
+SPARSE_USERS = 200
+_SPARSE_POINTS = f"""SELECT event_id AS id, list_concat(list_transform(range(0, {SPARSE_USERS}),
+  lambda i: CASE WHEN user_id % {SPARSE_USERS} = i THEN 1.0 ELSE 0.0 END)::DOUBLE[], [value / 100.0]::DOUBLE[]) AS f FROM events"""
+
+
+@register("assign_sparse", f"""
+SELECT event_id, prediction, {sql.r6('distance')} AS distance FROM (
+{_assign_sql(_SPARSE_POINTS, _first_centers_sql(_SPARSE_POINTS, 6), 'id AS event_id')})""")
+def assign_sparse_q(spark, sf_dir):
+    """V2 V8: events as sparse vectors (one place per user group, and the value),
+    assigned without making them dense."""
+    from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+    ev = table(spark, sf_dir, "events").select(
+        "event_id", (F.col("user_id") % SPARSE_USERS).cast("double").alias("user"), (F.col("value") / 100.0).alias("amount"))
+    groups = spark.range(SPARSE_USERS).select(F.col("id").cast("double").alias("user"))
+    hot = OneHotEncoder(inputCol="user", outputCol="hot", dropLast=False).fit(groups).transform(ev)
+    pts = VectorAssembler(inputCols=["hot", "amount"], outputCol="features").transform(hot).select("event_id", "features")
+    init = initial_state_from_first(pts.select("event_id", to_array("features").alias("features")), 6, "event_id")
+    out = assign_sparse(pts, init, distance_col="distance")
+    return out.select("event_id", "prediction", r6("distance").alias("distance"))
+
+
 @register("attach_center_table", f"""
 SELECT p.id AS vec_id, p.label, CAST(j - 1 AS INTEGER) AS dim, {sql.r6('v')} AS center FROM (
   SELECT p.id, p.label, unnest(m.center) AS v, generate_subscripts(m.center, 1) AS j
