@@ -40,6 +40,8 @@ from ..streaming.sinks import (FileLineTransport, LineWriter,
                                write_lines_batch)
 from ..streaming.train import (labelled_json, read_progress,
                                train_and_score_stream, train_stream)
+from ..streaming.views import (latest_centers_stream, latest_points_stream,
+                               read_latest_centers, read_latest_points)
 from . import oracle as sql
 from .fold import fit_fold, history_long, score_with_history, stage_by_batch
 
@@ -650,6 +652,39 @@ def datasource_sink_q(spark, sf_dir):
     return _points_of_json(_ds.read_committed(spark, out))
 
 
+# ---- W1 W2 as streaming state -----------------------------------------------------------
+
+
+def _in_three(spark, df, path: str):
+    """``df`` in a folder that grows between three runs of a query."""
+    for part in range(3):
+        df.where(F.col("event_id") % 3 == part).write.mode("append").parquet(path)
+        yield spark.readStream.schema(df.schema).parquet(path)
+
+
+@register("latest_n_stream", ORACLE["latest_n"])
+def latest_n_stream_q(spark, sf_dir):
+    """The newest 90 points, kept as state over three runs of a query."""
+    pts = event_points(spark, sf_dir).select("event_id", "ts", "x", "y")
+    checkpoint = fresh_dir(spark, "latest")
+    for stream in _in_three(spark, pts, fresh_dir(spark, "points")):
+        _run_to_end(latest_points_stream(stream, ["ts", "event_id"], 90, checkpoint, NOW)[0])
+    out = read_latest_points(spark, checkpoint, "event_id BIGINT, x DOUBLE, y DOUBLE", 90)
+    return out.select("event_id", r6("x").alias("x"), r6("y").alias("y"))
+
+
+@register("latest_center_stream", ORACLE["latest_center"])
+def latest_center_stream_q(spark, sf_dir):
+    """The newest center of every label, kept as state."""
+    pts, init, keys, hist = _events_fold(spark, sf_dir)
+    scored = score_with_history(pts, "day", keys, init, hist, "after").select("event_id", "ts", "prediction", "center")
+    checkpoint = fresh_dir(spark, "latest")
+    for stream in _in_three(spark, scored, fresh_dir(spark, "scored")):
+        _run_to_end(latest_centers_stream(stream, ["ts", "event_id"], "prediction", checkpoint, NOW)[0])
+    out = read_latest_centers(spark, checkpoint, "center ARRAY<DOUBLE>")
+    return out.select(F.col("prediction").alias("label"), r6(F.col("center")[0]).alias("cx"), r6(F.col("center")[1]).alias("cy"))
+
+
 # ---- T4: scoring by a query of its own ---------------------------------------------------
 
 
