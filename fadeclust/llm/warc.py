@@ -4,21 +4,26 @@
 together up to ``partition_bytes``), takes equality and ``IN`` predicates on the
 record type and the other header columns and size comparisons, parses a record's
 headers first, and skips over its block without decoding it where a predicate
-fails or the payload is not wanted.  ``df.write.format("warc")`` writes rolled
-files per task; the committed files are listed in ``_manifest``, so what a lost
-or repeated task leaves behind is never read.
+fails or the payload is not wanted.  Files named ``.gz`` are read as gzip members.
+``df.write.format("warc")`` writes rolled files per task; each commit publishes the
+list of its files in ``_commits`` in one step and touches no other commit's list, so
+what a lost or repeated task leaves behind is never read, a crash loses no earlier
+commit, and two writers keep both of theirs.
 
 Options for reading: ``payload`` (false: leave the column null and skip the
 bytes), ``verify`` (true: recompute the payload's digest and fail on mismatch).
 
 Nulls: a null payload is an empty one; a null URI is left out; a null record id
-is an error.  Header values are one line: control characters, blanks and ``%``
-in a URI are written percent-encoded and read back.
+is an error.  Rows that repeat one another, ids included, are records each for
+itself.  Header values are one line: a URI with control characters or blanks is
+written percent-encoded, with a header that says so, and read back; any other URI,
+also of a foreign archive, is kept byte for byte, ``%2F`` and all.
 """
 
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import io
 import json
@@ -34,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import (DataSource, DataSourceReader, DataSourceWriter, EqualTo, Filter, GreaterThan, GreaterThanOrEqual,
                                     In, InputPartition, IsNotNull, LessThan, LessThanOrEqual, WriterCommitMessage)
 
-from fadeclust.session import fresh_dir
+from fadeclust.session import fresh_dir, list_dir, read_small_text, write_small_text
 
 from .work import written
 
@@ -44,7 +49,9 @@ SCHEMA = ("record_type string, record_id string, target_uri string, date string,
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _HEADERS = {"record_type": "WARC-Type", "record_id": "WARC-Record-ID", "target_uri": "WARC-Target-URI", "date": "WARC-Date",
             "refers_to": "WARC-Refers-To", "payload_digest": "WARC-Payload-Digest"}
-_UNSAFE = re.compile(rb"[\x00-\x20%\x7f]")
+_UNSAFE = re.compile(rb"[\x00-\x20\x7f]")
+_ENCODED = re.compile(rb"[\x00-\x20%\x7f]")    # of a URI that holds an unsafe byte
+_COMMITS = "_commits"
 
 
 def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
@@ -72,7 +79,11 @@ def record_bytes(row) -> bytes:
     head = [b"WARC/1.1", b"WARC-Type: " + row.record_type.encode(), b"WARC-Record-ID: <" + row.record_id.encode() + b">",
             b"WARC-Date: " + (row.date or "1970-01-01T00:00:00Z").encode(), b"WARC-Payload-Digest: sha1:" + digest.encode()]
     if row.target_uri is not None:
-        head.append(b"WARC-Target-URI: " + _UNSAFE.sub(lambda m: b"%%%02X" % m[0][0], row.target_uri.encode()))
+        uri = row.target_uri.encode()
+        if _UNSAFE.search(uri):
+            uri = _ENCODED.sub(lambda m: b"%%%02X" % m[0][0], uri)
+            head.append(b"X-Target-URI-Encoding: percent")
+        head.append(b"WARC-Target-URI: " + uri)
     if row.refers_to is not None:
         head += [b"WARC-Refers-To: <" + row.refers_to.encode() + b">", b"WARC-Profile: " + _PROFILE.encode()]
     head += [b"Content-Type: application/http; msgtype=response", b"Content-Length: %d" % len(block)]
@@ -130,21 +141,19 @@ class WarcWriter(DataSourceWriter):
         return Committed(files)
 
     def commit(self, messages: list) -> None:
-        fs, base = filesystem(self.path)
-        fs.create_dir(base, recursive=True)
-        listed = sorted(_manifest(fs, base) + [f for m in messages if m is not None for f in m.files])
-        with fs.open_output_stream(f"{base}/_manifest") as out:
-            out.write(json.dumps(listed).encode())
+        files = sorted(f for m in messages if m is not None for f in m.files)
+        write_small_text(self.path, f"{_COMMITS}/{uuid.uuid4().hex}.json", json.dumps(files))
 
     def abort(self, messages: list) -> None:
-        """Files of a failed job are not in the manifest."""
+        """Files of a failed job are in no commit's list."""
 
 
-def _manifest(fs: pafs.FileSystem, base: str) -> list[tuple[str, int]]:
-    if fs.get_file_info(f"{base}/_manifest").type == pafs.FileType.NotFound:
-        return []
-    with fs.open_input_stream(f"{base}/_manifest") as f:
-        return [tuple(x) for x in json.loads(f.read())]
+def _committed(path: str) -> list[tuple[str, int]] | None:
+    """The files of all commits; None of a folder that this writer did not write."""
+    lists = [i.base_name for i in list_dir(f"{path}/{_COMMITS}") if i.base_name.endswith(".json")]
+    if not lists:
+        return None
+    return [tuple(f) for name in lists for f in json.loads(read_small_text(f"{path}/{_COMMITS}/{name}"))]
 
 
 class WarcReader(DataSourceReader):
@@ -166,10 +175,11 @@ class WarcReader(DataSourceReader):
                 yield f
 
     def partitions(self) -> Sequence[InputPartition]:
-        """Files from the manifest (or all archives of a folder without one), put together by size."""
+        """Committed files (or all archives of a folder without commits), put together by size."""
         fs, base = filesystem(self.path)
-        files = _manifest(fs, base) or [(i.base_name, i.size) for i in fs.get_file_info(pafs.FileSelector(base, allow_not_found=True))
-                                        if i.base_name.endswith(".warc")]
+        files = _committed(self.path)
+        if files is None:
+            files = [(i.base_name, i.size) for i in list_dir(self.path) if i.base_name.endswith((".warc", ".warc.gz"))]
         out, size = [[]], 0
         for name, n in sorted(files):
             if out[-1] and size + n > self.partition_bytes:
@@ -183,7 +193,8 @@ class WarcReader(DataSourceReader):
         fs, _ = filesystem(self.path)
         rows, size = [], 0
         for path in partition.paths:
-            with io.BufferedReader(fs.open_input_file(path), 1 << 20) as f:
+            raw = fs.open_input_file(path)
+            with io.BufferedReader(gzip.GzipFile(fileobj=raw) if path.endswith(".gz") else raw, 1 << 20) as f:
                 for row in self.records(f):
                     rows.append(row)
                     size += len(row[-1] or b"") + 300
@@ -209,7 +220,8 @@ class WarcReader(DataSourceReader):
                    "target_uri": None, "refers_to": _bare(head.get("warc-refers-to")),
                    "payload_digest": digest.partition(":")[2] if digest else None}
             if (uri := head.get("warc-target-uri")) is not None:
-                row["target_uri"] = unquote_to_bytes(uri).decode("utf-8", "replace")
+                encoded = head.get("x-target-uri-encoding") == "percent"
+                row["target_uri"] = unquote_to_bytes(uri).decode("utf-8", "replace") if encoded else uri
             if not all(_holds(t, row) for t in self.tests if t.attribute[0] != "payload_bytes"):
                 f.seek(length, io.SEEK_CUR)
                 continue

@@ -66,3 +66,35 @@ def test_damaged_archive_fails(spark, tmp_path):
     open(name, "wb").write(data.replace(b"same", b"sane"))
     with pytest.raises(Exception, match="does not match"):
         read_warc(spark, path, verify="true").collect()
+
+
+def foreign(uri, body):
+    block = b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\n" + body
+    head = (b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:uuid:%d>\r\nWARC-Target-URI: %s\r\nContent-Type: application/http; msgtype=response\r\n"
+            b"WARC-Payload-Digest: sha1:%s\r\nContent-Length: %d\r\n\r\n") % (len(body), uri, base64.b32encode(hashlib.sha1(body).digest()), len(block))
+    return head + block + b"\r\n\r\n"
+
+
+def test_foreign_archives_gzip_and_uris(spark, tmp_path):
+    import gzip
+    records = [foreign(b"http://x/a%2Fb?q=%26c", b"one"), foreign("http://x/é%41".encode(), b"three"), foreign(b"http://x/plain", b"payload " * 50_000)]
+    folder = tmp_path / "foreign"
+    folder.mkdir()
+    (folder / "a.warc.gz").write_bytes(b"".join(gzip.compress(r) for r in records[:2]))       # a member per record
+    (folder / "b.warc").write_bytes(records[2])
+    (folder / "c.txt").write_bytes(b"no archive")
+    rows = {r.target_uri: bytes(r.payload) for r in read_warc(spark, str(folder), verify="true").collect()}
+    assert rows == {"http://x/a%2Fb?q=%26c": b"one", "http://x/é%41": b"three", "http://x/plain": b"payload " * 50_000}
+    assert read_warc(spark, str(folder), payload="false").where("target_uri = 'http://x/a%2Fb?q=%26c'").count() == 1
+
+
+def test_commits_do_not_touch_one_another(spark, tmp_path):
+    from fadeclust.llm.warc import Committed, WarcWriter
+    path = write_pages(spark.createDataFrame([(1, "u", "a")], "page_id long, url string, html string"), str(tmp_path / "e"))
+    write_pages(spark.createDataFrame([(2, "v", "b")], "page_id long, url string, html string"), path)
+    assert sorted(r.record_id for r in read_warc(spark, path).collect()) == ["urn:page:1", "urn:page:2"]
+    (tmp_path / "e" / "part-x.warc").write_bytes(foreign(b"http://x", b"x"))
+    one, two = (WarcWriter({"path": path}, None) for _ in range(2))     # two jobs that end at once
+    one.commit([Committed([("part-x.warc", 10)]), None])
+    two.commit([])
+    assert read_warc(spark, path).count() == 3
