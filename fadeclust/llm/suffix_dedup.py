@@ -44,6 +44,7 @@ BLOCK_PLACES = 250_000     # places aggregated at once by a scan
 _SYMBOL = 8
 _LEN_BITS = 12           # a range is packed as start << _LEN_BITS | bytes
 _LEN_MASK = (1 << _LEN_BITS) - 1
+MOST_LENGTH = 1 << (_LEN_BITS - 1)      # a context has less than twice the length
 
 
 def anchors(buf: np.ndarray, starts: np.ndarray, length: int, gram: int):
@@ -170,7 +171,10 @@ def _global_firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     length: int = 100, gram: int = 32) -> DataFrame:
     """Per document with repeats: ``doc`` and ``ranges``, packed byte ranges
-    (unsorted, possibly overlapping) that are repeated from earlier places."""
+    (unsorted, possibly overlapping) that are repeated from earlier places.
+    ``length`` is at most ``MOST_LENGTH`` - 1."""
+    if not gram <= length < MOST_LENGTH:
+        raise ValueError(f"a length from {gram} to {MOST_LENGTH - 1}")
     rows = numbered(docs, id_col, text_col).where("c0 is not null and octet_length(c1) >= %d" % length) \
         .select(F.col("c0").cast("long").alias("c0"), "c1")
     places = rows.mapInArrow(lambda it: _local_firsts(it, length, gram), "h bigint, c bigint, doc bigint, at bigint")

@@ -74,3 +74,14 @@ def test_removal_matches_brute_force(spark, monkeypatch, hot, shipped):
 
 def test_empty_table(spark):
     assert suffix_dedup.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_lengths_out_of_range_are_refused(spark):
+    from fadeclust.llm.suffix_dedup import MOST_LENGTH, remove_repeats
+    docs = spark.createDataFrame([(1, "x" * 9000), (2, "x" * 9000)], "doc_id long, text string")
+    with pytest.raises(ValueError):
+        remove_repeats(docs, length=MOST_LENGTH)
+    text = "".join(chr(97 + (k * k) % 23) for k in range(5000))
+    docs = spark.createDataFrame([(1, "a" + text + "bc"), (2, "zz" + text + "q")], "doc_id long, text string")
+    got = {r.doc_id: r.kept_text for r in remove_repeats(docs, length=MOST_LENGTH - 1).collect()}
+    assert got[2] == "zzq"
