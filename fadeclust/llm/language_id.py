@@ -9,9 +9,10 @@ blended-spectrum presence kernel counts shared n-grams,
 with G over the n-grams of at least two landmarks.  Landmarks are some training
 texts per language (``landmarks`` each); the Nystroem map of a text is its kernel
 row times K^-1/2, and one-versus-rest kernel ridge regression is fitted on it
-over at most ``fit_rows`` training texts per language, none over
-``FIT_BYTES``: both are bounded samples of labelled rows by hash of the id, the
-only part of the work that does not use all rows.
+over at most ``fit_rows`` training texts per language, none over ``FIT_BYTES``
+(of a language that has only longer ones, the ``landmarks`` shortest): both are bounded samples
+of labelled rows by hash of the id, the only part of the work that does not use
+all rows.  A row without an id does not teach.
 
 Prediction reads every whole text.  As kernel row, map and regression are
 linear, scoring a batch is one product of its presence matrix with a matrix of
@@ -20,7 +21,8 @@ n-grams by languages, divided by each text's norm.
 A text that is null or has no letter is ``und`` with score 0; other texts get a
 learned language, equal scores going to the alphabetically first.  The score is
 (1 + the ridge output of the predicted language) / 2, cut to 0..1.  Without any
-labelled training row every text is ``und``.
+labelled training row the language of a text with a letter is null.  Rows that
+repeat an id are predicted one by one, each from its own text.
 """
 
 from __future__ import annotations
@@ -29,14 +31,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .text import byte_values, chunks, joined, small_batches
 
 FIT_BYTES = 64 << 10
 ORDERS = (2, 3, 4)
-_SLOT_BITS = 20
+_SLOT_BITS = (20, 16)  # of the first table of n-grams, and of those that take its collisions
 _ROWS = 64  # texts per matrix product
 
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -63,22 +65,43 @@ def _grams(buf: np.ndarray, starts: np.ndarray) -> Iterator[tuple[np.ndarray, np
         yield g[same], row[:m][same]
 
 
-def _slot(g: np.ndarray) -> np.ndarray:
-    return (g * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _SLOT_BITS)
+def _slot(g: np.ndarray, level: int) -> np.ndarray:
+    bits = _SLOT_BITS[min(level, 1)]
+    return (g * np.uint64(0x9E3779B97F4A7C15 + 2 * level)) >> np.uint64(64 - bits)
 
 
 class Vocabulary:
-    """N-grams with a column each, found by one table lookup."""
+    """N-grams with a column each, found by table lookups: one for most; n-grams
+    that share a slot follow in further tables, looked up only from such slots."""
 
     def __init__(self, grams: np.ndarray) -> None:
-        slot = _slot(grams)
-        _, first = np.unique(slot, return_index=True)  # of n-grams in one slot, the least is kept
-        self.grams = grams[np.sort(first)]
-        self.column = np.zeros(1 << _SLOT_BITS, dtype=np.int32)
-        self.key = np.zeros(1 << _SLOT_BITS, dtype=np.uint64)
-        slot = _slot(self.grams)
-        self.column[slot] = np.arange(len(self.grams))
-        self.key[slot] = self.grams
+        self.grams = grams
+        self.tables: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        left = np.arange(len(grams))
+        while len(left):
+            level = len(self.tables)
+            size = 1 << _SLOT_BITS[min(level, 1)]
+            key, column, more = np.zeros(size, dtype=np.uint64), np.zeros(size, dtype=np.int32), np.zeros(size, dtype=bool)
+            slot = _slot(grams[left], level)
+            first = np.zeros(len(left), dtype=bool)
+            first[np.unique(slot, return_index=True)[1]] = True
+            key[slot[first]], column[slot[first]] = grams[left[first]], left[first]
+            more[slot[~first]] = True
+            self.tables.append((key, column, more))
+            left = left[~first]
+
+    def find(self, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Positions in g of known n-grams, and their columns."""
+        at, columns, left = [], [], np.arange(len(g))
+        for level, (key, column, more) in enumerate(self.tables):
+            slot = _slot(g[left], level)
+            hit = key[slot] == g[left]
+            at.append(left[hit])
+            columns.append(column[slot[hit]])
+            left = left[~hit & more[slot]]
+            if not len(left):
+                break
+        return (np.concatenate(at), np.concatenate(columns)) if at else (left[:0], left[:0])
 
     def presence(self, values: list[bytes]) -> np.ndarray:
         """0/1 matrix, texts by n-grams."""
@@ -86,9 +109,8 @@ class Vocabulary:
         out = np.zeros((len(values), len(self.grams)), dtype=np.float32)
         flat = out.reshape(-1)
         for g, row in _grams(buf, starts):
-            slot = _slot(g)
-            hit = self.key[slot] == g
-            flat[row[hit].astype(np.int64) * len(self.grams) + self.column[slot[hit]]] = 1
+            at, column = self.find(g)
+            flat[row[at].astype(np.int64) * len(self.grams) + column] = 1
         return out
 
 
@@ -145,15 +167,20 @@ def _has_letter(value: bytes) -> bool:
 def fit(docs: DataFrame, train: Column, id_col: str, text_col: str, lang_col: str,
         landmarks: int = 48, fit_rows: int = 300, ridge: float = 1.0) -> LanguageModel | None:
     rows = docs.select(F.col(f"`{id_col}`").alias("c0"), F.col(f"`{text_col}`").alias("c1"), F.col(f"`{lang_col}`").alias("c2"),
-                       F.coalesce(train, F.lit(False)).alias("train")).where("train and c2 is not null")
-    counts = {r["c2"]: r["count"] for r in rows.groupBy("c2").count().collect()}
+                       F.coalesce(train, F.lit(False)).alias("train")).where("train and c0 is not null and c2 is not null")
+    size = F.octet_length("c1")
+    counts = {r["c2"]: r["n"] for r in rows.where("c1 is not null").groupBy("c2").agg(F.count_if(size <= FIT_BYTES).alias("n")).collect()}
     if not counts:
         return None
     # of each language about 2 fit_rows rows by hash of the id, then the least fit_rows hashes
     spread = 1 << 40
-    share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(spread, 2 * fit_rows * spread // n))])
+    share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(spread, 2 * fit_rows * spread // max(1, n)))])
     h = F.pmod(F.xxhash64("c0"), F.lit(spread))
-    sample = rows.where((h < share[F.col("c2")]) & (F.octet_length("c1") <= FIT_BYTES)).select("c2", h.alias("h"), "c1").collect()
+    sample = rows.where((h < share[F.col("c2")]) & (size <= FIT_BYTES)).select("c2", h.alias("h"), "c1").collect()
+    if long := [lang for lang, n in counts.items() if not n]:
+        place = F.row_number().over(Window.partitionBy("c2").orderBy(size, "h"))
+        sample += rows.where(F.col("c2").isin(long) & F.col("c1").isNotNull()).select("c2", h.alias("h"), "c1") \
+            .withColumn("place", place).where(F.col("place") <= landmarks).collect()
     texts, langs = [], []
     for lang in sorted(counts):
         own = sorted((r["h"], r["c1"]) for r in sample if r["c2"] == lang)[:fit_rows]
@@ -170,7 +197,8 @@ def languages(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col:
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, 1):
             values = byte_values(batch.column(1))
-            langs, scores = ["und"] * len(values), [0.0] * len(values)
+            langs: list[str | None] = [None if _has_letter(v) else "und" for v in values] if model is None else [None] * len(values)
+            scores = [0.0] * len(values)
             if model is not None:
                 for lo, hi in chunks(values, 1 << 20):
                     for at in range(lo, hi, _ROWS):

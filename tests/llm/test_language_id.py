@@ -59,6 +59,28 @@ def test_held_out_accuracy_and_odd_rows(spark):
 
 
 def test_nothing_to_learn_and_empty(spark):
-    docs = spark.createDataFrame([(1, "some text", None)], "doc_id long, text string, lang string")
-    assert languages(docs, F.lit(True)).collect()[0].lang_pred == "und"
+    docs = spark.createDataFrame([(1, "some text", None), (2, "12", None), (3, None, None)], "doc_id long, text string, lang string")
+    assert sorted((r.doc_id, r.lang_pred, r.score) for r in languages(docs, F.lit(True)).collect()) == [(1, None, 0.0), (2, "und", 0.0), (3, "und", 0.0)]
     assert languages(docs.limit(0), F.lit(True)).count() == 0
+
+
+def test_every_gram_is_found_where_slots_collide(monkeypatch):
+    monkeypatch.setattr(language_id, "_SLOT_BITS", (4, 3))
+    known = np.unique(np.random.default_rng(0).integers(2 << 16, 1 << 34, 300).astype(np.uint64))
+    vocabulary = language_id.Vocabulary(known)
+    asked = np.concatenate([known[::2], known[::3] + np.uint64(1), known])
+    at, column = vocabulary.find(asked)
+    want = np.isin(asked, known)
+    assert len(vocabulary.tables) > 3 and sorted(at.tolist()) == np.flatnonzero(want).tolist()
+    assert (known[column] == asked[at]).all()
+    assert not len(language_id.Vocabulary(known[:0]).find(asked)[0])
+
+
+def test_long_texts_repeats_and_null_ids_in_learning(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "FIT_BYTES", 200)
+    rows = [(i, "the cat and the dog of it", "en") for i in range(4)] + [(4, "el perro y la casa " * 40, "es"), (5, "el perro y " * 30, "es")] \
+        + [(None, "zzz qqq xxx", "zz"), (6, None, "fr")] + [(7, "the dog " * 50_000, None), (7, "la casa y el perro", None), (7, "la casa y el perro", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    got = [(r.doc_id, r.lang_pred) for r in languages(docs, F.lit(True)).collect()]
+    assert len(got) == len(rows) and (4, "es") in got and (6, "und") in got
+    assert sorted(x for i, x in got if i == 7) == ["en", "es", "es"] and {x for _, x in got} == {"en", "es", "und"}
