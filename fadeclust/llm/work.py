@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fadeclust.session import fresh_dir
 
 BROADCAST_BYTES = 8 << 20  # a side above this is joined by a shuffle
+BATCH_ROWS = 512           # rows of text that are held at once between a scan, the JVM and Python
+
+
+def lean_batches(spark: SparkSession) -> None:
+    """Let this session's scans and Arrow tasks hold at most ``BATCH_ROWS`` rows at
+    once (lower settings stay): Spark's 4,096 and 10,000 rows are a few MB of
+    numbers, but tens of MB of texts, several times over in each running task."""
+    for name in ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize"):
+        rows = int(spark.conf.get(name))
+        if rows <= 0 or rows > BATCH_ROWS:
+            spark.conf.set(name, BATCH_ROWS)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
