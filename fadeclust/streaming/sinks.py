@@ -15,6 +15,7 @@ import socket
 import uuid
 
 from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ..session import arrow_fs, list_dir, write_small_text
@@ -24,12 +25,24 @@ DISTINCT_SCHEMA = StructType([StructField("batch_id", LongType(), False),
 
 # Rows shown per batch by ``print_sample`` (the DStream ``print()`` default).
 SAMPLE_ROWS = 10
+# Rows shown per batch by ``console`` (the console sink's default).
+CONSOLE_ROWS = 20
 
 
 def console(df: DataFrame, truncate: bool = False, trigger: dict | None = None,
-            **start_kw):
-    """K1: untruncated console sink."""
-    w = df.writeStream.format("console").option("truncate", truncate)
+            numRows: int = CONSOLE_ROWS, **start_kw):
+    """K1: print the first ``numRows`` rows of each batch, untruncated.  Every row
+    is computed, but only the first ``numRows + 1`` of each task come to the driver
+    (Spark's own console sink sends it the whole batch)."""
+    numRows = int(numRows)
+
+    def show(batch: DataFrame, batch_id: int) -> None:
+        line = "-" * 43
+        print(f"{line}\nBatch: {batch_id}\n{line}")
+        first = batch.withColumn("__row", F.monotonically_increasing_id()).orderBy("__row").limit(numRows + 1)
+        first.drop("__row").show(numRows, truncate)
+
+    w = df.writeStream.foreachBatch(show)
     if trigger:
         w = w.trigger(**trigger)
     return w.start(**start_kw)
@@ -211,8 +224,6 @@ def display_window(path: str, order_cols, n: int = 90, label_col: str = "predict
     Window N is computed from window N-1 and batch N only and written with
     overwrite, so a re-run batch rewrites the same files.
     """
-    from pyspark.sql import functions as F
-
     from ..operators.views import latest_n
 
     order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)

@@ -45,6 +45,28 @@ def test_console_sink_runs(spark):
     assert q.lastProgress["numInputRows"] == 2
 
 
+def test_console_sends_the_driver_only_the_rows_shown(spark, tmp_path, capsys):
+    """Every row is computed; what is printed, and no whole batch, comes back."""
+    path = str(tmp_path / "rows")
+    spark.range(0, 50_000, 1, 4).selectExpr("id", "repeat(cast(id as string), 20) AS value").write.parquet(path)
+    computed = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            computed.add(b.num_rows)
+            yield b
+
+    rows = spark.readStream.schema("id long, value string").parquet(path).mapInArrow(count, "id long, value string")
+    q = console(rows, trigger={"availableNow": True}, numRows=3)
+    q.awaitTermination()
+    printed = capsys.readouterr().out
+    assert "Batch: 0" in printed and "only showing top 3 rows" in printed
+    table = [line for line in printed.splitlines() if line.startswith("|")]
+    assert len(table) == 4 and all(len(line) > 20 for line in table)      # the header and 3 rows, untruncated
+    assert computed.value == 50_000
+    assert "Console" not in q.lastProgress["sink"]["description"]
+
+
 def test_center_display():
     from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession()
