@@ -100,6 +100,18 @@ def feature_matrix(feats, dim: int):
     return X, valid
 
 
+def finite_rows(feats) -> np.ndarray:
+    """The rows of an Arrow list column that training takes: neither NULL nor empty,
+    with no NULL, NaN or infinite entry."""
+    import pyarrow.compute as pc
+
+    lengths = pc.fill_null(pc.list_value_length(feats), 0).to_numpy(zero_copy_only=False)
+    flat = feats.flatten().to_numpy(zero_copy_only=False)       # NULL entries are NaN
+    bad = np.concatenate([[0], np.cumsum(~np.isfinite(flat))])
+    ends = np.cumsum(lengths)
+    return (lengths > 0) & (bad[ends] == bad[ends - lengths])
+
+
 # Centers from which a norm bound is tried before a distance is computed, and
 # from which the index over centers is tried.
 PRUNE_MIN_CENTERS = 16

@@ -98,6 +98,15 @@ def _add_rows(batches):
              pa.array([t[1] for t in total.values()], pa.list_(pa.float64()))], ["label", "n", "s"])
 
 
+def label_sums(labels: np.ndarray, X: np.ndarray) -> list:
+    """``[(label, n, sum)]`` of the rows of a matrix, added up in row order."""
+    out = []
+    for label in np.unique(labels):
+        x = X[labels == label]
+        out.append((int(label), len(x), np.add.accumulate(np.vstack([np.zeros(X.shape[1]), x]), axis=0)[-1]))
+    return out
+
+
 def stats_long(stats: DataFrame) -> DataFrame:
     """``(label, dim, s, n)``: one row per label and coordinate."""
     return stats.select("label", "n", F.posexplode("s").alias("dim", "s")) \

@@ -1,13 +1,16 @@
 """Training over ordered batches of a bounded table (T1 fold, T3, M7, T4/T5).
 
 The update of batch b needs the model after batch b-1, so batches run one
-after another; each is one Spark job (assign + partial aggregation + a shuffle
-of at most k rows per task) and only k rows come back.  The input is staged
-once, partitioned by the batch key (a ``rebalance`` hint lets AQE split a hot
-batch into several files), so batch b reads only its own partition instead of
-the whole table; the staging write also cuts the lineage.  The key itself stays
-an ordinary column, so any type and value (``'01'``, ``''``) comes back as it
-was; the folders are named after its text.
+after another.  A batch whose work is worth a job is one Spark job (assign +
+partial aggregation + a shuffle of at most k rows per task) and only k rows come
+back.  Smaller batches are taken in blocks of neighbours of bounded work: a job
+for each block, whose task folds the block's rows in batch order and returns the
+models.  The input is staged once, partitioned by block (a ``rebalance`` hint
+lets AQE split a hot one into several files), so a job reads only its own folder
+instead of the whole table; the staging write also cuts the lineage.  A table
+that is staged by batch already is read by its folders, named after the key's
+text.  The key itself stays an ordinary column, so any type and value (``'01'``,
+``''``) comes back as it was.
 
 Scoring a table against the history is map-only: a batch number is joined on
 the key (broadcast, one row per batch) and the tasks hold the models of a block
@@ -19,7 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import json
-from dataclasses import asdict
+from dataclasses import asdict, dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -27,8 +30,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, StructField,
                                StructType)
 
+from ..functions.vectors import to_array
+from ..operators.assign import finite_rows, feature_matrix, nearest_rows
 from ..operators.model import HISTORY_SCHEMA, ModelState
-from ..operators.update import UpdateParams, train_step
+from ..operators.stats import label_sums
+from ..operators.update import UpdateParams, apply_update, train_step
 from ..session import arrow_fs, fresh_dir, read_small_text, remove_dir, write_small_text
 
 # Most batches a fold accepts (the keys are collected to order them).
@@ -37,17 +43,55 @@ MAX_BATCHES = 1_000_000
 BLOCK_HISTORY_VALUES = 8_000_000
 # Folder column of a staged table: the key's text after a letter.
 STAGE_COL = "__batch"
+# Rows of a staged file: a batch of more is read by several tasks.
+STAGE_FILE_ROWS = 100_000
+# Multiplications (rows x k x dim) up to which a batch is folded in one task with
+# its neighbours: what a task does in the time that a job of its own costs.
+SMALL_BATCH_WORK = 8_000_000
+# Multiplications of a block of such batches.
+BLOCK_WORK = 4 * SMALL_BATCH_WORK
+# Most batches of a block, and most model values (batches x k x dim) it returns.
+BLOCK_BATCHES, BLOCK_MODEL_VALUES = 10_000, 2_000_000
+# Folder column of rows staged by block.
+BLOCK_COL = "__block"
 
 
 def batch_keys(df: DataFrame, batch_col: str) -> list:
     """The distinct batch keys in ascending order (bounded by MAX_BATCHES)."""
-    rows = df.select(batch_col).distinct().limit(MAX_BATCHES + 1).collect()
+    return sorted(r[0] for r in _bounded_keys(df.select(batch_col).distinct(), batch_col))
+
+
+def _bounded_keys(keys: DataFrame, batch_col: str) -> list:
+    rows = keys.limit(MAX_BATCHES + 1).collect()
     if len(rows) > MAX_BATCHES:
         raise ValueError(f"more than {MAX_BATCHES} batches")
-    keys = [r[0] for r in rows]
-    if any(k is None for k in keys):
+    if any(r[0] is None for r in rows):
         raise ValueError(f"batch key {batch_col} must not be NULL")
-    return sorted(keys)
+    return rows
+
+
+@dataclass(frozen=True)
+class Block:
+    """Batches ``first`` .. ``last`` (numbers), which one job folds; ``small``: in one task."""
+    first: int
+    last: int
+    small: bool
+
+
+def fold_blocks(rows: list[int], k: int, dim: int) -> list[Block]:
+    """The jobs of a fold over batches of so many ``rows``."""
+    out, open_work = [], 0
+    most = max(1, min(BLOCK_BATCHES, BLOCK_MODEL_VALUES // (k * dim)))
+    for i, n in enumerate(rows):
+        work = n * k * dim
+        small = work <= SMALL_BATCH_WORK
+        if small and out and out[-1].small and i - out[-1].first < most and open_work + work <= BLOCK_WORK:
+            out[-1] = Block(out[-1].first, i, True)
+            open_work += work
+        else:
+            out.append(Block(i, i, small))
+            open_work = work
+    return out
 
 
 def _stage_name(key) -> "F.Column":
@@ -65,7 +109,8 @@ def stage_by_batch(df: DataFrame, batch_col: str, path: str | None = None) -> Da
     fs, base = arrow_fs(path)
     if fs.get_file_info(f"{base}/_SUCCESS").type == 0:
         (out.hint("rebalance", STAGE_COL)
-            .write.mode("overwrite").partitionBy(STAGE_COL).parquet(path))
+            .write.mode("overwrite").option("maxRecordsPerFile", STAGE_FILE_ROWS)
+            .partitionBy(STAGE_COL).parquet(path))
     return spark.read.schema(out.schema).parquet(path).select(*df.columns, STAGE_COL)
 
 
@@ -76,6 +121,95 @@ def _batch_of(df: DataFrame, batch_col: str, key) -> DataFrame:
     return rows.filter(F.col(STAGE_COL) == _stage_name(lit)) if STAGE_COL in df.columns else rows
 
 
+def _numbered(df: DataFrame, batch_col: str, side: list, columns: str) -> DataFrame:
+    """``df`` with the columns that ``side`` (key, ...) has for each batch key."""
+    names = columns.split(", ")
+    schema = StructType([StructField(batch_col, df.schema[batch_col].dataType)] + [StructField(c, IntegerType()) for c in names])
+    joined = df.join(F.broadcast(df.sparkSession.createDataFrame(side, schema)), on=batch_col, how="left")
+    lost = F.raise_error(F.concat(F.lit("the batch keys differ from those read before: "),
+                                  F.coalesce(F.col(batch_col).cast("string"), F.lit("NULL")))).cast("int")
+    return joined.withColumns({c: F.coalesce(c, lost) for c in names})
+
+
+def _stage_by_block(src: DataFrame, batch_col: str, features_col: str, keys: list,
+                    blocks: list[Block], path: str) -> list[DataFrame]:
+    """Write ``src`` once partitioned by block; the rows of each block with their
+    batch number ``__seq``."""
+    side = [(keys[i], i, b) for b, block in enumerate(blocks) for i in range(block.first, block.last + 1)]
+    out = _numbered(src, batch_col, side, f"__seq, {BLOCK_COL}").select("__seq", features_col, BLOCK_COL)
+    (out.hint("rebalance", BLOCK_COL)
+        .write.option("maxRecordsPerFile", STAGE_FILE_ROWS).partitionBy(BLOCK_COL).parquet(path))
+    reader = src.sparkSession.read.schema(out.drop(BLOCK_COL).schema)
+    return [reader.parquet(f"{path}/{BLOCK_COL}={b}") for b in range(len(blocks))]
+
+
+def _staged_block(src: DataFrame, batch_col: str, features_col: str, keys: list,
+                  folders: list[str], block: Block) -> DataFrame:
+    """The rows of a block of a table that is staged by batch."""
+    side = [(keys[i], i) for i in range(block.first, block.last + 1)]
+    rows = src.filter(F.col(STAGE_COL).isin(folders[block.first:block.last + 1]))
+    return _numbered(rows, batch_col, side, "__seq").select("__seq", features_col)
+
+
+def _fold_task(state: ModelState, params: UpdateParams, last_only: bool):
+    """The fold over rows ``(batch number, features)`` in batch order; holds the
+    rows of one batch.  The update is :func:`apply_update`, the assignment and the
+    sums are those of the Arrow forms of :func:`train_step`."""
+    centers, weights, dim = state.centers, state.weights, state.dim
+
+    def run(batches):
+        import pyarrow as pa
+        model, at, held = ModelState(centers, weights), None, []
+        schema = pa.schema([("batch_id", pa.int64()), ("label", pa.int32()), ("center", pa.list_(pa.float64())), ("weight", pa.float64())])
+
+        def updated():
+            X = np.concatenate(held) if len(held) > 1 else held[0]
+            return apply_update(model, label_sums(nearest_rows(X, model.centers)[0], X), params, at)
+
+        def rows():
+            return pa.RecordBatch.from_arrays(
+                [pa.array([model.batch_id] * model.k, pa.int64()), pa.array(range(model.k), pa.int32()),
+                 pa.ListArray.from_arrays(pa.array(np.arange(0, (model.k + 1) * dim, dim), pa.int32()), pa.array(model.centers.ravel())),
+                 pa.array(model.weights)], schema=schema)
+
+        for batch in batches:
+            seq, feats = batch.columns
+            seq = seq.to_numpy(zero_copy_only=False)
+            ok = finite_rows(feats)
+            if params.handle_invalid == "error" and not ok.all():
+                raise ValueError("features contain NULL, NaN or Inf")
+            X = feature_matrix(feats.filter(pa.array(ok)), dim)[0]
+            upto = np.concatenate([[0], np.cumsum(ok)])           # rows of X before each row
+            starts = np.flatnonzero(np.r_[True, seq[1:] != seq[:-1]]) if len(seq) else []
+            for a, b in zip(starts, [*starts[1:], len(seq)]):
+                if at is not None and seq[a] != at:
+                    model = updated()
+                    if not last_only:
+                        yield rows()
+                    held.clear()
+                at = int(seq[a])
+                held.append(X[upto[a]:upto[b]])
+        if at is not None:
+            model = updated()
+            yield rows()
+
+    return run
+
+
+def _fold_block(rows: DataFrame, state: ModelState, params: UpdateParams, features_col: str,
+                last_only: bool) -> list[ModelState]:
+    """The models after each batch of a block (``last_only``: after its last), by
+    one task; at most k rows a batch come back."""
+    f = F.col(features_col)
+    if rows.schema[features_col].dataType.typeName() != "array":
+        f = to_array(features_col)
+    ordered = rows.select("__seq", f.cast("array<double>").alias("__f")).coalesce(1).sortWithinPartitions("__seq")
+    models: dict = {}
+    for r in ordered.mapInArrow(_fold_task(state, params, last_only), HISTORY_SCHEMA).collect():
+        models.setdefault(r["batch_id"], []).append(r)
+    return [ModelState.from_rows(models[i], i) for i in sorted(models)]
+
+
 def fold_batches(df: DataFrame, batch_col: str, state: ModelState,
                  params: UpdateParams, features_col: str = "features",
                  stage: bool = True,
@@ -132,7 +266,12 @@ def fit_fold(df: DataFrame, batch_col: str, state: ModelState,
 
     The history is one model per batch on the driver; ``keep_history=False``
     returns the last one alone (the others are in the state table, if any).
+
+    With ``checkpoint_dir``, ``stage=False``, a form of assignment or sums other
+    than ``auto``, or invalid rows kept, every batch is a job of its own.
     """
+    if stage and not checkpoint_dir and params.method == params.stats_form == "auto" and params.handle_invalid != "keep":
+        return _fit_blocks(df, batch_col, state, params, features_col, keep_history)
     src = df.select(batch_col, features_col, *([STAGE_COL] if STAGE_COL in df.columns else []))
     table, done, staged = None, set(), None
     if checkpoint_dir:
@@ -167,6 +306,36 @@ def fit_fold(df: DataFrame, batch_col: str, state: ModelState,
     return keys, history
 
 
+def _fit_blocks(df: DataFrame, batch_col: str, state: ModelState, params: UpdateParams,
+                features_col: str, keep_history: bool) -> tuple[list, list[ModelState]]:
+    """:func:`fit_fold` with a job for each block of batches."""
+    is_staged = STAGE_COL in df.columns
+    src = df.select(batch_col, features_col, *([STAGE_COL] if is_staged else []))
+    by_key = src.groupBy(batch_col, *([STAGE_COL] if is_staged else [])).agg(F.count(F.lit(1)).alias("__n"))
+    sizes = sorted(_bounded_keys(by_key, batch_col), key=lambda r: r[0])
+    keys = [r[0] for r in sizes]
+    blocks = fold_blocks([r["__n"] for r in sizes], state.k, state.dim)
+    history, staged = [], None
+    if not is_staged and blocks:
+        staged = fresh_dir(df.sparkSession, "staged")
+        parts = _stage_by_block(src, batch_col, features_col, keys, blocks, staged)
+    for b, block in enumerate(blocks):
+        if not block.small:
+            rows = parts[b] if staged else _batch_of(src, batch_col, keys[block.first])
+            models = [train_step(rows, state, params, features_col, batch_id=block.first)]
+        else:
+            rows = parts[b] if staged else _staged_block(
+                src, batch_col, features_col, keys, [r[STAGE_COL] for r in sizes], block)
+            models = _fold_block(rows, state, params, features_col, not keep_history)
+        state = models[-1]
+        if not keep_history:
+            history.clear()
+        history.extend(models)
+    if staged:
+        remove_dir(staged)
+    return keys, history
+
+
 def _history_arrow_udf(H: np.ndarray):
     """Arrow UDF ``(features, batch index) -> struct<prediction, center>``
     against the per-batch centers ``H`` (B x k x dim), shipped with the

@@ -368,3 +368,83 @@ def test_only_the_last_model_is_kept_on_request(spark):
     _, every = fit_fold(df, "b", init, UpdateParams(decay=0.5))
     _, last = fit_fold(df, "b", init, UpdateParams(decay=0.5), keep_history=False)
     assert len(every) == 4 and len(last) == 1 and np.array_equal(last[0].centers, every[-1].centers)
+
+
+def _jobs(spark, run):
+    """What ``run`` returns, and how many Spark jobs it took."""
+    import uuid
+    group = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        out = run()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def _many_batches(spark):
+    """120 batches of 1 to 8 points with string keys; some points are invalid, the
+    whole of batch 7 is."""
+    from pyspark.sql import functions as F
+    base = spark.range(0, 540, 1, 3).select("id", (F.floor(F.sqrt(F.col("id") * 26.7))).cast("int").alias("n"))
+    x, y = (F.col("id") * 7919 % 101) / 10, (F.col("id") * 104729 % 97) / 10
+    odd = [F.lit(None).cast("array<double>"), F.array(), F.array(F.lit(float("nan")), y), F.array(x, F.lit(None).cast("double")),
+           F.array(F.lit(float("inf")), y, y)]
+    f = F.array(x, y)
+    for i, bad in enumerate(odd):
+        f = F.when(((F.col("n") == 7) & (F.col("id") % 5 == i)) | (F.col("id") % 23 == i), bad).otherwise(f)
+    return base.select("id", F.format_string("%03d", "n").alias("b"), f.alias("features"))
+
+
+@pytest.mark.parametrize("kw", [{}, {"time_unit": "points"}, {"split_dying": True}])
+def test_small_batches_are_folded_in_few_jobs(spark, kw, monkeypatch):
+    from fadeclust.plans import fold
+    df = _many_batches(spark).persist()
+    init, p = ModelState([[0.0, 0.0], [9.0, 2.0], [5.0, 50.0]], [0.01] * 3), UpdateParams(decay=0.7, **kw)
+    keys, each = fold.fit_fold(df, "b", init, p, stage=False)
+    (got_keys, got), jobs = _jobs(spark, lambda: fold.fit_fold(df, "b", init, p))
+    assert len(keys) > 100 and jobs < 20                     # one or more for each batch before
+    (staged_keys, staged), jobs = _jobs(spark, lambda: fold.fit_fold(fold.stage_by_batch(df, "b"), "b", init, p))
+    assert jobs < 20
+    monkeypatch.setattr(fold, "SMALL_BATCH_WORK", 36)        # batches of seven points and more are large
+    monkeypatch.setattr(fold, "BLOCK_BATCHES", 5)
+    mixed_keys, mixed = fold.fit_fold(df, "b", init, p)
+    _, last = fold.fit_fold(df, "b", init, p, keep_history=False)
+    assert keys == got_keys == staged_keys == mixed_keys == sorted(keys) and len(last) == 1
+    for hist in (got, staged, mixed, each[:-1] + last):
+        assert [m.batch_id for m in hist] == list(range(len(keys)))
+        for a, b in zip(each, hist):
+            assert np.allclose(a.centers, b.centers, rtol=1e-12, atol=1e-12) and np.allclose(a.weights, b.weights, rtol=1e-12)
+    df.unpersist()
+
+
+def test_blocks_take_vectors_and_refuse_what_single_batches_refuse(spark):
+    from fadeclust.functions.vectors import to_vector
+    from fadeclust.plans import fit_fold
+    init = ModelState([[0.0, 0.0], [4.0, 4.0]], [1.0, 1.0])
+    df = spark.createDataFrame([(i // 2, [float(i), 1.0]) for i in range(8)], "b int, features array<double>")
+    _, arrays = fit_fold(df, "b", init, UpdateParams(decay=0.5))
+    _, floats = fit_fold(df.selectExpr("b", "cast(features AS array<float>) AS features"), "b", init, UpdateParams(decay=0.5))
+    _, vectors = fit_fold(df.select("b", to_vector("features").alias("features")), "b", init, UpdateParams(decay=0.5))
+    for hist in (floats, vectors):
+        assert len(hist) == 4 and all(np.array_equal(a.centers, b.centers) for a, b in zip(arrays, hist))
+    wide = df.union(spark.createDataFrame([(2, [1.0, 1.0, 1.0])], df.schema))
+    with pytest.raises(Exception, match="must have 2 entries"):
+        fit_fold(wide, "b", init, UpdateParams(decay=0.5))
+    bad = df.union(spark.createDataFrame([(2, [float("nan"), 1.0])], df.schema))
+    with pytest.raises(Exception, match="NULL, NaN or Inf"):
+        fit_fold(bad, "b", init, UpdateParams(decay=0.5, handle_invalid="error"))
+    with pytest.raises(ValueError, match="must not be NULL"):
+        fit_fold(df.union(spark.createDataFrame([(None, [1.0, 1.0])], df.schema)), "b", init, UpdateParams(decay=0.5))
+
+
+def test_blocks_are_bounded(monkeypatch):
+    from fadeclust.plans import fold
+    rows = [10, 10, 5_000_000, 10, 400_000, 400_000, 400_000, 400_000, 400_000, 400_000, 400_000]
+    blocks = fold.fold_blocks(rows, 3, 2)
+    assert [i for b in blocks for i in range(b.first, b.last + 1)] == list(range(len(rows)))
+    for b in blocks:
+        work = 6 * sum(rows[b.first:b.last + 1])
+        assert work <= fold.BLOCK_WORK if b.small else b.first == b.last and work > fold.SMALL_BATCH_WORK
+    assert len(fold.fold_blocks([1] * 25_000, 1, 1)) == 3
+    assert fold.fold_blocks([], 1, 1) == []
