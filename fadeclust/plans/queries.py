@@ -28,7 +28,7 @@ from ..operators.stats import cluster_stats, stats_long
 from ..operators.update import UpdateParams, train_step
 from ..operators.views import center_display, latest_center, latest_n
 from ..session import fresh_dir
-from ..sources.streams import (KeyedBatches, checked_points, points_stream,
+from ..sources.streams import (KEY_FILE_ROWS, KeyedBatches, checked_points, points_stream,
                                read_lines_stream)
 from ..sources.tables import (embedding_points, event_lines, event_points,
                               lineitem_points, table)
@@ -508,9 +508,9 @@ def _run_to_end(query) -> None:
         query.stop()
 
 
-def _keyed_events(spark, sf_dir, publish=None):
+def _keyed_events(spark, sf_dir, publish=None, file_rows=KEY_FILE_ROWS):
     """The event lines (bad records included), one day per micro-batch."""
-    return KeyedBatches(event_lines(spark, sf_dir), "day", publish=publish)
+    return KeyedBatches(event_lines(spark, sf_dir), "day", publish=publish, file_rows=file_rows)
 
 
 def _by_key(kb):
@@ -631,7 +631,7 @@ def _read_points_json(spark, path: str) -> DataFrame:
 @register("line_sink", ORACLE["valid_points"])
 def line_sink_q(spark, sf_dir):
     out = fresh_dir(spark, "lines")
-    q = (_points_json(points_stream(_keyed_events(spark, sf_dir, publish=0).row_stream())).writeStream
+    q = (_points_json(points_stream(_keyed_events(spark, sf_dir, publish=0, file_rows=0).row_stream())).writeStream
          .foreach(LineWriter(FileLineTransport(out)))
          .option("checkpointLocation", fresh_dir(spark, "checkpoint"))
          .trigger(**NOW).queryName("fadeclust-lines").start())
@@ -644,7 +644,7 @@ def datasource_sink_q(spark, sf_dir):
     """The named sink over several micro-batches (ten files each)."""
     _ds.register(spark)
     out = fresh_dir(spark, "jsonl")
-    q = (_points_json(points_stream(_keyed_events(spark, sf_dir, publish=0).row_stream(10))).writeStream
+    q = (_points_json(points_stream(_keyed_events(spark, sf_dir, publish=0, file_rows=0).row_stream(10))).writeStream
          .format("jsonl_points").option("path", out)
          .option("checkpointLocation", fresh_dir(spark, "checkpoint"))
          .trigger(**NOW).queryName("fadeclust-jsonl").start())

@@ -54,6 +54,8 @@ def checked_points(lines: DataFrame, line_col: str = "value") -> DataFrame:
 
 
 _STAGE_COL = "__batch"
+# Rows of a staged file: a key of more rows is read by several tasks.
+KEY_FILE_ROWS = 50_000
 _LISTED = "seq BIGINT, path STRING"
 
 
@@ -62,7 +64,8 @@ class KeyedBatches:
     ``batch_col`` in ascending order, admitted by Spark's file source.
 
     The table is written once partitioned by the key (``rebalance``: a hot key
-    becomes several files).  Beside it lies one small file per key that names the
+    is written by several tasks), in files of ``file_rows`` rows at most (0: no
+    limit), so that a key's rows are read by as many tasks as it has files.  Beside it lies one small file per key that names the
     key's folder; the stream reads these files, in the order in which they were
     published, ``keys_per_trigger`` at a time, and :meth:`each` hands a batch
     function the rows of each key that a micro-batch names.  Order, progress and
@@ -73,7 +76,8 @@ class KeyedBatches:
     ...                           trigger={"availableNow": True})
     """
 
-    def __init__(self, df: DataFrame, batch_col: str, path: str | None = None, publish: int | None = None):
+    def __init__(self, df: DataFrame, batch_col: str, path: str | None = None, publish: int | None = None,
+                 file_rows: int = KEY_FILE_ROWS):
         self.spark = df.sparkSession
         self.path = path or fresh_dir(self.spark, "keyed")
         self.listed = f"{self.path}/listed"
@@ -82,7 +86,8 @@ class KeyedBatches:
             raise TypeError(f"batch key must be an integer, date or string, not {key_type}")
         (df.withColumn(_STAGE_COL, F.col(batch_col))
            .hint("rebalance", _STAGE_COL)
-           .write.mode("overwrite").partitionBy(_STAGE_COL).parquet(f"{self.path}/staged"))
+           .write.mode("overwrite").option("maxRecordsPerFile", file_rows)
+           .partitionBy(_STAGE_COL).parquet(f"{self.path}/staged"))
         self.schema = df.schema
         self._folders = []
         for info in list_dir(f"{self.path}/staged"):

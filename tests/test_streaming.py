@@ -312,3 +312,23 @@ def test_display_window_matches_batch_views(spark, lines, replayed):
     assert sorted(r.event_id for r in got_p.collect()) == sorted(r.event_id for r in exp_p.collect())
     assert {r.prediction: r.center for r in got_c.collect()} == \
         {r.prediction: r.center for r in exp_c.collect()}
+
+
+def test_a_large_key_is_read_by_several_tasks(spark):
+    """Rows of one key lie in files of bounded length, small keys in one file."""
+    df = spark.range(0, 130_000, 1, 2).selectExpr("id", "CAST(IF(id < 125000, 1, 0) AS INT) AS k")
+    seen = {}
+
+    def look(rows, n):
+        seen[n] = (rows.rdd.getNumPartitions(), len(rows.inputFiles()), rows.agg(F.count("id"), F.sum("id")).first())
+
+    kb = KeyedBatches(df, "k")
+    finish(kb.stream(2).writeStream.foreachBatch(kb.each(look)).trigger(**NOW)
+           .option("checkpointLocation", fresh_dir(spark, "ck")).start())
+    assert seen[0] == (1, 1, (5_000, sum(range(125_000, 130_000))))
+    assert seen[1][0] > 1 and seen[1][1] >= 3 and seen[1][2] == (125_000, sum(range(125_000)))
+    whole = KeyedBatches(df, "k", file_rows=0)
+    assert len(whole.all_rows().inputFiles()) == 2 and whole.all_rows().count() == 130_000
+    from fadeclust.plans.fold import _batch_of, stage_by_batch
+    staged = _batch_of(stage_by_batch(df, "k"), "k", 1)
+    assert staged.count() == 125_000 and staged.rdd.getNumPartitions() > 1
