@@ -448,3 +448,15 @@ def test_blocks_are_bounded(monkeypatch):
         assert work <= fold.BLOCK_WORK if b.small else b.first == b.last and work > fold.SMALL_BATCH_WORK
     assert len(fold.fold_blocks([1] * 25_000, 1, 1)) == 3
     assert fold.fold_blocks([], 1, 1) == []
+
+
+@pytest.mark.parametrize("name", ["train_replay", "center_display", "time_unit_points", "model_transform"])
+def test_embedding_folds_do_not_run_a_job_for_each_batch(spark, tmp_path, name):
+    """40 batches of 200 ids; the job count does not follow their number."""
+    from pyspark.sql import functions as F
+    from fadeclust.plans.queries import QUERIES
+    vec = F.array(*[(F.col("id") * (i + 3) % 89 / 10).cast("float") for i in range(4)])
+    spark.range(0, 8_000, 1, 2).select(F.col("id").alias("vec_id"), vec.alias("embedding"), (F.col("id") % 8).cast("int").alias("label")) \
+        .write.parquet(f"{tmp_path}/embeddings.parquet")
+    rows, jobs = _jobs(spark, lambda: QUERIES[name](spark, str(tmp_path)).collect())
+    assert len(rows) == {"center_display": 3, "model_transform": 8_000}.get(name, 40 * 3 * 4) and jobs < 25
