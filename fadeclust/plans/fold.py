@@ -144,10 +144,10 @@ def _stage_by_block(src: DataFrame, batch_col: str, features_col: str, keys: lis
 
 
 def _staged_block(src: DataFrame, batch_col: str, features_col: str, keys: list,
-                  folders: list[str], block: Block) -> DataFrame:
+                  folders: list[list[str]], block: Block) -> DataFrame:
     """The rows of a block of a table that is staged by batch."""
     side = [(keys[i], i) for i in range(block.first, block.last + 1)]
-    rows = src.filter(F.col(STAGE_COL).isin(folders[block.first:block.last + 1]))
+    rows = src.filter(F.col(STAGE_COL).isin([f for _, i in side for f in folders[i]]))
     return _numbered(rows, batch_col, side, "__seq").select("__seq", features_col)
 
 
@@ -311,9 +311,10 @@ def _fit_blocks(df: DataFrame, batch_col: str, state: ModelState, params: Update
     """:func:`fit_fold` with a job for each block of batches."""
     is_staged = STAGE_COL in df.columns
     src = df.select(batch_col, features_col, *([STAGE_COL] if is_staged else []))
-    by_key = src.groupBy(batch_col, *([STAGE_COL] if is_staged else [])).agg(F.count(F.lit(1)).alias("__n"))
+    folders = F.collect_set(STAGE_COL) if is_staged else F.array()
+    by_key = src.groupBy(batch_col).agg(F.count(F.lit(1)).alias("__n"), folders.alias("__folders"))
     sizes = sorted(_bounded_keys(by_key, batch_col), key=lambda r: r[0])
-    keys = [r[0] for r in sizes]
+    keys, folders = [r[0] for r in sizes], [r["__folders"] for r in sizes]
     blocks = fold_blocks([r["__n"] for r in sizes], state.k, state.dim)
     history, staged = [], None
     if not is_staged and blocks:
@@ -324,8 +325,7 @@ def _fit_blocks(df: DataFrame, batch_col: str, state: ModelState, params: Update
             rows = parts[b] if staged else _batch_of(src, batch_col, keys[block.first])
             models = [train_step(rows, state, params, features_col, batch_id=block.first)]
         else:
-            rows = parts[b] if staged else _staged_block(
-                src, batch_col, features_col, keys, [r[STAGE_COL] for r in sizes], block)
+            rows = parts[b] if staged else _staged_block(src, batch_col, features_col, keys, folders, block)
             models = _fold_block(rows, state, params, features_col, not keep_history)
         state = models[-1]
         if not keep_history:
