@@ -48,6 +48,8 @@ STAGE_FILE_ROWS = 100_000
 # Multiplications (rows x k x dim) up to which a batch is folded in one task with
 # its neighbours: what a task does in the time that a job of its own costs.
 SMALL_BATCH_WORK = 8_000_000
+# Multiplications that a row counts as at least: it is read and sorted, too.
+ROW_WORK = 64
 # Multiplications of a block of such batches.
 BLOCK_WORK = 4 * SMALL_BATCH_WORK
 # Most batches of a block, and most model values (batches x k x dim) it returns.
@@ -83,7 +85,7 @@ def fold_blocks(rows: list[int], k: int, dim: int) -> list[Block]:
     out, open_work = [], 0
     most = max(1, min(BLOCK_BATCHES, BLOCK_MODEL_VALUES // (k * dim)))
     for i, n in enumerate(rows):
-        work = n * k * dim
+        work = n * max(k * dim, ROW_WORK)
         small = work <= SMALL_BATCH_WORK
         if small and out and out[-1].small and i - out[-1].first < most and open_work + work <= BLOCK_WORK:
             out[-1] = Block(out[-1].first, i, True)

@@ -406,7 +406,7 @@ def test_small_batches_are_folded_in_few_jobs(spark, kw, monkeypatch):
     assert len(keys) > 35 and jobs < 20                     # one or more for each batch before
     (staged_keys, staged), jobs = _jobs(spark, lambda: fold.fit_fold(fold.stage_by_batch(df, "b"), "b", init, p))
     assert jobs < 20
-    monkeypatch.setattr(fold, "SMALL_BATCH_WORK", 36)        # batches of seven points and more are large
+    monkeypatch.setattr(fold, "SMALL_BATCH_WORK", 6 * fold.ROW_WORK)     # batches of seven points and more are large
     monkeypatch.setattr(fold, "BLOCK_BATCHES", 5)
     mixed_keys, mixed = fold.fit_fold(df, "b", init, p)
     _, last = fold.fit_fold(df, "b", init, p, keep_history=False)
@@ -440,13 +440,13 @@ def test_blocks_take_vectors_and_refuse_what_single_batches_refuse(spark):
 
 def test_blocks_are_bounded(monkeypatch):
     from fadeclust.plans import fold
-    rows = [10, 10, 5_000_000, 10, 400_000, 400_000, 400_000, 400_000, 400_000, 400_000, 400_000]
+    rows = [10, 10, 500_000, 10, 90_000, 90_000, 90_000, 90_000, 90_000, 90_000, 90_000]
     blocks = fold.fold_blocks(rows, 3, 2)
     assert [i for b in blocks for i in range(b.first, b.last + 1)] == list(range(len(rows)))
     for b in blocks:
-        work = 6 * sum(rows[b.first:b.last + 1])
+        work = fold.ROW_WORK * sum(rows[b.first:b.last + 1])
         assert work <= fold.BLOCK_WORK if b.small else b.first == b.last and work > fold.SMALL_BATCH_WORK
-    assert len(fold.fold_blocks([1] * 25_000, 1, 1)) == 3
+    assert len(blocks) < len(rows) and len(fold.fold_blocks([1] * 25_000, 1, 1)) == 3
     assert fold.fold_blocks([], 1, 1) == []
 
 
