@@ -199,15 +199,20 @@ def _fold_task(state: ModelState, params: UpdateParams, last_only: bool):
 
 
 def _fold_block(rows: DataFrame, state: ModelState, params: UpdateParams, features_col: str,
-                last_only: bool) -> list[ModelState]:
+                last_only: bool, last: int, path: str | None) -> list[ModelState]:
     """The models after each batch of a block (``last_only``: after its last), by
-    one task; at most k rows a batch come back."""
+    one task; at most k rows a batch come back.  With a ``path`` the task writes
+    them there, and those of batch ``last`` alone come back."""
     f = F.col(features_col)
     if rows.schema[features_col].dataType.typeName() != "array":
         f = to_array(features_col)
     ordered = rows.select("__seq", f.cast("array<double>").alias("__f")).coalesce(1).sortWithinPartitions("__seq")
+    folded = ordered.mapInArrow(_fold_task(state, params, last_only), HISTORY_SCHEMA)
+    if path:
+        folded.write.parquet(path)
+        folded = rows.sparkSession.read.schema(HISTORY_SCHEMA).parquet(path).filter(F.col("batch_id") == last)
     models: dict = {}
-    for r in ordered.mapInArrow(_fold_task(state, params, last_only), HISTORY_SCHEMA).collect():
+    for r in folded.collect():
         models.setdefault(r["batch_id"], []).append(r)
     return [ModelState.from_rows(models[i], i) for i in sorted(models)]
 
@@ -225,15 +230,31 @@ def fold_batches(df: DataFrame, batch_col: str, state: ModelState,
     return fit_fold(df, batch_col, state, params, features_col, stage, checkpoint_dir)[1]
 
 
+def fold_history(df: DataFrame, batch_col: str, state: ModelState, params: UpdateParams,
+                 features_col: str = "features") -> DataFrame:
+    """The model after every batch as rows ``(batch_id, label, center, weight)``.
+    Blocks of small batches write theirs to a folder, so the driver holds the models
+    of large batches (one a job) and of each block's last batch alone."""
+    spark, path = df.sparkSession, fresh_dir(df.sparkSession, "history")
+    if not _in_blocks(params):
+        return history_df(spark, fit_fold(df, batch_col, state, params, features_col)[1])
+    history, written = _fit_blocks(df, batch_col, state, params, features_col, True, path)[1:]
+    parts = [history_df(spark, history)] if history or not written else []
+    if written:
+        parts.append(spark.read.schema(HISTORY_SCHEMA).parquet(*written))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
 def history_df(spark, history: list[ModelState]) -> DataFrame:
     """``(batch_id, label, center, weight)`` for every model in ``history``."""
     rows = [(int(s.batch_id),) + r for s in history for r in s.to_rows()]
     return spark.createDataFrame(rows, HISTORY_SCHEMA)
 
 
-def history_long(spark, history: list[ModelState]) -> DataFrame:
+def history_long(spark, history: list[ModelState] | DataFrame) -> DataFrame:
     """``(batch_id, label, dim, center, weight)`` - one row per coordinate."""
-    return history_df(spark, history).select(
+    rows = history if isinstance(history, DataFrame) else history_df(spark, history)
+    return rows.select(
         "batch_id", "label", F.posexplode("center").alias("dim", "center"), "weight"
     ).select("batch_id", "label", F.col("dim").cast("int").alias("dim"),
              "center", "weight")
@@ -267,13 +288,14 @@ def fit_fold(df: DataFrame, batch_col: str, state: ModelState,
     removed at the end.
 
     The history is one model per batch on the driver; ``keep_history=False``
-    returns the last one alone (the others are in the state table, if any).
+    returns the last one alone (the others are in the state table, if any), and
+    :func:`fold_history` gives it as a table.
 
     With ``checkpoint_dir``, ``stage=False``, a form of assignment or sums other
     than ``auto``, or invalid rows kept, every batch is a job of its own.
     """
-    if stage and not checkpoint_dir and params.method == params.stats_form == "auto" and params.handle_invalid != "keep":
-        return _fit_blocks(df, batch_col, state, params, features_col, keep_history)
+    if stage and not checkpoint_dir and _in_blocks(params):
+        return _fit_blocks(df, batch_col, state, params, features_col, keep_history)[:2]
     src = df.select(batch_col, features_col, *([STAGE_COL] if STAGE_COL in df.columns else []))
     table, done, staged = None, set(), None
     if checkpoint_dir:
@@ -308,9 +330,14 @@ def fit_fold(df: DataFrame, batch_col: str, state: ModelState,
     return keys, history
 
 
-def _fit_blocks(df: DataFrame, batch_col: str, state: ModelState, params: UpdateParams,
-                features_col: str, keep_history: bool) -> tuple[list, list[ModelState]]:
-    """:func:`fit_fold` with a job for each block of batches."""
+def _in_blocks(params: UpdateParams) -> bool:
+    return params.method == params.stats_form == "auto" and params.handle_invalid != "keep"
+
+
+def _fit_blocks(df: DataFrame, batch_col: str, state: ModelState, params: UpdateParams, features_col: str,
+                keep_history: bool, path: str | None = None) -> tuple[list, list[ModelState], list[str]]:
+    """:func:`fit_fold` with a job for each block of batches.  With a ``path`` the
+    models of small batches are written below it and not returned; the folders are."""
     is_staged = STAGE_COL in df.columns
     src = df.select(batch_col, features_col, *([STAGE_COL] if is_staged else []))
     folders = F.collect_set(STAGE_COL) if is_staged else F.array()
@@ -318,7 +345,7 @@ def _fit_blocks(df: DataFrame, batch_col: str, state: ModelState, params: Update
     sizes = sorted(_bounded_keys(by_key, batch_col), key=lambda r: r[0])
     keys, folders = [r[0] for r in sizes], [r["__folders"] for r in sizes]
     blocks = fold_blocks([r["__n"] for r in sizes], state.k, state.dim)
-    history, staged = [], None
+    history, written, staged = [], [], None
     if not is_staged and blocks:
         staged = fresh_dir(df.sparkSession, "staged")
         parts = _stage_by_block(src, batch_col, features_col, keys, blocks, staged)
@@ -328,14 +355,18 @@ def _fit_blocks(df: DataFrame, batch_col: str, state: ModelState, params: Update
             models = [train_step(rows, state, params, features_col, batch_id=block.first)]
         else:
             rows = parts[b] if staged else _staged_block(src, batch_col, features_col, keys, folders, block)
-            models = _fold_block(rows, state, params, features_col, not keep_history)
+            to = f"{path}/{b}" if path else None
+            models = _fold_block(rows, state, params, features_col, not keep_history, block.last, to)
         state = models[-1]
         if not keep_history:
             history.clear()
-        history.extend(models)
+        if path and block.small:
+            written.append(to)
+        else:
+            history.extend(models)
     if staged:
         remove_dir(staged)
-    return keys, history
+    return keys, history, written
 
 
 def _history_arrow_udf(H: np.ndarray):
@@ -457,5 +488,5 @@ def as_state(centers, weights, batch_id: int = -1) -> ModelState:
                       np.asarray(weights, dtype=np.float64), batch_id)
 
 
-__all__ = ["batch_keys", "stage_by_batch", "fold_batches", "fit_fold",
+__all__ = ["batch_keys", "stage_by_batch", "fold_batches", "fit_fold", "fold_history",
            "history_df", "history_long", "score_with_history", "as_state"]

@@ -43,7 +43,7 @@ from ..streaming.train import (labelled_json, read_progress,
 from ..streaming.views import (latest_centers_stream, latest_points_stream,
                                read_latest_centers, read_latest_points)
 from . import oracle as sql
-from .fold import fit_fold, history_long, score_with_history, stage_by_batch
+from .fold import fit_fold, fold_history, history_long, score_with_history, stage_by_batch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -120,8 +120,7 @@ EMB_BATCHED_PTS = (f"pts AS (SELECT id, CAST(dense_rank() OVER (ORDER BY id // {
 def _emb_fold(spark, sf_dir, params, w0=W0):
     pts = _emb_batches(spark, sf_dir)
     init = initial_state_from_first(pts, K, "vec_id", weight=w0)
-    _, hist = fit_fold(pts, "batch", init, params)
-    return _rounded_history(history_long(spark, hist))
+    return _rounded_history(history_long(spark, fold_history(pts, "batch", init, params)))
 
 
 @register("train_replay", f"""WITH RECURSIVE {EMB_BATCHED_PTS},
@@ -754,7 +753,7 @@ def center_display_q(spark, sf_dir):
     coordinates) and the form cut after 10 coordinates."""
     pts = _emb_batches(spark, sf_dir)
     init = initial_state_from_first(pts, K, "vec_id", weight=W0)
-    _, hist = fit_fold(pts, "batch", init, UpdateParams(decay=DECAY))
+    _, hist = fit_fold(pts, "batch", init, UpdateParams(decay=DECAY), keep_history=False)
     return hist[-1].to_df(spark).select(
         "label", center_display("center", 100, 6).alias("display"),
         center_display("center", 10, 6).alias("display_10"))

@@ -460,3 +460,35 @@ def test_embedding_folds_do_not_run_a_job_for_each_batch(spark, tmp_path, name):
         .write.parquet(f"{tmp_path}/embeddings.parquet")
     rows, jobs = _jobs(spark, lambda: QUERIES[name](spark, str(tmp_path)).collect())
     assert len(rows) == {"center_display": 3, "model_transform": 8_000}.get(name, 40 * 3 * 4) and jobs < 25
+
+
+@pytest.mark.parametrize("small", [3, 1_000])
+def test_history_of_small_batches_stays_off_the_driver(spark, small, monkeypatch):
+    from fadeclust.plans import fold
+    df = _many_batches(spark).filter("id < 24").persist()
+    init, p = ModelState([[0.0, 0.0], [9.0, 2.0], [5.0, 50.0]], [0.01] * 3), UpdateParams(decay=0.999, time_unit="points")
+    monkeypatch.setattr(fold, "SMALL_BATCH_WORK", small * fold.ROW_WORK)
+    monkeypatch.setattr(fold, "BLOCK_BATCHES", 4)
+    for params in (p, UpdateParams(decay=0.5, stats_form="long"))[:1 if small == 3 else 2]:
+        want = fold.history_df(spark, fold.fit_fold(df, "b", init, params)[1]).collect()
+        held, plain = [], fold.history_df
+        with monkeypatch.context() as m:
+            m.setattr(fold, "history_df", lambda spark, models: held.extend(models) or plain(spark, models))
+            got = fold.fold_history(df, "b", init, params).collect()
+        assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len(got) == 3 * len({r.b for r in df.select("b").collect()})
+        if params is p:
+            assert (len(held) == 0) if small == 1_000 else (len(held) > 0)
+    df.unpersist()
+    assert fold.fold_history(df.filter("id < 0"), "b", init, p).count() == 0
+
+
+@pytest.mark.parametrize("name", ["train_replay", "time_unit_points"])
+def test_embedding_histories_are_read_from_files(spark, tmp_path, name):
+    """A batch for each of 60 vectors: their models come from files, not from the driver."""
+    from pyspark.sql import functions as F
+    from fadeclust.plans.queries import QUERIES
+    vec = F.array(*[(F.col("id") * (i + 3) % 89 / 10).cast("float") for i in range(4)])
+    spark.range(0, 60, 1, 2).select((F.col("id") * 1_000).alias("vec_id"), vec.alias("embedding"), F.lit(1).alias("label")) \
+        .write.parquet(f"{tmp_path}/embeddings.parquet")
+    out = QUERIES[name](spark, str(tmp_path))
+    assert out.inputFiles() and out.count() == 60 * 3 * 4
