@@ -129,8 +129,9 @@ class StateTable:
         schema = StructType(STATE_SCHEMA.fields + [StructField("batch_id", LongType())])
         reader = self.spark.read.schema(schema).option("basePath", self.path).option("ignoreMissingFiles", str(may_go).lower())
         files = [f"{self.path}/batch_id={i}/{_PART}" for i in ids]
-        # by a pattern: Spark refuses a named file that has gone since it was listed
-        rows = reader.json(files) if not may_go else reader.option("pathGlobFilter", _PART).option("recursiveFileLookup", "false").json(self.path)
+        # by a pattern: Spark refuses a named file that has gone since it was listed; of the
+        # batch folders alone: a first roll may end meanwhile, whose folder has no batch_id
+        rows = reader.json(files) if not may_go else reader.option("pathGlobFilter", _PART).json(f"{self.path}/batch_id=*")
         return rows.select(F.col("batch_id").cast("long").alias("batch_id"), "label", "center", "weight")
 
     def history(self) -> DataFrame:

@@ -160,6 +160,20 @@ def test_files_that_shrink_are_refused(tmp_path):
     assert LineFilesReader(str(tmp_path / "none"), 100).latestOffset() == {"files": {}}
 
 
+def test_history_listed_before_the_first_roll(spark, monkeypatch):
+    """The first roll ends after the reader's listing and before Spark's."""
+    path = fresh_dir(spark, "state")
+    table, reader = StateTable(spark, path, roll=5), StateTable(spark, path)
+    for n in range(10):
+        table.write(model(n))
+    before = reader._listed()
+    table.write(model(10))
+    assert not before[1] and reader._listed()[1]
+    monkeypatch.setattr(reader, "_listed", lambda: before)
+    rows = {(r.batch_id, r.label): (list(r.center), r.weight) for r in reader.history().collect()}
+    assert rows == {(n, i): (c, w) for n in range(10) for i, c, w in model(n).to_rows()}
+
+
 def test_rolled_history_under_a_reader(spark, monkeypatch):
     """Old models move into few Parquet files; a reader beside sees every batch."""
     import threading
